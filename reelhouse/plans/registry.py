@@ -44,3 +44,51 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["monthly_metrics"] = _temporal("monthly")
     q["gold_temporal_trends"] = _temporal("trends")
     return q
+
+
+def _movies(kind: str):
+    from . import gold_movies
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = silver_frames(spark, sf_dir)
+        if kind == "rating_metrics":
+            df = gold_movies.movie_rating_metrics(s["silver_ratings"])
+        elif kind == "tag_metrics":
+            df = gold_movies.movie_tag_metrics(s["silver_tags"])
+        else:
+            df = gold_movies.gold_movie_analytics(s["silver_movies"], s["silver_ratings"], s["silver_tags"])
+        return portable(df)
+    return run
+
+
+def _users(kind: str):
+    from . import gold_users
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = silver_frames(spark, sf_dir)
+        r, t, m = s["silver_ratings"], s["silver_tags"], s["silver_movies"]
+        if kind == "rating_metrics":
+            df = gold_users.user_rating_metrics(r, m)
+        elif kind == "genre_preferences":
+            df = gold_users.user_genre_preferences(r, m)
+        elif kind == "tag_metrics":
+            df = gold_users.user_tag_metrics(t)
+        else:
+            df = gold_users.gold_user_behavior(r, t, m)
+        return portable(df)
+    return run
+
+
+_BASE_QUERIES = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _BASE_QUERIES()
+    q["movie_rating_metrics"] = _movies("rating_metrics")
+    q["movie_tag_metrics"] = _movies("tag_metrics")
+    q["gold_movie_analytics"] = _movies("analytics")
+    q["user_rating_metrics"] = _users("rating_metrics")
+    q["user_genre_preferences"] = _users("genre_preferences")
+    q["user_tag_metrics"] = _users("tag_metrics")
+    q["gold_user_behavior"] = _users("behavior")
+    return q

@@ -43,7 +43,7 @@ def build_session(master: str | None = "local[*]", app_name: str = "reelhouse",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in {**SEMANTIC_CONF, **TUNING_DEFAULTS}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
