@@ -92,3 +92,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
     q["user_tag_metrics"] = _users("tag_metrics")
     q["gold_user_behavior"] = _users("behavior")
     return q
+
+
+def _genres(kind: str):
+    from . import gold_genres
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = silver_frames(spark, sf_dir)
+        m, r, t = s["silver_movies"], s["silver_ratings"], s["silver_tags"]
+        if kind == "explode":
+            df = gold_genres.genre_exploded(m)
+        elif kind == "counts":
+            df = gold_genres.genre_counts(m)
+        elif kind == "dedup":
+            df = gold_genres.gold_genre_analytics(m, r, t, fanout="dedup")
+        else:
+            df = gold_genres.gold_genre_analytics(m, r, t)
+        return portable(df)
+    return run
+
+
+_WITH_MOVIES_USERS = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _WITH_MOVIES_USERS()
+    q["genre_explode"] = _genres("explode")
+    q["genre_counts"] = _genres("counts")
+    q["gold_genre_analytics"] = _genres("reference")
+    q["gold_genre_analytics_dedup"] = _genres("dedup")
+    return q
