@@ -122,3 +122,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
     q["gold_genre_analytics"] = _genres("reference")
     q["gold_genre_analytics_dedup"] = _genres("dedup")
     return q
+
+
+def _recs(kind: str):
+    from . import gold_recommendations as R
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = silver_frames(spark, sf_dir)
+        m, r = s["silver_movies"], s["silver_ratings"]
+        if kind == "stats":
+            df = R.movie_stats(m, r)
+        elif kind == "pairs":
+            df = R.genre_jaccard_pairs(m, r)
+        else:
+            df = R.gold_movie_recommendations(m, r)
+        return portable(df)
+    return run
+
+
+_WITH_GENRES = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _WITH_GENRES()
+    q["movie_stats"] = _recs("stats")
+    q["genre_jaccard_pairs"] = _recs("pairs")
+    q["gold_movie_recommendations"] = _recs("recommendations")
+    return q
