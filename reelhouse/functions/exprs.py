@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "round_to", "nullif0", "safe_ratio", "pct", "epoch_to_ts", "dow_sunday0",
     "day_boundaries", "split_pipe", "snake_case", "normalize_columns", "as_bigint",
+    "exact_mean",
 ]
 
 
@@ -21,6 +22,16 @@ def round_to(x: Column, places: int) -> Column:
     return F.round(x.cast("double") * F.lit(scale), 0) / F.lit(scale)
 
 
+def exact_mean(x: Column, places: int = 2) -> Column:
+    """Mean of values carrying at most ``places`` decimals, independent of summation order.
+
+    The sum is exact (decimal), converted once to double and divided by the count;
+    a plain double ``avg`` depends on how rows are spread over tasks.
+    """
+    total = F.sum(x.cast(f"decimal(18,{places})")).cast("double")
+    return total / F.nullif(F.count(x), F.lit(0)).cast("double")
+
+
 def nullif0(x: Column) -> Column:
     return F.nullif(x, F.lit(0))
 

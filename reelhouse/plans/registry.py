@@ -149,3 +149,43 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
     q["genre_jaccard_pairs"] = _recs("pairs")
     q["gold_movie_recommendations"] = _recs("recommendations")
     return q
+
+
+# fixed parameter of the title report (a title present at every scale factor)
+REPORT_TITLE = "red plate"
+JSON_SQL = "SELECT genre, total_movies, avg_rating FROM gold_genre_analytics"
+
+
+def _adhoc(kind: str):
+    from . import adhoc, gold_genres, gold_recommendations, gold_temporal, gold_users
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = silver_frames(spark, sf_dir)
+        m, r, t = s["silver_movies"], s["silver_ratings"], s["silver_tags"]
+        if kind == "top_genres":
+            df = adhoc.top_genres(gold_genres.gold_genre_analytics(m, r, t))
+        elif kind == "title":
+            df = adhoc.recommendations_for_title(
+                gold_recommendations.gold_movie_recommendations(m, r), REPORT_TITLE)
+        elif kind == "yearly":
+            df = adhoc.yearly_rollup(gold_temporal.gold_temporal_trends(r, m))
+        elif kind == "favorite":
+            df = adhoc.users_by_favorite_genre(gold_users.gold_user_behavior(r, t, m))
+        else:
+            adhoc.register_views({"gold_genre_analytics": gold_genres.gold_genre_analytics(m, r, t)})
+            df = adhoc.rows_as_json(adhoc.run_sql(spark, JSON_SQL))
+        return portable(df)
+    return run
+
+
+_WITH_RECS = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _WITH_RECS()
+    q["top_genres"] = _adhoc("top_genres")
+    q["recommendations_for_title"] = _adhoc("title")
+    q["yearly_rollup"] = _adhoc("yearly")
+    q["users_by_favorite_genre"] = _adhoc("favorite")
+    q["rows_as_json"] = _adhoc("json")
+    return q
