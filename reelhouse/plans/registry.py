@@ -189,3 +189,55 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
     q["users_by_favorite_genre"] = _adhoc("favorite")
     q["rows_as_json"] = _adhoc("json")
     return q
+
+
+UPDATE_COLUMNS = ["o_orderstatus", "o_totalprice"]
+
+
+def _loads(kind: str):
+    from pyspark.sql import functions as F
+
+    from ..functions.exprs import normalize_columns
+    from ..operators import loads as L
+    from ..sources.batches import ORDER_CURSOR, ORDER_KEY, orders_batches
+    from ..sources.bindings import raw_tables
+    from ..sources.tables import SourceRegistry
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if kind == "normalize":
+            return portable(normalize_columns(raw_tables(spark, sf_dir)["ratings"]))
+        if kind == "glob":
+            reg = SourceRegistry().register("bronze", "lineitem", f"{sf_dir.rstrip('/')}/lineitem*.parquet")
+            return portable(reg.read(spark, "bronze", "lineitem"))
+        old, new = orders_batches(spark, sf_dir)
+        if kind == "append":
+            df = old.unionByName(new)
+        elif kind == "upsert":
+            df = L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR])
+        elif kind == "update_columns":
+            df = L.merge_update_columns(old, new, ORDER_KEY, UPDATE_COLUMNS, [ORDER_CURSOR])
+        elif kind == "delete_insert":
+            df = L.delete_insert_frame(old, new, ORDER_KEY)
+        elif kind == "incremental":
+            from ..sources.tables import read_table
+            df = L.incremental_frame(old, read_table(spark, sf_dir, "orders"), ORDER_CURSOR)
+        elif kind == "schema_sync":
+            df = L.append_with_policy(old.drop("o_orderpriority"), new, "append_new_columns")
+        else:
+            raise KeyError(kind)
+        return portable(df)
+    return run
+
+
+_WITH_ADHOC = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _WITH_ADHOC()
+    for key, kind in [("append_orders", "append"), ("upsert_orders", "upsert"),
+                      ("upsert_update_columns", "update_columns"),
+                      ("delete_insert_orders", "delete_insert"),
+                      ("incremental_orders", "incremental"), ("schema_sync", "schema_sync"),
+                      ("normalize_columns", "normalize"), ("source_glob_scan", "glob")]:
+        q[key] = _loads(kind)
+    return q
