@@ -13,11 +13,19 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import as_bigint, day_boundaries, round_to
 from ..functions.labels import movie_engagement_level, movie_quality_tier, popularity_score
+from ..operators.histograms import quantiles_from_counts, value_counts
 from ..operators.quantiles import quantiles
 
 
 def movie_rating_metrics(ratings: DataFrame, quantile_mode: str = "exact") -> DataFrame:
+    """Per-movie rating metrics.
+
+    Exact quantiles come from a (movie, rating value) histogram joined back on the
+    movie key (both sides are hash-partitioned by movie, so the join adds no
+    shuffle); ``approx`` computes ``percentile_approx`` inline instead.
+    """
     rating, cat = F.col("rating"), F.col("rating_category")
+    inline_q = [quantiles(rating, [0.25, 0.5, 0.75], quantile_mode).alias("_q")] if quantile_mode != "exact" else []
     agg = ratings.groupBy("movie_id").agg(
         F.count_distinct("user_id").alias("total_users"),
         F.count(F.lit(1)).alias("total_ratings"),
@@ -25,7 +33,7 @@ def movie_rating_metrics(ratings: DataFrame, quantile_mode: str = "exact") -> Da
         round_to(F.stddev_samp(rating), 2).alias("stddev_rating"),
         F.min(rating).alias("min_rating"),
         F.max(rating).alias("max_rating"),
-        quantiles(rating, [0.25, 0.5, 0.75], quantile_mode).alias("_q"),
+        *inline_q,
         as_bigint(F.count_if(cat == "Excelente")).alias("ratings_excelente"),
         as_bigint(F.count_if(cat == "Bom")).alias("ratings_bom"),
         as_bigint(F.count_if(cat == "Regular")).alias("ratings_regular"),
@@ -33,6 +41,10 @@ def movie_rating_metrics(ratings: DataFrame, quantile_mode: str = "exact") -> Da
         F.min("rating_datetime").alias("first_rating_date"),
         F.max("rating_datetime").alias("last_rating_date"),
     )
+    if quantile_mode == "exact":
+        q = quantiles_from_counts(value_counts(ratings, ["movie_id"], "rating"), ["movie_id"], "rating",
+                                  [0.25, 0.5, 0.75])
+        agg = agg.join(q, "movie_id", "left")
     return agg.select(
         "movie_id", "total_users", "total_ratings", "avg_rating", "stddev_rating",
         "min_rating", "max_rating",

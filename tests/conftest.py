@@ -34,4 +34,5 @@ def scratch_dir():
 
 def rows(df, order=None):
     cols = sorted(df.columns) if order is None else order
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    key = lambda t: tuple((x is None, x if x is not None else 0) for x in t)
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=key)
