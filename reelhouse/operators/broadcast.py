@@ -1,0 +1,30 @@
+"""Broadcast behind a checked size.
+
+``broadcast_if_small`` counts the rows of a DataFrame that is already
+materialised (checkpointed, so the count is a cheap scan of the checkpoint) and
+hints a broadcast only when the count is under ``max_rows``; beyond it the join
+stays a shuffle join (sort-merge, with AQE skew splitting).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-spread a small input over the session's shuffle partitions.
+
+    Used on the side of a join whose *output* is much larger than its inputs:
+    AQE would otherwise coalesce the tiny input into one partition and a single
+    task would produce the whole output.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols) if cols else df.repartition(n)

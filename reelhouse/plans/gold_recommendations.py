@@ -25,12 +25,14 @@ dimension's key).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import round_to
 from ..functions.labels import recommendation_score
+from ..operators.broadcast import broadcast_if_small, spread
 from ..operators.genre_pairs import genre_set, set_pairs
+from ..session import checkpoint_dir
 
 MIN_RATINGS = 10
 MIN_SIMILARITY = 0.3
@@ -59,43 +61,103 @@ def _ranked(df: DataFrame, partition, limit: int, order) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
 
 
+# Within one (candidate set, year) group every query adds the same offset to
+# 0.2 * avg / 5; two averages more than this apart differ by more than 0.0012 in raw
+# score, i.e. by more than one rounding step (0.001), so their order is fixed.
+RATING_MARGIN = 0.03
+
+
+def _prune_by_rating_margin(cand: DataFrame, keep: int) -> DataFrame:
+    """Drop candidates that at least ``keep`` others beat for every query (exact).
+
+    T = the ``keep``-th best average of a (set, year) group (a partial top-k, so a
+    huge group is reduced map-side); a member with average below T - margin ranks
+    below ``keep`` members for any query movie, so it never reaches a top 10.
+    """
+    top = _ranked(cand, ["sid2", "similar_movie_year"], keep,
+                  [F.desc("similar_movie_rating"), F.desc("similar_movie_ratings_count"),
+                   F.asc("similar_movie_id")])
+    thr = (top.groupBy("sid2", "similar_movie_year")
+              .agg(F.min("similar_movie_rating").alias("_t"), F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") >= keep)
+              .select(F.col("sid2").alias("_s"), F.col("similar_movie_year").alias("_y"), "_t"))
+    j = cand.join(thr, (cand.sid2 == thr._s) & cand.similar_movie_year.eqNullSafe(thr._y), "left")
+    return j.where(F.col("_t").isNull() | (F.col("similar_movie_rating") >= F.col("_t") - F.lit(RATING_MARGIN))) \
+            .drop("_s", "_y", "_t")
+
+
+def _with_set_ids(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Give every distinct genre set an integer id (the sets are checkpointed, so the
+    ids are stable); returns (stats with ``set_id``, sets)."""
+    sets = (stats.select("genre_set").where(F.col("genre_set").isNotNull()).distinct()
+            .withColumn("set_id", F.monotonically_increasing_id()).checkpoint(eager=True))
+    return stats.join(broadcast_if_small(sets), "genre_set", "left"), sets
+
+
 def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_ratings: int = MIN_RATINGS,
-                               min_similarity: float = MIN_SIMILARITY, top_k: int = TOP_K) -> DataFrame:
+                               min_similarity: float = MIN_SIMILARITY, top_k: int = TOP_K,
+                               query_filter: Column | None = None) -> DataFrame:
+    """See the module docstring.
+
+    ``movie_stats`` feeds several branches that each prune different columns, so
+    Spark cannot reuse one exchange for them; it is computed once and kept with a
+    reliable ``checkpoint()`` (one row per movie, in ``spark.checkpoint.dir``).
+    Scoring and ranking carry only numeric columns (integer set ids); titles are
+    attached to the final rows.  ``query_filter`` (on ``movie_id``/``movie_title``)
+    restricts which movies get recommendations; candidates are always all movies,
+    so each kept movie's rows equal the unfiltered result's.
+    """
+    spark = movies.sparkSession
+    checkpoint_dir(spark)
     stats = movie_stats(movies, ratings, min_ratings).withColumn("genre_set", genre_set(F.col("genres")))
-    pairs = set_pairs(stats, "genre_set", min_similarity)
+    stats, sets = _with_set_ids(stats.checkpoint(eager=True))
+    stats = stats.checkpoint(eager=True)
+    id1 = sets.select(F.col("genre_set").alias("set1"), F.col("set_id").alias("sid1"))
+    id2 = sets.select(F.col("genre_set").alias("set2"), F.col("set_id").alias("sid2"))
+    pairs = (set_pairs(stats, "genre_set", min_similarity).join(id1, "set1").join(id2, "set2")
+             .select("sid1", "sid2", "common_genres", "jaccard", "genre_similarity"))
 
     # candidates: the first top_k + 1 of each (set, year, avg) group
-    cand = _ranked(stats, ["genre_set", "release_year", "avg_rating"], top_k + 1,
-                   [F.desc("rating_count"), F.asc("movie_id")])
+    cand = _ranked(stats.where(F.col("set_id").isNotNull()), ["set_id", "release_year", "avg_rating"],
+                   top_k + 1, [F.desc("rating_count"), F.asc("movie_id")])
     cand = cand.select(
-        F.col("genre_set").alias("set2"),
+        F.col("set_id").alias("sid2"),
         F.col("movie_id").alias("similar_movie_id"),
-        F.col("title_clean").alias("similar_movie_title"),
         F.col("release_year").alias("similar_movie_year"),
         F.col("avg_rating").alias("similar_movie_rating"),
         F.col("rating_count").alias("similar_movie_ratings_count"))
 
+    cand = _prune_by_rating_margin(cand, top_k + 1)
+
     score_order = [F.desc("recommendation_score"), F.desc("similar_movie_ratings_count"),
                    F.asc("similar_movie_id")]
 
-    # one candidate list per (set, year) query key
-    keys = stats.select(F.col("genre_set").alias("set1"), F.col("release_year").alias("year1")) \
-                .where(F.col("set1").isNotNull()).distinct()
-    scored = (keys.join(pairs, "set1").join(cand, "set2")
+    m1 = stats.select(F.col("movie_id"), F.col("title_clean").alias("movie_title"),
+                      F.col("set_id").alias("sid1"), F.col("release_year").alias("year1"))
+    if query_filter is not None:
+        m1 = m1.where(query_filter)
+    m1 = m1.where(F.col("sid1").isNotNull())
+
+    # one candidate list per (set, year) query key; the (key, partner set) table is
+    # bounded by the genre-set vocabulary and broadcast only under a checked size,
+    # while candidates are spread so the large join output is produced by all tasks
+    keys = m1.select("sid1", "year1").distinct()
+    key_sets = keys.join(pairs, "sid1").checkpoint(eager=True)
+    scored = (spread(cand, "similar_movie_id").join(broadcast_if_small(key_sets), "sid2")
               .withColumn("year_diff", F.abs(F.col("year1") - F.col("similar_movie_year")))
               .withColumn("recommendation_score",
                           recommendation_score(F.col("jaccard"), F.col("year_diff"),
                                                F.col("similar_movie_rating"))))
-    per_key = _ranked(scored, ["set1", "year1"], top_k + 1, score_order)
+    per_key = _ranked(scored, ["sid1", "year1"], top_k + 1, score_order)
 
-    m1 = stats.select(F.col("movie_id"), F.col("title_clean").alias("movie_title"),
-                      F.col("genre_set").alias("set1"), F.col("release_year").alias("year1"))
-    joined = m1.join(per_key, (m1.set1 == per_key.set1) & m1.year1.eqNullSafe(per_key.year1)) \
+    joined = m1.join(per_key, (m1.sid1 == per_key.sid1) & m1.year1.eqNullSafe(per_key.year1)) \
                .where(F.col("movie_id") != F.col("similar_movie_id"))
     w = Window.partitionBy("movie_id").orderBy(*score_order)
     ranked = joined.withColumn("recommendation_rank", F.row_number().over(w)) \
                    .where(F.col("recommendation_rank") <= top_k)
-    return ranked.select(
+    titles = stats.select(F.col("movie_id").alias("similar_movie_id"),
+                          F.col("title_clean").alias("similar_movie_title"))
+    return ranked.join(titles, "similar_movie_id").select(
         "movie_id", "movie_title", "similar_movie_id", "similar_movie_title",
         "similar_movie_year", "similar_movie_rating", "similar_movie_ratings_count",
         "common_genres", "genre_similarity", "year_diff", "recommendation_score",

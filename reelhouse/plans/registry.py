@@ -165,8 +165,11 @@ def _adhoc(kind: str):
         if kind == "top_genres":
             df = adhoc.top_genres(gold_genres.gold_genre_analytics(m, r, t))
         elif kind == "title":
-            df = adhoc.recommendations_for_title(
-                gold_recommendations.gold_movie_recommendations(m, r), REPORT_TITLE)
+            from pyspark.sql import functions as F
+            # only movies with the title need recommendations (same rows as filtering the table)
+            recs = gold_recommendations.gold_movie_recommendations(
+                m, r, query_filter=F.col("movie_title") == F.lit(REPORT_TITLE))
+            df = adhoc.recommendations_for_title(recs, REPORT_TITLE)
         elif kind == "yearly":
             df = adhoc.yearly_rollup(gold_temporal.gold_temporal_trends(r, m))
         elif kind == "favorite":

@@ -82,3 +82,21 @@ def test_recommendations_edge_fixture(spark):
         "movie_id", "similar_movie_id", F.col("recommendation_score").alias("score"),
         F.col("recommendation_rank").alias("rank"))
     assert rows(fast) == rows(_naive_recs(RC.movie_stats(movies, ratings)))
+
+
+def test_recommendations_dense_groups_against_cross_join(spark):
+    """Many movies per (set, year) with finely spaced averages: exercises both
+    candidate prunes, including score ties created by rounding."""
+    movies = spark.createDataFrame(
+        [(i, f"m{i}", 2000 + (i % 2), "Drama|Comedy" if i % 5 else "Drama") for i in range(1, 161)],
+        "movie_id bigint, title_clean string, release_year int, genres string")
+    data = []
+    for i in range(1, 161):
+        n = 10 + (i * 7) % 23
+        for u in range(n):
+            data.append((u, i, 0.5 * (1 + (u * i + i) % 10)))
+    ratings = spark.createDataFrame(data, "user_id bigint, movie_id bigint, rating double")
+    fast = RC.gold_movie_recommendations(movies, ratings).select(
+        "movie_id", "similar_movie_id", F.col("recommendation_score").alias("score"),
+        F.col("recommendation_rank").alias("rank"))
+    assert rows(fast) == rows(_naive_recs(RC.movie_stats(movies, ratings)))
