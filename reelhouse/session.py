@@ -61,15 +61,22 @@ def apply_semantics(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder used to cut lineage.
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder used to cut lineage with ``checkpoint()``.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and
-    is used as is.  Only when it is unset (local tests) do we create one.
+    On a cluster the context already has one (``spark.checkpoint.dir`` names a
+    shared, distributed folder) and it is used as is.  Only when none is set
+    (local tests) is a local folder created.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
+    sc.setCheckpointDir(configured)
+    return configured
