@@ -28,4 +28,5 @@ def wstddev_samp(x: Column, w: Column) -> Column:
     s1 = F.sum(x * w)
     s2 = F.sum(x * x * w)
     var = (s2 - s1 * s1 / n) / F.nullif(n - F.lit(1.0), F.lit(0.0))
-    return F.sqrt(F.greatest(var, F.lit(0.0)))
+    # greatest() skips nulls, so keep the null (fewer than two values) explicitly
+    return F.when(var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0))))
