@@ -122,6 +122,9 @@ def test_namespace_and_catalog_table(spark):
     t = L.Target("silver_t.tiny")
     L.replace(spark.range(3), t)
     assert t.exists(spark) and t.read(spark).count() == 3
+    from reelhouse.sources.tables import SourceRegistry
+    reg = SourceRegistry().register("bronze", "tiny", "table:silver_t.tiny")
+    assert reg.read(spark, "bronze", "tiny").count() == 3
 
 
 def test_load_report_isolates_failures(spark):
