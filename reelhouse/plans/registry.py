@@ -244,3 +244,41 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
                       ("normalize_columns", "normalize"), ("source_glob_scan", "glob")]:
         q[key] = _loads(kind)
     return q
+
+
+def _parts(kind: str):
+    from . import gold_genres, gold_movies, gold_temporal
+    from ..operators.histograms import modes
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = silver_frames(spark, sf_dir)
+        m, r, t = s["silver_movies"], s["silver_ratings"], s["silver_tags"]
+        if kind == "growth":
+            df = gold_temporal.gold_temporal_trends(r, m).select(
+                "month", "total_ratings", "active_users", "ratings_growth_pct", "users_growth_pct")
+        elif kind == "moving_avg":
+            df = gold_temporal.gold_temporal_trends(r, m).select(
+                "month", "ratings_ma3", "users_ma3", "avg_rating_ma3")
+        elif kind == "genre_rankings":
+            df = gold_genres.gold_genre_analytics(m, r, t).select(
+                "genre", "rank_by_movies", "rank_by_ratings", "rank_by_quality", "rank_by_engagement",
+                "quality_tier", "popularity_tier", "genre_score")
+        elif kind == "percentiles":
+            df = gold_movies.movie_rating_metrics(r).select("movie_id", "rating_p25", "rating_median", "rating_p75")
+        else:
+            df = modes(r, ["user_id"], {"hour_of_day": "favorite_hour", "day_of_week": "favorite_day_of_week"})
+        return portable(df)
+    return run
+
+
+_WITH_LOADS = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _WITH_LOADS()
+    q["monthly_growth"] = _parts("growth")
+    q["monthly_moving_avg"] = _parts("moving_avg")
+    q["genre_rankings"] = _parts("genre_rankings")
+    q["movie_rating_percentiles"] = _parts("percentiles")
+    q["user_favorite_slots"] = _parts("slots")
+    return q
