@@ -43,11 +43,83 @@ class Target:
     def exists(self, spark: SparkSession) -> bool:
         if not self.is_path:
             return spark.catalog.tableExists(self.location)
-        try:
-            spark.read.format(self.fmt).load(self.location).schema  # noqa: B018
-            return True
-        except AnalysisException:
-            return False
+        return _path_exists(spark, self.location, self.fmt)
+
+    def write(self, spark: SparkSession, df: DataFrame, mode: str, **opts) -> None:
+        write_frame(df, self, mode, **opts)
+
+    def replace_with(self, spark: SparkSession, df: DataFrame, **opts) -> None:
+        """Overwrite with a plan that may read this target (lineage cut first).
+
+        Not atomic: a job that dies mid-write leaves a partial table; use
+        ``SnapshotTarget`` where that matters.
+        """
+        checkpoint_dir(spark)
+        write_frame(df.checkpoint(eager=True), self, "overwrite", **opts)
+
+
+def _path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    try:
+        spark.read.format(fmt).load(path).schema  # noqa: B018
+        return True
+    except AnalysisException:
+        return False
+
+
+@dataclass(frozen=True)
+class SnapshotTarget:
+    """A path table with atomic replace: data in ``base/v=<n>``, a version log in
+    ``base/_versions`` appended only after the data write succeeded.
+
+    A rewrite never touches the files it reads (it writes the next version), so no
+    lineage cut is needed, and a job that fails mid-write leaves the previous
+    version current; a retried load starts from that version.  Old versions stay
+    until removed by the operator of the lake.
+    """
+
+    base: str
+    fmt: str = "parquet"
+
+    @property
+    def log_path(self) -> str:
+        return f"{self.base.rstrip('/')}/_versions"
+
+    def version_path(self, version: int) -> str:
+        return f"{self.base.rstrip('/')}/v={version}"
+
+    def current_version(self, spark: SparkSession) -> int | None:
+        if not _path_exists(spark, self.log_path):
+            return None
+        return spark.read.parquet(self.log_path).agg(F.max("version")).first()[0]
+
+    def exists(self, spark: SparkSession) -> bool:
+        return self.current_version(spark) is not None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        v = self.current_version(spark)
+        if v is None:
+            raise FileNotFoundError(f"no committed version under {self.base}")
+        return spark.read.format(self.fmt).load(self.version_path(v))
+
+    def _commit(self, spark: SparkSession, version: int) -> None:
+        log = spark.range(1).select(F.lit(version).cast("bigint").alias("version"),
+                                    F.current_timestamp().alias("committed_at"))
+        log.coalesce(1).write.mode("append").parquet(self.log_path)
+
+    def write(self, spark: SparkSession, df: DataFrame, mode: str, **opts) -> None:
+        cur = self.current_version(spark)
+        if mode == "append" and cur is not None:
+            new = cur + 1
+            df = self.read(spark).unionByName(df)
+        elif mode in ("append", "overwrite"):
+            new = (cur or 0) + 1
+        else:
+            raise ValueError(f"unsupported mode for a snapshot table: {mode!r}")
+        write_frame(df, Target(self.version_path(new), is_path=True, fmt=self.fmt), "overwrite", **opts)
+        self._commit(spark, new)
+
+    def replace_with(self, spark: SparkSession, df: DataFrame, **opts) -> None:
+        self.write(spark, df, "overwrite", **opts)
 
 
 def write_frame(df: DataFrame, target: Target, mode: str = "overwrite",
@@ -116,10 +188,9 @@ def ensure_namespace(spark: SparkSession, namespace: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quote_ident(namespace)}")
 
 
-def rewrite(spark: SparkSession, df: DataFrame, target: Target, **opts) -> None:
+def rewrite(spark: SparkSession, df: DataFrame, target: "Target | SnapshotTarget", **opts) -> None:
     """Overwrite ``target`` with a plan that may read ``target`` itself."""
-    checkpoint_dir(spark)
-    write_frame(df.checkpoint(eager=True), target, "overwrite", **opts)
+    target.replace_with(spark, df, **opts)
 
 
 # ---------------------------------------------------------------------------------
@@ -286,7 +357,7 @@ def read_mark(spark: SparkSession, state: Target, table: str, cursor: str, curso
     return s.select(F.max_by("last_value", "load_id").cast(cursor_type)).scalar()
 
 
-def load_incremental(spark: SparkSession, source: DataFrame, target: Target, state: Target,
+def load_incremental(spark: SparkSession, source: DataFrame, target: "Target | SnapshotTarget", state: Target,
                      table: str, cursor: str, keys: Sequence[str] | None = None) -> int:
     """Load rows past the mark, then commit the new mark (only after the write).
 
@@ -301,9 +372,9 @@ def load_incremental(spark: SparkSession, source: DataFrame, target: Target, sta
     if n == 0:
         return 0
     if keys and target.exists(spark):
-        rewrite(spark, upsert_frame(target.read(spark), batch, keys, [cursor]), target)
+        target.replace_with(spark, upsert_frame(target.read(spark), batch, keys, [cursor]))
     else:
-        write_frame(batch, target, "append")
+        target.write(spark, batch, "append")
     prev = state.read(spark).agg(F.max("load_id")).first()[0] if state.exists(spark) else None
     new_mark = batch.select(F.max(cursor).cast("string").alias("last_value"))
     row = new_mark.select(F.lit(table).alias("table"), F.lit(cursor).alias("cursor"), "last_value",
@@ -312,13 +383,14 @@ def load_incremental(spark: SparkSession, source: DataFrame, target: Target, sta
     return n
 
 
-def upsert_load(spark: SparkSession, source: DataFrame, target: Target, keys: Sequence[str],
-                order_by: Sequence[str] = ()) -> None:
-    """S12 on a file/managed table: merge plan, lineage cut, overwrite."""
+def upsert_load(spark: SparkSession, source: DataFrame, target: "Target | SnapshotTarget",
+                keys: Sequence[str], order_by: Sequence[str] = ()) -> None:
+    """S12 on a file/managed table: merge plan, then the target's replace
+    (lineage cut + overwrite for ``Target``, next version for ``SnapshotTarget``)."""
     if not target.exists(spark):
-        write_frame(newest_per_key(source, keys, order_by), target, "overwrite")
+        target.write(spark, newest_per_key(source, keys, order_by), "overwrite")
         return
-    rewrite(spark, upsert_frame(target.read(spark), source, keys, order_by), target)
+    target.replace_with(spark, upsert_frame(target.read(spark), source, keys, order_by))
 
 
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str],

@@ -4,8 +4,12 @@ A file stream (``readStream``) tracks which files were processed in its
 checkpoint, so each batch holds only new rows; ``foreachBatch`` applies the same
 upsert plan as the batch loader; ``trigger(availableNow=True)`` processes what
 is there and stops, which makes it a scheduled incremental job.  A restarted
-query resumes from the checkpoint (exactly-once file tracking; the batch write
-itself is a checkpointed overwrite, idempotent for a replayed batch).
+query resumes from the checkpoint (exactly-once file tracking; an upsert is
+idempotent, so a micro-batch replayed after a failure gives the same table).
+
+Semantics: within one micro-batch the newest row per key (by ``order_by``) wins;
+across micro-batches the later arrival wins, as with repeated upsert loads.
+With a ``SnapshotTarget`` every micro-batch commits a new version atomically.
 """
 
 from __future__ import annotations
@@ -16,11 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.loads import Target, upsert_load
+from ..operators.loads import SnapshotTarget, Target, upsert_load
 
 
 def start_upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str,
-                        target: Target, keys: Sequence[str], order_by: Sequence[str],
+                        target: Target | SnapshotTarget, keys: Sequence[str], order_by: Sequence[str],
                         checkpoint_location: str, fmt: str = "parquet",
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     reader = spark.readStream.format(fmt).schema(schema)

@@ -29,6 +29,20 @@ def test_stream_upsert_equals_batch_upsert(spark, scratch_dir):
     assert rows(target.read(spark)) == rows(L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]))
 
 
+def test_stream_upsert_into_snapshot(spark, scratch_dir):
+    old, new = orders_batches(spark, SF_SMALL)
+    src = os.path.join(scratch_dir, "incoming")
+    target = L.SnapshotTarget(os.path.join(scratch_dir, "snap"))
+    ckpt = os.path.join(scratch_dir, "ckpt")
+    # one file per arrival and one file per trigger: two micro-batches, old then new
+    old.coalesce(1).write.mode("append").parquet(src)
+    new.coalesce(1).write.mode("append").parquet(src)
+    start_upsert_stream(spark, src, old.schema, target, ORDER_KEY, [ORDER_CURSOR], ckpt,
+                        max_files_per_trigger=1).awaitTermination(120)
+    assert target.current_version(spark) == 2
+    assert rows(target.read(spark)) == rows(L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]))
+
+
 def test_csv_roundtrip(spark, scratch_dir):
     raw = raw_tables(spark, SF_SMALL)
     folder = os.path.join(scratch_dir, "csv")
