@@ -430,3 +430,57 @@ def run_loads(spark: SparkSession, jobs: dict[str, Callable[[], int | None]]) ->
             msg = "".join(traceback.format_exception_only(type(exc), exc)).strip()
             results.append(LoadResult(table, "failed", None, msg[:2000]))
     return spark.createDataFrame([(r.table, r.status, r.rows, r.message) for r in results], REPORT_SCHEMA)
+
+
+# ---------------------------------------------------------------------------------
+# the loader's entry point (replace | append | incremental | merge), per table
+# ---------------------------------------------------------------------------------
+
+LOAD_MODES = ("replace", "append", "incremental", "merge")
+
+
+def load_tables(spark: SparkSession, sources: dict[str, DataFrame],
+                targets: dict[str, "Target | SnapshotTarget"], mode: str = "append",
+                keys: dict[str, Sequence[str]] | None = None, cursor: str | None = None,
+                state: Target | None = None) -> DataFrame:
+    """Load several tables one by one and return the S18 report.
+
+    * ``replace``: full refresh; ``append``: add every row (re-running appends again);
+    * ``incremental``: rows past the committed mark of ``cursor`` (needs ``state``);
+    * ``merge``: keyed upsert (needs ``keys[table]``; with ``cursor`` the newest
+      source row per key wins and only rows past the mark are read).
+
+    Invalid combinations raise instead of being ignored.
+    """
+    if mode not in LOAD_MODES:
+        raise ValueError(f"unknown load mode {mode!r}; use one of {LOAD_MODES}")
+    if mode == "incremental" and (not cursor or state is None):
+        raise ValueError("incremental loads need a cursor column and a state table")
+    if mode == "merge":
+        missing = [t for t in sources if not (keys or {}).get(t)]
+        if missing:
+            raise ValueError(f"merge needs primary key columns for: {missing}")
+    missing_targets = [t for t in sources if t not in targets]
+    if missing_targets:
+        raise ValueError(f"no target for: {missing_targets}")
+
+    def job(table: str) -> Callable[[], int | None]:
+        src, tgt = sources[table], targets[table]
+
+        def run() -> int | None:
+            if mode == "replace":
+                tgt.write(spark, src, "overwrite")
+                return None
+            if mode == "append":
+                tgt.write(spark, src, "append")
+                return None
+            if mode == "incremental":
+                return load_incremental(spark, src, tgt, state, table, cursor)
+            k = list(keys[table])
+            if cursor and state is not None:
+                return load_incremental(spark, src, tgt, state, table, cursor, keys=k)
+            upsert_load(spark, src, tgt, k, [cursor] if cursor else [])
+            return None
+        return run
+
+    return run_loads(spark, {t: job(t) for t in sources})

@@ -139,3 +139,17 @@ def test_empty_inputs(spark):
     m = silver_movies(spark.createDataFrame([], "movieId bigint, title string, genres string"))
     r = silver_ratings(spark.createDataFrame([], "userId bigint, movieId bigint, rating double, timestamp bigint"))
     assert gold_temporal_trends(r, m).count() == 0
+
+
+def test_silver_accepts_snake_case_and_dev_limit(spark):
+    from conftest import SF_SMALL, rows
+    from reelhouse.plans.silver import build_silver
+    from reelhouse.sources.bindings import raw_tables
+
+    raw = raw_tables(spark, SF_SMALL)
+    snake = {k: v.toDF(*[X.snake_case(c) for c in v.columns]) for k, v in raw.items()}
+    a, b = build_silver(raw), build_silver(snake)
+    for name in a:
+        assert rows(a[name]) == rows(b[name]), name
+    capped = build_silver(raw, dev_limit=500)
+    assert all(df.count() <= 500 for df in capped.values())

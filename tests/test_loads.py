@@ -162,3 +162,21 @@ def test_incremental_into_snapshot(spark, scratch_dir):
     L.load_incremental(spark, first, snap, state, "orders", ORDER_CURSOR)
     L.load_incremental(spark, orders, snap, state, "orders", ORDER_CURSOR)
     assert rows(snap.read(spark)) == rows(orders)
+
+
+def test_load_tables_modes_and_validation(spark, scratch_dir, batches):
+    old, new = batches
+    tgt = {"orders": L.SnapshotTarget(os.path.join(scratch_dir, "lt"))}
+    with pytest.raises(ValueError):
+        L.load_tables(spark, {"orders": old}, tgt, mode="merge")
+    with pytest.raises(ValueError):
+        L.load_tables(spark, {"orders": old}, tgt, mode="incremental", cursor=ORDER_CURSOR)
+    with pytest.raises(ValueError):
+        L.load_tables(spark, {"orders": old}, {}, mode="append")
+    rep = L.load_tables(spark, {"orders": old}, tgt, mode="replace").first()
+    assert rep.status == "completed"
+    L.load_tables(spark, {"orders": new}, tgt, mode="merge", keys={"orders": ORDER_KEY}, cursor=ORDER_CURSOR)
+    assert rows(tgt["orders"].read(spark)) == rows(L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]))
+    before = tgt["orders"].read(spark).count()
+    L.load_tables(spark, {"orders": old}, tgt, mode="append")      # appends every row again
+    assert tgt["orders"].read(spark).count() == before + old.count()
