@@ -2,6 +2,7 @@
 
 Every query reads the driver's tables through the bindings, so its work grows
 with the scale factor.  Outputs pass through ``portable`` for comparison.
+Builders receive the silver frames ``s`` (lazy) plus ``spark`` and ``sf_dir``.
 """
 
 from __future__ import annotations
@@ -9,276 +10,168 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.exprs import normalize_columns
+from ..operators import loads as L
+from ..operators.histograms import modes
+from ..sources.batches import ORDER_CURSOR, ORDER_KEY, orders_batches
 from ..sources.bindings import raw_tables
-from . import gold_temporal
+from ..sources.tables import SourceRegistry, read_table
+from . import adhoc, gold_genres, gold_movies, gold_recommendations, gold_temporal, gold_users
 from .portable import portable
 from .silver import build_silver
 
+# ---- fixed parameters of the registered reports ---------------------------------
+REPORT_TITLE = "red plate"          # a title present at every scale factor
+JSON_SQL = "SELECT genre, total_movies, avg_rating FROM gold_genre_analytics"
+UPDATE_COLUMNS = ["o_orderstatus", "o_totalprice"]
+# -------------------------------------------------------------------------------
 
-def silver_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_silver(raw_tables(spark, sf_dir))
-
-
-def _silver(name: str):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(silver_frames(spark, sf_dir)[name])
-    return run
-
-
-def _temporal(kind: str):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = silver_frames(spark, sf_dir)
-        if kind == "monthly":
-            df = gold_temporal.monthly_metrics(s["silver_ratings"], s["silver_movies"])
-        else:
-            df = gold_temporal.gold_temporal_trends(s["silver_ratings"], s["silver_movies"])
-        return portable(df)
-    return run
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-    for name in ("silver_links", "silver_movies", "silver_ratings", "silver_tags"):
-        q[name] = _silver(name)
-    q["monthly_metrics"] = _temporal("monthly")
-    q["gold_temporal_trends"] = _temporal("trends")
-    return q
-
-
-def _movies(kind: str):
-    from . import gold_movies
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = silver_frames(spark, sf_dir)
-        if kind == "rating_metrics":
-            df = gold_movies.movie_rating_metrics(s["silver_ratings"])
-        elif kind == "tag_metrics":
-            df = gold_movies.movie_tag_metrics(s["silver_tags"])
-        else:
-            df = gold_movies.gold_movie_analytics(s["silver_movies"], s["silver_ratings"], s["silver_tags"])
-        return portable(df)
-    return run
-
-
-def _users(kind: str):
-    from . import gold_users
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = silver_frames(spark, sf_dir)
-        r, t, m = s["silver_ratings"], s["silver_tags"], s["silver_movies"]
-        if kind == "rating_metrics":
-            df = gold_users.user_rating_metrics(r, m)
-        elif kind == "genre_preferences":
-            df = gold_users.user_genre_preferences(r, m)
-        elif kind == "tag_metrics":
-            df = gold_users.user_tag_metrics(t)
-        else:
-            df = gold_users.gold_user_behavior(r, t, m)
-        return portable(df)
-    return run
-
-
-_BASE_QUERIES = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _BASE_QUERIES()
-    q["movie_rating_metrics"] = _movies("rating_metrics")
-    q["movie_tag_metrics"] = _movies("tag_metrics")
-    q["gold_movie_analytics"] = _movies("analytics")
-    q["user_rating_metrics"] = _users("rating_metrics")
-    q["user_genre_preferences"] = _users("genre_preferences")
-    q["user_tag_metrics"] = _users("tag_metrics")
-    q["gold_user_behavior"] = _users("behavior")
-    return q
-
+Query = Callable[[SparkSession, str], DataFrame]
 
-def _genres(kind: str):
-    from . import gold_genres
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = silver_frames(spark, sf_dir)
-        m, r, t = s["silver_movies"], s["silver_ratings"], s["silver_tags"]
-        if kind == "explode":
-            df = gold_genres.genre_exploded(m)
-        elif kind == "counts":
-            df = gold_genres.genre_counts(m)
-        elif kind == "dedup":
-            df = gold_genres.gold_genre_analytics(m, r, t, fanout="dedup")
-        else:
-            df = gold_genres.gold_genre_analytics(m, r, t)
-        return portable(df)
-    return run
-
-
-_WITH_MOVIES_USERS = queries
+def silver_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return build_silver(raw_tables(spark, sf_dir))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _WITH_MOVIES_USERS()
-    q["genre_explode"] = _genres("explode")
-    q["genre_counts"] = _genres("counts")
-    q["gold_genre_analytics"] = _genres("reference")
-    q["gold_genre_analytics_dedup"] = _genres("dedup")
-    return q
+def _mrt(s):
+    return s["silver_movies"], s["silver_ratings"], s["silver_tags"]
 
 
-def _recs(kind: str):
-    from . import gold_recommendations as R
+# --- temporal ----------------------------------------------------------------------
+def _monthly(s, **_):
+    return gold_temporal.monthly_metrics(s["silver_ratings"], s["silver_movies"])
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = silver_frames(spark, sf_dir)
-        m, r = s["silver_movies"], s["silver_ratings"]
-        if kind == "stats":
-            df = R.movie_stats(m, r)
-        elif kind == "pairs":
-            df = R.genre_jaccard_pairs(m, r)
-        else:
-            df = R.gold_movie_recommendations(m, r)
-        return portable(df)
-    return run
 
+def _trends(s, **_):
+    return gold_temporal.gold_temporal_trends(s["silver_ratings"], s["silver_movies"])
 
-_WITH_GENRES = queries
 
+# --- movies ------------------------------------------------------------------------
+def _movie_analytics(s, **_):
+    return gold_movies.gold_movie_analytics(*_mrt(s))
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _WITH_GENRES()
-    q["movie_stats"] = _recs("stats")
-    q["genre_jaccard_pairs"] = _recs("pairs")
-    q["gold_movie_recommendations"] = _recs("recommendations")
-    return q
 
+# --- users -------------------------------------------------------------------------
+def _user_behavior(s, **_):
+    m, r, t = _mrt(s)
+    return gold_users.gold_user_behavior(r, t, m)
 
-# fixed parameter of the title report (a title present at every scale factor)
-REPORT_TITLE = "red plate"
-JSON_SQL = "SELECT genre, total_movies, avg_rating FROM gold_genre_analytics"
 
+def _favorite_slots(s, **_):
+    return modes(s["silver_ratings"], ["user_id"],
+                 {"hour_of_day": "favorite_hour", "day_of_week": "favorite_day_of_week"})
 
-def _adhoc(kind: str):
-    from . import adhoc, gold_genres, gold_recommendations, gold_temporal, gold_users
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = silver_frames(spark, sf_dir)
-        m, r, t = s["silver_movies"], s["silver_ratings"], s["silver_tags"]
-        if kind == "top_genres":
-            df = adhoc.top_genres(gold_genres.gold_genre_analytics(m, r, t))
-        elif kind == "title":
-            from pyspark.sql import functions as F
-            # only movies with the title need recommendations (same rows as filtering the table)
-            recs = gold_recommendations.gold_movie_recommendations(
-                m, r, query_filter=F.col("movie_title") == F.lit(REPORT_TITLE))
-            df = adhoc.recommendations_for_title(recs, REPORT_TITLE)
-        elif kind == "yearly":
-            df = adhoc.yearly_rollup(gold_temporal.gold_temporal_trends(r, m))
-        elif kind == "favorite":
-            df = adhoc.users_by_favorite_genre(gold_users.gold_user_behavior(r, t, m))
-        else:
-            adhoc.register_views({"gold_genre_analytics": gold_genres.gold_genre_analytics(m, r, t)})
-            df = adhoc.rows_as_json(adhoc.run_sql(spark, JSON_SQL))
-        return portable(df)
-    return run
+# --- genres ------------------------------------------------------------------------
+def _genre_analytics(s, fanout="reference", **_):
+    return gold_genres.gold_genre_analytics(*_mrt(s), fanout=fanout)
 
 
-_WITH_RECS = queries
+# --- recommendations ---------------------------------------------------------------
+def _recommendations(s, **_):
+    return gold_recommendations.gold_movie_recommendations(s["silver_movies"], s["silver_ratings"])
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _WITH_RECS()
-    q["top_genres"] = _adhoc("top_genres")
-    q["recommendations_for_title"] = _adhoc("title")
-    q["yearly_rollup"] = _adhoc("yearly")
-    q["users_by_favorite_genre"] = _adhoc("favorite")
-    q["rows_as_json"] = _adhoc("json")
-    return q
+def _title_report(s, **_):
+    # only movies with the title need recommendations (same rows as filtering the table)
+    recs = gold_recommendations.gold_movie_recommendations(
+        s["silver_movies"], s["silver_ratings"], query_filter=F.col("movie_title") == F.lit(REPORT_TITLE))
+    return adhoc.recommendations_for_title(recs, REPORT_TITLE)
 
 
-UPDATE_COLUMNS = ["o_orderstatus", "o_totalprice"]
+def _rows_as_json(s, spark, **_):
+    adhoc.register_views({"gold_genre_analytics": _genre_analytics(s)})
+    return adhoc.rows_as_json(adhoc.run_sql(spark, JSON_SQL))
 
 
-def _loads(kind: str):
-    from pyspark.sql import functions as F
-
-    from ..functions.exprs import normalize_columns
-    from ..operators import loads as L
-    from ..sources.batches import ORDER_CURSOR, ORDER_KEY, orders_batches
-    from ..sources.bindings import raw_tables
-    from ..sources.tables import SourceRegistry
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if kind == "normalize":
-            return portable(normalize_columns(raw_tables(spark, sf_dir)["ratings"]))
-        if kind == "glob":
-            reg = SourceRegistry().register("bronze", "lineitem", f"{sf_dir.rstrip('/')}/lineitem*.parquet")
-            return portable(reg.read(spark, "bronze", "lineitem"))
+# --- loads over order batches --------------------------------------------------------
+def _orders(kind: str):
+    def build(s, spark, sf_dir, **_):
         old, new = orders_batches(spark, sf_dir)
         if kind == "append":
-            df = old.unionByName(new)
-        elif kind == "upsert":
-            df = L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR])
-        elif kind == "update_columns":
-            df = L.merge_update_columns(old, new, ORDER_KEY, UPDATE_COLUMNS, [ORDER_CURSOR])
-        elif kind == "delete_insert":
-            df = L.delete_insert_frame(old, new, ORDER_KEY)
-        elif kind == "incremental":
-            from ..sources.tables import read_table
-            df = L.incremental_frame(old, read_table(spark, sf_dir, "orders"), ORDER_CURSOR)
-        elif kind == "schema_sync":
-            df = L.append_with_policy(old.drop("o_orderpriority"), new, "append_new_columns")
-        else:
-            raise KeyError(kind)
-        return portable(df)
-    return run
-
-
-_WITH_ADHOC = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _WITH_ADHOC()
-    for key, kind in [("append_orders", "append"), ("upsert_orders", "upsert"),
-                      ("upsert_update_columns", "update_columns"),
-                      ("delete_insert_orders", "delete_insert"),
-                      ("incremental_orders", "incremental"), ("schema_sync", "schema_sync"),
-                      ("normalize_columns", "normalize"), ("source_glob_scan", "glob")]:
-        q[key] = _loads(kind)
-    return q
-
-
-def _parts(kind: str):
-    from . import gold_genres, gold_movies, gold_temporal
-    from ..operators.histograms import modes
-
+            return old.unionByName(new)
+        if kind == "upsert":
+            return L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR])
+        if kind == "update_columns":
+            return L.merge_update_columns(old, new, ORDER_KEY, UPDATE_COLUMNS, [ORDER_CURSOR])
+        if kind == "delete_insert":
+            return L.delete_insert_frame(old, new, ORDER_KEY)
+        if kind == "incremental":
+            return L.incremental_frame(old, read_table(spark, sf_dir, "orders"), ORDER_CURSOR)
+        if kind == "schema_sync":
+            return L.append_with_policy(old.drop("o_orderpriority"), new, "append_new_columns")
+        raise KeyError(kind)
+    return build
+
+
+def _glob_scan(s, spark, sf_dir, **_):
+    reg = SourceRegistry().register("bronze", "lineitem", f"{sf_dir.rstrip('/')}/lineitem*.parquet")
+    return reg.read(spark, "bronze", "lineitem")
+
+
+BUILDERS: dict[str, Callable[..., DataFrame]] = {
+    # silver (M01-M04)
+    "silver_links": lambda s, **_: s["silver_links"],
+    "silver_movies": lambda s, **_: s["silver_movies"],
+    "silver_ratings": lambda s, **_: s["silver_ratings"],
+    "silver_tags": lambda s, **_: s["silver_tags"],
+    # M08 and its parts
+    "monthly_metrics": _monthly,
+    "gold_temporal_trends": _trends,
+    "monthly_growth": lambda s, **_: _trends(s).select(
+        "month", "total_ratings", "active_users", "ratings_growth_pct", "users_growth_pct"),
+    "monthly_moving_avg": lambda s, **_: _trends(s).select("month", "ratings_ma3", "users_ma3", "avg_rating_ma3"),
+    # M06 and its parts
+    "movie_rating_metrics": lambda s, **_: gold_movies.movie_rating_metrics(s["silver_ratings"]),
+    "movie_rating_percentiles": lambda s, **_: gold_movies.movie_rating_metrics(s["silver_ratings"]).select(
+        "movie_id", "rating_p25", "rating_median", "rating_p75"),
+    "movie_tag_metrics": lambda s, **_: gold_movies.movie_tag_metrics(s["silver_tags"]),
+    "gold_movie_analytics": _movie_analytics,
+    # M09 and its parts
+    "user_rating_metrics": lambda s, **_: gold_users.user_rating_metrics(s["silver_ratings"], s["silver_movies"]),
+    "user_genre_preferences": lambda s, **_: gold_users.user_genre_preferences(
+        s["silver_ratings"], s["silver_movies"]),
+    "user_tag_metrics": lambda s, **_: gold_users.user_tag_metrics(s["silver_tags"]),
+    "user_favorite_slots": _favorite_slots,
+    "gold_user_behavior": _user_behavior,
+    # M05 and its parts
+    "genre_explode": lambda s, **_: gold_genres.genre_exploded(s["silver_movies"]),
+    "genre_counts": lambda s, **_: gold_genres.genre_counts(s["silver_movies"]),
+    "gold_genre_analytics": _genre_analytics,
+    "gold_genre_analytics_dedup": lambda s, **_: _genre_analytics(s, fanout="dedup"),
+    "genre_rankings": lambda s, **_: _genre_analytics(s).select(
+        "genre", "rank_by_movies", "rank_by_ratings", "rank_by_quality", "rank_by_engagement",
+        "quality_tier", "popularity_tier", "genre_score"),
+    # M07 and its parts
+    "movie_stats": lambda s, **_: gold_recommendations.movie_stats(s["silver_movies"], s["silver_ratings"]),
+    "genre_jaccard_pairs": lambda s, **_: gold_recommendations.genre_jaccard_pairs(
+        s["silver_movies"], s["silver_ratings"]),
+    "gold_movie_recommendations": _recommendations,
+    # ad hoc reports (Q01-Q04) and S19
+    "top_genres": lambda s, **_: adhoc.top_genres(_genre_analytics(s)),
+    "recommendations_for_title": _title_report,
+    "yearly_rollup": lambda s, **_: adhoc.yearly_rollup(_trends(s)),
+    "users_by_favorite_genre": lambda s, **_: adhoc.users_by_favorite_genre(_user_behavior(s)),
+    "rows_as_json": _rows_as_json,
+    # loads (S09-S13, S15), naming (S16), glob scan and registry
+    "append_orders": _orders("append"),
+    "upsert_orders": _orders("upsert"),
+    "upsert_update_columns": _orders("update_columns"),
+    "delete_insert_orders": _orders("delete_insert"),
+    "incremental_orders": _orders("incremental"),
+    "schema_sync": _orders("schema_sync"),
+    "normalize_columns": lambda s, spark, sf_dir, **_: normalize_columns(raw_tables(spark, sf_dir)["ratings"]),
+    "source_glob_scan": _glob_scan,
+}
+
+
+def _query(builder: Callable[..., DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = silver_frames(spark, sf_dir)
-        m, r, t = s["silver_movies"], s["silver_ratings"], s["silver_tags"]
-        if kind == "growth":
-            df = gold_temporal.gold_temporal_trends(r, m).select(
-                "month", "total_ratings", "active_users", "ratings_growth_pct", "users_growth_pct")
-        elif kind == "moving_avg":
-            df = gold_temporal.gold_temporal_trends(r, m).select(
-                "month", "ratings_ma3", "users_ma3", "avg_rating_ma3")
-        elif kind == "genre_rankings":
-            df = gold_genres.gold_genre_analytics(m, r, t).select(
-                "genre", "rank_by_movies", "rank_by_ratings", "rank_by_quality", "rank_by_engagement",
-                "quality_tier", "popularity_tier", "genre_score")
-        elif kind == "percentiles":
-            df = gold_movies.movie_rating_metrics(r).select("movie_id", "rating_p25", "rating_median", "rating_p75")
-        else:
-            df = modes(r, ["user_id"], {"hour_of_day": "favorite_hour", "day_of_week": "favorite_day_of_week"})
-        return portable(df)
+        return portable(builder(silver_frames(spark, sf_dir), spark=spark, sf_dir=sf_dir))
     return run
 
 
-_WITH_LOADS = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _WITH_LOADS()
-    q["monthly_growth"] = _parts("growth")
-    q["monthly_moving_avg"] = _parts("moving_avg")
-    q["genre_rankings"] = _parts("genre_rankings")
-    q["movie_rating_percentiles"] = _parts("percentiles")
-    q["user_favorite_slots"] = _parts("slots")
-    return q
+def queries() -> dict[str, Query]:
+    return {name: _query(b) for name, b in BUILDERS.items()}
