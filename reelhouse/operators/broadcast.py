@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# ~1M rows of a few numeric columns is about 50 MB: the same order as the
+# session's broadcast threshold (64 MiB)
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -20,11 +22,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-spread a small input over the session's shuffle partitions.
+    """Hash-spread a small input over all cores of the application.
 
     Used on the side of a join whose *output* is much larger than its inputs:
     AQE would otherwise coalesce the tiny input into one partition and a single
-    task would produce the whole output.
+    task would produce the whole output.  The count is the default parallelism
+    (total executor cores), not the shuffle partition count.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    try:
+        n = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect has no context
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *cols) if cols else df.repartition(n)

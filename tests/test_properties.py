@@ -130,3 +130,16 @@ def test_export_and_envelope(spark, scratch_dir):
     env = result_envelope(run_sql(spark, "SELECT o_orderkey, o_orderdate FROM orders_v ORDER BY o_orderkey"), limit=3)
     assert env["metadata"] == {"row_count": 3, "column_names": ["o_orderkey", "o_orderdate"]}
     assert isinstance(env["data"][0]["o_orderdate"], str)
+
+
+def test_movie_analytics_approx_quantile_mode(spark):
+    from reelhouse.plans import gold_movies
+    from reelhouse.plans.registry import silver_frames
+
+    s = silver_frames(spark, SF_SMALL)
+    exact = {r.movie_id: r.rating_median for r in gold_movies.movie_rating_metrics(s["silver_ratings"]).collect()}
+    approx = {r.movie_id: r.rating_median
+              for r in gold_movies.movie_rating_metrics(s["silver_ratings"], quantile_mode="approx").collect()}
+    assert exact.keys() == approx.keys()
+    # percentile_approx returns an observed value within one rank of the exact median
+    assert all(abs(exact[k] - approx[k]) <= 1.0 for k in exact)
