@@ -47,11 +47,11 @@ def modes(df: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFra
 
 
 def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str, probs: list[float],
-                          alias: str = "_q", count_col: str = "cnt", mode: str = "exact") -> DataFrame:
-    """Exact quantiles per key from (value, frequency) rows: ``array<double>``."""
-    if mode == "exact":
-        q = quantiles(F.col(value), probs, "exact", weight=F.col(count_col))
-        return counts.groupBy(*keys).agg(q.alias(alias))
-    # approximate: expand nothing; percentile_approx over the distinct values
-    # would ignore frequencies, so keep exact semantics on the histogram
-    raise ValueError("histogram quantiles are exact; use quantiles(..., 'approx') on raw rows")
+                          alias: str = "_q", count_col: str = "cnt") -> DataFrame:
+    """Exact quantiles per key from (value, frequency) rows: ``array<double>``.
+
+    (``percentile_approx`` has no frequency argument; approximate quantiles are
+    computed on raw rows with ``quantiles(..., "approx")``.)
+    """
+    q = quantiles(F.col(value), probs, "exact", weight=F.col(count_col))
+    return counts.groupBy(*keys).agg(q.alias(alias))
