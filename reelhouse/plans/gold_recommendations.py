@@ -17,6 +17,10 @@ movies being formed blindly:
 4. Queries are deduplicated the same way: every movie with the same (set, year)
    has the same candidate list, so the top 11 is computed once per (set, year)
    key and then attached to each movie, which drops itself and keeps 10.
+5. Within a (set, year) group a candidate whose average is more than 0.03 below
+   the group's 11th best loses to 11 others for every query (``_prune_by_rating_margin``),
+   and a per-key score bound limits the years scored per partner set
+   (``_scored_candidates``).  Both are exact.
 
 Ties in score and count are broken by the similar movie's id (the reference
 leaves them arbitrary).  Assumes one movie-stat row per movie id (the movie
@@ -86,6 +90,66 @@ def _prune_by_rating_margin(cand: DataFrame, keep: int) -> DataFrame:
             .drop("_s", "_y", "_t")
 
 
+# score = round3(0.6 J + 0.2 (5 - min(dy / 10, 5)) / 5 + 0.2 avg / 5): per year of
+# difference the year term loses 0.004, and it is 0 from 50 years on (or when a
+# year is missing)
+YEAR_STEP, YEAR_CAP, AVG_WEIGHT, J_WEIGHT, YEAR_MAX_TERM = 0.004, 50, 0.04, 0.6, 0.2
+HALF_STEP, EPS = 0.0005, 1e-9
+
+
+def _score(df: DataFrame) -> DataFrame:
+    return (df.withColumn("year_diff", F.abs(F.col("year1") - F.col("similar_movie_year")))
+              .withColumn("recommendation_score",
+                          recommendation_score(F.col("jaccard"), F.col("year_diff"),
+                                               F.col("similar_movie_rating"))))
+
+
+def _scored_candidates(key_sets: DataFrame, cand: DataFrame, keep: int, score_order,
+                       bound_pruning: bool = True) -> DataFrame:
+    """Score the candidates each (set, year) key may rank; exact.
+
+    Without pruning every candidate of every partner set is scored.  With it:
+    phase 1 scores same-set candidates within one year of the key; if at least
+    ``keep`` exist, the ``keep``-th best score L bounds the key's final cut from
+    below.  Phase 2 scores, per (key, partner set), only candidates whose best
+    possible score (year term + the set's best average) can reach L: that allows
+    years y1 +- D, or no candidate at all.  A candidate below L is beaten by at
+    least ``keep`` others, so the ranked result is unchanged.
+    """
+    spread_cand = spread(cand, "similar_movie_id")
+    if not bound_pruning:
+        return _score(spread_cand.join(broadcast_if_small(key_sets), "sid2"))
+
+    # phase 1: same set (Jaccard 1), years y1-1 .. y1+1
+    own = (key_sets.where((F.col("sid2") == F.col("sid1")) & F.col("year1").isNotNull())
+           .withColumn("similar_movie_year", F.explode(F.sequence(F.col("year1") - 1, F.col("year1") + 1))))
+    near = _score(spread_cand.join(broadcast_if_small(own.checkpoint(eager=True)),
+                                   ["sid2", "similar_movie_year"]))
+    bound = (_ranked(near, ["sid1", "year1"], keep, score_order)
+             .groupBy("sid1", "year1")
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("recommendation_score").alias("_l"))
+             .where(F.col("_n") >= keep).drop("_n"))
+
+    # phase 2: per (key, partner set) the reachable year distance D
+    best_avg = cand.groupBy("sid2").agg(F.max("similar_movie_rating").alias("_amax"))
+    ks = (key_sets.join(bound, ["sid1", "year1"], "left").join(best_avg, "sid2"))
+    slack = (F.lit(YEAR_MAX_TERM) - F.col("_l") + F.lit(HALF_STEP + EPS)
+             + F.lit(J_WEIGHT) * F.col("jaccard") + F.lit(AVG_WEIGHT) * F.col("_amax"))
+    ks = ks.withColumn("_d", F.floor(slack / F.lit(YEAR_STEP)))
+    open_years = F.col("_l").isNull() | (F.col("year1").isNull() & (slack >= F.lit(YEAR_MAX_TERM))) \
+        | (F.col("year1").isNotNull() & (F.col("_d") >= YEAR_CAP))
+    ks = ks.withColumn("_open", open_years).where(F.col("_open") | (F.col("year1").isNotNull() & (F.col("_d") >= 0)))
+    ks = ks.checkpoint(eager=True)
+    unrestricted = ks.where("_open").drop("_l", "_amax", "_d", "_open")
+    restricted = (ks.where(~F.col("_open"))
+                  .withColumn("similar_movie_year",
+                              F.explode(F.sequence(F.col("year1") - F.col("_d"), F.col("year1") + F.col("_d"))))
+                  .drop("_l", "_amax", "_d", "_open"))
+    a = spread_cand.join(broadcast_if_small(unrestricted), "sid2")
+    b = spread_cand.join(broadcast_if_small(restricted.checkpoint(eager=True)), ["sid2", "similar_movie_year"])
+    return _score(a.unionByName(b))
+
+
 def _with_set_ids(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Give every distinct genre set an integer id (the sets are checkpointed, so the
     ids are stable); returns (stats with ``set_id``, sets)."""
@@ -96,7 +160,7 @@ def _with_set_ids(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_ratings: int = MIN_RATINGS,
                                min_similarity: float = MIN_SIMILARITY, top_k: int = TOP_K,
-                               query_filter: Column | None = None) -> DataFrame:
+                               query_filter: Column | None = None, bound_pruning: bool = True) -> DataFrame:
     """See the module docstring.
 
     ``movie_stats`` feeds several branches that each prune different columns, so
@@ -143,11 +207,7 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
     # while candidates are spread so the large join output is produced by all tasks
     keys = m1.select("sid1", "year1").distinct()
     key_sets = keys.join(pairs, "sid1").checkpoint(eager=True)
-    scored = (spread(cand, "similar_movie_id").join(broadcast_if_small(key_sets), "sid2")
-              .withColumn("year_diff", F.abs(F.col("year1") - F.col("similar_movie_year")))
-              .withColumn("recommendation_score",
-                          recommendation_score(F.col("jaccard"), F.col("year_diff"),
-                                               F.col("similar_movie_rating"))))
+    scored = _scored_candidates(key_sets, cand, top_k + 1, score_order, bound_pruning)
     per_key = _ranked(scored, ["sid1", "year1"], top_k + 1, score_order)
 
     joined = m1.join(per_key, (m1.sid1 == per_key.sid1) & m1.year1.eqNullSafe(per_key.year1)) \

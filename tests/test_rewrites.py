@@ -100,3 +100,12 @@ def test_recommendations_dense_groups_against_cross_join(spark):
         "movie_id", "similar_movie_id", F.col("recommendation_score").alias("score"),
         F.col("recommendation_rank").alias("rank"))
     assert rows(fast) == rows(_naive_recs(RC.movie_stats(movies, ratings)))
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, "/root/testdata/sf0.01"])
+def test_bound_pruning_is_exact(spark, sf):
+    s = silver_frames(spark, sf)
+    m, r = s["silver_movies"], s["silver_ratings"]
+    with_bound = RC.gold_movie_recommendations(m, r, bound_pruning=True)
+    without = RC.gold_movie_recommendations(m, r, bound_pruning=False)
+    assert rows(with_bound) == rows(without)
