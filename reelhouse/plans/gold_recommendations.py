@@ -111,10 +111,11 @@ def _scored_candidates(key_sets: DataFrame, cand: DataFrame, keep: int, score_or
     Without pruning every candidate of every partner set is scored.  With it:
     phase 1 scores same-set candidates within one year of the key; if at least
     ``keep`` exist, the ``keep``-th best score L bounds the key's final cut from
-    below.  Phase 2 scores, per (key, partner set), only candidates whose best
-    possible score (year term + the set's best average) can reach L: that allows
-    years y1 +- D, or no candidate at all.  A candidate below L is beaten by at
-    least ``keep`` others, so the ranked result is unchanged.
+    below.  Phase 2 keeps, per (key, partner set), only candidates whose best
+    possible score (year term + the set's best average) can reach L: partner sets
+    that cannot are dropped before the join, the rest are joined with the
+    condition |y1 - y2| <= D.  A candidate below L is beaten by at least ``keep``
+    others, so the ranked result is unchanged.
     """
     spread_cand = spread(cand, "similar_movie_id")
     if not bound_pruning:
@@ -123,8 +124,7 @@ def _scored_candidates(key_sets: DataFrame, cand: DataFrame, keep: int, score_or
     # phase 1: same set (Jaccard 1), years y1-1 .. y1+1
     own = (key_sets.where((F.col("sid2") == F.col("sid1")) & F.col("year1").isNotNull())
            .withColumn("similar_movie_year", F.explode(F.sequence(F.col("year1") - 1, F.col("year1") + 1))))
-    near = _score(spread_cand.join(broadcast_if_small(own.checkpoint(eager=True)),
-                                   ["sid2", "similar_movie_year"]))
+    near = _score(spread_cand.join(F.broadcast(own), ["sid2", "similar_movie_year"]))
     bound = (_ranked(near, ["sid1", "year1"], keep, score_order)
              .groupBy("sid1", "year1")
              .agg(F.count(F.lit(1)).alias("_n"), F.min("recommendation_score").alias("_l"))
@@ -132,22 +132,18 @@ def _scored_candidates(key_sets: DataFrame, cand: DataFrame, keep: int, score_or
 
     # phase 2: per (key, partner set) the reachable year distance D
     best_avg = cand.groupBy("sid2").agg(F.max("similar_movie_rating").alias("_amax"))
-    ks = (key_sets.join(bound, ["sid1", "year1"], "left").join(best_avg, "sid2"))
+    ks = key_sets.join(bound, ["sid1", "year1"], "left").join(best_avg, "sid2")
     slack = (F.lit(YEAR_MAX_TERM) - F.col("_l") + F.lit(HALF_STEP + EPS)
              + F.lit(J_WEIGHT) * F.col("jaccard") + F.lit(AVG_WEIGHT) * F.col("_amax"))
-    ks = ks.withColumn("_d", F.floor(slack / F.lit(YEAR_STEP)))
-    open_years = F.col("_l").isNull() | (F.col("year1").isNull() & (slack >= F.lit(YEAR_MAX_TERM))) \
-        | (F.col("year1").isNotNull() & (F.col("_d") >= YEAR_CAP))
-    ks = ks.withColumn("_open", open_years).where(F.col("_open") | (F.col("year1").isNotNull() & (F.col("_d") >= 0)))
-    ks = ks.checkpoint(eager=True)
-    unrestricted = ks.where("_open").drop("_l", "_amax", "_d", "_open")
-    restricted = (ks.where(~F.col("_open"))
-                  .withColumn("similar_movie_year",
-                              F.explode(F.sequence(F.col("year1") - F.col("_d"), F.col("year1") + F.col("_d"))))
-                  .drop("_l", "_amax", "_d", "_open"))
-    a = spread_cand.join(broadcast_if_small(unrestricted), "sid2")
-    b = spread_cand.join(broadcast_if_small(restricted.checkpoint(eager=True)), ["sid2", "similar_movie_year"])
-    return _score(a.unionByName(b))
+    d = F.floor(slack / F.lit(YEAR_STEP))
+    ks = (ks.withColumn("_d", F.when(F.col("_l").isNull() | F.col("year1").isNull() | (d >= YEAR_CAP), F.lit(None))
+                        .otherwise(d))
+            .where(F.col("_l").isNull() | F.col("year1").isNull() | (d >= 0))
+            .drop("_l", "_amax"))
+    # _d null: every year (and a missing year) can still reach the bound
+    within = F.col("_d").isNull() | (F.abs(F.col("year1") - F.col("similar_movie_year")) <= F.col("_d"))
+    # key_sets (checkpointed, size-checked) bounds ks: broadcast with the same check
+    return _score(spread_cand.join(broadcast_if_small(ks), "sid2").where(within)).drop("_d")
 
 
 def _with_set_ids(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -165,7 +161,9 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
 
     ``movie_stats`` feeds several branches that each prune different columns, so
     Spark cannot reuse one exchange for them; it is computed once and kept with a
-    reliable ``checkpoint()`` (one row per movie, in ``spark.checkpoint.dir``).
+    reliable ``checkpoint()`` (one row per movie, in ``spark.checkpoint.dir``);
+    the pruned candidate table and the (key, partner set) table are kept the same
+    way, so later stages read short lineages.
     Scoring and ranking carry only numeric columns (integer set ids); titles are
     attached to the final rows.  ``query_filter`` (on ``movie_id``/``movie_title``)
     restricts which movies get recommendations; candidates are always all movies,
@@ -175,7 +173,6 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
     checkpoint_dir(spark)
     stats = movie_stats(movies, ratings, min_ratings).withColumn("genre_set", genre_set(F.col("genres")))
     stats, sets = _with_set_ids(stats.checkpoint(eager=True))
-    stats = stats.checkpoint(eager=True)
     id1 = sets.select(F.col("genre_set").alias("set1"), F.col("set_id").alias("sid1"))
     id2 = sets.select(F.col("genre_set").alias("set2"), F.col("set_id").alias("sid2"))
     pairs = (set_pairs(stats, "genre_set", min_similarity).join(id1, "set1").join(id2, "set2")
@@ -191,7 +188,7 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
         F.col("avg_rating").alias("similar_movie_rating"),
         F.col("rating_count").alias("similar_movie_ratings_count"))
 
-    cand = _prune_by_rating_margin(cand, top_k + 1)
+    cand = _prune_by_rating_margin(cand, top_k + 1).checkpoint(eager=True)
 
     score_order = [F.desc("recommendation_score"), F.desc("similar_movie_ratings_count"),
                    F.asc("similar_movie_id")]
