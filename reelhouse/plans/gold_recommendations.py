@@ -124,7 +124,7 @@ def _scored_candidates(key_sets: DataFrame, cand: DataFrame, keep: int, score_or
     # phase 1: same set (Jaccard 1), years y1-1 .. y1+1
     own = (key_sets.where((F.col("sid2") == F.col("sid1")) & F.col("year1").isNotNull())
            .withColumn("similar_movie_year", F.explode(F.sequence(F.col("year1") - 1, F.col("year1") + 1))))
-    near = _score(spread_cand.join(F.broadcast(own), ["sid2", "similar_movie_year"]))
+    near = _score(spread_cand.join(broadcast_if_small(own), ["sid2", "similar_movie_year"]))
     bound = (_ranked(near, ["sid1", "year1"], keep, score_order)
              .groupBy("sid1", "year1")
              .agg(F.count(F.lit(1)).alias("_n"), F.min("recommendation_score").alias("_l"))
