@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quantiles import quantiles
@@ -55,3 +55,17 @@ def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str, pr
     """
     q = quantiles(F.col(value), probs, "exact", weight=F.col(count_col))
     return counts.groupBy(*keys).agg(q.alias(alias))
+
+
+def bounded_mode(col: Column, domain: Sequence[int]) -> Column:
+    """Mode of a column whose values come from a small fixed domain (hour 0-23,
+    weekday 0-6), as ONE aggregate expression: a ``count_if`` per value inside the
+    surrounding hash aggregate, then the greatest (count, -value) struct, i.e. the
+    most frequent value with ties to the smallest.  Null when no value is present.
+
+    No second pass, no join, no per-group value map.
+    """
+    cells = [F.struct(F.count_if(col == F.lit(v)).alias("n"), F.lit(-v).alias("neg"), F.lit(v).alias("v"))
+             for v in domain]
+    best = F.greatest(*cells)
+    return F.when(best["n"] > 0, best["v"].cast("bigint"))

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import as_bigint, day_boundaries, pct, round_to
 from ..functions.labels import favorite_genre, user_engagement_level, user_profile
-from ..operators.histograms import modes
+from ..operators.histograms import bounded_mode
 
 GENRES = ["action", "comedy", "drama", "thriller", "romance", "horror", "scifi"]
+HOURS, WEEKDAYS = range(24), range(7)
 AVG_GENRES = ["action", "comedy", "drama", "thriller", "romance"]
 
 
@@ -63,14 +64,14 @@ def user_activity(ratings: DataFrame, movies: DataFrame) -> DataFrame:
         F.max("rating_datetime").alias("last_rating_date"),
         as_bigint(F.count_distinct("rating_year")).alias("years_active"),
         as_bigint(F.count_distinct("rating_month")).alias("months_active"),
+        # A11 modes over fixed domains, inside this same aggregate (ties -> smallest)
+        bounded_mode(F.col("hour_of_day"), HOURS).alias("favorite_hour"),
+        bounded_mode(F.col("day_of_week"), WEEKDAYS).alias("favorite_day_of_week"),
         has_match.alias("has_genre_match"),
         *[genre_count(g).alias(f"{g}_count") for g in GENRES],
         *[genre_avg(g).alias(f"{g}_avg_rating") for g in AVG_GENRES],
     )
-    # A11 modes from a (user, hour, weekday) histogram: a second, narrow pass over
-    # ratings; both sides come out hash-partitioned by user, so the join is local.
-    fav = modes(ratings, ["user_id"], {"hour_of_day": "favorite_hour", "day_of_week": "favorite_day_of_week"})
-    return agg.join(fav, "user_id", "left").withColumn(
+    return agg.withColumn(
         "days_active", day_boundaries(F.col("first_rating_date"), F.col("last_rating_date")))
 
 
