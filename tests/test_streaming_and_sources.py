@@ -80,3 +80,12 @@ def test_build_all_to_paths(spark, scratch_dir):
     g = out["gold_temporal_trends"].read(spark)
     assert "processed_at" in g.columns and g.count() > 0
     assert out["gold_movie_recommendations"].read(spark).where(F.col("recommendation_rank") > 10).count() == 0
+
+
+def test_build_all_to_catalog_tables(spark):
+    from reelhouse.plans.build import build_all
+
+    out = build_all(spark, raw_tables(spark, SF_SMALL), silver_ns=" lake_silver ", gold_ns="lake_gold")
+    assert out["silver_movies"].location == "lake_silver.silver_movies"
+    assert spark.catalog.tableExists("lake_gold.gold_user_behavior")
+    assert spark.table("lake_gold.gold_genre_analytics").count() > 0
