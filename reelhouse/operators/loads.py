@@ -361,7 +361,10 @@ def load_incremental(spark: SparkSession, source: DataFrame, target: "Target | S
                      table: str, cursor: str, keys: Sequence[str] | None = None) -> int:
     """Load rows past the mark, then commit the new mark (only after the write).
 
-    With ``keys`` the batch is re-read from the mark inclusive and upserted.
+    With ``keys`` the batch is re-read from the mark inclusive and upserted (newest
+    row per key), which is idempotent: a run that died between the data write and
+    the mark commit is simply repeated.  Without keys the load appends, so such a
+    repeat appends the batch again (at-least-once); use keys where that matters.
     Returns the number of rows in the batch.
     """
     checkpoint_dir(spark)
@@ -373,6 +376,8 @@ def load_incremental(spark: SparkSession, source: DataFrame, target: "Target | S
         return 0
     if keys and target.exists(spark):
         target.replace_with(spark, upsert_frame(target.read(spark), batch, keys, [cursor]))
+    elif keys:
+        target.write(spark, newest_per_key(batch, keys, [cursor]), "overwrite")
     else:
         target.write(spark, batch, "append")
     prev = state.read(spark).agg(F.max("load_id")).first()[0] if state.exists(spark) else None

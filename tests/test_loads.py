@@ -180,3 +180,16 @@ def test_load_tables_modes_and_validation(spark, scratch_dir, batches):
     before = tgt["orders"].read(spark).count()
     L.load_tables(spark, {"orders": old}, tgt, mode="append")      # appends every row again
     assert tgt["orders"].read(spark).count() == before + old.count()
+
+
+def test_keyed_first_load_keeps_newest_per_key(spark, scratch_dir, batches):
+    _, new = batches     # `new` holds two versions of every tenth key
+    target = L.Target(os.path.join(scratch_dir, "first_keyed"), is_path=True)
+    state = L.Target(os.path.join(scratch_dir, "first_keyed_state"), is_path=True)
+    L.load_incremental(spark, new, target, state, "orders", ORDER_CURSOR, keys=ORDER_KEY)
+    got = target.read(spark)
+    assert got.count() == got.select("o_orderkey").distinct().count()
+    assert rows(got) == rows(L.newest_per_key(new, ORDER_KEY, [ORDER_CURSOR]))
+    # repeating the same load (as after a failure before the mark commit) changes nothing
+    L.load_incremental(spark, new, target, state, "orders", ORDER_CURSOR, keys=ORDER_KEY)
+    assert rows(target.read(spark)) == rows(L.newest_per_key(new, ORDER_KEY, [ORDER_CURSOR]))
