@@ -89,3 +89,25 @@ def test_build_all_to_catalog_tables(spark):
     assert out["silver_movies"].location == "lake_silver.silver_movies"
     assert spark.catalog.tableExists("lake_gold.gold_user_behavior")
     assert spark.table("lake_gold.gold_genre_analytics").count() > 0
+
+
+def test_cli_load_and_build(spark, scratch_dir, monkeypatch):
+    import reelhouse.__main__ as cli
+
+    # the CLI builds its session with master=None; reuse the test session instead
+    monkeypatch.setattr("reelhouse.session.build_session", lambda *a, **k: spark)
+    old, new = orders_batches(spark, SF_SMALL)
+    src = os.path.join(scratch_dir, "src")
+    old.write.parquet(os.path.join(src, "orders"))
+    argv = ["load", "--source", src, "--tables", "orders", "--target-root", os.path.join(scratch_dir, "t"),
+            "--mode", "merge", "--keys", "o_orderkey", "--cursor", "o_orderdate",
+            "--state", os.path.join(scratch_dir, "state")]
+    assert cli.main(argv) == 0
+    assert L.SnapshotTarget(os.path.join(scratch_dir, "t", "orders")).read(spark).count() == old.count()
+    with pytest.raises(SystemExit):
+        cli.main(["load", "--source", src])          # missing required arguments
+    raw = raw_tables(spark, SF_SMALL)
+    for name, df in raw.items():
+        df.write.parquet(os.path.join(scratch_dir, "raw", name))
+    assert cli.main(["build", "--raw-parquet", os.path.join(scratch_dir, "raw"),
+                     "--root", os.path.join(scratch_dir, "lake")]) == 0
