@@ -2,7 +2,8 @@
 
 Usage: python skew_check.py [sf_dir] [event_log_dir]
 Runs the gold models on ratings where a third of the rows (chosen by a hash of
-the row) are re-assigned to user 0 and movie 1, with Spark's event log written to
+the row) are re-assigned to user 0 and movie 1, and an upsert whose batch puts a
+third of its rows on one key, with Spark's event log written to
 ``event_log_dir`` (a new temporary folder by default; local runs only) and AQE
 partition coalescing off, so each task reads exactly one hash partition.  Prints,
 per model, the largest share of a stage's shuffle records read by one task: a
@@ -61,7 +62,9 @@ def main() -> None:
     log_dir = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="reelhouse-skew-")
     from pyspark.sql import functions as F
 
+    from reelhouse.operators import loads as L
     from reelhouse.plans import gold_genres, gold_movies, gold_recommendations, gold_temporal, gold_users
+    from reelhouse.sources.batches import ORDER_CURSOR, ORDER_KEY, orders_batches
     from reelhouse.plans.registry import silver_frames
     from reelhouse.session import build_session
 
@@ -76,7 +79,11 @@ def main() -> None:
           .withColumn("user_id", F.when(F.col("_hot"), F.lit(0)).otherwise(F.col("user_id")))
           .withColumn("movie_id", F.when(F.col("_hot"), F.lit(1)).otherwise(F.col("movie_id")))
           .drop("_hot"))
+    old, new = orders_batches(spark, sf_dir)
+    hot_key = F.pmod(F.xxhash64("o_orderkey", "o_orderdate"), F.lit(3)) == 0
+    new = new.withColumn("o_orderkey", F.when(hot_key, F.lit(0)).otherwise(F.col("o_orderkey")))
     models = {
+        "upsert (hot key in batch)": lambda: L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]),
         "gold_user_behavior": lambda: gold_users.gold_user_behavior(r, t, m),
         "gold_movie_analytics": lambda: gold_movies.gold_movie_analytics(m, r, t),
         "gold_genre_analytics": lambda: gold_genres.gold_genre_analytics(m, r, t),
