@@ -23,8 +23,9 @@ movies being formed blindly:
    (``_scored_candidates``).  Both are exact.
 
 Ties in score and count are broken by the similar movie's id (the reference
-leaves them arbitrary).  Assumes one movie-stat row per movie id (the movie
-dimension's key).
+leaves them arbitrary).  "11" above is ``top_k + dmax`` in general, where dmax is
+the largest number of stat rows sharing one movie id (1 when the movie table is
+keyed), so the pruning stays exact for any input.
 """
 
 from __future__ import annotations
@@ -171,27 +172,35 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
     """
     spark = movies.sparkSession
     checkpoint_dir(spark)
-    stats = movie_stats(movies, ratings, min_ratings).withColumn("genre_set", genre_set(F.col("genres")))
-    stats, sets = _with_set_ids(stats.checkpoint(eager=True))
+    stats = (movie_stats(movies, ratings, min_ratings)
+             .withColumn("genre_set", genre_set(F.col("genres")))
+             .withColumn("row_id", F.monotonically_increasing_id())
+             .checkpoint(eager=True))
+    # rows one query movie id can occupy in any candidate list (1 for a keyed
+    # dimension); keeping top_k + dmax per list leaves top_k after dropping itself
+    dmax = stats.groupBy("movie_id").count().agg(F.max("count")).first()[0] or 1
+    keep = top_k + dmax
+    stats, sets = _with_set_ids(stats)
     id1 = sets.select(F.col("genre_set").alias("set1"), F.col("set_id").alias("sid1"))
     id2 = sets.select(F.col("genre_set").alias("set2"), F.col("set_id").alias("sid2"))
     pairs = (set_pairs(stats, "genre_set", min_similarity).join(id1, "set1").join(id2, "set2")
              .select("sid1", "sid2", "common_genres", "jaccard", "genre_similarity"))
 
-    # candidates: the first top_k + 1 of each (set, year, avg) group
+    # candidates: the first `keep` of each (set, year, avg) group
     cand = _ranked(stats.where(F.col("set_id").isNotNull()), ["set_id", "release_year", "avg_rating"],
-                   top_k + 1, [F.desc("rating_count"), F.asc("movie_id")])
+                   keep, [F.desc("rating_count"), F.asc("movie_id"), F.asc("row_id")])
     cand = cand.select(
         F.col("set_id").alias("sid2"),
         F.col("movie_id").alias("similar_movie_id"),
+        F.col("row_id").alias("similar_row_id"),
         F.col("release_year").alias("similar_movie_year"),
         F.col("avg_rating").alias("similar_movie_rating"),
         F.col("rating_count").alias("similar_movie_ratings_count"))
 
-    cand = _prune_by_rating_margin(cand, top_k + 1).checkpoint(eager=True)
+    cand = _prune_by_rating_margin(cand, keep).checkpoint(eager=True)
 
     score_order = [F.desc("recommendation_score"), F.desc("similar_movie_ratings_count"),
-                   F.asc("similar_movie_id")]
+                   F.asc("similar_movie_id"), F.asc("similar_row_id")]
 
     m1 = stats.select(F.col("movie_id"), F.col("title_clean").alias("movie_title"),
                       F.col("set_id").alias("sid1"), F.col("release_year").alias("year1"))
@@ -204,17 +213,18 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
     # while candidates are spread so the large join output is produced by all tasks
     keys = m1.select("sid1", "year1").distinct()
     key_sets = keys.join(pairs, "sid1").checkpoint(eager=True)
-    scored = _scored_candidates(key_sets, cand, top_k + 1, score_order, bound_pruning)
-    per_key = _ranked(scored, ["sid1", "year1"], top_k + 1, score_order)
+    scored = _scored_candidates(key_sets, cand, keep, score_order, bound_pruning)
+    per_key = _ranked(scored, ["sid1", "year1"], keep, score_order)
 
     joined = m1.join(per_key, (m1.sid1 == per_key.sid1) & m1.year1.eqNullSafe(per_key.year1)) \
                .where(F.col("movie_id") != F.col("similar_movie_id"))
-    w = Window.partitionBy("movie_id").orderBy(*score_order)
+    # the movie's own title only matters when its id has several rows
+    w = Window.partitionBy("movie_id").orderBy(*score_order, F.asc("movie_title"))
     ranked = joined.withColumn("recommendation_rank", F.row_number().over(w)) \
                    .where(F.col("recommendation_rank") <= top_k)
-    titles = stats.select(F.col("movie_id").alias("similar_movie_id"),
+    titles = stats.select(F.col("row_id").alias("similar_row_id"),
                           F.col("title_clean").alias("similar_movie_title"))
-    return ranked.join(titles, "similar_movie_id").select(
+    return ranked.join(titles, "similar_row_id").select(
         "movie_id", "movie_title", "similar_movie_id", "similar_movie_title",
         "similar_movie_year", "similar_movie_rating", "similar_movie_ratings_count",
         "common_genres", "genre_similarity", "year_diff", "recommendation_score",

@@ -109,3 +109,59 @@ def test_bound_pruning_is_exact(spark, sf):
     with_bound = RC.gold_movie_recommendations(m, r, bound_pruning=True)
     without = RC.gold_movie_recommendations(m, r, bound_pruning=False)
     assert rows(with_bound) == rows(without)
+
+
+def test_recommendations_with_duplicate_movie_ids(spark):
+    """Movie ids repeated with different titles / years / genres: the caps widen to
+    top_k + dmax and each movie's top-10 (score, count) multiset equals the cross join's."""
+    from collections import defaultdict
+
+    from pyspark.sql import Window
+
+    from reelhouse.functions.exprs import round_to
+    from reelhouse.functions.labels import recommendation_score
+
+    base = [(i, f"t{i}", 2000 + i % 3, "A|B" if i % 2 else "B|C") for i in range(1, 80)]
+    dups = [(i, f"t{i}-alt", 2001, "A|B") for i in range(1, 80, 4)] + [(5, "t5-third", 1999, "A|B")]
+    movies = spark.createDataFrame(base + dups, "movie_id bigint, title_clean string, release_year int, genres string")
+    ratings = spark.createDataFrame(
+        [(u, i, 0.5 * (1 + (u + 3 * i) % 10)) for i in range(1, 80) for u in range(10 + i % 5)],
+        "user_id bigint, movie_id bigint, rating double")
+    fast = RC.gold_movie_recommendations(movies, ratings)
+    stats = RC.movie_stats(movies, ratings)
+    s1, s2 = stats.alias("m1"), stats.alias("m2")
+    g1, g2 = F.split(F.col("m1.genres"), r"\|"), F.split(F.col("m2.genres"), r"\|")
+    jac = F.size(F.array_intersect(g1, g2)).cast("double") / F.size(F.array_union(g1, g2)).cast("double")
+    pairs = (s1.crossJoin(s2).where((F.col("m1.movie_id") != F.col("m2.movie_id"))
+                                    & (F.size(F.array_intersect(g1, g2)) > 0) & (round_to(jac, 3) >= 0.3))
+             .select(F.col("m1.movie_id").alias("movie_id"), F.col("m2.rating_count").alias("cnt"),
+                     recommendation_score(jac, F.abs(F.col("m1.release_year") - F.col("m2.release_year")),
+                                          F.col("m2.avg_rating")).alias("score")))
+    w = Window.partitionBy("movie_id").orderBy(F.desc("score"), F.desc("cnt"))
+    naive = pairs.withColumn("rk", F.row_number().over(w)).where("rk <= 10")
+
+    def per_movie(df, score, cnt):
+        out = defaultdict(list)
+        for r in df.select("movie_id", score, cnt).collect():
+            out[r[0]].append((r[1], r[2]))
+        return {k: sorted(v) for k, v in out.items()}
+
+    assert per_movie(fast, "recommendation_score", "similar_movie_ratings_count") == per_movie(naive, "score", "cnt")
+
+
+def test_duplicate_id_filling_the_top_of_a_group(spark):
+    """Movie 1 has three stat rows at the top of the only candidate group: its own
+    rows are excluded, and each candidate appears once per row of movie 1, exactly
+    as in the cross join."""
+    movies = spark.createDataFrame(
+        [(1, t, 2000, "A|B") for t in ("one", "one-b", "one-c")]
+        + [(i, f"m{i}", 2000, "A|B") for i in range(2, 31)],
+        "movie_id bigint, title_clean string, release_year int, genres string")
+    ratings = spark.createDataFrame(
+        [(u, i, 4.0) for i in range(1, 31) for u in range(40 if i == 1 else 10 + i % 7)],
+        "user_id bigint, movie_id bigint, rating double")
+    recs = RC.gold_movie_recommendations(movies, ratings)
+    per_movie = {r.movie_id: r.n for r in recs.groupBy("movie_id").agg(F.count("*").alias("n")).collect()}
+    assert per_movie[1] == 10 and all(n == 10 for n in per_movie.values())
+    assert rows(recs.select("movie_id", "similar_movie_id", "recommendation_score", "recommendation_rank")) == \
+        rows(_naive_recs(RC.movie_stats(movies, ratings)))
