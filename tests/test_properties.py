@@ -144,13 +144,3 @@ def test_movie_analytics_approx_quantile_mode(spark):
     # percentile_approx returns an observed value within one rank of the exact median
     assert all(abs(exact[k] - approx[k]) <= 1.0 for k in exact)
 
-
-@SETTINGS
-@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 6)), min_size=1, max_size=40))
-def test_bounded_mode_equals_mode(spark, data):
-    from reelhouse.operators.histograms import bounded_mode
-
-    df = spark.createDataFrame(data, "k int, h int")
-    got = {r.k: r.m for r in df.groupBy("k").agg(bounded_mode(F.col("h"), range(7)).alias("m")).collect()}
-    want = {r.k: r.m for r in df.groupBy("k").agg(F.mode("h", deterministic=True).alias("m")).collect()}
-    assert got == want
