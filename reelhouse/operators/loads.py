@@ -107,6 +107,9 @@ class SnapshotTarget:
         log.coalesce(1).write.mode("append").parquet(self.log_path)
 
     def write(self, spark: SparkSession, df: DataFrame, mode: str, **opts) -> None:
+        """``overwrite``: the next version holds ``df``.  ``append``: the next version
+        holds the current rows plus ``df`` (atomic, but it rewrites the table: use a
+        plain ``Target`` for large append-only tables, a snapshot for rewrites)."""
         cur = self.current_version(spark)
         if mode == "append" and cur is not None:
             new = cur + 1
