@@ -20,9 +20,10 @@ from ..operators.quantiles import quantiles
 def movie_rating_metrics(ratings: DataFrame, quantile_mode: str = "exact") -> DataFrame:
     """Per-movie rating metrics.
 
-    Exact quantiles come from a (movie, rating value) histogram joined back on the
-    movie key (both sides are hash-partitioned by movie, so the join adds no
-    shuffle); ``approx`` computes ``percentile_approx`` inline instead.
+    Exact quantiles come from a (movie, rating value) histogram, reduced to one row
+    per movie and joined back on the movie key (both sides are per-movie tables:
+    co-partitioned by movie, or broadcast by AQE when small); ``approx`` computes
+    ``percentile_approx`` inline instead.
     """
     rating, cat = F.col("rating"), F.col("rating_category")
     inline_q = [quantiles(rating, [0.25, 0.5, 0.75], quantile_mode).alias("_q")] if quantile_mode != "exact" else []
