@@ -32,10 +32,12 @@ def materialize(df: DataFrame, target: Target) -> None:
 
 def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str | None = None,
               silver_ns: str | None = "silver", gold_ns: str | None = "gold",
-              dev_limit: int | None = None) -> dict[str, Target]:
+              dev_limit: int | None = None, distinct: str = "exact") -> dict[str, Target]:
     """Write the four silver and five gold tables; return where they went.
 
     ``root`` set: parquet folders ``root/<namespace>/<table>``; unset: catalog tables.
+    ``distinct="approx"`` counts distinct users/movies/tags per month and per genre with
+    HyperLogLog++ (few groups, very many values: where exact counting is costly).
     """
     s_ns, g_ns = target_namespace(silver_ns, "silver"), target_namespace(gold_ns, "gold")
     if not root:
@@ -48,10 +50,10 @@ def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str | None =
     s = {k: out[k].read(spark).drop("processed_at") for k in list(out)}
     m, r, t = s["silver_movies"], s["silver_ratings"], s["silver_tags"]
     gold = {
-        "gold_genre_analytics": gold_genre_analytics(m, r, t),
+        "gold_genre_analytics": gold_genre_analytics(m, r, t, distinct=distinct),
         "gold_movie_analytics": gold_movie_analytics(m, r, t),
         "gold_movie_recommendations": gold_movie_recommendations(m, r),
-        "gold_temporal_trends": gold_temporal_trends(r, m),
+        "gold_temporal_trends": gold_temporal_trends(r, m, distinct=distinct),
         "gold_user_behavior": gold_user_behavior(r, t, m),
     }
     for name, df in gold.items():

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_bigint, round_to, split_pipe
+from ..functions.exprs import as_bigint, distinct_count, round_to, split_pipe
 from ..functions.labels import genre_popularity_tier, genre_quality_tier, genre_score
 from ..operators.quantiles import quantiles
 from ..operators.weighted import wavg, wcount, wstddev_samp
@@ -59,7 +59,7 @@ def _genre_rows(movies: DataFrame, fanout: str) -> DataFrame:
 
 
 def genre_metrics(movies: DataFrame, ratings: DataFrame, tags: DataFrame,
-                  fanout: str = "reference", quantile_mode: str = "exact") -> DataFrame:
+                  fanout: str = "reference", quantile_mode: str = "exact", distinct: str = "exact") -> DataFrame:
     ref = fanout == "reference"
     rows = _genre_rows(movies, fanout)
     genre_movie = rows.select("genre", "movie_id").distinct()
@@ -120,9 +120,9 @@ def genre_metrics(movies: DataFrame, ratings: DataFrame, tags: DataFrame,
     )
 
     users = (ratings.select("movie_id", "user_id").join(genre_movie, "movie_id")
-             .groupBy("genre").agg(as_bigint(F.count_distinct("user_id")).alias("total_users")))
+             .groupBy("genre").agg(distinct_count("user_id", distinct).alias("total_users")))
     uniq_tags = (tags.select("movie_id", "tag_normalized").join(genre_movie, "movie_id")
-                 .groupBy("genre").agg(as_bigint(F.count_distinct("tag_normalized")).alias("unique_tags")))
+                 .groupBy("genre").agg(distinct_count("tag_normalized", distinct).alias("unique_tags")))
 
     j = (base.join(rating_part, "genre", "left").join(users, "genre", "left")
          .join(uniq_tags, "genre", "left"))
@@ -164,5 +164,6 @@ def with_rankings(metrics: DataFrame) -> DataFrame:
 
 
 def gold_genre_analytics(movies: DataFrame, ratings: DataFrame, tags: DataFrame,
-                         fanout: str = "reference", quantile_mode: str = "exact") -> DataFrame:
-    return with_rankings(genre_metrics(movies, ratings, tags, fanout, quantile_mode))
+                         fanout: str = "reference", quantile_mode: str = "exact",
+                         distinct: str = "exact") -> DataFrame:
+    return with_rankings(genre_metrics(movies, ratings, tags, fanout, quantile_mode, distinct))

@@ -14,14 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_bigint, pct, round_to, safe_ratio
+from ..functions.exprs import as_bigint, distinct_count, pct, round_to, safe_ratio
 
 
 def _count_if(cond):
     return as_bigint(F.count_if(cond))
 
 
-def monthly_metrics(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+def monthly_metrics(ratings: DataFrame, movies: DataFrame, distinct: str = "exact") -> DataFrame:
     m = movies.select("movie_id", "is_action", "is_comedy", "is_drama", "is_thriller",
                       "is_romance", "decade")
     r = ratings.select("movie_id", "user_id", "rating", F.col("rating_month").alias("month"))
@@ -29,8 +29,8 @@ def monthly_metrics(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     rating = F.col("rating")
     return j.groupBy("month").agg(
         as_bigint(F.count(F.lit(1))).alias("total_ratings"),
-        as_bigint(F.count_distinct("user_id")).alias("active_users"),
-        as_bigint(F.count_distinct("movie_id")).alias("movies_rated"),
+        distinct_count("user_id", distinct).alias("active_users"),
+        distinct_count("movie_id", distinct).alias("movies_rated"),
         round_to(F.avg(rating), 2).alias("avg_rating"),
         _count_if(rating >= 4.5).alias("ratings_excellent"),
         _count_if((rating >= 3.5) & (rating < 4.5)).alias("ratings_good"),
@@ -81,5 +81,5 @@ def with_trends(monthly: DataFrame) -> DataFrame:
     )
 
 
-def gold_temporal_trends(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    return with_trends(monthly_metrics(ratings, movies))
+def gold_temporal_trends(ratings: DataFrame, movies: DataFrame, distinct: str = "exact") -> DataFrame:
+    return with_trends(monthly_metrics(ratings, movies, distinct))

@@ -79,3 +79,39 @@ def test_movie_and_user_edge_cases(spark):
     # user 8 rated only an unknown movie: no genre row, so counts are null
     assert ub[8].action_count is None and ub[8].favorite_genre == "Romance"
     assert ub[8].genre_diversity_score is None and ub[8].total_tags_created == 0
+
+
+APPROX_COLS = {
+    "temporal": ["active_users", "movies_rated"],
+    "genres": ["total_users", "unique_tags"],
+}
+
+
+def _builders(s, distinct):
+    m, r, t = s["silver_movies"], s["silver_ratings"], s["silver_tags"]
+    return {
+        "temporal": (gold_temporal.gold_temporal_trends(r, m, distinct=distinct), "month"),
+        "genres": (gold_genres.genre_metrics(m, r, t, distinct=distinct), "genre"),
+    }
+
+
+def test_approx_distinct_option(spark):
+    import contextlib
+    import io
+
+    s = silver_frames(spark, "/root/testdata/sf0.01")
+    exact, approx = _builders(s, "exact"), _builders(s, "approx")
+    for name, (df_e, key) in exact.items():
+        df_a = approx[name][0]
+        a = {r[key]: r for r in df_a.collect()}
+        for r in df_e.collect():
+            other = a[r[key]]
+            for c in df_e.columns:
+                if c in APPROX_COLS[name]:
+                    assert abs(other[c] - r[c]) <= max(2, 0.05 * r[c]), (name, c, r[c], other[c])
+                elif c not in ("rank_by_ratings", "rank_by_users", "users_growth_pct", "users_ma3"):
+                    assert other[c] == r[c], (name, c)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        approx["temporal"][0].explain()
+    assert "Expand" not in buf.getvalue()
