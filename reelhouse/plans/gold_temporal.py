@@ -21,7 +21,61 @@ def _count_if(cond):
     return as_bigint(F.count_if(cond))
 
 
+GENRES = ["action", "comedy", "drama", "thriller", "romance"]
+DECADES = [1990, 2000, 2010]
+
+
+def _monthly_from_month_movie(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+    """Approximate-distinct form that aggregates before the join.
+
+    Ratings are reduced to one row per (month, movie) with counts, sums and an HLL
+    sketch of the users; only those rows meet the movie table (one row per movie
+    id, weighted by how many movie rows carry each flag, which equals the inner
+    join's row counts).  Per month: sums, the number of (month, movie) rows
+    (= distinct movies) and the union of the user sketches.
+    """
+    x = F.col("rating")
+    pre = ratings.groupBy(F.col("rating_month").alias("month"), "movie_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(x).alias("s"),
+        F.count_if(x >= 4.5).alias("c_ex"), F.count_if((x >= 3.5) & (x < 4.5)).alias("c_go"),
+        F.count_if((x >= 2.5) & (x < 3.5)).alias("c_av"), F.count_if(x < 2.5).alias("c_po"),
+        F.hll_sketch_agg("user_id").alias("users"))
+    flags = movies.groupBy("movie_id").agg(
+        F.count(F.lit(1)).alias("w"),
+        *[F.count_if(F.col(f"is_{g}")).alias(f"w_{g}") for g in GENRES],
+        *[F.count_if(F.col("decade") == d).alias(f"w_{d}") for d in DECADES])
+    j = pre.join(flags, "movie_id")
+    n, sm, w = F.col("n"), F.col("s"), F.col("w")
+
+    def wsum(c, weight):
+        return as_bigint(F.sum(c * weight))
+
+    def wavg(weight):
+        return round_to(F.sum(sm * weight) / F.nullif(F.sum(n * weight), F.lit(0)).cast("double"), 2)
+
+    return j.groupBy("month").agg(
+        wsum(n, w).alias("total_ratings"),
+        F.hll_sketch_estimate(F.hll_union_agg("users")).cast("bigint").alias("active_users"),
+        F.count(F.lit(1)).cast("bigint").alias("movies_rated"),
+        wavg(w).alias("avg_rating"),
+        wsum(F.col("c_ex"), w).alias("ratings_excellent"),
+        wsum(F.col("c_go"), w).alias("ratings_good"),
+        wsum(F.col("c_av"), w).alias("ratings_average"),
+        wsum(F.col("c_po"), w).alias("ratings_poor"),
+        *[wsum(n, F.col(f"w_{g}")).alias(f"{g}_ratings") for g in GENRES],
+        *[wavg(F.col(f"w_{g}")).alias(f"{g}_avg_rating") for g in ("action", "comedy", "drama")],
+        *[wsum(n, F.col(f"w_{d}")).alias(f"ratings_{d}s") for d in DECADES],
+    ).withColumns({
+        "year": as_bigint(F.year("month")),
+        "month_num": as_bigint(F.month("month")),
+    })
+
+
 def monthly_metrics(ratings: DataFrame, movies: DataFrame, distinct: str = "exact") -> DataFrame:
+    """Per-month metrics.  ``distinct="approx"`` aggregates per (month, movie) before
+    the join and counts users with sketches (see ``_monthly_from_month_movie``)."""
+    if distinct == "approx":
+        return _monthly_from_month_movie(ratings, movies)
     m = movies.select("movie_id", "is_action", "is_comedy", "is_drama", "is_thriller",
                       "is_romance", "decade")
     r = ratings.select("movie_id", "user_id", "rating", F.col("rating_month").alias("month"))
