@@ -58,6 +58,12 @@ def _genre_rows(movies: DataFrame, fanout: str) -> DataFrame:
     raise ValueError(f"unknown fanout mode: {fanout!r}")
 
 
+def _sketch_per_genre(facts: DataFrame, value: str, genre_movie: DataFrame, alias: str) -> DataFrame:
+    per_movie = facts.groupBy("movie_id").agg(F.hll_sketch_agg(value).alias("_sk"))
+    return (per_movie.join(genre_movie, "movie_id").groupBy("genre")
+            .agg(F.hll_sketch_estimate(F.hll_union_agg("_sk")).cast("bigint").alias(alias)))
+
+
 def genre_metrics(movies: DataFrame, ratings: DataFrame, tags: DataFrame,
                   fanout: str = "reference", quantile_mode: str = "exact", distinct: str = "exact") -> DataFrame:
     ref = fanout == "reference"
@@ -119,10 +125,16 @@ def genre_metrics(movies: DataFrame, ratings: DataFrame, tags: DataFrame,
         wcount(w, x >= 4.0).alias("_positive"),
     )
 
-    users = (ratings.select("movie_id", "user_id").join(genre_movie, "movie_id")
-             .groupBy("genre").agg(distinct_count("user_id", distinct).alias("total_users")))
-    uniq_tags = (tags.select("movie_id", "tag_normalized").join(genre_movie, "movie_id")
-                 .groupBy("genre").agg(distinct_count("tag_normalized", distinct).alias("unique_tags")))
+    if distinct == "approx":
+        # one sketch per movie, joined to the (genre, movie) list and unioned per
+        # genre: the raw ratings and tags never meet the genre table
+        users = _sketch_per_genre(ratings, "user_id", genre_movie, "total_users")
+        uniq_tags = _sketch_per_genre(tags, "tag_normalized", genre_movie, "unique_tags")
+    else:
+        users = (ratings.select("movie_id", "user_id").join(genre_movie, "movie_id")
+                 .groupBy("genre").agg(distinct_count("user_id", distinct).alias("total_users")))
+        uniq_tags = (tags.select("movie_id", "tag_normalized").join(genre_movie, "movie_id")
+                     .groupBy("genre").agg(distinct_count("tag_normalized", distinct).alias("unique_tags")))
 
     j = (base.join(rating_part, "genre", "left").join(users, "genre", "left")
          .join(uniq_tags, "genre", "left"))
