@@ -38,19 +38,25 @@ def build_session(master: str | None = "local[*]", app_name: str = "reelhouse",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the pinned semantics.
 
-    ``master=None`` leaves the master to ``spark-submit``.
+    ``master=None`` leaves the master to ``spark-submit``.  Tuning defaults are set
+    only where the launch configuration (spark-defaults, ``--conf``) has no value,
+    so a cluster's own sizing wins; ``extra`` and ``shuffle_partitions`` are applied
+    as given.  The UI is off unless ``extra`` turns it on.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    for k, v in {**SEMANTIC_CONF, **TUNING_DEFAULTS}.items():
-        builder = builder.config(k, v)
+    settings = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **SEMANTIC_CONF}
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    settings.update(extra or {})
+    for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    launch = spark.sparkContext.getConf()
+    for k, v in TUNING_DEFAULTS.items():
+        if not launch.contains(k):
+            spark.conf.set(k, v)
     apply_semantics(spark)
     return spark
 
