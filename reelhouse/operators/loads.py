@@ -127,12 +127,18 @@ class SnapshotTarget:
 
 def write_frame(df: DataFrame, target: Target, mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None, compression: str | None = None,
-                rebalance: bool = False, max_records_per_file: int | None = None) -> None:
+                rebalance: bool = False, max_records_per_file: int | None = None,
+                bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Write with a mode, optional partition columns and file options.
 
     ``rebalance`` asks AQE to cut output partitions to the advisory size
     (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), which sets the file size.
+    ``bucket_by=(n, cols)`` writes a bucketed catalog table (hash of ``cols`` into
+    ``n`` files per partition, sorted): later aggregations and joins on ``cols``
+    between tables bucketed the same way read co-located data without a shuffle.
     """
+    if bucket_by and target.is_path:
+        raise ValueError("bucketed writes need a catalog table target")
     if rebalance:
         df = df.hint("rebalance", *(partition_by or []))
     w = df.write.mode(mode).format(target.fmt)
@@ -142,6 +148,9 @@ def write_frame(df: DataFrame, target: Target, mode: str = "overwrite",
         w = w.option("compression", compression)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    if bucket_by:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
     if target.is_path:
         w.save(target.location)
     else:

@@ -111,3 +111,28 @@ def test_cli_load_and_build(spark, scratch_dir, monkeypatch):
         df.write.parquet(os.path.join(scratch_dir, "raw", name))
     assert cli.main(["build", "--raw-parquet", os.path.join(scratch_dir, "raw"),
                      "--root", os.path.join(scratch_dir, "lake")]) == 0
+
+
+def test_bucketed_silver_removes_movie_shuffles(spark):
+    import contextlib
+    import io
+
+    from reelhouse.plans import gold_movies
+    from reelhouse.plans.build import build_all
+
+    out = build_all(spark, raw_tables(spark, SF_SMALL), silver_ns="bk_silver", gold_ns="bk_gold", buckets=8)
+    plain = build_all(spark, raw_tables(spark, SF_SMALL), silver_ns="pl_silver", gold_ns="pl_gold")
+    a = spark.table("bk_gold.gold_movie_analytics").drop("processed_at")
+    b = spark.table("pl_gold.gold_movie_analytics").drop("processed_at")
+    assert rows(a) == rows(b)
+    # a per-movie aggregation over the bucketed table needs no shuffle at all
+    r = out["silver_ratings"].read(spark)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        r.groupBy("movie_id").count().explain()
+    plan = buf.getvalue()
+    assert "Bucketed: true" in plan and "Exchange" not in plan
+    assert gold_movies.movie_rating_metrics(r).count() == r.select("movie_id").distinct().count()
+    with pytest.raises(ValueError):
+        build_all(spark, raw_tables(spark, SF_SMALL), root="/tmp/never", buckets=4)
+    assert plain["gold_movie_analytics"].exists(spark)
