@@ -24,6 +24,9 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--root", help="write parquet folders here instead of catalog tables")
     b.add_argument("--silver-ns", default="silver")
     b.add_argument("--gold-ns", default="gold")
+    b.add_argument("--distinct", choices=["exact", "approx"], default="exact",
+                   help="approx: HyperLogLog++ for per-month / per-genre distinct counts")
+    b.add_argument("--buckets", type=int, help="bucket silver tables by movie_id (catalog tables only)")
 
     ld = sub.add_parser("load", help="load tables with replace / append / incremental / merge")
     ld.add_argument("--source", required=True, help="folder holding one parquet folder per table")
@@ -50,7 +53,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             raw = {n: spark.read.parquet(f"{args.raw_parquet.rstrip('/')}/{n}")
                    for n in ("movies", "ratings", "tags", "links")}
-        out = build_all(spark, raw, root=args.root, silver_ns=args.silver_ns, gold_ns=args.gold_ns)
+        out = build_all(spark, raw, root=args.root, silver_ns=args.silver_ns, gold_ns=args.gold_ns,
+                        distinct=args.distinct, buckets=args.buckets)
         for name, target in out.items():
             print(name, getattr(target, "location", target))
         return 0
