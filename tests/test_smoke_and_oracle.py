@@ -59,3 +59,14 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _same(_canon(df.columns, srows), _canon(ocols, res.fetchall()))
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_column_types_match_oracle(spark, duck, name):
+    spark_types = {f.name: f.dataType.simpleString() for f in E.queries()[name](spark, SF_SMALL).schema.fields}
+    rel = duck.sql(E.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in spark_types.items()} == duck_types
