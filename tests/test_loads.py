@@ -193,3 +193,12 @@ def test_keyed_first_load_keeps_newest_per_key(spark, scratch_dir, batches):
     # repeating the same load (as after a failure before the mark commit) changes nothing
     L.load_incremental(spark, new, target, state, "orders", ORDER_CURSOR, keys=ORDER_KEY)
     assert rows(target.read(spark)) == rows(L.newest_per_key(new, ORDER_KEY, [ORDER_CURSOR]))
+
+
+def test_checkpoint_dir_uses_the_configured_folder(spark):
+    from reelhouse.session import checkpoint_dir
+
+    configured = spark.sparkContext.getCheckpointDir()
+    got = checkpoint_dir(spark)
+    assert got and (configured is None or got == configured)
+    assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()   # stable, no new folder
