@@ -31,11 +31,14 @@ def _parser() -> argparse.ArgumentParser:
     ld = sub.add_parser("load", help="load tables with replace / append / incremental / merge")
     ld.add_argument("--source", required=True, help="folder holding one parquet folder per table")
     ld.add_argument("--tables", nargs="+", required=True)
-    ld.add_argument("--target-root", required=True, help="targets are versioned snapshot folders here")
+    ld.add_argument("--target-root", required=True, help="folder of the target tables")
     ld.add_argument("--mode", choices=["replace", "append", "incremental", "merge"], default="append")
     ld.add_argument("--keys", help="comma-separated primary key columns (merge)")
     ld.add_argument("--cursor", help="cursor column (incremental, or merge with a mark)")
     ld.add_argument("--state", help="state table folder for the marks")
+    ld.add_argument("--key-buckets", type=int, default=64, help="folders of a keyed (merge) target")
+    ld.add_argument("--schema-policy", default="fail",
+                    choices=["fail", "ignore", "append_new_columns", "sync_all_columns"])
     return p
 
 
@@ -59,13 +62,17 @@ def main(argv: list[str] | None = None) -> int:
             print(name, getattr(target, "location", target))
         return 0
 
-    from .operators.loads import SnapshotTarget, Target, load_tables
+    from .operators.loads import KeyedTarget, Target, load_tables
 
     sources = {t: spark.read.parquet(f"{args.source.rstrip('/')}/{t}") for t in args.tables}
-    targets = {t: SnapshotTarget(f"{args.target_root.rstrip('/')}/{t}") for t in args.tables}
     keys = {t: args.keys.split(",") for t in args.tables} if args.keys else None
+    root = args.target_root.rstrip("/")
+    merge_schema = args.schema_policy == "append_new_columns"
+    targets = {t: KeyedTarget(f"{root}/{t}", tuple(keys[t]), args.key_buckets) if args.mode == "merge" and keys
+               else Target(f"{root}/{t}", is_path=True, merge_schema=merge_schema) for t in args.tables}
     state = Target(args.state, is_path=True) if args.state else None
-    report = load_tables(spark, sources, targets, mode=args.mode, keys=keys, cursor=args.cursor, state=state)
+    report = load_tables(spark, sources, targets, mode=args.mode, keys=keys, cursor=args.cursor, state=state,
+                         policy=args.schema_policy)
     rows = report.collect()          # one row per table
     for r in rows:
         print(r.table, r.status, r.rows if r.rows is not None else "", r.message or "")

@@ -26,7 +26,10 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, count_col: str
 
 def mode_from_counts(counts: DataFrame, keys: Sequence[str], value: str, alias: str,
                      count_col: str = "cnt") -> DataFrame:
-    """Most frequent value per key; ties go to the smallest value (numeric values)."""
+    """Most frequent value per key; ties go to the smallest value (numeric values).
+
+    Spark plans ``max_by`` over a struct as a sort aggregate on both sides of the shuffle.
+    """
     order = F.struct(F.col(count_col), -F.col(value))
     return counts.groupBy(*keys).agg(F.max_by(value, order).alias(alias))
 

@@ -3,10 +3,9 @@ update-columns merge, delete+insert, schema-change policies and a load report.
 
 The *merge* functions are pure ``DataFrame -> DataFrame`` plans (no action), so they
 can be checked, explained and reused inside a streaming ``foreachBatch``.  The
-*load* functions perform the write.  A rewrite of a table that is also read by the
-plan first cuts lineage with ``checkpoint()`` (reliable storage under
-``spark.checkpoint.dir``), so an overwrite never reads the files it replaces and a
-lost executor re-reads the checkpoint instead of a half-written table.
+*load* functions perform the write and never rewrite a whole table for a batch: an
+append adds files, and an upsert into a ``KeyedTarget`` replaces the key buckets that
+the batch touches and no others.  Rows are counted while they are written.
 """
 
 from __future__ import annotations
@@ -15,13 +14,11 @@ import traceback
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from ..session import checkpoint_dir
-
 # ---------------------------------------------------------------------------------
 # targets and writes
 # ---------------------------------------------------------------------------------
@@ -29,15 +26,23 @@ from ..session import checkpoint_dir
 
 @dataclass(frozen=True)
 class Target:
-    """A catalog table (``cat.ns.tbl``) or a path in a file format."""
+    """A catalog table (``cat.ns.tbl``) or a path in a file format.
+
+    Appends may add columns (``append_new_columns``); a path is then read with its
+    files' schemas merged, which ``merge_schema`` asks for.
+    """
 
     location: str
     is_path: bool = False
     fmt: str = "parquet"
+    merge_schema: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.is_path:
-            return spark.read.format(self.fmt).load(self.location)
+            reader = spark.read.format(self.fmt)
+            if self.merge_schema:
+                reader = reader.option("mergeSchema", "true")
+            return reader.load(self.location)
         return spark.table(self.location)
 
     def exists(self, spark: SparkSession) -> bool:
@@ -48,15 +53,6 @@ class Target:
     def write(self, spark: SparkSession, df: DataFrame, mode: str, **opts) -> None:
         write_frame(df, self, mode, **opts)
 
-    def replace_with(self, spark: SparkSession, df: DataFrame, **opts) -> None:
-        """Overwrite with a plan that may read this target (lineage cut first).
-
-        Not atomic: a job that dies mid-write leaves a partial table; use
-        ``SnapshotTarget`` where that matters.
-        """
-        checkpoint_dir(spark)
-        write_frame(df.checkpoint(eager=True), self, "overwrite", **opts)
-
 
 def _path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     try:
@@ -66,63 +62,60 @@ def _path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         return False
 
 
+BUCKET = "_key_bucket"
+
+
 @dataclass(frozen=True)
-class SnapshotTarget:
-    """A path table with atomic replace: data in ``base/v=<n>``, a version log in
-    ``base/_versions`` appended only after the data write succeeded.
-
-    A rewrite never touches the files it reads (it writes the next version), so no
-    lineage cut is needed, and a job that fails mid-write leaves the previous
-    version current; a retried load starts from that version.  Old versions stay
-    until removed by the operator of the lake.
+class KeyedTarget:
+    """A path table keyed by ``keys``, stored in ``buckets`` folders by the hash of the key.
+
+    An upsert reads and replaces only the folders its batch touches: Spark's dynamic
+    partition overwrite writes them beside the table and moves them in when the job
+    commits, so a job that fails before that changes nothing, and a retry repeats the
+    same merge.  Choose ``buckets`` so that one folder is some 100 MB.
     """
 
     base: str
+    keys: tuple[str, ...]
+    buckets: int = 64
     fmt: str = "parquet"
 
-    @property
-    def log_path(self) -> str:
-        return f"{self.base.rstrip('/')}/_versions"
-
-    def version_path(self, version: int) -> str:
-        return f"{self.base.rstrip('/')}/v={version}"
-
-    def current_version(self, spark: SparkSession) -> int | None:
-        if not _path_exists(spark, self.log_path):
-            return None
-        return spark.read.parquet(self.log_path).agg(F.max("version")).first()[0]
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        key = F.xxhash64(*[F.col(f"`{k}`") for k in self.keys])
+        return df.withColumn(BUCKET, F.pmod(key, F.lit(self.buckets)).cast("int"))
 
     def exists(self, spark: SparkSession) -> bool:
-        return self.current_version(spark) is not None
+        return _path_exists(spark, self.base, self.fmt)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        v = self.current_version(spark)
-        if v is None:
-            raise FileNotFoundError(f"no committed version under {self.base}")
-        return spark.read.format(self.fmt).load(self.version_path(v))
-
-    def _commit(self, spark: SparkSession, version: int) -> None:
-        log = spark.range(1).select(F.lit(version).cast("bigint").alias("version"),
-                                    F.current_timestamp().alias("committed_at"))
-        log.coalesce(1).write.mode("append").parquet(self.log_path)
-
-    def write(self, spark: SparkSession, df: DataFrame, mode: str, **opts) -> None:
-        """``overwrite``: the next version holds ``df``.  ``append``: the next version
-        holds the current rows plus ``df`` (atomic, but it rewrites the table: use a
-        plain ``Target`` for large append-only tables, a snapshot for rewrites)."""
-        cur = self.current_version(spark)
-        if mode == "append" and cur is not None:
-            new = cur + 1
-            df = self.read(spark).unionByName(df)
-        elif mode in ("append", "overwrite"):
-            new = (cur or 0) + 1
-        else:
-            raise ValueError(f"unsupported mode for a snapshot table: {mode!r}")
-        write_frame(df, Target(self.version_path(new), is_path=True, fmt=self.fmt), "overwrite", **opts)
-        self._commit(spark, new)
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        return spark.read.format(self.fmt).load(self.base)
 
-    def replace_with(self, spark: SparkSession, df: DataFrame, **opts) -> None:
-        self.write(spark, df, "overwrite", **opts)
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self._stored(spark).drop(BUCKET)
+
+    def _put(self, df: DataFrame, dynamic: bool) -> None:
+        (df.repartition(BUCKET).write.mode("overwrite").format(self.fmt).partitionBy(BUCKET)
+         .option("partitionOverwriteMode", "dynamic" if dynamic else "static").save(self.base))
+
+    def write(self, spark: SparkSession, df: DataFrame, mode: str, order_by: Sequence[str] = ()) -> None:
+        """``overwrite``: the newest row per key of ``df`` is the table.  Other modes go through ``upsert``."""
+        if mode != "overwrite":
+            raise ValueError(f"a keyed target takes overwrite or upsert, not {mode!r}")
+        self._put(self._bucketed(newest_per_key(df, self.keys, order_by)), dynamic=False)
+
+    def upsert(self, spark: SparkSession, batch: DataFrame, order_by: Sequence[str] = (),
+               newest_wins: bool = False, policy: str = "fail") -> None:
+        if not self.exists(spark):
+            self.write(spark, batch, "overwrite", order_by)
+            return
+        old = self._stored(spark)
+        _, batch = align_schema(old.drop(BUCKET), batch, policy, keep_table=True)
+        batch = self._bucketed(batch)
+        touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # ``buckets`` numbers at most
+        if not touched:
+            return
+        part = old.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        self._put(self._bucketed(upsert_frame(part, batch.drop(BUCKET), self.keys, order_by, newest_wins)), dynamic=True)
 
 
 def write_frame(df: DataFrame, target: Target, mode: str = "overwrite",
@@ -162,8 +155,23 @@ def replace(df: DataFrame, target: Target, **opts) -> None:
     write_frame(df, target, "overwrite", **opts)
 
 
-def append(df: DataFrame, target: Target, **opts) -> None:
-    """S09 append load (re-running it appends the rows again, by design)."""
+def append(df: DataFrame, target: Target, policy: str = "fail", **opts) -> None:
+    """S09 append load: adds files (re-running it appends the rows again, by design).
+
+    The rows are first checked against the table's schema and brought to it by
+    ``policy`` (S15), so a drifted batch never leaves a table that cannot be read.
+    """
+    spark = df.sparkSession
+    if target.exists(spark):
+        table = target.read(spark)
+        added = schema_diff(table.schema, df.schema)["added"]
+        _, df = align_schema(table, df, policy, keep_table=True)
+        if policy == "append_new_columns" and added and not target.is_path:
+            for name in added:
+                kind = df.schema[name].dataType.simpleString()
+                spark.sql(f"ALTER TABLE {quote_ident(target.location)} ADD COLUMNS (`{name}` {kind})")
+        elif policy == "append_new_columns" and added and not target.merge_schema:
+            raise SchemaChangeError(f"new columns {added}: read this path with merge_schema to keep them")
     write_frame(df, target, "append", **opts)
 
 
@@ -200,11 +208,6 @@ def ensure_namespace(spark: SparkSession, namespace: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quote_ident(namespace)}")
 
 
-def rewrite(spark: SparkSession, df: DataFrame, target: "Target | SnapshotTarget", **opts) -> None:
-    """Overwrite ``target`` with a plan that may read ``target`` itself."""
-    target.replace_with(spark, df, **opts)
-
-
 # ---------------------------------------------------------------------------------
 # pure merge plans
 # ---------------------------------------------------------------------------------
@@ -214,12 +217,21 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``; a row with a null key fails the query, as it could neither match nor be matched later."""
+    checked = {k: F.when(F.col(f"`{k}`").isNull(), F.raise_error(F.lit(f"null key column {k}")).cast(df.schema[k].dataType))
+               .otherwise(F.col(f"`{k}`")) for k in keys}
+    return df.withColumns(checked)
+
+
 def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """One row per key: greatest ``order_by`` (ties broken by a hash of the row).
+    """One row per key: greatest ``order_by`` (nulls lowest; ties broken by a hash of the row).
 
-    ``max_by`` is a hash aggregate with partial aggregation, so a key with millions
-    of versions is reduced map-side instead of being sorted whole in one task.
+    ``max_by`` aggregates partially, so a key with millions of versions is one row
+    per task after the map side.  Spark plans it as a sort aggregate (the row is a
+    struct), so each task sorts its own rows by key.
     """
+    df = with_keys(df, keys)
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(list(keys))
@@ -230,11 +242,20 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
 
 
 def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 order_by: Sequence[str] = ()) -> DataFrame:
-    """Target rows whose key is absent from the source, plus the newest source row per key."""
-    src = newest_per_key(source, keys, order_by)
+                 order_by: Sequence[str] = (), newest_wins: bool = False) -> DataFrame:
+    """Target rows whose key is absent from the source, plus the newest source row per key.
+
+    ``newest_wins``: a target row that is newer by ``order_by`` than the source's stays
+    (on equal order the source's row wins).  Source columns that the target lacks raise.
+    """
+    if extra := [c for c in source.columns if c not in target.columns]:
+        raise SchemaChangeError(f"the target has no columns {extra}; align the schemas first")
+    src = newest_per_key(source, keys, order_by).select(*target.columns)
+    if newest_wins and order_by:
+        both = target.withColumn("_from", F.lit(0)).unionByName(src.withColumn("_from", F.lit(1)))
+        return newest_per_key(both, keys, [*order_by, "_from"]).drop("_from")
     kept = target.join(src.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(src.select(*target.columns))
+    return kept.unionByName(src)
 
 
 def delete_insert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -269,28 +290,39 @@ def merge_update_columns(target: DataFrame, source: DataFrame, keys: Sequence[st
     return j.select(*cols)
 
 
-def rows_after(source: DataFrame, cursor: str, last_value: Column | None, inclusive: bool = False) -> DataFrame:
-    """Rows past the high-water mark (all rows when there is none yet).
+def rows_after(source: DataFrame, cursor: str, mark: Column | None) -> DataFrame:
+    """The rows that a load past the high-water mark must look at.
 
-    ``inclusive`` re-reads rows equal to the mark; pair it with an upsert so rows
-    that share the last cursor value but arrived late are not lost.
+    Rows at the mark are included (others with the same cursor may arrive later), and
+    so are rows with a null cursor, which no mark ever passes; all rows if there is no
+    mark yet.  What was loaded before is told apart by ``unloaded_rows`` or by the key.
     """
-    if last_value is None:
+    if mark is None:
         return source
     c = F.col(cursor)
-    return source.where(c >= last_value if inclusive else c > last_value)
+    return source.where(mark.isNull() | c.isNull() | (c >= mark))
+
+
+def unloaded_rows(source: DataFrame, target: DataFrame, cursor: str, mark: Column | None) -> DataFrame:
+    """Source rows past the mark that the target does not hold yet, as multisets.
+
+    A row that the source has n times and the target m times is loaded n - m times, so
+    a late row with the mark's own cursor is found, and repeating a load adds nothing.
+    """
+    return rows_after(source, cursor, mark).exceptAll(rows_after(target.select(*source.columns), cursor, mark))
 
 
 def incremental_frame(target: DataFrame, source: DataFrame, cursor: str,
                       keys: Sequence[str] | None = None) -> DataFrame:
     """Target after one incremental batch, the mark taken from the target itself.
 
-    The mark is a scalar subquery (``max(cursor)``), evaluated once by Spark.
+    The mark is a scalar subquery (``max(cursor)``), evaluated once by Spark.  With
+    ``keys`` the newest row per key wins, by the cursor.
     """
     mark = target.select(F.max(cursor)).scalar()
     if keys:
-        return upsert_frame(target, rows_after(source, cursor, mark, inclusive=True), keys, [cursor])
-    return target.unionByName(rows_after(source, cursor, mark))
+        return upsert_frame(target, rows_after(source, cursor, mark), keys, [cursor], newest_wins=True)
+    return target.unionByName(unloaded_rows(source, target, cursor, mark))
 
 
 # ---------------------------------------------------------------------------------
@@ -314,13 +346,30 @@ def schema_diff(target: T.StructType, incoming: T.StructType) -> dict[str, list[
     }
 
 
-def align_schema(target: DataFrame, incoming: DataFrame, policy: str) -> tuple[DataFrame, DataFrame]:
+#: Casts that keep every value: (from, to).
+_WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "double"), "smallint": ("int", "bigint", "double"),
+    "int": ("bigint", "double"), "float": ("double",), "date": ("timestamp", "timestamp_ntz"),
+}
+
+
+def lossless(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of ``old`` is a value of ``new``."""
+    return old == new or new.simpleString() in _WIDER.get(old.simpleString(), ())
+
+
+def align_schema(target: DataFrame, incoming: DataFrame, policy: str,
+                 keep_table: bool = False) -> tuple[DataFrame, DataFrame]:
     """Project (existing rows, new rows) to the table schema the policy yields.
 
     * ``fail``: raise on any difference;
     * ``ignore``: keep the table's columns, new columns dropped, missing ones null;
     * ``append_new_columns``: table columns then the new ones (null on old rows);
     * ``sync_all_columns``: exactly the incoming columns and types.
+
+    A retyped column is only ever cast to a wider type; a lossy retype raises.
+    ``keep_table`` says that stored rows stay as they are, so ``sync_all_columns`` raises
+    there if it would drop or retype a stored column.
     """
     if policy not in SCHEMA_POLICIES:
         raise ValueError(f"unknown schema policy {policy!r}; use one of {SCHEMA_POLICIES}")
@@ -329,6 +378,9 @@ def align_schema(target: DataFrame, incoming: DataFrame, policy: str) -> tuple[D
     i_types = {f.name: f.dataType for f in incoming.schema.fields}
 
     def project(df, types, names, out_types):
+        for n in names:
+            if n in types and not lossless(types[n], out_types[n]):
+                raise SchemaChangeError(f"column {n}: {types[n].simpleString()} does not fit into {out_types[n].simpleString()}")
         return df.select(*[
             (F.col(f"`{n}`").cast(out_types[n]) if n in types else F.lit(None).cast(out_types[n])).alias(n)
             for n in names])
@@ -337,6 +389,8 @@ def align_schema(target: DataFrame, incoming: DataFrame, policy: str) -> tuple[D
         if any(diff.values()):
             raise SchemaChangeError(f"schema changed: {diff}")
         return target, incoming.select(*target.columns)
+    if policy == "sync_all_columns" and keep_table and (diff["removed"] or diff["retyped"]):
+        raise SchemaChangeError(f"sync_all_columns needs a full refresh for {diff}")
     if policy == "ignore":
         names, out = target.columns, t_types
     elif policy == "append_new_columns":
@@ -369,45 +423,52 @@ def read_mark(spark: SparkSession, state: Target, table: str, cursor: str, curso
     return s.select(F.max_by("last_value", "load_id").cast(cursor_type)).scalar()
 
 
-def load_incremental(spark: SparkSession, source: DataFrame, target: "Target | SnapshotTarget", state: Target,
-                     table: str, cursor: str, keys: Sequence[str] | None = None) -> int:
+def load_incremental(spark: SparkSession, source: DataFrame, target: "Target | KeyedTarget", state: Target,
+                     table: str, cursor: str, keys: Sequence[str] | None = None, policy: str = "fail") -> int:
     """Load rows past the mark, then commit the new mark (only after the write).
 
-    With ``keys`` the batch is re-read from the mark inclusive and upserted (newest
-    row per key), which is idempotent: a run that died between the data write and
-    the mark commit is simply repeated.  Without keys the load appends, so such a
-    repeat appends the batch again (at-least-once); use keys where that matters.
-    Returns the number of rows in the batch.
+    With a ``KeyedTarget`` the batch is upserted, the newest row per key winning by the
+    cursor (a null cursor is the oldest).  Without keys the rows that the target does
+    not hold yet are appended.  Both repeat to the same table: a run that died between
+    the data write and the mark commit is simply run again.  A batch without any cursor
+    value leaves the mark as it is.  Returns the number of rows written (appended, or in the
+    batch that was merged).
     """
-    checkpoint_dir(spark)
-    ctype = source.schema[cursor].dataType
-    mark = read_mark(spark, state, table, cursor, ctype)
-    batch = rows_after(source, cursor, mark, inclusive=bool(keys)).checkpoint(eager=True)
-    n = batch.count()
-    if n == 0:
-        return 0
-    if keys and target.exists(spark):
-        target.replace_with(spark, upsert_frame(target.read(spark), batch, keys, [cursor]))
-    elif keys:
-        target.write(spark, newest_per_key(batch, keys, [cursor]), "overwrite")
+    if bool(keys) != isinstance(target, KeyedTarget):
+        raise ValueError("keys and a KeyedTarget go together")
+    mark = read_mark(spark, state, table, cursor, source.schema[cursor].dataType)
+    seen = Observation()
+    counted = [F.count(F.lit(1)).alias("n"), F.max(cursor).alias("mark")]
+    if keys:
+        if tuple(keys) != target.keys:
+            raise ValueError(f"the target is keyed by {target.keys}, not {tuple(keys)}")
+        batch = rows_after(source, cursor, mark)
+        found = batch.agg(*counted).first()
+        if found.n:
+            target.upsert(spark, batch, [cursor], newest_wins=True, policy=policy)
     else:
-        target.write(spark, batch, "append")
-    prev = state.read(spark).agg(F.max("load_id")).first()[0] if state.exists(spark) else None
-    new_mark = batch.select(F.max(cursor).cast("string").alias("last_value"))
-    row = new_mark.select(F.lit(table).alias("table"), F.lit(cursor).alias("cursor"), "last_value",
-                          F.lit((prev or 0) + 1).cast("bigint").alias("load_id"))
-    write_frame(row, state, "append")
-    return n
-
-
-def upsert_load(spark: SparkSession, source: DataFrame, target: "Target | SnapshotTarget",
-                keys: Sequence[str], order_by: Sequence[str] = ()) -> None:
-    """S12 on a file/managed table: merge plan, then the target's replace
-    (lineage cut + overwrite for ``Target``, next version for ``SnapshotTarget``)."""
-    if not target.exists(spark):
-        target.write(spark, newest_per_key(source, keys, order_by), "overwrite")
-        return
-    target.replace_with(spark, upsert_frame(target.read(spark), source, keys, order_by))
+        exists = target.exists(spark)
+        batch = rows_after(source, cursor, mark)
+        if exists:
+            stored = target.read(spark)
+            _, batch = align_schema(stored, batch, policy, keep_table=True)
+            batch = batch.exceptAll(rows_after(align_schema(batch, stored, "ignore")[1], cursor, mark))
+        append(batch.observe(seen, *counted), target, policy=policy)
+        found = Row(**seen.get)
+    if found.n and found.mark is not None:
+        prev = state.read(spark).agg(F.max("load_id")).first()[0] if state.exists(spark) else None
+        last = F.lit(found.mark).cast(source.schema[cursor].dataType).cast("string")
+        row = spark.range(1).select(F.lit(table).alias("table"), F.lit(cursor).alias("cursor"), last.alias("last_value"),
+                                    F.lit((prev or 0) + 1).cast("bigint").alias("load_id"))
+        write_frame(row, state, "append")
+    return found.n
+
+
+def upsert_load(spark: SparkSession, source: DataFrame, target: KeyedTarget, order_by: Sequence[str] = (),
+                policy: str = "fail") -> int:
+    """S12 on files: replace the key buckets that ``source`` touches; returns its row count."""
+    target.upsert(spark, source, order_by, policy=policy)
+    return source.count()
 
 
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str],
@@ -445,7 +506,7 @@ def run_loads(spark: SparkSession, jobs: dict[str, Callable[[], int | None]]) ->
             results.append(LoadResult(table, "completed", job(), None))
         except Exception as exc:  # noqa: BLE001 - reported per table
             msg = "".join(traceback.format_exception_only(type(exc), exc)).strip()
-            results.append(LoadResult(table, "failed", None, msg[:2000]))
+            results.append(LoadResult(table, "failed", None, msg))
     return spark.createDataFrame([(r.table, r.status, r.rows, r.message) for r in results], REPORT_SCHEMA)
 
 
@@ -457,20 +518,23 @@ LOAD_MODES = ("replace", "append", "incremental", "merge")
 
 
 def load_tables(spark: SparkSession, sources: dict[str, DataFrame],
-                targets: dict[str, "Target | SnapshotTarget"], mode: str = "append",
+                targets: dict[str, "Target | KeyedTarget"], mode: str = "append",
                 keys: dict[str, Sequence[str]] | None = None, cursor: str | None = None,
-                state: Target | None = None) -> DataFrame:
-    """Load several tables one by one and return the S18 report.
+                state: Target | None = None, policy: str = "fail") -> DataFrame:
+    """Load several tables one by one and return the S18 report (with the rows of each load).
 
     * ``replace``: full refresh; ``append``: add every row (re-running appends again);
     * ``incremental``: rows past the committed mark of ``cursor`` (needs ``state``);
-    * ``merge``: keyed upsert (needs ``keys[table]``; with ``cursor`` the newest
-      source row per key wins and only rows past the mark are read).
+    * ``merge``: keyed upsert into a ``KeyedTarget`` (needs ``keys[table]``; with ``cursor``
+      the newest source row per key wins, and with ``state`` only rows past the mark are read).
 
-    Invalid combinations raise instead of being ignored.
+    ``policy`` is the schema-change policy (S15) of every mode but ``replace``.  Invalid
+    combinations raise instead of being ignored.
     """
     if mode not in LOAD_MODES:
         raise ValueError(f"unknown load mode {mode!r}; use one of {LOAD_MODES}")
+    if policy not in SCHEMA_POLICIES:
+        raise ValueError(f"unknown schema policy {policy!r}; use one of {SCHEMA_POLICIES}")
     if mode == "incremental" and (not cursor or state is None):
         raise ValueError("incremental loads need a cursor column and a state table")
     if mode == "merge":
@@ -481,23 +545,27 @@ def load_tables(spark: SparkSession, sources: dict[str, DataFrame],
     if missing_targets:
         raise ValueError(f"no target for: {missing_targets}")
 
+    def counted(src: DataFrame, write: Callable[[DataFrame], None]) -> int:
+        seen = Observation()
+        write(src.observe(seen, F.count(F.lit(1)).alias("n")))
+        return seen.get["n"]
+
     def job(table: str) -> Callable[[], int | None]:
         src, tgt = sources[table], targets[table]
 
         def run() -> int | None:
             if mode == "replace":
-                tgt.write(spark, src, "overwrite")
-                return None
+                return counted(src, lambda df: tgt.write(spark, df, "overwrite"))
             if mode == "append":
-                tgt.write(spark, src, "append")
-                return None
+                return counted(src, lambda df: append(df, tgt, policy=policy))
             if mode == "incremental":
-                return load_incremental(spark, src, tgt, state, table, cursor)
+                return load_incremental(spark, src, tgt, state, table, cursor, policy=policy)
             k = list(keys[table])
+            if not isinstance(tgt, KeyedTarget) or tgt.keys != tuple(k):
+                raise ValueError(f"merge needs a KeyedTarget with the keys {k}")
             if cursor and state is not None:
-                return load_incremental(spark, src, tgt, state, table, cursor, keys=k)
-            upsert_load(spark, src, tgt, k, [cursor] if cursor else [])
-            return None
+                return load_incremental(spark, src, tgt, state, table, cursor, keys=k, policy=policy)
+            return upsert_load(spark, src, tgt, [cursor] if cursor else [], policy=policy)
         return run
 
     return run_loads(spark, {t: job(t) for t in sources})

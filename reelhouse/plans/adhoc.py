@@ -1,19 +1,17 @@
 """Ad hoc SQL over the gold tables (S19) and the four example reports (Q01-Q04).
 
 ``run_sql`` keeps the result a DataFrame; ``rows_as_json`` renders rows on the
-executors (``to_json(struct(*))``); only ``result_envelope`` brings rows to the
-driver, and always through an explicit ``limit``.
+executors (``to_json(struct(*))``); ``result_envelope`` describes the whole result
+and leaves its rows a DataFrame, ``write_envelope`` writes them in one pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import exact_mean
 
-DEFAULT_ENVELOPE_LIMIT = 1000
-
 
 def register_views(tables: dict[str, DataFrame]) -> None:
     """Expose DataFrames to SQL under their names (session-scoped temp views)."""
@@ -31,15 +29,20 @@ def rows_as_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("row_json"))
 
 
-def result_envelope(df: DataFrame, limit: int = DEFAULT_ENVELOPE_LIMIT) -> dict:
-    """``{data, metadata: {row_count, column_names}}`` for at most ``limit`` rows.
+def result_envelope(df: DataFrame) -> dict:
+    """``{data, metadata: {row_count, column_names}}`` of the whole result.
 
-    Values that are not JSON-native are rendered as text by ``to_json``.
+    ``data`` is a DataFrame of one JSON object per row (no row is brought to the
+    driver); ``row_count`` counts all of them.
     """
-    import json
+    return {"data": rows_as_json(df), "metadata": {"row_count": df.count(), "column_names": list(df.columns)}}
+
 
-    rows = [json.loads(r.row_json) for r in rows_as_json(df.limit(limit)).collect()]
-    return {"data": rows, "metadata": {"row_count": len(rows), "column_names": list(df.columns)}}
+def write_envelope(df: DataFrame, path: str) -> dict:
+    """Write the rows as JSON lines under ``path`` and return the metadata; the rows are counted as they are written."""
+    seen = Observation()
+    rows_as_json(df).observe(seen, F.count(F.lit(1)).alias("n")).write.text(path)
+    return {"data": path, "metadata": {"row_count": seen.get["n"], "column_names": list(df.columns)}}
 
 
 def top_genres(genres: DataFrame, n: int = 10) -> DataFrame:
@@ -57,12 +60,13 @@ def recommendations_for_title(recs: DataFrame, title: str, n: int = 5) -> DataFr
 
 
 def yearly_rollup(trends: DataFrame) -> DataFrame:
-    """Q03: monthly rows rolled up per year."""
+    """Q03: monthly rows rolled up per year, in order of the year."""
     return trends.groupBy("year").agg(
         F.sum("total_ratings").alias("total_ratings"),
-        exact_mean(F.col("avg_rating")).alias("avg_rating"))
+        exact_mean(F.col("avg_rating")).alias("avg_rating")).orderBy("year")
 
 
 def users_by_favorite_genre(users: DataFrame) -> DataFrame:
-    """Q04: users per favourite genre."""
-    return users.groupBy("favorite_genre").agg(F.count(F.lit(1)).alias("users"))
+    """Q04: users per favourite genre, most users first (ties by genre)."""
+    return (users.groupBy("favorite_genre").agg(F.count(F.lit(1)).alias("users"))
+            .orderBy(F.desc("users"), F.asc_nulls_last("favorite_genre")))

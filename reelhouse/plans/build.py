@@ -32,8 +32,7 @@ def materialize(df: DataFrame, target: Target, bucket_by=None) -> None:
 
 def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str | None = None,
               silver_ns: str | None = "silver", gold_ns: str | None = "gold",
-              dev_limit: int | None = None, distinct: str = "exact",
-              buckets: int | None = None) -> dict[str, Target]:
+              distinct: str = "exact", buckets: int | None = None) -> dict[str, Target]:
     """Write the four silver and five gold tables; return where they went.
 
     ``root`` set: parquet folders ``root/<namespace>/<table>``; unset: catalog tables.
@@ -51,7 +50,7 @@ def build_all(spark: SparkSession, raw: dict[str, DataFrame], root: str | None =
         ensure_namespace(spark, g_ns)
     bucketed = {"silver_movies", "silver_ratings", "silver_tags"} if buckets else set()
     out: dict[str, Target] = {}
-    for name, df in build_silver(raw, dev_limit).items():
+    for name, df in build_silver(raw).items():
         out[name] = _target(root, s_ns, name)
         materialize(df, out[name], (buckets, ["movie_id"]) if name in bucketed else None)
     s = {k: out[k].read(spark).drop("processed_at") for k in list(out)}

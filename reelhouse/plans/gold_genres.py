@@ -178,4 +178,5 @@ def with_rankings(metrics: DataFrame) -> DataFrame:
 def gold_genre_analytics(movies: DataFrame, ratings: DataFrame, tags: DataFrame,
                          fanout: str = "reference", quantile_mode: str = "exact",
                          distinct: str = "exact") -> DataFrame:
-    return with_rankings(genre_metrics(movies, ratings, tags, fanout, quantile_mode, distinct))
+    metrics = genre_metrics(movies, ratings, tags, fanout, quantile_mode, distinct)
+    return with_rankings(metrics).orderBy(F.desc("total_ratings"), "genre")

@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import round_to
 from ..functions.labels import recommendation_score
-from ..operators.broadcast import broadcast_if_small, spread
 from ..operators.genre_pairs import genre_set, set_pairs
 from ..session import checkpoint_dir
 
@@ -118,33 +117,33 @@ def _scored_candidates(key_sets: DataFrame, cand: DataFrame, keep: int, score_or
     condition |y1 - y2| <= D.  A candidate below L is beaten by at least ``keep``
     others, so the ranked result is unchanged.
     """
-    spread_cand = spread(cand, "similar_movie_id")
     if not bound_pruning:
-        return _score(spread_cand.join(broadcast_if_small(key_sets), "sid2"))
+        return _score(cand.join(key_sets, "sid2"))
 
     # phase 1: same set (Jaccard 1), years y1-1 .. y1+1
     own = (key_sets.where((F.col("sid2") == F.col("sid1")) & F.col("year1").isNotNull())
            .withColumn("similar_movie_year", F.explode(F.sequence(F.col("year1") - 1, F.col("year1") + 1))))
-    near = _score(spread_cand.join(broadcast_if_small(own), ["sid2", "similar_movie_year"]))
+    near = _score(cand.join(own, ["sid2", "similar_movie_year"]))
     bound = (_ranked(near, ["sid1", "year1"], keep, score_order)
              .groupBy("sid1", "year1")
              .agg(F.count(F.lit(1)).alias("_n"), F.min("recommendation_score").alias("_l"))
              .where(F.col("_n") >= keep).drop("_n"))
 
-    # phase 2: per (key, partner set) the reachable year distance D
-    best_avg = cand.groupBy("sid2").agg(F.max("similar_movie_rating").alias("_amax"))
-    ks = key_sets.join(bound, ["sid1", "year1"], "left").join(best_avg, "sid2")
+    # phase 2: per (key, partner set) the reachable year distance D, then the years
+    # of that set within D (null D: every year, and a missing one).  The years come
+    # from the (set, year) table, so candidates meet the keys on (set, year): a hot
+    # genre set is spread over its years, and no unreachable candidate is paired
+    set_years = cand.groupBy("sid2", "similar_movie_year").agg(F.max("similar_movie_rating").alias("_amax"))
+    ks = (key_sets.join(bound, ["sid1", "year1"], "left").join(set_years, "sid2")
+          .withColumn("_dy", F.abs(F.col("year1") - F.col("similar_movie_year"))))
     slack = (F.lit(YEAR_MAX_TERM) - F.col("_l") + F.lit(HALF_STEP + EPS)
              + F.lit(J_WEIGHT) * F.col("jaccard") + F.lit(AVG_WEIGHT) * F.col("_amax"))
     d = F.floor(slack / F.lit(YEAR_STEP))
-    ks = (ks.withColumn("_d", F.when(F.col("_l").isNull() | F.col("year1").isNull() | (d >= YEAR_CAP), F.lit(None))
-                        .otherwise(d))
-            .where(F.col("_l").isNull() | F.col("year1").isNull() | (d >= 0))
-            .drop("_l", "_amax"))
-    # _d null: every year (and a missing year) can still reach the bound
-    within = F.col("_d").isNull() | (F.abs(F.col("year1") - F.col("similar_movie_year")) <= F.col("_d"))
-    # key_sets (checkpointed, size-checked) bounds ks: broadcast with the same check
-    return _score(spread_cand.join(broadcast_if_small(ks), "sid2").where(within)).drop("_d")
+    open_ = F.col("_l").isNull() | F.col("year1").isNull() | (d >= YEAR_CAP)
+    ks = (ks.where(open_ | ((d >= 0) & (F.col("_dy") <= d)))
+          .withColumnRenamed("sid2", "_s").withColumnRenamed("similar_movie_year", "_y").drop("_l", "_amax", "_dy"))
+    return _score(cand.join(ks, (F.col("sid2") == F.col("_s")) & F.col("similar_movie_year").eqNullSafe(F.col("_y")))
+                  .drop("_s", "_y"))
 
 
 def _with_set_ids(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -152,7 +151,7 @@ def _with_set_ids(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     ids are stable); returns (stats with ``set_id``, sets)."""
     sets = (stats.select("genre_set").where(F.col("genre_set").isNotNull()).distinct()
             .withColumn("set_id", F.monotonically_increasing_id()).checkpoint(eager=True))
-    return stats.join(broadcast_if_small(sets), "genre_set", "left"), sets
+    return stats.join(sets, "genre_set", "left"), sets
 
 
 def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_ratings: int = MIN_RATINGS,
@@ -162,9 +161,9 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
 
     ``movie_stats`` feeds several branches that each prune different columns, so
     Spark cannot reuse one exchange for them; it is computed once and kept with a
-    reliable ``checkpoint()`` (one row per movie, in ``spark.checkpoint.dir``);
-    the pruned candidate table and the (key, partner set) table are kept the same
-    way, so later stages read short lineages.
+    reliable ``checkpoint()`` (one row per movie, in ``spark.checkpoint.dir``), and so
+    are the genre sets with their ids and the pruned candidate table.  Building the
+    plan therefore runs the jobs up to these checkpoints; only the rest is lazy.
     Scoring and ranking carry only numeric columns (integer set ids); titles are
     attached to the final rows.  ``query_filter`` (on ``movie_id``/``movie_title``)
     restricts which movies get recommendations; candidates are always all movies,
@@ -209,10 +208,9 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
     m1 = m1.where(F.col("sid1").isNotNull())
 
     # one candidate list per (set, year) query key; the (key, partner set) table is
-    # bounded by the genre-set vocabulary and broadcast only under a checked size,
-    # while candidates are spread so the large join output is produced by all tasks
+    # bounded by the genre-set vocabulary
     keys = m1.select("sid1", "year1").distinct()
-    key_sets = keys.join(pairs, "sid1").checkpoint(eager=True)
+    key_sets = keys.join(pairs, "sid1")
     scored = _scored_candidates(key_sets, cand, keep, score_order, bound_pruning)
     per_key = _ranked(scored, ["sid1", "year1"], keep, score_order)
 
@@ -228,7 +226,7 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
         "movie_id", "movie_title", "similar_movie_id", "similar_movie_title",
         "similar_movie_year", "similar_movie_rating", "similar_movie_ratings_count",
         "common_genres", "genre_similarity", "year_diff", "recommendation_score",
-        "recommendation_rank")
+        "recommendation_rank").orderBy("movie_id", "recommendation_rank")
 
 
 def genre_jaccard_pairs(movies: DataFrame, ratings: DataFrame, min_ratings: int = MIN_RATINGS) -> DataFrame:

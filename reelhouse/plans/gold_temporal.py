@@ -136,4 +136,4 @@ def with_trends(monthly: DataFrame) -> DataFrame:
 
 
 def gold_temporal_trends(ratings: DataFrame, movies: DataFrame, distinct: str = "exact") -> DataFrame:
-    return with_trends(monthly_metrics(ratings, movies, distinct))
+    return with_trends(monthly_metrics(ratings, movies, distinct)).orderBy(F.desc("month"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import as_bigint, day_boundaries, pct, round_to
 from ..functions.labels import favorite_genre, user_engagement_level, user_profile
-from ..operators.histograms import modes
+from ..operators.histograms import mode_from_counts
 
 GENRES = ["action", "comedy", "drama", "thriller", "romance", "horror", "scifi"]
 AVG_GENRES = ["action", "comedy", "drama", "thriller", "romance"]
@@ -30,11 +30,30 @@ def movie_flag_counts(movies: DataFrame) -> DataFrame:
     )
 
 
-def user_activity(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """Per-user rating metrics and genre preferences in one aggregation."""
+def user_calendar(ratings: DataFrame) -> DataFrame:
+    """Active years and months and the favourite hour and weekday (A11) of each user.
+
+    All come from one (user, month, hour, weekday) histogram, partitioned by user once.
+    The collected sets hold calendar months, so their size is bounded by the calendar.
+    """
+    cells = (ratings.groupBy("user_id", "rating_month", "hour_of_day", "day_of_week")
+             .agg(F.count(F.lit(1)).alias("cnt")).repartition("user_id"))
+    out = cells.groupBy("user_id").agg(
+        as_bigint(F.size(F.collect_set(F.year("rating_month")))).alias("years_active"),
+        as_bigint(F.size(F.collect_set("rating_month"))).alias("months_active"))
+    for slot, name in (("hour_of_day", "favorite_hour"), ("day_of_week", "favorite_day_of_week")):
+        counts = cells.groupBy("user_id", slot).agg(F.sum("cnt").alias("cnt"))
+        out = out.join(mode_from_counts(counts, ["user_id"], slot, name), "user_id")
+    return out
+
+
+def user_activity(ratings: DataFrame, movies: DataFrame, calendar: bool = True) -> DataFrame:
+    """Per-user rating metrics and genre preferences in one aggregation.
+
+    ``calendar=False`` leaves out what ``user_calendar`` adds.
+    """
     flags = movie_flag_counts(movies)
-    r = ratings.select("user_id", "movie_id", "rating", "rating_datetime", "rating_year",
-                       "rating_month", "hour_of_day", "day_of_week")
+    r = ratings.select("user_id", "movie_id", "rating", "rating_datetime")
     j = r.join(flags, "movie_id", "left")
     rating = F.col("rating")
     matched = F.sum("n_rows")
@@ -61,16 +80,14 @@ def user_activity(ratings: DataFrame, movies: DataFrame) -> DataFrame:
         pct(F.count_if(rating >= 4.0), F.count(F.lit(1))).alias("pct_positive_ratings"),
         F.min("rating_datetime").alias("first_rating_date"),
         F.max("rating_datetime").alias("last_rating_date"),
-        as_bigint(F.count_distinct("rating_year")).alias("years_active"),
-        as_bigint(F.count_distinct("rating_month")).alias("months_active"),
         has_match.alias("has_genre_match"),
         *[genre_count(g).alias(f"{g}_count") for g in GENRES],
         *[genre_avg(g).alias(f"{g}_avg_rating") for g in AVG_GENRES],
     )
-    # A11 modes from a (user, hour, weekday) histogram: a second, narrow pass over
-    # ratings; both sides come out hash-partitioned by user, so the join is local.
-    fav = modes(ratings, ["user_id"], {"hour_of_day": "favorite_hour", "day_of_week": "favorite_day_of_week"})
-    return agg.join(fav, "user_id", "left").withColumn(
+    # the only distinct count left is that of movies, which needs no Expand
+    if calendar:
+        agg = agg.join(user_calendar(ratings), "user_id", "left")
+    return agg.withColumn(
         "days_active", day_boundaries(F.col("first_rating_date"), F.col("last_rating_date")))
 
 
@@ -85,7 +102,7 @@ def user_rating_metrics(ratings: DataFrame, movies: DataFrame) -> DataFrame:
 
 def user_genre_preferences(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Users with at least one rating of a known movie (the reference's inner-join CTE)."""
-    return user_activity(ratings, movies).where("has_genre_match").select(
+    return user_activity(ratings, movies, calendar=False).where("has_genre_match").select(
         "user_id", *[f"{g}_count" for g in GENRES], *[f"{g}_avg_rating" for g in AVG_GENRES])
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import normalize_columns
 from ..operators import loads as L
 from ..operators.histograms import modes
-from ..sources.batches import ORDER_CURSOR, ORDER_KEY, orders_batches
+from ..sources.batches import ORDER_CURSOR, ORDER_KEY, late_rows_missing, orders_batches, overlapping
 from ..sources.bindings import raw_tables
 from ..sources.tables import SourceRegistry, read_table
 from . import adhoc, gold_genres, gold_movies, gold_recommendations, gold_temporal, gold_users
@@ -100,8 +100,16 @@ def _orders(kind: str):
             return L.delete_insert_frame(old, new, ORDER_KEY)
         if kind == "incremental":
             return L.incremental_frame(old, read_table(spark, sf_dir, "orders"), ORDER_CURSOR)
+        if kind == "incremental_unkeyed":
+            return L.incremental_frame(late_rows_missing(old), overlapping(spark, sf_dir, new), ORDER_CURSOR)
+        if kind == "incremental_keyed":
+            return L.incremental_frame(old, new, ORDER_CURSOR, ORDER_KEY)
         if kind == "schema_sync":
             return L.append_with_policy(old.drop("o_orderpriority"), new, "append_new_columns")
+        if kind == "schema_ignore":
+            return L.append_with_policy(old.drop("o_orderpriority"), new, "ignore")
+        if kind == "schema_sync_all":
+            return L.append_with_policy(old, new.drop("o_custkey"), "sync_all_columns")
         raise KeyError(kind)
     return build
 
@@ -161,7 +169,11 @@ BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "upsert_update_columns": _orders("update_columns"),
     "delete_insert_orders": _orders("delete_insert"),
     "incremental_orders": _orders("incremental"),
+    "incremental_orders_unkeyed": _orders("incremental_unkeyed"),
+    "incremental_orders_keyed": _orders("incremental_keyed"),
     "schema_sync": _orders("schema_sync"),
+    "schema_ignore": _orders("schema_ignore"),
+    "schema_sync_all": _orders("schema_sync_all"),
     "normalize_columns": lambda s, spark, sf_dir, **_: normalize_columns(raw_tables(spark, sf_dir)["ratings"]),
     "source_glob_scan": _glob_scan,
 }

@@ -2,8 +2,7 @@
 
 Each builder is a single projection + filter over its raw input, so Catalyst
 fuses it into the scan's codegen stage; comparisons and not-null tests reach the
-parquet reader as pushed filters.  ``dev_limit`` reproduces the development cap
-(O03) and is off by default.
+parquet reader as pushed filters.
 """
 
 from __future__ import annotations
@@ -24,13 +23,8 @@ RATING_MIN, RATING_MAX = 0.5, 5.0
 # -------------------------------------------------------------------------------
 
 
-def _prepare(raw: DataFrame, dev_limit: int | None) -> DataFrame:
+def silver_links(raw: DataFrame) -> DataFrame:
     df = normalize_columns(raw)
-    return df.limit(dev_limit) if dev_limit else df
-
-
-def silver_links(raw: DataFrame, dev_limit: int | None = None) -> DataFrame:
-    df = _prepare(raw, dev_limit)
     return df.where(F.col("movie_id").isNotNull()).select(
         "movie_id", "imdb_id", "tmdb_id",
         F.concat(F.lit(IMDB_URL_PREFIX), F.lpad(F.col("imdb_id").cast("string"), 7, "0")).alias("imdb_url"),
@@ -38,8 +32,8 @@ def silver_links(raw: DataFrame, dev_limit: int | None = None) -> DataFrame:
     )
 
 
-def silver_movies(raw: DataFrame, dev_limit: int | None = None) -> DataFrame:
-    df = _prepare(raw, dev_limit)
+def silver_movies(raw: DataFrame) -> DataFrame:
+    df = normalize_columns(raw)
     title, genres = F.col("title"), F.col("genres")
     # the year is parsed from the untrimmed title, as in the reference
     year = F.regexp_extract(title, YEAR_AT_END, 1).try_cast("int")
@@ -56,8 +50,8 @@ def silver_movies(raw: DataFrame, dev_limit: int | None = None) -> DataFrame:
     )
 
 
-def silver_ratings(raw: DataFrame, dev_limit: int | None = None) -> DataFrame:
-    df = _prepare(raw, dev_limit)
+def silver_ratings(raw: DataFrame) -> DataFrame:
+    df = normalize_columns(raw)
     rating = F.col("rating").cast("double")
     ts = epoch_to_ts(F.col("timestamp"))  # hard cast: a bad value fails the query
     return df.where(
@@ -79,8 +73,8 @@ def silver_ratings(raw: DataFrame, dev_limit: int | None = None) -> DataFrame:
     )
 
 
-def silver_tags(raw: DataFrame, dev_limit: int | None = None) -> DataFrame:
-    df = _prepare(raw, dev_limit)
+def silver_tags(raw: DataFrame) -> DataFrame:
+    df = normalize_columns(raw)
     tag = F.col("tag")
     secs = F.col("timestamp").try_cast("double")
     ts = epoch_to_ts(secs)
@@ -101,10 +95,10 @@ def silver_tags(raw: DataFrame, dev_limit: int | None = None) -> DataFrame:
     )
 
 
-def build_silver(raw: dict[str, DataFrame], dev_limit: int | None = None) -> dict[str, DataFrame]:
+def build_silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
-        "silver_links": silver_links(raw["links"], dev_limit),
-        "silver_movies": silver_movies(raw["movies"], dev_limit),
-        "silver_ratings": silver_ratings(raw["ratings"], dev_limit),
-        "silver_tags": silver_tags(raw["tags"], dev_limit),
+        "silver_links": silver_links(raw["links"]),
+        "silver_movies": silver_movies(raw["movies"]),
+        "silver_ratings": silver_ratings(raw["ratings"]),
+        "silver_tags": silver_tags(raw["tags"]),
     }

@@ -67,22 +67,22 @@ def apply_semantics(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage with ``checkpoint()``.
 
-    On a cluster the context already has one (``spark.checkpoint.dir`` names a
-    shared, distributed folder) and it is used as is.  Only when none is set
-    (local tests) is a local folder created.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that the driver and all
+    executors share; it is read from the session, and a missing setting raises.  Only
+    a ``local`` master (tests) gets a folder of its own.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
-        return spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return configured

@@ -46,3 +46,16 @@ def orders_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         "o_orderpriority": F.lit(LATE_PRIORITY),
     }).select(*cols)
     return old, updated.unionByName(late)
+
+
+def late_rows_missing(old: DataFrame) -> DataFrame:
+    """``old`` as a load left it before some rows with the last cursor value arrived."""
+    last = old.select(F.max(ORDER_CURSOR)).scalar()
+    return old.where(~((F.col(ORDER_CURSOR) == last) & (F.col("o_orderkey") % 4 == 0)))
+
+
+def overlapping(spark: SparkSession, sf_dir: str, new: DataFrame) -> DataFrame:
+    """A source that holds unchanged orders (even keys) and changed ones (odd keys) from mid-1996 on."""
+    orders = read_table(spark, sf_dir, "orders")
+    same = orders.where((F.col("o_orderdate") >= _ts(NEW_FROM)) & (F.col("o_orderkey") % 2 == 0))
+    return same.unionByName(new.where(F.col("o_orderkey") % 2 == 1))

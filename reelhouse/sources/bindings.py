@@ -54,12 +54,7 @@ def movies_raw(part: DataFrame) -> DataFrame:
 
 
 def _rated_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    # lineitem is the fact side; orders joins on its key.  At scale this is a
-    # sort-merge join whose required distribution is exactly hash(l_orderkey), so
-    # partitioning lineitem on the key costs no extra shuffle there; on small inputs
-    # (one parquet row group) it spreads the downstream work over all cores.
-    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate", "l_linenumber")
-    li = li.repartition("l_orderkey")
+    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
     od = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     return li.join(od, "l_orderkey")
 
@@ -80,7 +75,7 @@ def ratings_raw(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def tags_raw(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    j = _rated_lines(lineitem.where(F.col("l_linenumber") == 1), orders)
+    j = _rated_lines(lineitem, orders)
     slot = F.col("l_orderkey") % 14
     tag = None
     for i, text in enumerate(TAG_TEXTS):

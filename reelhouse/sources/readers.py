@@ -24,8 +24,9 @@ RAW_CSV_SCHEMAS = {
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     """CSV with a header.  A declared schema avoids the extra inference pass;
-    ``inferSchema`` is only the fallback."""
-    reader = spark.read.option("header", "true").option("mode", "FAILFAST")
+    ``inferSchema`` is only the fallback.  A doubled quote inside a quoted field is one
+    quote (RFC 4180)."""
+    reader = spark.read.option("header", "true").option("mode", "FAILFAST").option("escape", '"')
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", "true").csv(path)
@@ -62,16 +63,37 @@ def read_jdbc_table(spark: SparkSession, **kw) -> DataFrame:
 
 def list_jdbc_tables(spark: SparkSession, url: str, schema: str, **kw) -> DataFrame:
     """Table names of a schema from ``information_schema.tables``."""
+    name = schema.replace("'", "''")
     q = (f"(select table_name from information_schema.tables "
-         f"where table_schema = '{schema}' and table_type = 'BASE TABLE') t")
+         f"where table_schema = '{name}' and table_type = 'BASE TABLE') t")
     return read_jdbc_table(spark, url=url, table=q, **kw)
 
 
-def read_jdbc_schema(spark: SparkSession, url: str, schema: str,
+#: Options of a range-partitioned scan; they belong to one table, not to a schema.
+RANGE_OPTIONS = ("partition_column", "lower_bound", "upper_bound", "num_partitions")
+
+
+def schema_table_options(url: str, schema: str, name: str, bounds: dict[str, dict] | None = None, **kw) -> dict:
+    """The arguments of one table's scan in a schema read: the shared ones and the table's own range."""
+    own = dict((bounds or {}).get(name, {}))
+    if unknown := set(own) - set(RANGE_OPTIONS):
+        raise ValueError(f"{name}: unknown range options {sorted(unknown)}")
+    return {"url": url, "table": f"{schema}.{name}", **kw, **own}
+
+
+def read_jdbc_schema(spark: SparkSession, url: str, schema: str, bounds: dict[str, dict] | None = None,
                      reader: Callable[[str], DataFrame] | None = None, **kw) -> dict[str, DataFrame]:
-    """Every table of a schema; the name list is catalog metadata (small)."""
+    """Every table of a schema; the name list is catalog metadata (small).
+
+    ``bounds[table]`` holds that table's ``partition_column``, ``lower_bound``,
+    ``upper_bound`` and ``num_partitions``; a table without is read by one task.
+    """
+    if misplaced := set(kw) & set(RANGE_OPTIONS):
+        raise ValueError(f"range options go into bounds, by table: {sorted(misplaced)}")
     names = [r.table_name for r in list_jdbc_tables(spark, url, schema, **kw).collect()]
-    read = reader or (lambda name: read_jdbc_table(spark, url=url, table=f"{schema}.{name}", **kw))
+    if missing := set(bounds or {}) - set(names):
+        raise ValueError(f"bounds for tables that {schema} does not have: {sorted(missing)}")
+    read = reader or (lambda n: read_jdbc_table(spark, **schema_table_options(url, schema, n, bounds, **kw)))
     return {n: read(n) for n in names}
 
 

@@ -9,7 +9,8 @@ idempotent, so a micro-batch replayed after a failure gives the same table).
 
 Semantics: within one micro-batch the newest row per key (by ``order_by``) wins;
 across micro-batches the later arrival wins, as with repeated upsert loads.
-With a ``SnapshotTarget`` every micro-batch commits a new version atomically.
+A micro-batch replaces only the key buckets it touches (``KeyedTarget``).  ``policy`` is the
+schema-change policy for columns that the stream's schema has and the table has not.
 """
 
 from __future__ import annotations
@@ -20,20 +21,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.loads import SnapshotTarget, Target, upsert_load
+from ..operators.loads import KeyedTarget
 
 
 def start_upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str,
-                        target: Target | SnapshotTarget, keys: Sequence[str], order_by: Sequence[str],
+                        target: KeyedTarget, order_by: Sequence[str],
                         checkpoint_location: str, fmt: str = "parquet",
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None, policy: str = "fail") -> StreamingQuery:
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(source_dir)
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
-        upsert_load(batch.sparkSession, batch, target, keys, order_by)
+        target.upsert(batch.sparkSession, batch, order_by, policy=policy)
 
     return (stream.writeStream.foreachBatch(apply_batch)
             .option("checkpointLocation", checkpoint_location)

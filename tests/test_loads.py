@@ -90,21 +90,133 @@ def test_load_incremental_with_state(spark, scratch_dir):
     assert n1 + n2 == orders.count() and n3 == 0
     assert rows(target.read(spark)) == rows(orders)
     # keyed form: re-reads the mark inclusively and upserts (no duplicates)
-    t2 = L.Target(os.path.join(scratch_dir, "orders_keyed"), is_path=True)
+    t2 = L.KeyedTarget(os.path.join(scratch_dir, "orders_keyed"), tuple(ORDER_KEY), 8)
     s2 = L.Target(os.path.join(scratch_dir, "state_keyed"), is_path=True)
     L.load_incremental(spark, first, t2, s2, "orders", ORDER_CURSOR, keys=ORDER_KEY)
     L.load_incremental(spark, orders, t2, s2, "orders", ORDER_CURSOR, keys=ORDER_KEY)
     assert rows(t2.read(spark)) == rows(orders)
 
 
+def _files(folder):
+    return {os.path.relpath(os.path.join(d, f), folder) for d, _, names in os.walk(folder) for f in names if f.startswith("part-")}
+
+
 def test_upsert_load_rewrites_own_input(spark, scratch_dir, batches):
     old, new = batches
-    target = L.Target(os.path.join(scratch_dir, "t"), is_path=True)
-    L.replace(old, target, compression="snappy")
-    L.upsert_load(spark, new, target, ORDER_KEY, [ORDER_CURSOR])
+    target = L.KeyedTarget(os.path.join(scratch_dir, "t"), tuple(ORDER_KEY), 8)
+    assert L.upsert_load(spark, old, target) == old.count()
+    assert L.upsert_load(spark, new, target, [ORDER_CURSOR]) == new.count()
     assert rows(target.read(spark)) == rows(L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]))
 
 
+def test_loads_leave_untouched_files_alone(spark, scratch_dir, batches):
+    old, new = batches
+    base = os.path.join(scratch_dir, "keyed")
+    target = L.KeyedTarget(base, tuple(ORDER_KEY), 16)
+    L.upsert_load(spark, old, target)
+    before = _files(base)
+    one = new.where(F.col("o_orderkey") == new.first().o_orderkey)
+    L.upsert_load(spark, one, target, [ORDER_CURSOR])
+    after = _files(base)
+    assert len({f.split(os.sep)[0] for f in before}) == 16
+    assert len({f.split(os.sep)[0] for f in before ^ after}) == 1      # one key, one bucket
+    # an append adds files and changes none
+    path = os.path.join(scratch_dir, "plain")
+    L.replace(old, L.Target(path, is_path=True))
+    before = _files(path)
+    L.append(new, L.Target(path, is_path=True))
+    assert before < _files(path)
+
+
+T2 = "id int, ts int, v string"
+
+
+def _incremental(spark, scratch_dir, *batches, keys=None, name="x"):
+    target = (L.KeyedTarget(os.path.join(scratch_dir, name), tuple(keys), 4) if keys
+              else L.Target(os.path.join(scratch_dir, name), is_path=True))
+    state = L.Target(os.path.join(scratch_dir, name + "_state"), is_path=True)
+    counts = [L.load_incremental(spark, spark.createDataFrame(b, T2), target, state, "t", "ts", keys=keys) for b in batches]
+    return counts, rows(target.read(spark), ["id", "ts", "v"]), state
+
+
+def test_incremental_into_an_empty_target(spark):
+    empty, src = spark.createDataFrame([], T2), spark.createDataFrame([(1, 1, "a"), (2, None, "b")], T2)
+    want = [(1, 1, "a"), (2, None, "b")]
+    assert rows(L.incremental_frame(empty, src, "ts"), ["id", "ts", "v"]) == want
+    assert rows(L.incremental_frame(empty, src, "ts", ["id"]), ["id", "ts", "v"]) == want
+
+
+def test_incremental_null_cursors_and_null_marks(spark, scratch_dir):
+    first, later = [(1, None, "a"), (2, None, "b")], [(1, None, "a"), (2, None, "b"), (3, 5, "c"), (4, None, "d")]
+    counts, got, state = _incremental(spark, scratch_dir, first, later, later)
+    assert counts == [2, 2, 0] and got == sorted(later, key=lambda r: r[0])
+    assert [r.last_value for r in state.read(spark).collect()] == ["5"]      # no null mark was committed
+    _, got, _ = _incremental(spark, scratch_dir, first, later, later, keys=["id"], name="k")
+    assert got == sorted(later, key=lambda r: r[0])
+
+
+def test_incremental_late_rows_at_the_mark(spark, scratch_dir):
+    first = [(1, 1, "a"), (2, 5, "b")]
+    later = [(1, 1, "a"), (2, 5, "b"), (3, 5, "late"), (3, 5, "late"), (4, 6, "d")]
+    counts, got, _ = _incremental(spark, scratch_dir, first, later, later)
+    assert counts == [2, 3, 0] and got == later
+
+
+def test_incremental_rerun_after_a_crash_before_the_mark(spark, scratch_dir):
+    first, later = [(1, 1, "a")], [(1, 1, "a"), (2, 2, "b"), (2, 2, "b")]
+    _, _, state = _incremental(spark, scratch_dir, first)
+    target = L.Target(os.path.join(scratch_dir, "x"), is_path=True)
+    L.append(spark.createDataFrame(later[1:], T2), target)      # the data was written, the mark was not
+    src = spark.createDataFrame(later, T2)
+    assert L.load_incremental(spark, src, target, state, "t", "ts") == 0
+    assert rows(target.read(spark), ["id", "ts", "v"]) == later
+
+
+def test_keyed_incremental_keeps_the_newer_row(spark, scratch_dir):
+    _, got, _ = _incremental(spark, scratch_dir, [(1, 5, "new"), (2, 1, "x")], [(1, None, "older"), (2, 7, "y")], keys=["id"])
+    assert got == [(1, 5, "new"), (2, 7, "y")]
+
+
+def test_null_keys_and_unknown_columns_raise(spark):
+    t = spark.createDataFrame([(1, 1, "a")], T2)
+    with pytest.raises(Exception, match="null key column id"):
+        L.upsert_frame(t, spark.createDataFrame([(None, 1, "b")], T2), ["id"]).collect()
+    with pytest.raises(L.SchemaChangeError):
+        L.upsert_frame(t, t.withColumn("extra", F.lit(1)), ["id"])
+
+
+def test_lossy_retypes_raise(spark, scratch_dir):
+    t, i = spark.createDataFrame([(1, 2)], "k int, v int"), spark.createDataFrame([(1, 1.9)], "k int, v double")
+    for policy in ("ignore", "append_new_columns"):
+        with pytest.raises(L.SchemaChangeError):
+            L.append_with_policy(t, i, policy)
+    assert rows(L.append_with_policy(t, i, "sync_all_columns"), ["k", "v"]) == [(1, 1.9), (1, 2.0)]
+    target = L.Target(os.path.join(scratch_dir, "drift"), is_path=True)
+    L.append(t, target)
+    with pytest.raises(L.SchemaChangeError):
+        L.append(spark.createDataFrame([(1, "x")], "k int, v string"), target)
+    assert target.read(spark).count() == 1
+
+
+def test_schema_policies_in_loads(spark, scratch_dir):
+    t, i = spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(2, 5)], "k int, extra int")
+    want = {"ignore": [(1, "a"), (2, None)], "append_new_columns": [(1, "a", None), (2, None, 5)]}
+    for policy, cols in (("ignore", ["k", "v"]), ("append_new_columns", ["k", "v", "extra"])):
+        for keyed in (False, True):
+            path = os.path.join(scratch_dir, f"{policy}{keyed}")
+            target = L.KeyedTarget(path, ("k",), 1) if keyed else L.Target(path, is_path=True, merge_schema=True)
+            args = {"mode": "merge", "keys": {"t": ["k"]}} if keyed else {"mode": "append"}
+            if keyed and policy == "append_new_columns":
+                continue      # a bucket that no batch touches keeps the old columns: needs a full refresh
+            assert L.load_tables(spark, {"t": t}, {"t": target}, **args).first().rows == 1
+            assert L.load_tables(spark, {"t": i}, {"t": target}, **args).first().status == "failed"
+            done = L.load_tables(spark, {"t": i}, {"t": target}, policy=policy, **args).first()
+            assert (done.status, done.rows) == ("completed", 1), done.message
+            assert rows(target.read(spark), cols) == want[policy]
+    with pytest.raises(L.SchemaChangeError):
+        L.append(i, L.Target(os.path.join(scratch_dir, "ignoreFalse"), is_path=True), policy="sync_all_columns")
+
+
 def test_partitioned_write_and_append(spark, scratch_dir, batches):
     old, _ = batches
     target = L.Target(os.path.join(scratch_dir, "p"), is_path=True)
@@ -136,37 +248,10 @@ def test_load_report_isolates_failures(spark):
     assert rep["c"].status == "completed"
 
 
-def test_snapshot_target_is_atomic(spark, scratch_dir, batches):
-    old, new = batches
-    snap = L.SnapshotTarget(os.path.join(scratch_dir, "snap"))
-    assert not snap.exists(spark)
-    L.upsert_load(spark, old, snap, ORDER_KEY, [ORDER_CURSOR])
-    assert snap.current_version(spark) == 1
-    L.upsert_load(spark, new, snap, ORDER_KEY, [ORDER_CURSOR])
-    assert snap.current_version(spark) == 2
-    expected = rows(L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]))
-    assert rows(snap.read(spark)) == expected
-    # a job that died after writing data but before committing: not visible
-    old.limit(3).write.mode("overwrite").parquet(snap.version_path(3))
-    assert snap.current_version(spark) == 2 and rows(snap.read(spark)) == expected
-    # the retried load starts from the committed version and replaces the debris
-    L.upsert_load(spark, new, snap, ORDER_KEY, [ORDER_CURSOR])
-    assert snap.current_version(spark) == 3 and rows(snap.read(spark)) == expected
-
-
-def test_incremental_into_snapshot(spark, scratch_dir):
-    orders = read_table(spark, SF_SMALL, "orders")
-    snap = L.SnapshotTarget(os.path.join(scratch_dir, "inc_snap"))
-    state = L.Target(os.path.join(scratch_dir, "inc_state"), is_path=True)
-    first = orders.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
-    L.load_incremental(spark, first, snap, state, "orders", ORDER_CURSOR)
-    L.load_incremental(spark, orders, snap, state, "orders", ORDER_CURSOR)
-    assert rows(snap.read(spark)) == rows(orders)
-
-
 def test_load_tables_modes_and_validation(spark, scratch_dir, batches):
     old, new = batches
-    tgt = {"orders": L.SnapshotTarget(os.path.join(scratch_dir, "lt"))}
+    tgt = {"orders": L.KeyedTarget(os.path.join(scratch_dir, "lt"), tuple(ORDER_KEY), 4)}
+    plain = {"orders": L.Target(os.path.join(scratch_dir, "lt_plain"), is_path=True)}
     with pytest.raises(ValueError):
         L.load_tables(spark, {"orders": old}, tgt, mode="merge")
     with pytest.raises(ValueError):
@@ -174,17 +259,20 @@ def test_load_tables_modes_and_validation(spark, scratch_dir, batches):
     with pytest.raises(ValueError):
         L.load_tables(spark, {"orders": old}, {}, mode="append")
     rep = L.load_tables(spark, {"orders": old}, tgt, mode="replace").first()
-    assert rep.status == "completed"
-    L.load_tables(spark, {"orders": new}, tgt, mode="merge", keys={"orders": ORDER_KEY}, cursor=ORDER_CURSOR)
+    assert rep.status == "completed" and rep.rows == old.count()
+    rep = L.load_tables(spark, {"orders": new}, tgt, mode="merge", keys={"orders": ORDER_KEY}, cursor=ORDER_CURSOR).first()
+    assert rep.rows == new.count()
     assert rows(tgt["orders"].read(spark)) == rows(L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]))
-    before = tgt["orders"].read(spark).count()
-    L.load_tables(spark, {"orders": old}, tgt, mode="append")      # appends every row again
-    assert tgt["orders"].read(spark).count() == before + old.count()
+    for _ in range(2):      # appends every row again
+        assert L.load_tables(spark, {"orders": old}, plain, mode="append").first().rows == old.count()
+    assert plain["orders"].read(spark).count() == 2 * old.count()
+    rep = L.load_tables(spark, {"orders": new}, plain, mode="merge", keys={"orders": ORDER_KEY}).first()
+    assert rep.status == "failed" and "KeyedTarget" in rep.message
 
 
 def test_keyed_first_load_keeps_newest_per_key(spark, scratch_dir, batches):
     _, new = batches     # `new` holds two versions of every tenth key
-    target = L.Target(os.path.join(scratch_dir, "first_keyed"), is_path=True)
+    target = L.KeyedTarget(os.path.join(scratch_dir, "first_keyed"), tuple(ORDER_KEY), 4)
     state = L.Target(os.path.join(scratch_dir, "first_keyed_state"), is_path=True)
     L.load_incremental(spark, new, target, state, "orders", ORDER_CURSOR, keys=ORDER_KEY)
     got = target.read(spark)
@@ -202,3 +290,14 @@ def test_checkpoint_dir_uses_the_configured_folder(spark):
     got = checkpoint_dir(spark)
     assert got and (configured is None or got == configured)
     assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()   # stable, no new folder
+
+
+def test_checkpoint_dir_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from reelhouse.session import checkpoint_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session)

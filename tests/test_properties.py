@@ -1,6 +1,7 @@
 """Property tests (hypothesis) and small hand fixtures for operators."""
 
 import math
+import json
 import os
 
 import duckdb
@@ -119,7 +120,7 @@ def test_genre_dedup_counts_each_rating_once(spark):
 
 
 def test_export_and_envelope(spark, scratch_dir):
-    from reelhouse.plans.adhoc import register_views, result_envelope, run_sql
+    from reelhouse.plans.adhoc import register_views, result_envelope, run_sql, write_envelope
     from reelhouse.sources.readers import export_gzip_parquet
 
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
@@ -127,9 +128,16 @@ def test_export_and_envelope(spark, scratch_dir):
     export_gzip_parquet(orders, out)
     assert any(f.endswith(".gz.parquet") for f in os.listdir(out))
     register_views({"orders_v": orders})
-    env = result_envelope(run_sql(spark, "SELECT o_orderkey, o_orderdate FROM orders_v ORDER BY o_orderkey"), limit=3)
-    assert env["metadata"] == {"row_count": 3, "column_names": ["o_orderkey", "o_orderdate"]}
-    assert isinstance(env["data"][0]["o_orderdate"], str)
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    register_views({"lines_v": lines})
+    found = run_sql(spark, "SELECT l_orderkey, l_shipdate FROM lines_v")
+    env = result_envelope(found)
+    want = {"row_count": lines.count(), "column_names": ["l_orderkey", "l_shipdate"]}
+    assert want["row_count"] > 1000 and env["metadata"] == want
+    assert env["data"].count() == want["row_count"]
+    assert isinstance(json.loads(env["data"].first().row_json)["l_shipdate"], str)
+    written = write_envelope(found, os.path.join(scratch_dir, "envelope"))
+    assert written["metadata"] == want and spark.read.text(written["data"]).count() == want["row_count"]
 
 
 def test_movie_analytics_approx_quantile_mode(spark):

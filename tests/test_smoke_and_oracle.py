@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from reelhouse.plans import registry
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -20,8 +21,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(registry.queries()) - set(E.oracle_sql())
     assert missing == set(), missing
+    assert set(registry.queries()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -51,7 +53,7 @@ def _same(a, b):
     return True
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
@@ -64,9 +66,25 @@ def test_query_matches_oracle(spark, duck, name):
 SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_column_types_match_oracle(spark, duck, name):
     spark_types = {f.name: f.dataType.simpleString() for f in E.queries()[name](spark, SF_SMALL).schema.fields}
     rel = duck.sql(E.oracle_sql()[name])
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert {c: SPARK_TO_DUCK.get(t, t) for c, t in spark_types.items()} == duck_types
+
+
+ORDERED = {
+    "gold_genre_analytics": lambda r: (-r.total_ratings, r.genre),
+    "gold_temporal_trends": lambda r: -r.month,
+    "gold_movie_recommendations": lambda r: (r.movie_id, r.recommendation_rank),
+    "yearly_rollup": lambda r: r.year,
+    "users_by_favorite_genre": lambda r: (-r.users, r.favorite_genre),
+    "top_genres": lambda r: (-r.avg_rating, r.genre),
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_final_order(spark, name):
+    got = E.queries()[name](spark, SF_SMALL).collect()
+    assert len(got) > 1 and got == sorted(got, key=ORDERED[name])

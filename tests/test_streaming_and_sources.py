@@ -17,29 +17,28 @@ from reelhouse.streaming.upsert_stream import start_upsert_stream
 def test_stream_upsert_equals_batch_upsert(spark, scratch_dir):
     old, new = orders_batches(spark, SF_SMALL)
     src = os.path.join(scratch_dir, "incoming")
-    target = L.Target(os.path.join(scratch_dir, "target"), is_path=True)
+    target = L.KeyedTarget(os.path.join(scratch_dir, "target"), tuple(ORDER_KEY), 4)
     ckpt = os.path.join(scratch_dir, "stream_ckpt")
     old.write.mode("append").parquet(src)
-    q = start_upsert_stream(spark, src, old.schema, target, ORDER_KEY, [ORDER_CURSOR], ckpt)
+    q = start_upsert_stream(spark, src, old.schema, target, [ORDER_CURSOR], ckpt)
     q.awaitTermination(120)
     assert rows(target.read(spark)) == rows(L.newest_per_key(old, ORDER_KEY, [ORDER_CURSOR]))
     new.write.mode("append").parquet(src)       # a later arrival
-    q = start_upsert_stream(spark, src, old.schema, target, ORDER_KEY, [ORDER_CURSOR], ckpt)
+    q = start_upsert_stream(spark, src, old.schema, target, [ORDER_CURSOR], ckpt)
     q.awaitTermination(120)
     assert rows(target.read(spark)) == rows(L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]))
 
 
-def test_stream_upsert_into_snapshot(spark, scratch_dir):
+def test_stream_upsert_in_micro_batches(spark, scratch_dir):
     old, new = orders_batches(spark, SF_SMALL)
     src = os.path.join(scratch_dir, "incoming")
-    target = L.SnapshotTarget(os.path.join(scratch_dir, "snap"))
+    target = L.KeyedTarget(os.path.join(scratch_dir, "micro"), tuple(ORDER_KEY), 4)
     ckpt = os.path.join(scratch_dir, "ckpt")
     # one file per arrival and one file per trigger: two micro-batches, old then new
     old.coalesce(1).write.mode("append").parquet(src)
     new.coalesce(1).write.mode("append").parquet(src)
-    start_upsert_stream(spark, src, old.schema, target, ORDER_KEY, [ORDER_CURSOR], ckpt,
+    start_upsert_stream(spark, src, old.schema, target, [ORDER_CURSOR], ckpt,
                         max_files_per_trigger=1).awaitTermination(120)
-    assert target.current_version(spark) == 2
     assert rows(target.read(spark)) == rows(L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]))
 
 
@@ -52,6 +51,10 @@ def test_csv_roundtrip(spark, scratch_dir):
     back = R.read_raw_csvs(spark, folder)
     for name in raw:
         assert rows(back[name]) == rows(raw[name]), name
+    quoted = os.path.join(folder, "quoted.csv")
+    with open(quoted, "w") as out:
+        out.write('movieId,title,genres\n1,"The ""Big"" One (1999)",Drama\n')
+    assert R.read_csv(spark, quoted, R.RAW_CSV_SCHEMAS["movies"]).first().title == 'The "Big" One (1999)'
     inferred = R.read_csv(spark, os.path.join(folder, "links.csv"))
     assert inferred.count() == raw["links"].count()
 
@@ -64,6 +67,17 @@ def test_jdbc_options():
         R.jdbc_options("jdbc:x", "t", partition_column="id")
 
 
+def test_jdbc_schema_bounds_by_table():
+    bounds = {"orders": {"partition_column": "id", "lower_bound": 0, "upper_bound": 9, "num_partitions": 4}}
+    o = R.schema_table_options("jdbc:x", "public", "orders", bounds, user="u")
+    assert o["table"] == "public.orders" and R.jdbc_options(**o)["numPartitions"] == "4"
+    assert "partition_column" not in R.schema_table_options("jdbc:x", "public", "items", bounds)
+    with pytest.raises(ValueError):
+        R.schema_table_options("jdbc:x", "public", "orders", {"orders": {"bogus": 1}})
+    with pytest.raises(ValueError):
+        R.read_jdbc_schema(None, "jdbc:x", "public", num_partitions=4)
+
+
 def test_registry(spark):
     reg = SourceRegistry().register("bronze", "part", f"{SF_SMALL}/part.parquet")
     assert reg.read(spark, "bronze", "part").count() > 0
@@ -103,7 +117,7 @@ def test_cli_load_and_build(spark, scratch_dir, monkeypatch):
             "--mode", "merge", "--keys", "o_orderkey", "--cursor", "o_orderdate",
             "--state", os.path.join(scratch_dir, "state")]
     assert cli.main(argv) == 0
-    assert L.SnapshotTarget(os.path.join(scratch_dir, "t", "orders")).read(spark).count() == old.count()
+    assert L.KeyedTarget(os.path.join(scratch_dir, "t", "orders"), ("o_orderkey",)).read(spark).count() == old.count()
     with pytest.raises(SystemExit):
         cli.main(["load", "--source", src])          # missing required arguments
     raw = raw_tables(spark, SF_SMALL)
