@@ -16,11 +16,11 @@ from ..functions.exprs import normalize_columns
 from ..operators import loads as L
 from ..operators.histograms import modes
 from ..sources.batches import ORDER_CURSOR, ORDER_KEY, late_rows_missing, orders_batches, overlapping
-from ..sources.bindings import raw_tables
+from ..sources.bindings import raw_table
 from ..sources.tables import SourceRegistry, read_table
 from . import adhoc, gold_genres, gold_movies, gold_recommendations, gold_temporal, gold_users
 from .portable import portable
-from .silver import build_silver
+from .silver import SILVER
 
 # ---- fixed parameters of the registered reports ---------------------------------
 REPORT_TITLE = "red plate"          # a title present at every scale factor
@@ -31,8 +31,15 @@ UPDATE_COLUMNS = ["o_orderstatus", "o_totalprice"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def silver_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_silver(raw_tables(spark, sf_dir))
+class SilverFrames:
+    """The silver tables of a folder by name, each built when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        source, build = SILVER[name]
+        return build(raw_table(self.spark, self.sf_dir, source))
 
 
 def _mrt(s):
@@ -174,14 +181,14 @@ BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "schema_sync": _orders("schema_sync"),
     "schema_ignore": _orders("schema_ignore"),
     "schema_sync_all": _orders("schema_sync_all"),
-    "normalize_columns": lambda s, spark, sf_dir, **_: normalize_columns(raw_tables(spark, sf_dir)["ratings"]),
+    "normalize_columns": lambda s, spark, sf_dir, **_: normalize_columns(raw_table(spark, sf_dir, "ratings")),
     "source_glob_scan": _glob_scan,
 }
 
 
 def _query(builder: Callable[..., DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(builder(silver_frames(spark, sf_dir), spark=spark, sf_dir=sf_dir))
+        return portable(builder(SilverFrames(spark, sf_dir), spark=spark, sf_dir=sf_dir))
     return run
 
 

@@ -95,10 +95,13 @@ def silver_tags(raw: DataFrame) -> DataFrame:
     )
 
 
+SILVER = {
+    "silver_links": ("links", silver_links),
+    "silver_movies": ("movies", silver_movies),
+    "silver_ratings": ("ratings", silver_ratings),
+    "silver_tags": ("tags", silver_tags),
+}
+
+
 def build_silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "silver_links": silver_links(raw["links"]),
-        "silver_movies": silver_movies(raw["movies"]),
-        "silver_ratings": silver_ratings(raw["ratings"]),
-        "silver_tags": silver_tags(raw["tags"]),
-    }
+    return {name: build(raw[source]) for name, (source, build) in SILVER.items()}

@@ -101,14 +101,22 @@ def links_raw(part: DataFrame) -> DataFrame:
     )
 
 
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One raw input as a lazy DataFrame; only the files it needs are opened."""
+    def read(*tables):
+        return [read_table(spark, sf_dir, t) for t in tables]
+
+    if name == "movies":
+        return movies_raw(*read("part"))
+    if name == "ratings":
+        return ratings_raw(*read("lineitem", "orders"))
+    if name == "tags":
+        return tags_raw(*read("lineitem", "orders"))
+    if name == "links":
+        return links_raw(*read("part"))
+    raise KeyError(name)
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four raw inputs as lazy DataFrames over the driver's parquet files."""
-    part = read_table(spark, sf_dir, "part")
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    orders = read_table(spark, sf_dir, "orders")
-    return {
-        "movies": movies_raw(part),
-        "ratings": ratings_raw(lineitem, orders),
-        "tags": tags_raw(lineitem, orders),
-        "links": links_raw(part),
-    }
+    return {name: raw_table(spark, sf_dir, name) for name in ("movies", "ratings", "tags", "links")}

@@ -1,4 +1,4 @@
-"""Hot-key check: one user and one movie get a third of all ratings.
+"""Hot-key check: one user and one movie get a third of all ratings, one genre set a third of all movies.
 
 Usage: python skew_check.py [sf_dir] [event_log_dir]
 Runs the gold models on ratings where a third of the rows (chosen by a hash of
@@ -65,14 +65,14 @@ def main() -> None:
     from reelhouse.operators import loads as L
     from reelhouse.plans import gold_genres, gold_movies, gold_recommendations, gold_temporal, gold_users
     from reelhouse.sources.batches import ORDER_CURSOR, ORDER_KEY, orders_batches
-    from reelhouse.plans.registry import silver_frames
+    from reelhouse.plans.registry import SilverFrames
     from reelhouse.session import build_session
 
     spark = build_session("local[8]", shuffle_partitions=16, extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
         "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    s = silver_frames(spark, sf_dir)
+    s = SilverFrames(spark, sf_dir)
     m, r, t = s["silver_movies"], s["silver_ratings"], s["silver_tags"]
     hot = F.pmod(F.xxhash64("user_id", "movie_id", "rating_timestamp"), F.lit(3)) == 0
     r = (r.withColumn("_hot", hot)
@@ -82,7 +82,12 @@ def main() -> None:
     old, new = orders_batches(spark, sf_dir)
     hot_key = F.pmod(F.xxhash64("o_orderkey", "o_orderdate"), F.lit(3)) == 0
     new = new.withColumn("o_orderkey", F.when(hot_key, F.lit(0)).otherwise(F.col("o_orderkey")))
+    # a third of all movies share one genre set
+    hot_set = m.withColumn("genres", F.when(F.pmod(F.xxhash64("movie_id"), F.lit(3)) == 0, F.lit("Drama|Comedy"))
+                           .otherwise(F.col("genres")))
+    plain = s["silver_ratings"]
     models = {
+        "recommendations (hot genres)": lambda: gold_recommendations.gold_movie_recommendations(hot_set, plain),
         "upsert (hot key in batch)": lambda: L.upsert_frame(old, new, ORDER_KEY, [ORDER_CURSOR]),
         "gold_user_behavior": lambda: gold_users.gold_user_behavior(r, t, m),
         "gold_movie_analytics": lambda: gold_movies.gold_movie_analytics(m, r, t),
