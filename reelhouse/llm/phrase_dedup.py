@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm import spans, tables
+from reelhouse.llm.packed import by_bucket, group_starts, sorted_entries, unpack
 
 _U = np.uint64
 _SECTION = spans.SECTION
@@ -145,35 +146,7 @@ def suffixes(p: Phrases, which: np.ndarray, length: int) -> tuple[np.ndarray, np
     return np.repeat(p.doc[which], n), np.repeat(p.start[which], n) + shift, one, two
 
 
-# Packed keys: rows (bucket, payload), payload = documents with their number of keys, then the key columns.
-
-def _pack(doc: np.ndarray, cols: list[np.ndarray], short: bool) -> bytes:
-    """Entries sorted by document; the first column is cut to 6 bytes if ``short``."""
-    ids, counts = np.unique(doc, return_counts=True)
-    out = [np.array([len(ids), len(doc)], dtype=np.int64).tobytes(), np.diff(ids, prepend=0).tobytes(),
-           counts.astype(np.uint32).tobytes()]
-    for i, c in enumerate(cols):
-        out.append(c.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() if short and not i else c.tobytes())
-    return b"".join(out)
-
-
-def _unpack(payload: bytes, n_cols: int, short: bool) -> tuple[np.ndarray, list[np.ndarray]]:
-    n_ids, n = np.frombuffer(payload, dtype=np.int64, count=2).tolist()
-    at = 16
-    ids = np.cumsum(np.frombuffer(payload, dtype=np.int64, count=n_ids, offset=at))
-    at += 8 * n_ids
-    counts = np.frombuffer(payload, dtype=np.uint32, count=n_ids, offset=at)
-    at += 4 * n_ids
-    cols = []
-    for i in range(n_cols):
-        size = 6 if short and not i else 8
-        raw = np.frombuffer(payload, dtype=np.uint8, count=size * n, offset=at).reshape(n, size)
-        at += size * n
-        wide = np.zeros((n, 8), dtype=np.uint8)
-        wide[:, :size] = raw
-        cols.append(wide.view(_U).ravel())
-    return np.repeat(ids, counts), cols
-
+# Rows between the passes: packed keys for a bucket, or answers for a document.
 
 _ROW = "bucket int, doc_id long, payload binary, yes binary, open binary"
 _ROW_NAMES = ["bucket", "doc_id", "payload", "yes", "open"]
@@ -203,41 +176,21 @@ def _answer_rows(n_buckets: int, answers: dict[int, list[bytes]]) -> list[tuple]
     return [(d % n_buckets, d, None, y or None, o or None) for d, (y, o) in answers.items()]
 
 
-def _sorted(cols: list[np.ndarray], doc: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Entries by columns, then document; repeats dropped."""
-    order = np.lexsort((doc, *reversed(cols)))
-    doc, cols = doc[order], [c[order] for c in cols]
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = np.any([c[1:] != c[:-1] for c in (*cols, doc)], axis=0)
-    return doc[new], [c[new] for c in cols]
-
-
-def _group_starts(cols: list[np.ndarray]) -> np.ndarray:
-    new = np.ones(len(cols[0]), dtype=bool)
-    if len(new):
-        new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
-    return new
-
-
 def _local(doc: np.ndarray, cols: list[np.ndarray], answer: Callable, n_buckets: int, short: bool,
            shared: bool) -> list[tuple]:
     """Merge one batch's entries: direct answers, and one entry a key (its smallest document) for its bucket.
 
     ``shared``: a key of two documents is answered for both; else for the larger one only.
     """
-    doc, cols = _sorted(cols, doc)
-    new = _group_starts(cols)
+    doc, cols = sorted_entries(cols, doc)
+    new = group_starts(cols)
     several = ~new
     if shared:
         several = several | np.append(~new[1:], False)
     rows = _answer_rows(n_buckets, _answers(doc, (doc[several], answer([c[several] for c in cols]))))
     doc, cols = doc[new], [c[new] for c in cols]
     bucket = (spans.mix(cols[0] + _U(1)) % _U(n_buckets)).astype(np.int64)
-    order = np.lexsort((doc, bucket))
-    doc, cols, bucket = doc[order], [c[order] for c in cols], bucket[order]
-    cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        rows.append((int(bucket[a]), None, _pack(doc[a:b], [c[a:b] for c in cols], short), None, None))
+    rows += [(b, None, payload, None, None) for b, payload in by_bucket(doc, cols, bucket, 6 if short else 8)]
     return rows
 
 
@@ -245,25 +198,28 @@ def _doc_ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column(batch.schema.get_field_index("doc_id")).fill_null(int(_LAST)).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _has(p: Phrases, keys: np.ndarray, batch: pa.RecordBatch, column: str) -> np.ndarray:
-    """Which of ``keys`` are among the answers that their document got in ``column``."""
-    return _member(p.doc, keys, *_listed(batch, column))
-
+class _Answers:
+    """The answers that the documents of a batch got in one column, looked up by (document index, key)."""
 
-def _listed(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
-    """(document index, key) of all answers in a column of arrays of packed keys."""
-    docs, keys = [], []
-    for i, parts in enumerate(batch.column(batch.schema.get_field_index(column)).to_pylist()):
-        for part in parts or ():
-            k = np.frombuffer(part, dtype=_U)
-            keys.append(k)
-            docs.append(np.full(len(k), i))
-    return (np.concatenate(docs), np.concatenate(keys)) if docs else (np.empty(0, np.int64), np.empty(0, _U))
+    def __init__(self, batch: pa.RecordBatch, column: str) -> None:
+        docs, keys = [np.empty(0, np.int64)], [np.empty(0, _U)]
+        for i, parts in enumerate(batch.column(batch.schema.get_field_index(column)).to_pylist()):
+            for part in parts or ():
+                keys.append(np.frombuffer(part, dtype=_U))
+                docs.append(np.full(len(keys[-1]), i))
+        self.docs = np.unique(np.concatenate(docs))
+        self.known = np.sort(self._mixed(np.concatenate(docs), np.concatenate(keys)))
 
+    @staticmethod
+    def _mixed(doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        return spans.mix(keys + _U(0x9E3779B97F4A7C15) * (doc.astype(_U) + _U(1)))
 
-def _member(doc: np.ndarray, keys: np.ndarray, in_doc: np.ndarray, in_keys: np.ndarray) -> np.ndarray:
-    salt = _U(0x9E3779B97F4A7C15)
-    return np.isin(spans.mix(keys + salt * (doc.astype(_U) + _U(1))), spans.mix(in_keys + salt * (in_doc.astype(_U) + _U(1))))
+    def has(self, doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.zeros(len(doc), dtype=bool)
+        asked = self._mixed(doc, keys)
+        at = np.searchsorted(self.known, asked)
+        return self.known[np.minimum(at, len(self.known) - 1)] == asked
 
 
 def _emit(select: Callable, answer: Callable, n_buckets: int, short: bool, shared: bool):
@@ -296,8 +252,8 @@ def _settle(n_cols: int, short: bool, judge: Callable):
         rows = [(None, d, None, y, o) for d, y, o in zip(*(group.column(c).to_pylist() for c in ("doc_id", "yes", "open")))
                 if d is not None]
         if payloads:
-            parts = [_unpack(x, n_cols, short) for x in payloads]
-            doc, cols = _sorted([np.concatenate(c) for c in zip(*(c for _, c in parts))], np.concatenate([d for d, _ in parts]))
+            parts = [unpack(x, n_cols, 6 if short else 8) for x in payloads]
+            doc, cols = sorted_entries([np.concatenate(c) for c in zip(*(c for _, c in parts))], np.concatenate([d for d, _ in parts]))
             rows += [(None, *x[1:]) for x in _answer_rows(1, judge(doc, cols))]
         return pa.Table.from_batches([_rows(rows)]).select(["doc_id", "yes", "open"])
     return run
@@ -309,14 +265,14 @@ def _answered(rows: DataFrame, n_cols: int, short: bool, judge: Callable, names:
 
 
 def _shared_triggers(doc: np.ndarray, cols: list[np.ndarray]) -> dict:
-    new = _group_starts(cols)
+    new = group_starts(cols)
     several = ~new | np.append(~new[1:], False)
     return _answers(doc, (doc[several], cols[0][several]))
 
 
 def _repeated_phrases(doc: np.ndarray, cols: list[np.ndarray]) -> dict:
     """Repeats of a smaller document's phrase; and first phrases of triggers that have several."""
-    new_trigger, new = _group_starts(cols[:1]), _group_starts(cols)
+    new_trigger, new = group_starts(cols[:1]), group_starts(cols)
     group = np.cumsum(new_trigger) - 1
     several = np.bincount(group[new], minlength=group[-1] + 1)[group] > 1
     first = new & several
@@ -324,7 +280,7 @@ def _repeated_phrases(doc: np.ndarray, cols: list[np.ndarray]) -> dict:
 
 
 def _repeated_suffixes(doc: np.ndarray, cols: list[np.ndarray]) -> dict:
-    later = ~_group_starts(cols)
+    later = ~group_starts(cols)
     return _answers(doc, (doc[later], cols[0][later]))
 
 
@@ -334,25 +290,23 @@ def _cut(docs: DataFrame, length: int, trigger: int, text: str):
         for batch in batches:
             texts = spans.binary_column(batch, text)
             ids = batch.column(batch.schema.get_field_index("row_id"))
-            whole, open_, late = (_listed(batch, c) for c in ("phrase_yes", "phrase_open", "suffix_yes"))
+            whole, open_, late = (_Answers(batch, c) for c in ("phrase_yes", "phrase_open", "suffix_yes"))
             marks: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
             def mark(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> None:
-                for d in np.unique(doc).tolist():
-                    marks.setdefault(d, []).append((lo[doc == d], hi[doc == d]))
+                cut = np.append(np.flatnonzero(np.diff(doc, prepend=-1)), len(doc))
+                for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                    marks.setdefault(int(doc[a]), []).append((lo[a:b], hi[a:b]))
 
-            touched = np.zeros(len(texts), dtype=bool)
-            touched[whole[0]] = True
-            touched[late[0]] = True
-            todo = np.flatnonzero(touched)
+            todo = np.union1d(whole.docs, late.docs)
             for p in phrases([texts[i] for i in todo.tolist()], length, trigger) if len(todo) else ():
                 p.doc = todo[p.doc]
-                yes = _member(p.doc, p.key, *whole)
+                yes = whole.has(p.doc, p.key)
                 mark(p.doc[yes], p.start[yes], p.start[yes] + p.windows[yes] + length - 1)
-                which = np.flatnonzero(_member(p.doc, p.key, *open_))
+                which = np.flatnonzero(open_.has(p.doc, p.key))
                 if len(which):
                     doc, start, one, _ = suffixes(p, which, length)
-                    hit = _member(doc, one, *late)
+                    hit = late.has(doc, one)
                     mark(doc[hit], start[hit], start[hit] + length)
             rows = []
             for d, body in enumerate(texts):
@@ -396,13 +350,15 @@ def repeated_bytes(docs: DataFrame, length: int = 50, trigger: int = 16, text: s
             yield p.doc, [p.trigger], len(p.data)
 
     def shared_phrases(batch):
+        shared = _Answers(batch, "trigger_yes")
         for p in phrases(spans.binary_column(batch, text), length, trigger):
-            at = np.flatnonzero(_has(p, p.trigger, batch, "trigger_yes"))
+            at = np.flatnonzero(shared.has(p.doc, p.trigger))
             yield p.doc[at], [p.trigger[at], p.key[at]], len(p.data)
 
     def open_suffixes(batch):
+        open_ = _Answers(batch, "phrase_open")
         for p in phrases(spans.binary_column(batch, text), length, trigger):
-            at = np.flatnonzero(_has(p, p.key, batch, "phrase_open"))
+            at = np.flatnonzero(open_.has(p.doc, p.key))
             doc, _, one, two = suffixes(p, at, length)
             yield doc, [one, two], len(p.data)
 
@@ -423,8 +379,13 @@ def repeated_bytes(docs: DataFrame, length: int = 50, trigger: int = 16, text: s
         "removed_spans array<struct<start:int,end:int>>")
 
 
+def report_of(docs: DataFrame, length: int, trigger: int) -> DataFrame:
+    """Counts and a digest of what stays, per row."""
+    return repeated_bytes(docs, length, trigger).drop("removed_spans")
+
+
 def report(docs: DataFrame) -> DataFrame:
-    return repeated_bytes(docs).drop("removed_spans")
+    return report_of(docs, length=50, trigger=16)
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, text: str = "text") -> DataFrame:
