@@ -9,16 +9,22 @@ neighbouring bands; a set signs for its own band and, if large enough, for the n
 band with sizes up to r linked sets differ in at most k = floor(2 r (1-t) / (1+t)) shingles.
 The shingle domain is hashed into n1 first-level partitions of n2 second-level cells; with
 n1 > k / 2 some first-level partition differs in one shingle at most, so some choice of
-n2 - 1 of its cells is equal: a signature is the content of such a choice, n1 * n2 in all.
+n2 - 1 of its cells is equal: a signature is the content of such a choice, n1 * n2 in all.  (In
+general, with n1 > k / (j + 1) a choice of n2 - j cells is equal.)
 A choice of cells that holds nothing would be shared by unrelated sets.  So n1 has ``spare``
 extra partitions: a set with at most ``spare`` partitions that have an empty choice shares a
 non-empty one with each of its links, and drops the empty ones; only other sets sign them.
 
 Candidates are linear in the signatures: every holder of a signature gets an edge to the
-smallest holder, and connected components of these edges hold all links.  Components are
-verified exactly, in blocks of bounded size (block pairs are separate tasks; only a spanning
-forest of the true links leaves a task), and true links are joined to components again.
-Equal sets are one node throughout, so copies cost one row each.
+smallest holder, and connected components of these edges hold all links.  Signatures travel
+packed (five bytes each, in binary rows by bucket) and edges leave a bucket once, however many
+signatures two documents share.  A passage that very many documents share can tie unrelated
+ones into a large component; the members of components over ``block_rows`` sign again, by a
+scheme whose signatures cover more shingles, within their component.
+
+Components are verified exactly, in blocks of bounded size (block pairs are separate tasks; only
+a spanning forest of the true links leaves a task), and true links are joined to components
+again.  Equal sets are one node throughout, so copies cost one row each.
 
 Defined results: null text is empty; ``doc_id`` is the document's name, so rows that repeat
 it are one node (each row is returned); a null doc_id is linked with nothing and has a null
@@ -28,18 +34,21 @@ component; other columns of the input are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm import spans, tables
 from reelhouse.llm.components import components
+from reelhouse.llm.packed import by_bucket, group_starts, sorted_entries, unpack
 
 _U = np.uint64
+_FLUSH = 1 << 22  # signatures
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -62,8 +71,8 @@ def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
 class Bands:
     """Size bands and the signature parameters of each, for a similarity of ``percent`` in 100."""
 
-    def __init__(self, percent: int) -> None:
-        self.percent = percent
+    def __init__(self, percent: int, strong: bool = False) -> None:
+        self.percent, self.strong = percent, strong
         self.tops = [0]
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
@@ -82,15 +91,16 @@ class Bands:
         return -(-(self.top(band - 1) + 1) * self.percent // 100)
 
     @functools.cache  # noqa: B019 - one object per task
-    def parameters(self, band: int) -> tuple[int, int, int]:
-        """n1, n2, spare."""
+    def parameters(self, band: int) -> tuple[int, int, int, int]:
+        """n1, n2, cells that a choice leaves out, spare."""
         k = 2 * self.top(band) * (100 - self.percent) // (100 + self.percent)
         if k == 0:
-            return 1, 1, 0
-        n1, n2 = k // 2 + 1, 3 if k < 16 else 2
-        empty = n2 * (1 - (n2 - 1) / (n1 * n2)) ** self.least_for(band)
+            return 1, 1, 0, 0
+        n2, out = (7, 3) if self.strong and k > 3 else (3, 1) if k < 16 else (2, 1)
+        n1 = k // (out + 1) + 1
+        empty = math.comb(n2, out) * (1 - (n2 - out) / (n1 * n2)) ** self.least_for(band)
         spare = 0 if n1 * empty < 0.02 else 1 + math.ceil(2 * n1 * empty)
-        return n1 + spare, n2, spare
+        return n1 + spare, n2, out, spare
 
 
 def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +114,7 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nda
             if size and (step == 0 or size >= bands.least_for(band)):
                 jobs.setdefault(band, []).append(i)
         for band, members in jobs.items():
-            n1, n2, spare = bands.parameters(band)
+            n1, n2, out, spare = bands.parameters(band)
             who = np.repeat(np.arange(len(members)), sizes[members])
             h = np.concatenate([sets[i] for i in members])
             at = spans.mix(h + _U(band * 0x9E3779B97F4A7C15 & (2**64 - 1)))
@@ -113,14 +123,14 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nda
             np.add.at(sums, cell, spans.mix(h ^ _U(0xA0761D6478BD642F)))
             counts = np.bincount(cell, minlength=len(sums)).reshape(-1, n2)
             sums = sums.reshape(-1, n2)
-            if n2 > 1:  # each choice leaves one cell out
-                sums = sums.sum(axis=1, dtype=_U)[:, None] - sums
-                counts = counts.sum(axis=1)[:, None] - counts
-            place = np.tile(np.arange(n1 * n2, dtype=_U), len(members)).reshape(-1, n2)
+            choices = list(itertools.combinations(range(n2), n2 - out))
+            sums = np.stack([sums[:, c].sum(axis=1, dtype=_U) for c in choices], axis=1)
+            counts = np.stack([counts[:, c].sum(axis=1) for c in choices], axis=1)
+            place = np.tile(np.arange(n1 * len(choices), dtype=_U), len(members)).reshape(-1, len(choices))
             sig = spans.mix(sums + spans.mix(place + _U((band + 1) << 32)))
             lacking = (counts == 0).any(axis=1).reshape(len(members), n1).sum(axis=1) > spare
             keep = ((counts > 0) | np.repeat(lacking, n1)[:, None]).ravel()
-            owners.append(np.repeat(np.asarray(members), n1 * n2)[keep])
+            owners.append(np.repeat(np.asarray(members), n1 * len(choices))[keep])
             found.append(sig.ravel()[keep])
     if not owners:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=_U)
@@ -147,21 +157,59 @@ def _profiles(n: int, text: str):
     return run
 
 
-def _signature_rows(n: int, percent: int, text: str):
+def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: bool):
+    """Packed (signature, document) entries by bucket; with a ``cand`` column signatures are apart by component."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
+        bands = Bands(percent, strong)
+        docs, sigs, size = [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            doc, (sig,) = np.concatenate(docs), [np.concatenate(sigs)]
+            rows = by_bucket(doc, [sig], (sig >> _U(40)).astype(np.int64) % n_buckets, 5)
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([p for _, p in rows], pa.binary())],
+                                              names=["bucket", "payload"])
+
         for batch in batches:
-            texts = spans.binary_column(batch, text)
+            ids, texts = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False), spans.binary_column(batch, text)
+            cand = batch.column(batch.schema.get_field_index("cand")).to_numpy(zero_copy_only=False) if strong else np.zeros(len(ids), np.int64)
             for i, j in spans.chunks(texts):
                 sets = shingle_sets(texts[i:j], n)
                 nodes, _ = _digests(sets)
-                _, once = np.unique(nodes, return_index=True)  # equal sets sign once
+                order = np.argsort(ids[i:j], kind="stable")
+                _, once = np.unique(nodes[order], return_index=True)  # equal sets sign once, by their smallest document
+                once = order[once]
                 owner, sig = signatures([sets[k] for k in once.tolist()], bands)
-                yield pa.RecordBatch.from_arrays([pa.array(spans.signed(sig)), pa.array(nodes[once[owner]])],
-                                                 names=["sig", "node"])
+                who = once[owner]
+                if strong:
+                    sig = spans.mix(sig ^ cand[i:j][who].astype(np.int64).view(_U))
+                docs.append(ids[i:j][who])
+                sigs.append(sig)
+                size += len(sig)
+                if size >= _FLUSH:
+                    yield flush()
+                    docs, sigs, size = [], [], 0
+        if docs:
+            yield flush()
     return run
 
 
+def _bucket_edges(group: pa.Table) -> pa.Table:
+    """Edges from each holder of a shared signature to its smallest holder, each pair once."""
+    parts = [unpack(p, 1, 5) for p in group.column("payload").to_pylist()]
+    doc, (sig,) = sorted_entries([np.concatenate([c[0] for _, c in parts])], np.concatenate([d for d, _ in parts]))
+    new = group_starts([sig])
+    root = doc[new][np.cumsum(new) - 1]
+    edges = np.unique(np.stack([doc[~new], root[~new]]), axis=1)
+    return pa.table({"node": pa.array(edges[0], pa.int64()), "root": pa.array(edges[1], pa.int64())})
+
+
+def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool) -> DataFrame:
+    """(node, component) of documents that share signatures, directly or through others."""
+    n_buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.mapInArrow(_signature_rows(n, percent, text, n_buckets, strong), "bucket int, payload binary")
+    return components(rows.groupBy("bucket").applyInArrow(_bucket_edges, "node long, root long"), "node", "root")
+
+
 def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the true links between members of ``left`` and of ``right`` (indexes into ``sets``)."""
     sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
@@ -213,7 +261,7 @@ def _verify(n: int, percent: int, text: str):
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text",
-                    block_rows: int = 512, block_shingles: int = 2_000_000) -> DataFrame:
+                    block_rows: int = 2048, block_shingles: int = 2_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
     tables.ship(docs.sparkSession)
     docs = docs.select("doc_id", text)
@@ -222,22 +270,23 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     named = profile.where("doc_id is not null and n_shingles > 0")
     classes = named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
 
-    rows = docs.where("doc_id is not null").mapInArrow(_signature_rows(n, percent, text), "sig long, node long")
-    edges = rows.select("node", F.min("node").over(Window.partitionBy("sig")).alias("root")).where("node <> root")
-    cand = components(edges, "node", "root").withColumnRenamed("node", "d1").withColumnRenamed("component", "cand")
-
-    members = classes.join(cand, "d1")
-    counts = members.groupBy("cand").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("mass"))
+    cand = _candidates(docs.where("doc_id is not null"), n, percent, text, strong=False)
+    members = classes.join(cand.select(F.col("node").alias("rep"), F.col("component").alias("cand")), "rep")
+    # shuffle_hash: the same plan at every size, and the texts are not sorted
+    members = docs.join(members.withColumnRenamed("rep", "doc_id").hint("shuffle_hash"), "doc_id")
+    members = tables.written(members, "partenum-members")
+    large = members.groupBy("cand").count().where(F.col("count") > block_rows).select("cand")
+    if not large.isEmpty():
+        again = _candidates(members.join(large, "cand", "left_semi"), n, percent, text, strong=True)
+        members = _refined(members, large, again)
+    sizes = members.groupBy("cand").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("mass"))
     blocks = F.greatest(F.ceil(F.col("size") / block_rows), F.ceil(F.col("mass") / block_shingles)).cast("int")
-    placed = (members.join(counts.where("size > 1").select("cand", blocks.alias("blocks")), "cand")
-              .withColumn("block", F.pmod(F.xxhash64("d2", "d1"), F.col("blocks")).cast("int")))
-    units = placed.select(
-        F.col("rep").alias("doc_id"), "d1", "d2", "cand", "block",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    units = units.select("doc_id", "d1", "d2", "cand", "block",
+    sizes = sizes.where("size > 1").select("cand", blocks.alias("blocks"))
+    placed = members.join(sizes, "cand").withColumn("block", F.pmod(F.xxhash64("d2", "d1"), F.col("blocks")).cast("int"))
+    units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = units.select("doc_id", text, "d1", "d2", "cand", "block",
                          F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
-    links = (units.join(docs, "doc_id").groupBy("cand", "bi", "bj")
-             .applyInArrow(_verify(n, percent, text), "a long, b long"))
+    links = units.groupBy("cand", "bi", "bj").applyInArrow(_verify(n, percent, text), "a long, b long")
 
     with_rep = named.join(classes, ["n_shingles", "d1", "d2"])
     repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id")
@@ -251,6 +300,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     return out.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
+def _refined(members: DataFrame, large: DataFrame, again: DataFrame) -> DataFrame:
+    """``members`` with the components of ``again`` for those of large components; who has none there has no link."""
+    kept = members.join(large, "cand", "left_anti")
+    finer = again.select(F.col("node").alias("doc_id"), F.col("component").alias("finer"))
+    split = members.join(large, "cand", "left_semi").drop("cand").join(finer, "doc_id").withColumnRenamed("finer", "cand")
+    return tables.written(kept.unionByName(split), "partenum-members")
+
+
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of their component; rows with a null doc_id stay.
 

@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelhouse.session import checkpoint_dir
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -19,11 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, which all executors share."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return folder.rstrip("/")
+    """The folder named in ``spark.checkpoint.dir``, which all executors share (a local one only on a local master)."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)).rstrip("/")
 
 
 def new_path(spark: SparkSession, what: str) -> str:

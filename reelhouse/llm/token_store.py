@@ -25,7 +25,8 @@ content depends on the partition's rows alone, so a retry or a second attempt wr
 Encoding.  Texts are encoded with the ``tokenizers`` library.  A byte-level pre-tokenizer cuts
 before a single space between two other characters, so a text is the concatenation of its
 pieces there; equal pieces are encoded once a task and kept in a bounded memo (two halves, the
-older one dropped).  Texts with double spaces are encoded whole.
+older one dropped).  Texts with double spaces are encoded whole, and the tokenizer's own model does
+the pieces that are one word.
 
 Defined results: null texts are empty and have just the end id; a null doc_id sorts last;
 repeated rows are written one by one; other columns of the input are ignored; an empty input
@@ -35,8 +36,12 @@ makes an empty result.
 from __future__ import annotations
 
 import os
+import re
+import string
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -143,43 +148,109 @@ class TokenFile:
         return self.ids[self.ends.select(i - 1) if i else 0:self.ends.select(i)]
 
 
+def _byte_symbols() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_SYMBOLS = _byte_symbols()
+#: A word of Latin letters, perhaps after a space, and stops after it: two pre-tokens at most.
+_WORD = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?]*)")
+
+
 class Encoder:
-    """Texts to packed ids, with a bounded memo of pieces."""
+    """Texts to packed ids, with a bounded memo of pieces.
 
-    def __init__(self, path: str, end_id: int, memo: int = 600_000) -> None:
+    A piece that is one word goes to the tokenizer's model directly, as the pre-tokenizer
+    would leave it whole; any other piece takes the whole way through the tokenizer.
+    """
+
+    def __init__(self, path: str, end_id: int, memo: int = 1_200_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        self.type = np.dtype(f"<u{self.width}")
-        self.end = np.array([end_id], dtype=self.type).tobytes()
+        self.number = array("H" if self.width == 2 else "I")
+        self.end = self._packed([end_id])
         self.half = memo // 2
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.stops: dict[str, bytes] = {}
+        self.lines: dict[str, bytes] = {}
+        # the direct way holds for byte-level tokenizers that cut before words and change nothing else
+        self.direct = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in repr(self.tokenizer.pre_tokenizer)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        out = array(self.number.typecode, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [self._packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, piece: str) -> bytes:
+        """The ids of a text without double spaces, word by word where that is exact."""
+        found = _WORD.fullmatch(piece) if self.direct else None
+        if not found:
+            return self._whole([piece])[0]
+        word, stops = found.groups()
+        ids = self._packed([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_SYMBOLS))])
+        return ids + self._stops(stops) if stops else ids
+
+    def _after_space(self, piece: str) -> bytes:
+        """The ids of a space and ``piece``; punctuation after a word is not kept with it, so the memo holds words once."""
+        if self.direct:
+            if "\n" in piece:
+                first, *lines = piece.split("\n")
+                if first and all(lines):  # single line ends between other characters are pre-tokens of their own
+                    return (self.young.get(first) or self._after_space(first)) + b"".join(map(self._after_line, lines))
+            body = piece.rstrip(string.punctuation)
+            if body != piece and body.isalpha():
+                return (self.young.get(body) or self._after_space(body)) + self._stops(piece[len(body):])
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self._encoded(" " + piece)
+        if len(self.young) >= self.half:
+            self.young, self.old = {}, self.young
+        self.young[piece] = ids
+        return ids
+
+    def _after_line(self, piece: str) -> bytes:
+        """The ids of a line end and ``piece``."""
+        ids = self.lines.get(piece)
+        if ids is None:
+            ids = self._whole(["\n" + piece])[0]
+            if len(self.lines) >= self.half // 4:
+                self.lines.clear()
+            self.lines[piece] = ids
+        return ids
+
+    def _stops(self, stops: str) -> bytes:
+        if stops not in self.stops:
+            if len(self.stops) > 1000:
+                self.stops.clear()
+            self.stops[stops] = self._whole([stops])[0]
+        return self.stops[stops]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id."""
-        pieces = [None if "  " in t or not t else [p if not i else " " + p for i, p in enumerate(t.split(" "))] for t in texts]
-        if len(self.young) > self.half:
-            self.young, self.old = {}, self.young
-        new = []
-        for p in {x for row in pieces if row for x in row}:
-            if p not in self.young:
-                known = self.old.get(p)
-                if known is None:
-                    new.append(p)
-                else:
-                    self.young[p] = known
-        for p, ids in zip(new, self._encode(new)):
-            self.young[p] = ids
-        whole = iter(self._encode([t for t, row in zip(texts, pieces) if row is None]))
-        look = self.young.__getitem__
-        return [b"".join(map(look, row)) + self.end if row is not None else next(whole) + self.end for row in pieces]
+        out = []
+        for text in texts:
+            if "  " in text or not text:
+                out.append(self._whole([text])[0] + self.end)
+                continue
+            first, *rest = text.split(" ")
+            found = list(map(self.young.get, rest))
+            if None in found:
+                found = [ids if ids is not None else self._after_space(p) for ids, p in zip(found, rest)]
+            out.append(b"".join([self._encoded(first) if first else b"", *found, self.end]))
+        return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
