@@ -136,16 +136,16 @@ class Nystroem:
     def __init__(self, landmarks: list[bytes]) -> None:
         found = [f for f in map(_features, landmarks) if f]
         self.columns = {k: i for i, k in enumerate(sorted({k for f in found for k in f}))}
-        self.z = np.zeros((len(found), len(self.columns)))
+        self.z = np.zeros((len(found), len(self.columns)), dtype=np.float32)
         for i, f in enumerate(found):
             for k, v in _unit(f).items():
                 self.z[i, self.columns[k]] = v
-        values, vectors = np.linalg.eigh(self.z @ self.z.T)
+        values, vectors = np.linalg.eigh((self.z @ self.z.T).astype(np.float64))
         keep = values > 1e-6 * max(values.max(initial=0), 1e-12)
         self.whiten = vectors[:, keep] / np.sqrt(values[keep])
 
     def map(self, windows: list[bytes]) -> np.ndarray:
-        out = np.zeros((len(windows), self.whiten.shape[1]))
+        out = np.zeros((len(windows), self.whiten.shape[1]), dtype=np.float32)
         for i, window in enumerate(windows):
             f = [(self.columns[k], v) for k, v in _features(window).items() if k in self.columns]
             if f:
@@ -162,14 +162,14 @@ class Nystroem:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, cost: float, rounds: int = 30) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss, by Newton steps on the active rows; y in -1, 1, classes weighted evenly."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
+    x1 = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     c = cost * np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * len(y)
     ridge = np.ones(x1.shape[1])
     ridge[-1] = 1e-6
     w = np.zeros(x1.shape[1])
     for _ in range(rounds):
         active = y * (x1 @ w) < 1
-        xa, ca = x1[active], c[active]
+        xa, ca = x1[active].astype(np.float64), c[active]
         new = np.linalg.solve(np.diag(ridge) + (xa * ca[:, None]).T @ xa, (xa * (ca * y[active])[:, None]).sum(axis=0))
         if np.allclose(new, w, atol=1e-6):
             break
@@ -248,7 +248,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows, max_docs: int = 3000,
     for word, value in zip(words, z):
         for k, v in _unit(_features(word)).items():
             weights[k] += v * value
-    clean = np.empty((0, space.whiten.shape[1]))
+    clean = np.empty((0, space.whiten.shape[1]), dtype=np.float32)
     for _ in range(rounds):
         found = _tops(sample, weights)
         toxic = space.map([tops[0] for label, _, tops in found if label and tops])
