@@ -16,7 +16,8 @@ dictionary and parse are sorted to that depth, and only where it can decide some
    other triggers occur once, and leave the order here;
 2. phrases of shared triggers: sorted by (trigger, phrase).  A phrase that a smaller document
    has too is a repeat as a whole; highly repetitive text costs one row a phrase, not a byte;
-3. suffixes: where one trigger has several phrases, the suffixes of each distinct phrase are
+3. suffixes: a suffix's first ``length`` bytes hold the trigger with 17 bytes on its left or on
+   its right.  Where two documents' different phrases share such a half, the suffixes with it are
    sorted by their first ``length`` bytes, and equal neighbours with a smaller document repeat.
 
 Each step is one shuffle of packed keys (numpy arrays in binary rows, by key bucket).  Equal
@@ -63,8 +64,10 @@ class Phrases:
     start: np.ndarray     # first window start, in the document
     windows: np.ndarray   # number of window starts
     trigger: np.ndarray   # 48-bit hash of the trigger
-    key: np.ndarray       # hash of trigger offset and phrase bytes
+    key: np.ndarray       # hash of trigger offset and phrase bytes; its low two bits are free for ``halves``
+    halves: np.ndarray    # 32-bit hashes of the trigger with what is left, and right, of it (0: no window needs it)
     lo: np.ndarray        # first window start, in the section
+    late: np.ndarray      # how many of the window starts hold the left half (they come first)
     data: np.ndarray
 
 
@@ -133,13 +136,24 @@ def phrases(texts: list[bytes], length: int, trigger: int) -> Iterator[Phrases]:
         bases = np.array([b for _, b, _ in section])
         mark = hashes[a] >> _U(16)
         key = spans.mix(_range_hash(prefix, lo, hi + length - 1) + _U(0x9E3779B97F4A7C15) * (a - lo).astype(_U) + mark)
-        yield Phrases(docs[piece], lo - first[piece] + bases[piece], hi - lo, mark, key, lo, data)
+        # a window that starts ``half`` or more before the trigger holds its left half, any other its right half
+        half = (length - trigger) // 2
+        early = np.clip(a - half + 1 - lo, 0, hi - lo)
+        left = _range_hash(prefix, np.maximum(a - half, 0), a + trigger) | _U(1)
+        right = _range_hash(prefix, a, np.minimum(a + length - half, len(data))) | _U(1)
+        halves = np.where(early > 0, left << _U(32), _U(0)) | np.where(early < hi - lo, right & _U(0xFFFFFFFF), _U(0))
+        yield Phrases(docs[piece], lo - first[piece] + bases[piece], hi - lo, mark, key & ~_U(3), halves, lo, early, data)
 
 
-def suffixes(p: Phrases, which: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, window start, two hashes of the first ``length`` bytes) of the suffixes of the chosen phrases."""
-    n = p.windows[which]
-    shift = np.arange(n.sum()) - np.repeat(np.append(0, np.cumsum(n)[:-1]), n)
+def suffixes(p: Phrases, left: np.ndarray, right: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, window start, two hashes of the first ``length`` bytes) of phrases' suffixes.
+
+    ``left`` chooses phrases whose suffixes with the left half are wanted, ``right`` those with the right half.
+    """
+    which = np.flatnonzero(left | right)
+    skip = np.where(left[which], 0, p.late[which])
+    n = np.where(right[which], p.windows[which], p.late[which]) - skip
+    shift = np.arange(n.sum()) - np.repeat(np.append(0, np.cumsum(n)[:-1]), n) + np.repeat(skip, n)
     lo = np.repeat(p.lo[which], n) + shift
     one = _range_hash(_prefix(p.data, spans.BYTE_CODE), lo, lo + length)
     two = _range_hash(_prefix(p.data, _CODE2), lo, lo + length)
@@ -222,6 +236,11 @@ class _Answers:
         return self.known[np.minimum(at, len(self.known) - 1)] == asked
 
 
+def _open_halves(p: Phrases, open_: _Answers) -> tuple[np.ndarray, np.ndarray]:
+    one, two, both = (open_.has(p.doc, p.key | _U(bits)) for bits in (1, 2, 3))
+    return one | both, two | both
+
+
 def _emit(select: Callable, answer: Callable, n_buckets: int, short: bool, shared: bool):
     """A mapInArrow function: ``select(batch)`` yields (document index, key columns) pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,12 +290,22 @@ def _shared_triggers(doc: np.ndarray, cols: list[np.ndarray]) -> dict:
 
 
 def _repeated_phrases(doc: np.ndarray, cols: list[np.ndarray]) -> dict:
-    """Repeats of a smaller document's phrase; and first phrases of triggers that have several."""
-    new_trigger, new = group_starts(cols[:1]), group_starts(cols)
-    group = np.cumsum(new_trigger) - 1
-    several = np.bincount(group[new], minlength=group[-1] + 1)[group] > 1
-    first = new & several
-    return _answers(doc, (doc[~new], cols[1][~new]), (doc[first], cols[1][first]))
+    """Repeats of a smaller document's phrase; and first phrases that share a half with another document's.
+
+    The low bits of an open phrase's key say which: 1 the left half, 2 the right half.
+    """
+    new = group_starts(cols[:2])
+    trigger, key, halves, first = cols[0][new], cols[1][new], cols[2][new], doc[new]
+    flags = np.zeros(len(key), dtype=_U)
+    for bit, half in ((1, halves >> _U(32)), (2, halves & _U(0xFFFFFFFF))):
+        order = np.lexsort((first, half, trigger))
+        group = group_starts([trigger[order], half[order]])
+        number = np.cumsum(group) - 1
+        other = group_starts([trigger[order], half[order], first[order]])
+        shared = (np.bincount(number, weights=other)[number] > 1) & (half[order] > 0)
+        flags[order[shared]] |= _U(bit)
+    open_ = flags > 0
+    return _answers(doc, (doc[~new], cols[1][~new]), (first[open_], key[open_] | flags[open_]))
 
 
 def _repeated_suffixes(doc: np.ndarray, cols: list[np.ndarray]) -> dict:
@@ -303,9 +332,9 @@ def _cut(docs: DataFrame, length: int, trigger: int, text: str):
                 p.doc = todo[p.doc]
                 yes = whole.has(p.doc, p.key)
                 mark(p.doc[yes], p.start[yes], p.start[yes] + p.windows[yes] + length - 1)
-                which = np.flatnonzero(open_.has(p.doc, p.key))
-                if len(which):
-                    doc, start, one, _ = suffixes(p, which, length)
+                left, right = _open_halves(p, open_)
+                if left.any() or right.any():
+                    doc, start, one, _ = suffixes(p, left, right, length)
                     hit = late.has(doc, one)
                     mark(doc[hit], start[hit], start[hit] + length)
             rows = []
@@ -340,7 +369,7 @@ def repeated_bytes(docs: DataFrame, length: int = 50, trigger: int = 16, text: s
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and removed_spans (byte offsets)."""
     spark = docs.sparkSession
     tables.ship(spark)
-    n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     null_id = F.lit(int(_LAST)).cast("long")
     docs = docs.select(F.coalesce("doc_id", null_id).alias("doc_id"), F.col("doc_id").alias("row_id"), F.col(text).alias(text))
 
@@ -353,21 +382,22 @@ def repeated_bytes(docs: DataFrame, length: int = 50, trigger: int = 16, text: s
         shared = _Answers(batch, "trigger_yes")
         for p in phrases(spans.binary_column(batch, text), length, trigger):
             at = np.flatnonzero(shared.has(p.doc, p.trigger))
-            yield p.doc[at], [p.trigger[at], p.key[at]], len(p.data)
+            yield p.doc[at], [p.trigger[at], p.key[at], p.halves[at]], len(p.data)
 
     def open_suffixes(batch):
         open_ = _Answers(batch, "phrase_open")
         for p in phrases(spans.binary_column(batch, text), length, trigger):
-            at = np.flatnonzero(open_.has(p.doc, p.key))
-            doc, _, one, two = suffixes(p, at, length)
-            yield doc, [one, two], len(p.data)
+            left, right = _open_halves(p, open_)
+            if left.any() or right.any():
+                doc, _, one, two = suffixes(p, left, right, length)
+                yield doc, [one, two], len(p.data)
 
     by_doc = docs.repartition("doc_id")
     rows = docs.mapInArrow(_emit(triggers, lambda c: c[0], n_buckets, True, True), _ROW)
     flagged = _answered(rows, 1, True, _shared_triggers, ("trigger_yes", "_"))
     rows = by_doc.join(flagged.drop("_").hint("shuffle_hash"), "doc_id").mapInArrow(
         _emit(shared_phrases, lambda c: c[1], n_buckets, False, False), _ROW)
-    judged = _answered(rows, 2, False, _repeated_phrases, ("phrase_yes", "phrase_open"))
+    judged = _answered(rows, 3, False, _repeated_phrases, ("phrase_yes", "phrase_open"))
     rows = by_doc.join(judged.where(F.size("phrase_open") > 0).drop("phrase_yes").hint("shuffle_hash"), "doc_id").mapInArrow(
         _emit(open_suffixes, lambda c: c[0], n_buckets, False, False), _ROW)
     late = _answered(rows, 2, False, _repeated_suffixes, ("suffix_yes", "_"))
