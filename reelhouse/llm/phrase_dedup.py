@@ -25,7 +25,7 @@ keys of one batch of documents are merged before it: all but the smallest docume
 their answer at once, so a passage that a third of all documents share costs one entry a
 batch.  Texts are shuffled once, by doc_id, and joined with the answers.
 
-Trigger keys (48 bits) only nominate; phrases are compared by 112-bit and suffixes by 128-bit
+Trigger keys (48 bits) only nominate; phrases are compared by 110-bit and suffixes by 80-bit
 hashes, not byte by byte.
 
 Defined results: null text is empty; texts shorter than ``length`` stay whole; rows that repeat
@@ -190,11 +190,12 @@ def _answer_rows(n_buckets: int, answers: dict[int, list[bytes]]) -> list[tuple]
     return [(d % n_buckets, d, None, y or None, o or None) for d, (y, o) in answers.items()]
 
 
-def _local(doc: np.ndarray, cols: list[np.ndarray], answer: Callable, n_buckets: int, short: bool,
-           shared: bool) -> list[tuple]:
+def _local(doc: np.ndarray, cols: list[np.ndarray], answer: Callable, n_buckets: int, width: int, shared: bool,
+           route: int) -> list[tuple]:
     """Merge one batch's entries: direct answers, and one entry a key (its smallest document) for its bucket.
 
-    ``shared``: a key of two documents is answered for both; else for the larger one only.
+    ``shared``: a key of two documents is answered for both; else for the larger one only.  ``route`` is the
+    column that chooses the bucket, ``width`` the bytes of the first column that travel.
     """
     doc, cols = sorted_entries(cols, doc)
     new = group_starts(cols)
@@ -203,8 +204,8 @@ def _local(doc: np.ndarray, cols: list[np.ndarray], answer: Callable, n_buckets:
         several = several | np.append(~new[1:], False)
     rows = _answer_rows(n_buckets, _answers(doc, (doc[several], answer([c[several] for c in cols]))))
     doc, cols = doc[new], [c[new] for c in cols]
-    bucket = (spans.mix(cols[0] + _U(1)) % _U(n_buckets)).astype(np.int64)
-    rows += [(b, None, payload, None, None) for b, payload in by_bucket(doc, cols, bucket, 6 if short else 8)]
+    bucket = (spans.mix(cols[route] + _U(1)) % _U(n_buckets)).astype(np.int64)
+    rows += [(b, None, payload, None, None) for b, payload in by_bucket(doc, cols, bucket, width)]
     return rows
 
 
@@ -241,13 +242,13 @@ def _open_halves(p: Phrases, open_: _Answers) -> tuple[np.ndarray, np.ndarray]:
     return one | both, two | both
 
 
-def _emit(select: Callable, answer: Callable, n_buckets: int, short: bool, shared: bool):
+def _emit(select: Callable, answer: Callable, n_buckets: int, width: int, shared: bool, route: int = 0):
     """A mapInArrow function: ``select(batch)`` yields (document index, key columns) pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, cols, size = [], [], 0
 
         def flush():
-            return _rows(_local(np.concatenate(docs), [np.concatenate(c) for c in zip(*cols)], answer, n_buckets, short, shared))
+            return _rows(_local(np.concatenate(docs), [np.concatenate(c) for c in zip(*cols)], answer, n_buckets, width, shared, route))
 
         for batch in batches:
             ids = _doc_ids(batch)
@@ -264,22 +265,22 @@ def _emit(select: Callable, answer: Callable, n_buckets: int, short: bool, share
     return run
 
 
-def _settle(n_cols: int, short: bool, judge: Callable):
+def _settle(n_cols: int, width: int, judge: Callable):
     """An applyInArrow function over one bucket: ``judge(doc, cols)`` gives the answers to entries sorted by key and document."""
     def run(group: pa.Table) -> pa.Table:
         payloads = [x for x in group.column("payload").to_pylist() if x]
         rows = [(None, d, None, y, o) for d, y, o in zip(*(group.column(c).to_pylist() for c in ("doc_id", "yes", "open")))
                 if d is not None]
         if payloads:
-            parts = [unpack(x, n_cols, 6 if short else 8) for x in payloads]
+            parts = [unpack(x, n_cols, width) for x in payloads]
             doc, cols = sorted_entries([np.concatenate(c) for c in zip(*(c for _, c in parts))], np.concatenate([d for d, _ in parts]))
             rows += [(None, *x[1:]) for x in _answer_rows(1, judge(doc, cols))]
         return pa.Table.from_batches([_rows(rows)]).select(["doc_id", "yes", "open"])
     return run
 
 
-def _answered(rows: DataFrame, n_cols: int, short: bool, judge: Callable, names: tuple[str, str]) -> DataFrame:
-    found = rows.groupBy("bucket").applyInArrow(_settle(n_cols, short, judge), "doc_id long, yes binary, open binary")
+def _answered(rows: DataFrame, n_cols: int, width: int, judge: Callable, names: tuple[str, str]) -> DataFrame:
+    found = rows.groupBy("bucket").applyInArrow(_settle(n_cols, width, judge), "doc_id long, yes binary, open binary")
     return found.groupBy("doc_id").agg(F.collect_list("yes").alias(names[0]), F.collect_list("open").alias(names[1]))
 
 
@@ -310,7 +311,7 @@ def _repeated_phrases(doc: np.ndarray, cols: list[np.ndarray]) -> dict:
 
 def _repeated_suffixes(doc: np.ndarray, cols: list[np.ndarray]) -> dict:
     later = ~group_starts(cols)
-    return _answers(doc, (doc[later], cols[0][later]))
+    return _answers(doc, (doc[later], cols[1][later]))
 
 
 def _cut(docs: DataFrame, length: int, trigger: int, text: str):
@@ -369,7 +370,8 @@ def repeated_bytes(docs: DataFrame, length: int = 50, trigger: int = 16, text: s
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and removed_spans (byte offsets)."""
     spark = docs.sparkSession
     tables.ship(spark)
-    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a bucket answers each document in one row: the same least number keeps these rows in proportion
+    n_buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     null_id = F.lit(int(_LAST)).cast("long")
     docs = docs.select(F.coalesce("doc_id", null_id).alias("doc_id"), F.col("doc_id").alias("row_id"), F.col(text).alias(text))
 
@@ -390,17 +392,17 @@ def repeated_bytes(docs: DataFrame, length: int = 50, trigger: int = 16, text: s
             left, right = _open_halves(p, open_)
             if left.any() or right.any():
                 doc, _, one, two = suffixes(p, left, right, length)
-                yield doc, [one, two], len(p.data)
+                yield doc, [two & _U(0xFFFF), one], len(p.data)
 
     by_doc = docs.repartition("doc_id")
-    rows = docs.mapInArrow(_emit(triggers, lambda c: c[0], n_buckets, True, True), _ROW)
-    flagged = _answered(rows, 1, True, _shared_triggers, ("trigger_yes", "_"))
+    rows = docs.mapInArrow(_emit(triggers, lambda c: c[0], n_buckets, 6, True), _ROW)
+    flagged = _answered(rows, 1, 6, _shared_triggers, ("trigger_yes", "_"))
     rows = by_doc.join(flagged.drop("_").hint("shuffle_hash"), "doc_id").mapInArrow(
-        _emit(shared_phrases, lambda c: c[1], n_buckets, False, False), _ROW)
-    judged = _answered(rows, 3, False, _repeated_phrases, ("phrase_yes", "phrase_open"))
+        _emit(shared_phrases, lambda c: c[1], n_buckets, 6, False), _ROW)
+    judged = _answered(rows, 3, 6, _repeated_phrases, ("phrase_yes", "phrase_open"))
     rows = by_doc.join(judged.where(F.size("phrase_open") > 0).drop("phrase_yes").hint("shuffle_hash"), "doc_id").mapInArrow(
-        _emit(open_suffixes, lambda c: c[0], n_buckets, False, False), _ROW)
-    late = _answered(rows, 2, False, _repeated_suffixes, ("suffix_yes", "_"))
+        _emit(open_suffixes, lambda c: c[1], n_buckets, 2, False, route=1), _ROW)
+    late = _answered(rows, 2, 2, _repeated_suffixes, ("suffix_yes", "_"))
     all_ = (by_doc.join(judged.hint("shuffle_hash"), "doc_id", "left")
             .join(late.drop("_").hint("shuffle_hash"), "doc_id", "left"))
     return all_.mapInArrow(
