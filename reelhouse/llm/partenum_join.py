@@ -18,9 +18,10 @@ non-empty one with each of its links, and drops the empty ones; only other sets
 Candidates are linear in the signatures: every holder of a signature gets an edge to the
 smallest holder, and connected components of these edges hold all links.  Signatures travel
 packed (five bytes each, in binary rows by bucket) and edges leave a bucket once, however many
-signatures two documents share.  A passage that very many documents share can tie unrelated
-ones into a large component; the members of components over ``block_rows`` sign again, by a
-scheme whose signatures cover more shingles, within their component.
+signatures two documents share.  A passage that very many documents share would tie unrelated ones into a large
+component; so shingles that are frequent in a bounded sample are left out of the domain (any
+domain gives all links).  Members of components that are still over ``block_rows`` sign again, by
+a scheme whose signatures cover more shingles, within their component.
 
 Components are verified exactly, in blocks of bounded size (block pairs are separate tasks; only
 a spanning forest of the true links leaves a task), and true links are joined to components
@@ -98,16 +99,20 @@ class Bands:
             return 1, 1, 0, 0
         n2, out = (7, 3) if self.strong and k > 3 else (3, 1) if k < 16 else (2, 1)
         n1 = k // (out + 1) + 1
-        empty = math.comb(n2, out) * (1 - (n2 - out) / (n1 * n2)) ** self.least_for(band)
+        # a set may have a third of its shingles left out of the domain
+        empty = math.comb(n2, out) * (1 - (n2 - out) / (n1 * n2)) ** (0.67 * self.least_for(band))
         spare = 0 if n1 * empty < 0.02 else 1 + math.ceil(2 * n1 * empty)
         return n1 + spare, n2, out, spare
 
 
-def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the set, signature) rows of all non-empty sets."""
-    sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+def _signed(sets: list[np.ndarray], sizes: np.ndarray, bands: Bands, seed: int, empties: bool):
+    """Non-empty signatures of ``sets``, in bands by ``sizes``: (index, signature), and who lacks non-empty ones.
+
+    With ``empties`` those who lack them sign empty choices too.
+    """
     own = bands.of(sizes)
-    owners, found = [], []
+    lens = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    owners, found, lack = [np.empty(0, np.int64)], [np.empty(0, _U)], np.zeros(len(sets), dtype=bool)
     for step in (0, 1):
         jobs: dict[int, list[int]] = {}
         for i, (size, band) in enumerate(zip(sizes.tolist(), (own + step).tolist())):
@@ -115,9 +120,9 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nda
                 jobs.setdefault(band, []).append(i)
         for band, members in jobs.items():
             n1, n2, out, spare = bands.parameters(band)
-            who = np.repeat(np.arange(len(members)), sizes[members])
+            who = np.repeat(np.arange(len(members)), lens[members])
             h = np.concatenate([sets[i] for i in members])
-            at = spans.mix(h + _U(band * 0x9E3779B97F4A7C15 & (2**64 - 1)))
+            at = spans.mix(h + _U((band * 0x9E3779B97F4A7C15 + seed) & (2**64 - 1)))
             cell = (who * n1 + ((at >> _U(32)) % _U(n1)).astype(np.int64)) * n2 + ((at & _U(0xFFFFFFFF)) % _U(n2)).astype(np.int64)
             sums = np.zeros(len(members) * n1 * n2, dtype=_U)
             np.add.at(sums, cell, spans.mix(h ^ _U(0xA0761D6478BD642F)))
@@ -127,21 +132,40 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nda
             sums = np.stack([sums[:, c].sum(axis=1, dtype=_U) for c in choices], axis=1)
             counts = np.stack([counts[:, c].sum(axis=1) for c in choices], axis=1)
             place = np.tile(np.arange(n1 * len(choices), dtype=_U), len(members)).reshape(-1, len(choices))
-            sig = spans.mix(sums + spans.mix(place + _U((band + 1) << 32)))
+            sig = spans.mix(sums + spans.mix(place + _U(((band + 1) << 32) + seed)))
             lacking = (counts == 0).any(axis=1).reshape(len(members), n1).sum(axis=1) > spare
-            keep = ((counts > 0) | np.repeat(lacking, n1)[:, None]).ravel()
+            lack[np.asarray(members)[lacking]] = True
+            keep = ((counts > 0) | (empties & np.repeat(lacking, n1))[:, None]).ravel()
             owners.append(np.repeat(np.asarray(members), n1 * len(choices))[keep])
             found.append(sig.ravel()[keep])
-    if not owners:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=_U)
-    return np.concatenate(owners), np.concatenate(found)
+    return np.concatenate(owners), np.concatenate(found), lack
+
+
+def signatures(sets: list[np.ndarray], bands: Bands, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the set, signature) rows of all non-empty sets.
+
+    ``common`` (sorted) are shingles left out of the domain: what is left of two sets differs no more
+    than the sets do, so bands and partitions stay as they are.  Sets that then lack non-empty
+    signatures sign the full domain as well, where such sets meet each other.
+    """
+    sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    if common is None or not len(common):
+        owner, sig, _ = _signed(sets, sizes, bands, 0, True)
+        return owner, sig
+    rest = [s[common[np.minimum(np.searchsorted(common, s), len(common) - 1)] != s] for s in sets]
+    owner, sig, lack = _signed(rest, sizes, bands, 1, False)
+    again = np.flatnonzero(lack)
+    if not len(again):
+        return owner, sig
+    more, full, _ = _signed([sets[i] for i in again.tolist()], sizes[again], bands, 0, True)
+    return np.concatenate([owner, again[more]]), np.concatenate([sig, full])
 
 
 def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit digests of each set."""
     one = [spans.mix(s).sum(dtype=_U) for s in sets]
     two = [spans.mix(s ^ _U(0xE7037ED1A0B428DB)).sum(dtype=_U) for s in sets]
-    return (spans.signed(spans.mix(np.array(x, dtype=_U).reshape(-1))) for x in (one, two))
+    return tuple(spans.signed(spans.mix(np.array(x, dtype=_U).reshape(-1))) for x in (one, two))
 
 
 def _profiles(n: int, text: str):
@@ -157,7 +181,33 @@ def _profiles(n: int, text: str):
     return run
 
 
-def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: bool):
+def _sample_counts(n: int, text: str):
+    """(shingle, documents) of each chunk of documents; equal sets count once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = spans.binary_column(batch, text)
+            for i, j in spans.chunks(texts):
+                sets = shingle_sets(texts[i:j], n)
+                _, once = np.unique(_digests(sets)[0], return_index=True)
+                shingles, counts = np.unique(np.concatenate([sets[k] for k in once.tolist()]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(spans.signed(shingles)), pa.array(counts, pa.int64())],
+                                                 names=["shingle", "n"])
+    return run
+
+
+def common_shingles(docs: DataFrame, n_docs: int, n: int, text: str, sample: int, least: int) -> np.ndarray:
+    """Shingles of ``least`` or more documents in a sample of about ``sample`` documents, by a hash of doc_id.
+
+    At most ``sample * mean set size / least`` values.  They steer the cost of the join, never its result.
+    """
+    share = min(1.0, sample / max(1, n_docs))
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    counts = chosen.mapInArrow(_sample_counts(n, text), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= least).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
+    return np.sort(found.view(_U))
+
+
+def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: bool, common):
     """Packed (signature, document) entries by bucket; with a ``cand`` column signatures are apart by component."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, strong)
@@ -178,7 +228,7 @@ def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: boo
                 order = np.argsort(ids[i:j], kind="stable")
                 _, once = np.unique(nodes[order], return_index=True)  # equal sets sign once, by their smallest document
                 once = order[once]
-                owner, sig = signatures([sets[k] for k in once.tolist()], bands)
+                owner, sig = signatures([sets[k] for k in once.tolist()], bands, common.value)
                 who = once[owner]
                 if strong:
                     sig = spans.mix(sig ^ cand[i:j][who].astype(np.int64).view(_U))
@@ -203,10 +253,10 @@ def _bucket_edges(group: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(edges[0], pa.int64()), "root": pa.array(edges[1], pa.int64())})
 
 
-def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool) -> DataFrame:
+def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool, common) -> DataFrame:
     """(node, component) of documents that share signatures, directly or through others."""
     n_buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.mapInArrow(_signature_rows(n, percent, text, n_buckets, strong), "bucket int, payload binary")
+    rows = docs.mapInArrow(_signature_rows(n, percent, text, n_buckets, strong, common), "bucket int, payload binary")
     return components(rows.groupBy("bucket").applyInArrow(_bucket_edges, "node long, root long"), "node", "root")
 
 
@@ -261,7 +311,8 @@ def _verify(n: int, percent: int, text: str):
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text",
-                    block_rows: int = 2048, block_shingles: int = 2_000_000) -> DataFrame:
+                    block_rows: int = 2048, block_shingles: int = 2_000_000,
+                    sample: int = 4000, common_in: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
     tables.ship(docs.sparkSession)
     docs = docs.select("doc_id", text)
@@ -270,14 +321,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     named = profile.where("doc_id is not null and n_shingles > 0")
     classes = named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
 
-    cand = _candidates(docs.where("doc_id is not null"), n, percent, text, strong=False)
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, profile.count(), n, text, sample, common_in))
+    cand = _candidates(docs.where("doc_id is not null"), n, percent, text, False, common)
     members = classes.join(cand.select(F.col("node").alias("rep"), F.col("component").alias("cand")), "rep")
     # shuffle_hash: the same plan at every size, and the texts are not sorted
     members = docs.join(members.withColumnRenamed("rep", "doc_id").hint("shuffle_hash"), "doc_id")
     members = tables.written(members, "partenum-members")
     large = members.groupBy("cand").count().where(F.col("count") > block_rows).select("cand")
     if not large.isEmpty():
-        again = _candidates(members.join(large, "cand", "left_semi"), n, percent, text, strong=True)
+        again = _candidates(members.join(large, "cand", "left_semi"), n, percent, text, True, common)
         members = _refined(members, large, again)
     sizes = members.groupBy("cand").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("mass"))
     blocks = F.greatest(F.ceil(F.col("size") / block_rows), F.ceil(F.col("mass") / block_shingles)).cast("int")
@@ -315,4 +367,4 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text")
     """
     found = near_duplicates(docs, n, percent, text)
     dropped = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    return docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti")
