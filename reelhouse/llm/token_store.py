@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import sys
 import zlib
@@ -180,6 +181,7 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.stops: dict[str, bytes] = {}
+        self.lines: dict[str, bytes] = {}
         # the direct way holds for byte-level tokenizers that cut before words and change nothing else
         self.direct = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in repr(self.tokenizer.pre_tokenizer)
 
@@ -202,10 +204,15 @@ class Encoder:
         return ids + self._stops(stops) if stops else ids
 
     def _after_space(self, piece: str) -> bytes:
-        """The ids of a space and ``piece``; stops after a word are not kept with it, so the memo holds words once."""
-        body = piece.rstrip(".,;:!?")
-        if body != piece and self.direct and body.isalpha():
-            return (self.young.get(body) or self._after_space(body)) + self._stops(piece[len(body):])
+        """The ids of a space and ``piece``; punctuation after a word is not kept with it, so the memo holds words once."""
+        if self.direct:
+            if "\n" in piece:
+                first, *lines = piece.split("\n")
+                if first and all(lines):  # single line ends between other characters are pre-tokens of their own
+                    return (self.young.get(first) or self._after_space(first)) + b"".join(map(self._after_line, lines))
+            body = piece.rstrip(string.punctuation)
+            if body != piece and body.isalpha():
+                return (self.young.get(body) or self._after_space(body)) + self._stops(piece[len(body):])
         ids = self.old.get(piece)
         if ids is None:
             ids = self._encoded(" " + piece)
@@ -214,6 +221,16 @@ class Encoder:
         self.young[piece] = ids
         return ids
 
+    def _after_line(self, piece: str) -> bytes:
+        """The ids of a line end and ``piece``."""
+        ids = self.lines.get(piece)
+        if ids is None:
+            ids = self._whole(["\n" + piece])[0]
+            if len(self.lines) >= self.half // 4:
+                self.lines.clear()
+            self.lines[piece] = ids
+        return ids
+
     def _stops(self, stops: str) -> bytes:
         if stops not in self.stops:
             if len(self.stops) > 1000:
