@@ -195,12 +195,16 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, train, max_docs: int, text: str = "text") -> DataFrame:
-    """(text, toxic) of at most ``max_docs`` training documents of each class, the smallest by a hash of the text."""
-    y = labels.where(F.col("toxic").isNotNull() & train).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    """(text, toxic) of at most ``max_docs`` training documents of each class, the smallest by a hash of doc_id.
+
+    The ids are chosen from the labels alone, so ``2 * max_docs`` ids are broadcast and no text is shuffled.
+    """
+    y = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & train)
+    y = y.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    y = y.withColumn("_h", F.xxhash64("doc_id"))
+    part = [y.where(F.col("toxic") == k).orderBy("_h").limit(max_docs).select("doc_id", "toxic") for k in (0, 1)]
     rows = docs.select("doc_id", F.col(text).alias("text")).where(F.col("text").isNotNull())
-    rows = rows.join(y.dropDuplicates(["doc_id"]), "doc_id").withColumn("_h", F.xxhash64("text", "doc_id"))
-    part = [rows.where(F.col("toxic") == k).orderBy("_h").limit(max_docs).select("text", "toxic") for k in (0, 1)]
-    return part[0].unionByName(part[1])
+    return rows.join(F.broadcast(part[0].unionByName(part[1])), "doc_id").select("text", "toxic")
 
 
 def landmark_words(sample: DataFrame, n: int, pool: int = 4000) -> tuple[list[bytes], list[float], list[bytes]]:
