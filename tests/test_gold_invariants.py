@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from reelhouse.plans import gold_genres, gold_movies, gold_temporal, gold_users
-from reelhouse.plans.registry import silver_frames
+from reelhouse.plans.registry import SilverFrames
 
 
 @pytest.fixture(scope="module")
 def s(spark):
-    return silver_frames(spark, SF_SMALL)
+    return SilverFrames(spark, SF_SMALL)
 
 
 def _in_range(df, cols, lo=0.0, hi=100.0):
@@ -99,7 +99,7 @@ def test_approx_distinct_option(spark):
     import contextlib
     import io
 
-    s = silver_frames(spark, "/root/testdata/sf0.01")
+    s = SilverFrames(spark, "/root/testdata/sf0.01")
     exact, approx = _builders(s, "exact"), _builders(s, "approx")
     for name, (df_e, key) in exact.items():
         df_a = approx[name][0]

@@ -142,9 +142,9 @@ def test_export_and_envelope(spark, scratch_dir):
 
 def test_movie_analytics_approx_quantile_mode(spark):
     from reelhouse.plans import gold_movies
-    from reelhouse.plans.registry import silver_frames
+    from reelhouse.plans.registry import SilverFrames
 
-    s = silver_frames(spark, SF_SMALL)
+    s = SilverFrames(spark, SF_SMALL)
     exact = {r.movie_id: r.rating_median for r in gold_movies.movie_rating_metrics(s["silver_ratings"]).collect()}
     approx = {r.movie_id: r.rating_median
               for r in gold_movies.movie_rating_metrics(s["silver_ratings"], quantile_mode="approx").collect()}

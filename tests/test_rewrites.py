@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, rows
 from reelhouse.plans import gold_genres as G
 from reelhouse.plans import gold_recommendations as RC
-from reelhouse.plans.registry import silver_frames
+from reelhouse.plans.registry import SilverFrames
 
 
 @pytest.fixture(scope="module")
 def silver(spark):
-    return silver_frames(spark, SF_SMALL)
+    return SilverFrames(spark, SF_SMALL)
 
 
 def test_weighted_fanout_equals_naive_join(spark, silver):
@@ -104,7 +104,7 @@ def test_recommendations_dense_groups_against_cross_join(spark):
 
 @pytest.mark.parametrize("sf", [SF_SMALL, "/root/testdata/sf0.01"])
 def test_bound_pruning_is_exact(spark, sf):
-    s = silver_frames(spark, sf)
+    s = SilverFrames(spark, sf)
     m, r = s["silver_movies"], s["silver_ratings"]
     with_bound = RC.gold_movie_recommendations(m, r, bound_pruning=True)
     without = RC.gold_movie_recommendations(m, r, bound_pruning=False)
