@@ -23,10 +23,11 @@ A task writes its files under a name of its own attempt and renames them when co
 content depends on the partition's rows alone, so a retry or a second attempt writes the same.
 
 Encoding.  Texts are encoded with the ``tokenizers`` library.  A byte-level pre-tokenizer cuts
-before a single space between two other characters, so a text is the concatenation of its
+before a space or line end that touches no other white space, so a text is the concatenation of its
 pieces there; equal pieces are encoded once a task and kept in a bounded memo (two halves, the
-older one dropped).  Texts with double spaces are encoded whole, and the tokenizer's own model does
-the pieces that are one word.
+older one dropped).  A run of white space (Unicode, no-break spaces among it) stays inside one piece,
+which is encoded whole; so are texts that hold an added token of the tokenizer.  The tokenizer's own
+model does the pieces that are one word.
 
 Defined results: null texts are empty and have just the end id; a null doc_id sorts last;
 repeated rows are written one by one; other columns of the input are ignored; an empty input
@@ -158,6 +159,9 @@ def _byte_symbols() -> dict[int, str]:
 _SYMBOLS = _byte_symbols()
 #: A word of Latin letters, perhaps after a space, and stops after it: two pre-tokens at most.
 _WORD = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?]*)")
+#: A space, or a line end, that touches no other white space.  Python's white space holds all of the pre-tokenizer's.
+_SPACE = re.compile(r"(?<!\s) (?!\s)")
+_LINE = re.compile(r"(?<!\s)\n(?!\s)")
 
 
 class Encoder:
@@ -184,6 +188,7 @@ class Encoder:
         self.lines: dict[str, bytes] = {}
         # the direct way holds for byte-level tokenizers that cut before words and change nothing else
         self.direct = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in repr(self.tokenizer.pre_tokenizer)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _packed(self, ids: list[int]) -> bytes:
         out = array(self.number.typecode, ids)
@@ -195,7 +200,7 @@ class Encoder:
         return [self._packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encoded(self, piece: str) -> bytes:
-        """The ids of a text without double spaces, word by word where that is exact."""
+        """The ids of a piece, word by word where that is exact."""
         found = _WORD.fullmatch(piece) if self.direct else None
         if not found:
             return self._whole([piece])[0]
@@ -207,12 +212,14 @@ class Encoder:
         """The ids of a space and ``piece``; punctuation after a word is not kept with it, so the memo holds words once."""
         if self.direct:
             if "\n" in piece:
-                first, *lines = piece.split("\n")
-                if first and all(lines):  # single line ends between other characters are pre-tokens of their own
+                first, *lines = _LINE.split(piece)
+                if lines:  # single line ends are pre-tokens of their own
                     return (self.young.get(first) or self._after_space(first)) + b"".join(map(self._after_line, lines))
             body = piece.rstrip(string.punctuation)
             if body != piece and body.isalpha():
                 return (self.young.get(body) or self._after_space(body)) + self._stops(piece[len(body):])
+        if not piece or " " in piece or piece[0].isspace() or piece[-1].isspace():  # not for the memo, see ``encode``
+            return self._whole([" " + piece])[0]
         ids = self.old.get(piece)
         if ids is None:
             ids = self._encoded(" " + piece)
@@ -242,13 +249,14 @@ class Encoder:
         """The ids of each text and the end id."""
         out = []
         for text in texts:
-            if "  " in text or not text:
+            if not self.direct or any(t in text for t in self.added):
                 out.append(self._whole([text])[0] + self.end)
                 continue
             first, *rest = text.split(" ")
             found = list(map(self.young.get, rest))
-            if None in found:
-                found = [ids if ids is not None else self._after_space(p) for ids, p in zip(found, rest)]
+            if None in found or first[-1:].isspace():  # pieces of the memo neither begin nor end with white space
+                first, *rest = _SPACE.split(text)
+                found = [self.young.get(p) or self._after_space(p) for p in rest]
             out.append(b"".join([self._encoded(first) if first else b"", *found, self.end]))
         return out
 

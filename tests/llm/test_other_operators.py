@@ -142,6 +142,23 @@ def test_token_files_equal_whole_text_encoding(spark, make_docs, tmp_path):
     assert token_store.report(make_docs(ODD).limit(0), path).count() == 0
 
 
+def test_token_pieces_keep_runs_of_white_space():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    rng = random.Random(4)
+    texts = ["a \xa0 \xa0 b", "x" + " \xa0" * 5, "a\n\xa0 \xa0 b", "a b\xa0\n\xa0c d", "\xa0 a", "a \xa0", "a\t b \n c \u3000 d\u2003 e", " ", "\n "]
+    texts += ["".join(rng.choice(["word", "It's", "7", ".", " ", " ", " ", "\n", "\t", "\xa0", "\u3000", "\x85", "\x1c", "\u200b"])
+                      for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
+    encoder = token_store.Encoder(path, 0)
+    for _ in range(2):      # the second time from the memo
+        for text, got in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(got, dtype="<u2").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0], text
+
+
 # --- shards ------------------------------------------------------------------------------------
 def test_hilbert_curve_visits_neighbours(spark):
     for n, bits in ((2, 3), (3, 2)):
