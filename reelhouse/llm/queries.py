@@ -28,7 +28,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_store.report(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_store.report(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, literal_specials=False)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

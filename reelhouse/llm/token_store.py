@@ -29,6 +29,9 @@ older one dropped).  A run of white space (Unicode, no-break spaces among it) st
 which is encoded whole; so are texts that hold an added token of the tokenizer.  The tokenizer's own
 model does the pieces that are one word.
 
+Text that spells a special token (``<|endoftext|>``) is that token if ``literal_specials`` is false,
+as ``Tokenizer.from_file`` alone has it, and plain text if it is true.
+
 Defined results: null texts are empty and have just the end id; a null doc_id sorts last;
 repeated rows are written one by one; other columns of the input are ignored; an empty input
 makes an empty result.
@@ -171,12 +174,12 @@ class Encoder:
     would leave it whole; any other piece takes the whole way through the tokenizer.
     """
 
-    def __init__(self, path: str, end_id: int, memo: int = 1_200_000) -> None:
+    def __init__(self, path: str, end_id: int, memo: int = 1_200_000, literal_specials: bool = True) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal_specials
         self.model = self.tokenizer.model
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.number = array("H" if self.width == 2 else "I")
@@ -272,7 +275,7 @@ def _open(folder: str):
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, text: str = "text",
-                 file_ids: int = 4 << 20) -> DataFrame:
+                 file_ids: int = 4 << 20, literal_specials: bool = True) -> DataFrame:
     """Write all documents to ``folder``; the result lists the files (partition, file, before, documents, ids).
 
     ``tokenizer`` is the path of a ``tokenizers`` file, present on every executor.
@@ -282,9 +285,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (tokenizer, end_id)
+        key = (tokenizer, end_id, literal_specials)
         if key not in _ENCODERS:
-            _ENCODERS[key] = Encoder(tokenizer, end_id)
+            _ENCODERS[key] = Encoder(tokenizer, end_id, literal_specials=literal_specials)
         encoder = _ENCODERS[key]
         context = TaskContext.get()
         partition, attempt = context.partitionId(), context.taskAttemptId()
@@ -346,11 +349,11 @@ def read_tokens(spark, folder: str) -> DataFrame:
     return files.mapInArrow(run, "partition long, doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def report(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
+def report(docs: DataFrame, tokenizer: str, end_id: int = 0, literal_specials: bool = True) -> DataFrame:
     """Write the documents, read the files back, and describe each document from what was read."""
     spark = docs.sparkSession
     folder = tables.new_path(spark, "tokens")
-    totals = write_tokens(docs, folder, tokenizer, end_id).groupBy("partition").agg(F.sum("ids").alias("n")).collect()
+    totals = write_tokens(docs, folder, tokenizer, end_id, literal_specials=literal_specials).groupBy("partition").agg(F.sum("ids").alias("n")).collect()
     if not totals:
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     bases, total = [], 0  # one number a partition of the writer

@@ -159,6 +159,21 @@ def test_token_pieces_keep_runs_of_white_space():
             assert np.frombuffer(got, dtype="<u2").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0], text
 
 
+def test_token_query_encodes_as_the_tokenizer_file_says(spark, make_docs, tmp_path):
+    import public_tokenizers
+    from reelhouse.llm import queries
+    from tokenizers import Tokenizer
+
+    docs = [(1, "a <|endoftext|> b"), (2, "a<|endoftext|>"), (3, "<|endoftext|>  \xa0x"), (4, "plain words")]
+    make_docs(docs).write.parquet(str(tmp_path / "documents.parquet"))
+    whole, start, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0, []
+    for i, t in docs:
+        ids = [*whole.encode(t, add_special_tokens=False).ids, 0]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, queries.op2_token_store(spark, str(tmp_path)).collect())) == want
+
+
 # --- shards ------------------------------------------------------------------------------------
 def test_hilbert_curve_visits_neighbours(spark):
     for n, bits in ((2, 3), (3, 2)):
