@@ -94,14 +94,9 @@ def _digest(text: Column) -> Column:
 def find_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """Per row: doc_id, text_license (null if the whole text is none), n_license_lines, licenses (of lines; sorted, comma-joined)."""
     spark = docs.sparkSession
-    # A line matches a notice only if it holds one of these; other lines need no canonical form.
-    hint = F.lit(r"(?i)licen[sc]e|rights reserved|permission|mozilla")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
-    marked = F.regexp_like("text", hint)
-    lines = F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, hint))
-    rows = rows.select(
-        "row", "doc_id", F.when(marked, _digest(F.col("text"))).alias("whole"),
-        F.when(marked, F.transform(lines, _digest)).otherwise(F.array().cast("array<string>")).alias("lines"))
+    rows = rows.select("row", "doc_id", _digest(F.col("text")).alias("whole"),
+                       F.transform(F.split("text", "\n"), _digest).alias("lines"))
     table = F.broadcast(known(spark))
     whole = rows.join(table.select(F.col("digest").alias("whole"), F.col("license").alias("text_license")), "whole", "left")
     lined = whole.select("row", "doc_id", "text_license", F.explode_outer("lines").alias("digest")).join(table, "digest", "left")

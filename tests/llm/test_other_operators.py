@@ -281,6 +281,16 @@ def test_licenses_by_canonical_digest(make_docs):
     assert license_digest.find_licenses(make_docs(ODD).limit(0)).count() == 0
 
 
+def test_every_known_notice_matches_in_other_spellings(make_docs):
+    styles = [lambda t: re.sub(" +(?![0-9])", "\t", t), lambda t: "* " + re.sub(" +(?![0-9])", " - ", t).upper() + " *", lambda t: re.sub(" +(?![0-9])", "  ", t).rstrip("."),
+              lambda t: t.replace("icense", "icence")]
+    known = [(name, t) for name, t in license_digest.KNOWN if "\n" not in t]
+    docs = [(100 * i + k, "Some prose.\n" + style(t) + "\nMore.") for i, (_, t) in enumerate(known) for k, style in enumerate(styles)]
+    got = {r.doc_id: r for r in license_digest.find_licenses(make_docs([*docs, (-1, "All rights-reserved")])).collect()}
+    assert got[-1].text_license == "proprietary"
+    assert all((got[i].n_license_lines, got[i].licenses) == (1, known[i // 100][0]) for i, _ in docs)
+
+
 # --- secrets ---------------------------------------------------------------------------------------
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
