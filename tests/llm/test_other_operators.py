@@ -291,6 +291,27 @@ def test_every_known_notice_matches_in_other_spellings(make_docs):
     assert all((got[i].n_license_lines, got[i].licenses) == (1, known[i // 100][0]) for i, _ in docs)
 
 
+def test_full_licenses_and_copyright_statements(spark, make_docs):
+    mit, texts = license_digest._MIT, {p.stem: p.read_text() for p in license_digest.TEXTS.glob("*.txt")}
+    apache = texts["Apache-2.0"]
+    bsd = ("BSD 3-Clause License\n\nCopyright (c) 2009, Some People\nAll rights reserved.\n\n"
+           + license_digest._bsd(3)[0].replace(" 1. ", " * "))
+    docs = [*texts.items(), ("MIT", "Copyright (c) The Authors\n\n" + mit), ("MIT", "MIT License\n\n© Some One\n" + mit),
+            ("MIT", "MIT License Copyright (c) 2019 Some One " + mit), ("MIT", "Copyright 2020 Acme. Licensed under the MIT License."),
+            ("MIT", "Copyright 2020 J. Doe, Acme Inc. Licensed under the MIT License."), ("BSD-3-Clause", bsd),
+            ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Acme")),
+            ("Apache-2.0", apache.split("   APPENDIX")[0]), (None, "Copyright 2020 Acme. Nothing else."), (None, apache[:9000]),
+            (None, "Copyright (c) 2020 " + "x " * 400_000)]
+    df = make_docs([(i, t) for i, (_, t) in enumerate(docs)])
+    got = {r.doc_id: r for r in license_digest.find_licenses(df).collect()}
+    assert {i: r.text_license for i, r in got.items()} == {i: name for i, (name, _) in enumerate(docs)}
+    line = license_digest.find_licenses(make_docs([(1, "x\nCopyright 2020 Acme. Licensed under the MIT License.\ny")])).first()
+    assert (line.n_license_lines, line.licenses) == (1, "MIT")
+    own = spark.createDataFrame([("Own-1.0", "Do as you like.")], "license string, text string")
+    got = {r.doc_id: r.text_license for r in license_digest.find_licenses(make_docs([(1, "do as you LIKE"), (2, mit)]), table=own).collect()}
+    assert got == {1: "Own-1.0", 2: None}
+
+
 # --- secrets ---------------------------------------------------------------------------------------
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
