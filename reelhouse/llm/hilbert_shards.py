@@ -1,8 +1,8 @@
 """Sharding along a Hilbert curve over several metadata dimensions, with DataFrame functions only.
 
-Each dimension is quantised to 2^bits levels at approximate quantiles of the table (strings by
-their first six bytes, so levels follow string order), the curve index of the cell is computed
-from the levels, and rows are ordered by (curve index, hash of doc_id, doc_id).  The order is cut
+Each dimension is quantised to 2^bits levels at quantiles of the table (approximate ones of
+numbers; strings by running row counts over their distinct whole values), the curve index of the cell is
+computed from the levels, and rows are ordered by (curve index, hash of doc_id, doc_id).  The order is cut
 into runs whose row counts differ by one at most (law ``rows``).  Neighbouring cells differ in one
 dimension by one level, so a run covers a narrow box in every dimension and file statistics prune.
 
@@ -23,15 +23,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 1024
-
+from reelhouse.llm import tables
 
-def as_number(column: Column, kind: str) -> Column:
-    """A number that orders like the value; strings by their first six bytes."""
-    if kind != "string":
-        return column.cast("double")
-    head = F.rpad(F.hex(F.substring(column.cast("binary"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+SLICES = 1024
 
 
 def curve_index(levels: list[Column], bits: int) -> Column:
@@ -73,15 +67,36 @@ def _let(value: Column, then) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
+def string_cuts(df: DataFrame, column: str, bits: int) -> list[str]:
+    """Quantiles of whole strings: the values at which the running row count reaches each share.
+
+    The distinct values are sorted in ranges, and the counts of the ranges are summed up apart, so no
+    task holds all values.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    runs = tables.written(counts.repartitionByRange("value").withColumn("run", F.spark_partition_id()), "hilbert-values")
+    before = runs.groupBy("run").agg(F.sum("n").alias("m")).select(  # one row a range
+        "run", (F.sum("m").over(Window.orderBy("run")) - F.col("m")).alias("before"), F.sum("m").over(Window.partitionBy()).alias("total"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("run").orderBy("value"))
+    reached = runs.join(before, "run").select("value", "total", upto.alias("upto"))
+    cuts = [F.min(F.when(F.col("upto") * 2 ** bits >= F.col("total") * k, F.col("value"))).alias(f"c{k}") for k in range(1, 2 ** bits)]
+    return [c for c in reached.agg(*cuts).first() if c is not None] if cuts else []
+
+
 def quantised(df: DataFrame, dimensions: list[str], bits: int) -> list[Column]:
-    """A level per dimension, cut at approximate quantiles of the whole table."""
+    """A level per dimension, cut at quantiles of the whole table."""
     kinds = dict(df.dtypes)
-    numbers = [as_number(F.col(c), kinds[c]) for c in dimensions]
+    strings = [c for c in dimensions if kinds[c] == "string"]
+    columns = {c: F.col(c) if c in strings else F.col(c).cast("double") for c in dimensions}
     shares = F.array(*[F.lit(k / 2 ** bits) for k in range(1, 2 ** bits)])
-    cuts = df.agg(*[F.percentile_approx(x, shares, F.lit(1000)).alias(f"c{i}") for i, x in enumerate(numbers)]).first()
+    cuts = {c: string_cuts(df, c, bits) for c in strings}
+    numbers = [c for c in dimensions if c not in strings]
+    if numbers:
+        found = df.agg(*[F.percentile_approx(columns[c], shares, F.lit(1000)) for c in numbers]).first()
+        cuts.update(zip(numbers, found))
     out = []
-    for x, found in zip(numbers, cuts):
-        levels = sorted(set(found or ()))
+    for c in dimensions:
+        x, levels = columns[c], sorted(set(cuts[c] or ()), key=lambda v: v.encode() if isinstance(v, str) else v)
         out.append(reduce(lambda a, b: a + b, [F.when(x > c, 1).otherwise(0) for c in levels], F.lit(0)))
     return out
 

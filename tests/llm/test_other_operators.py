@@ -199,6 +199,16 @@ def test_shards_keep_their_law(spark, make_docs):
         assert all((r.size, r.text_crc32) in texts[r.doc_id] and r.law == "rows" and r.grown_shard is None for r in got)
 
 
+def test_shard_levels_follow_whole_strings(spark):
+    names = [f"https://host.example/{k:02d}/é" for k in range(16)]
+    rows = [(i, names[i % 16], "en") for i in range(320)] + [(1000, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string").repartition(5)
+    source, lang = hilbert_shards.quantised(df, ["source", "lang"], 4)
+    found = {(r.source, r.s) for r in df.select("source", source.alias("s"), lang.alias("l")).collect()}
+    assert found == {(n, k) for k, n in enumerate(names)} | {(None, 0)}
+    assert hilbert_shards.quantised(df.limit(0), ["source"], 4)
+
+
 def test_shards_pass_columns_and_write(make_docs, tmp_path):
     df = make_docs([(i, "w " * (i % 37)) for i in range(200)]).withColumn("slot", F.lit("clash"))
     kept = hilbert_shards.assign(df, keep=True)
