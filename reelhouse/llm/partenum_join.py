@@ -293,11 +293,10 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
 
 def _verify(n: int, percent: int, text: str):
     def run(group: pa.Table) -> pa.Table:
-        batch = group.combine_chunks().to_batches()[0] if group.num_rows else None
         out: list[tuple[int, int]] = []
-        if batch is not None:
-            get = lambda c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
-            texts = spans.binary_column(batch, text)
+        if group.num_rows:
+            get = lambda c: group.column(c).to_numpy()
+            texts = [t for batch in group.to_batches() for t in spans.binary_column(batch, text)]
             sets = [s for i, j in spans.chunks(texts) for s in shingle_sets(texts[i:j], n)]
             one, two = _digests(sets)
             right_text = (one == get("d1")) & (two == get("d2"))
@@ -311,7 +310,7 @@ def _verify(n: int, percent: int, text: str):
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text",
-                    block_rows: int = 2048, block_shingles: int = 2_000_000,
+                    block_rows: int = 2048, block_shingles: int = 2_000_000, block_bytes: int = 256 << 20,
                     sample: int = 4000, common_in: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
     tables.ship(docs.sparkSession)
@@ -326,13 +325,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     members = classes.join(cand.select(F.col("node").alias("rep"), F.col("component").alias("cand")), "rep")
     # shuffle_hash: the same plan at every size, and the texts are not sorted
     members = docs.join(members.withColumnRenamed("rep", "doc_id").hint("shuffle_hash"), "doc_id")
+    members = members.withColumn("bytes", F.octet_length(text).cast("long"))
     members = tables.written(members, "partenum-members")
     large = members.groupBy("cand").count().where(F.col("count") > block_rows).select("cand")
     if not large.isEmpty():
         again = _candidates(members.join(large, "cand", "left_semi"), n, percent, text, True, common)
         members = _refined(members, large, again)
-    sizes = members.groupBy("cand").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("mass"))
-    blocks = F.greatest(F.ceil(F.col("size") / block_rows), F.ceil(F.col("mass") / block_shingles)).cast("int")
+    sizes = members.groupBy("cand").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("mass"), F.sum("bytes").alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("size") / block_rows), F.ceil(F.col("mass") / block_shingles),
+                        F.ceil(F.col("bytes") / block_bytes)).cast("int")
     sizes = sizes.where("size > 1").select("cand", blocks.alias("blocks"))
     placed = members.join(sizes, "cand").withColumn("block", F.pmod(F.xxhash64("d2", "d1"), F.col("blocks")).cast("int"))
     units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

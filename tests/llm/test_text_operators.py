@@ -260,3 +260,31 @@ def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(0, 200)] + [(1000, i) for i in range(1001, 1100)] + [(5000, 5000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "x long, y long"), "x", "y").collect()}
     assert got == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1100)}}
+
+
+def test_verification_reads_every_batch_of_a_group():
+    import pyarrow as pa
+
+    class Chunked:
+        """A table whose chunks cannot be combined, as with more than 2 GB of strings."""
+
+        def __init__(self, table):
+            self.table, self.num_rows = table, table.num_rows
+            self.column, self.to_batches, self.schema = table.column, table.to_batches, table.schema
+
+        def combine_chunks(self):
+            return self
+
+    texts = ["a b c d e f g", "other words of another text here", "a  b c d e f g"]
+    one, two = partenum_join._digests(partenum_join.shingle_sets([t.encode() for t in texts], 4))
+    whole = pa.table({"doc_id": [1, 2, 3], "text": texts, "d1": one, "d2": two, **{c: [0, 0, 0] for c in ("cand", "block", "bi", "bj")}})
+    group = Chunked(pa.concat_tables([whole.slice(i, 1) for i in range(3)]))
+    got = partenum_join._verify(4, 85, "text")(group).to_pylist()
+    assert {frozenset(r.values()) for r in got if r["a"] != r["b"]} == {frozenset((1, 3))}
+
+
+def test_blocks_are_bounded_by_bytes_too(make_docs):
+    base = [f"w{k}" for k in range(60)]
+    docs = [(i, " ".join(base[:30] + [f"x{i}"] + base[30:]) + " " * i) for i in range(40)]
+    want, got = ({tuple(r) for r in partenum_join.near_duplicates(make_docs(docs), block_bytes=b).collect()} for b in (256 << 20, 2000))
+    assert want == got and {r[2] for r in got} == {0}
