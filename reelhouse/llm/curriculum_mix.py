@@ -95,6 +95,20 @@ def plan(docs: DataFrame, text: str = "text", keep: bool = False) -> DataFrame:
     return rows.select(*extra, *new)
 
 
+def scheduled(docs: DataFrame, text: str = "text", keep: bool = False) -> DataFrame:
+    """The rows of ``plan``, range-sorted by position (rows that are not taken last).
+
+    ``keep`` also adds ``positions``: those of all copies that are begun, in ascending order.
+    """
+    rows = plan(docs, text, keep)
+    if keep:
+        copies = F.when(F.col("taken") > 0, F.sequence(F.lit(0), (F.ceil(F.col("taken") / F.col("size")) - 1).cast("int")))
+        rows = rows.withColumn("positions", F.transform(
+            F.coalesce(copies, F.array().cast("array<int>")), lambda k: due(F.col("_start") + k * F.col("source_size"))))
+    order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_first()]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mixed(docs: DataFrame, text: str = "text") -> DataFrame:
     """The training stream: rows of ``docs``, each as often as it is taken, range-sorted by position.
 

@@ -52,7 +52,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curriculum_mix.plan(documents(spark, sf_dir))
+    return curriculum_mix.scheduled(documents(spark, sf_dir))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -264,6 +264,26 @@ def test_mix_takes_its_targets(make_docs):
     assert Counter(map(tuple, curriculum_mix.plan(df).collect())) == Counter(map(tuple, curriculum_mix.plan(df.repartition(7)).collect()))
 
 
+def test_schedule_has_all_copies_in_order(make_docs):
+    df = make_docs([*ODD, *((100 + i, "w " * (1 + i % 23)) for i in range(400))])
+    rows = curriculum_mix.scheduled(df, keep=True).collect()
+    at = [2.0 if r.position is None else r.position for r in rows]
+    assert at == sorted(at) and len(rows) == df.count()
+    assert any(len(r.positions) == 3 for r in rows)
+    for r in rows:
+        assert len(r.positions) == (-(-r.taken // r.size) if r.taken else 0) and r.positions[:1] == [r.position][:r.taken]
+        for k, x in enumerate(r.positions):
+            demand = r.target * (x + r.slope * (x ** 2 - x))
+            assert 0 <= x < 1 and abs(demand - r._start - k * r.source_size) < 1e-6 * (1 + r.target)
+
+
+def test_mixing_query_is_in_training_order(spark):
+    from reelhouse.llm import queries
+
+    at = [2.0 if r.position is None else r.position for r in queries.op8_mixing(spark, SF_SMALL).collect()]
+    assert at == sorted(at)
+
+
 def test_mixed_stream_repeats_whole_documents(make_docs):
     df = make_docs([*ODD, *((100 + i, "w " * (1 + i % 23)) for i in range(400))])
     out = curriculum_mix.mixed(df)
