@@ -94,6 +94,33 @@ FROM d LEFT JOIN whole USING (doc_id) LEFT JOIN lines USING (doc_id)
 """
 
 
+def clusters(k: int = 40, rounds: int = 5, size: int = 64, scale: int = 256, salt: str = "2") -> str:
+    """Rounds of assignment and integer means, all in long form; rows are numbered, as vec_ids may repeat."""
+    ctes = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding, lambda x: CAST(floor({scale}::DOUBLE * x::DOUBLE) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0)""",
+            f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{salt}:' || coalesce(CAST(vec_id AS VARCHAR), '')), q, vec_id NULLS LAST) - 1 AS c, q
+  FROM v QUALIFY c < {k})"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (
+  SELECT row_no, any_value(vec_id) AS vec_id, any_value(q) AS q, min({{'d': d, 'c': c}}) AS m
+  FROM (SELECT v.row_no, v.vec_id, v.q, c, list_sum(list_transform(range(1, {size + 1}), lambda i: (v.q[i] - p.q[i]) * (v.q[i] - p.q[i]))) AS d
+        FROM v CROSS JOIN c{i} p) GROUP BY row_no)""")
+        if i < rounds:
+            ctes.append(f"""s{i} AS (
+  SELECT m.c AS c, i, sum(q[i]) AS s, count(*) AS n FROM a{i} CROSS JOIN range(1, {size + 1}) r(i) GROUP BY 1, 2),
+n{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS q FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(n{i}.q, c{i}.q) AS q FROM c{i} LEFT JOIN n{i} USING (c))""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance,
+       CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia, CAST(sum(m.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(p.q, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} p ON p.c = m.c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_decontamination": DECONTAMINATION,
@@ -101,4 +128,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_ngram_join": NGRAM_JOIN,
         "op8_mixing": MIXING,
         "op9_license_scan": license_scan(),
+        "op13_clusters": clusters(),
     }

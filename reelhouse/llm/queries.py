@@ -17,6 +17,7 @@ from reelhouse.llm import (
     secret_markov,
     token_store,
     toxicity,
+    vantage_clusters,
 )
 from reelhouse.llm.tables import documents, table
 
@@ -63,7 +64,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_markov.report(documents(spark, sf_dir))
 
 
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage_clusters.report(table(spark, sf_dir, "embeddings"), k=40, rounds=5, salt="2")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_toxicity, op2_token_store, op3_decontamination, op4_exact_dedup, op5_suffix_dedup,
-             op6_ngram_join, op7_sharding, op8_mixing, op9_license_scan, op10_secret_scan)
+             op6_ngram_join, op7_sharding, op8_mixing, op9_license_scan, op10_secret_scan, op13_clusters)
     return {f.__name__: f for f in found}
