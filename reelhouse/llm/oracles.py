@@ -94,6 +94,51 @@ FROM d LEFT JOIN whole USING (doc_id) LEFT JOIN lines USING (doc_id)
 """
 
 
+SPELLING = """
+WITH RECURSIVE bit8 AS (
+  -- the remainder of a byte, and of a byte followed by ever more zero bytes
+  SELECT b, 8 AS k, b::BIGINT AS r FROM range(256) t(b)
+  UNION ALL SELECT b, k - 1, xor(r >> 1, CASE WHEN r % 2 = 1 THEN 3988292384 ELSE 0 END) FROM bit8 WHERE k > 0),
+byte0 AS MATERIALIZED (SELECT b, r FROM bit8 WHERE k = 0),
+run AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, run, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[a-zÀ-ÿ]+')) AS run FROM documents)),
+longest AS (SELECT max(len(h)) // 2 AS top FROM run),
+after AS (
+  SELECT 0 AS back, b, r FROM byte0
+  UNION ALL SELECT back + 1, after.b, xor(after.r >> 8, z.r) FROM after JOIN byte0 z ON z.b = after.r & 255 WHERE back + 1 < (SELECT top FROM longest)),
+remain AS MATERIALIZED (SELECT back, printf('%02X', b) AS hh, r FROM after),
+zeros AS (
+  SELECT 0 AS n, 4294967295 AS r
+  UNION ALL SELECT n + 1, xor(zeros.r >> 8, z.r) FROM zeros JOIN byte0 z ON z.b = zeros.r & 255 WHERE n < (SELECT top FROM longest)),
+crc AS (
+  SELECT id, xor(xor(any_value(zeros.r), bit_xor(remain.r)), 4294967295) AS c
+  FROM (SELECT id, len(h) // 2 AS n, unnest(range(1, len(h) // 2 + 1)) AS i, h FROM run) s
+  JOIN remain ON remain.hh = substr(s.h, 2 * s.i - 1, 2) AND remain.back = s.n - s.i JOIN zeros ON zeros.n = s.n GROUP BY id),
+word AS (
+  SELECT CASE WHEN c % 97 = 0 THEN substr(run, 1, c % len(run)) || substr(run, c % len(run) + 2) ELSE run END AS word
+  FROM run JOIN crc USING (id)),
+voc AS MATERIALIZED (SELECT word, count(*) AS n FROM word WHERE len(word) >= 5 GROUP BY word HAVING count(*) >= 3),
+spot AS (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM voc),
+gap AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z FROM spot),
+near AS MATERIALIZED (
+  SELECT x.word AS word, y.word AS other, y.n AS n FROM gap x JOIN gap y USING (i, a, z) WHERE x.word <> y.word
+  UNION SELECT v.word, g.word, g.n FROM gap g JOIN voc v ON v.word = g.a || g.z
+  UNION SELECT g.word, v.word, v.n FROM gap g JOIN voc v ON v.word = g.a || g.z),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS best_n FROM near GROUP BY word),
+form AS MATERIALIZED (
+  SELECT voc.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN other END AS form, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+  FROM voc LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root, form AS further FROM form
+  UNION ALL SELECT walk.word, form.word, form.form FROM walk JOIN form ON form.word = walk.further)
+SELECT form.word, form.form, walk.root, form.n, CAST(form.n_near AS BIGINT) AS n_near, CAST(form.form_n AS BIGINT) AS form_n
+FROM form JOIN walk USING (word) WHERE walk.further IS NULL
+"""
+
+
 def clusters(k: int = 40, rounds: int = 5, size: int = 64, scale: int = 256, salt: str = "2") -> str:
     """Rounds of assignment and integer means, all in long form; rows are numbered, as vec_ids may repeat."""
     ctes = [f"""v AS MATERIALIZED (
@@ -128,5 +173,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_ngram_join": NGRAM_JOIN,
         "op8_mixing": MIXING,
         "op9_license_scan": license_scan(),
+        "op12_spelling": SPELLING,
         "op13_clusters": clusters(),
     }

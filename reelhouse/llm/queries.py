@@ -15,6 +15,7 @@ from reelhouse.llm import (
     partenum_join,
     phrase_dedup,
     secret_markov,
+    spelling_variants,
     token_store,
     toxicity,
     vantage_clusters,
@@ -64,11 +65,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_markov.report(documents(spark, sf_dir))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.report(documents(spark, sf_dir), min_chars=5, min_count=3, damage=97, factor=2)
+
+
 def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vantage_clusters.report(table(spark, sf_dir, "embeddings"), k=40, rounds=5, salt="2")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_toxicity, op2_token_store, op3_decontamination, op4_exact_dedup, op5_suffix_dedup,
-             op6_ngram_join, op7_sharding, op8_mixing, op9_license_scan, op10_secret_scan, op13_clusters)
+             op6_ngram_join, op7_sharding, op8_mixing, op9_license_scan, op10_secret_scan, op12_spelling, op13_clusters)
     return {f.__name__: f for f in found}
