@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reelhouse.llm import (
+    backtrack_bpe,
     block_names,
     curriculum_mix,
     decontaminate,
@@ -65,6 +66,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_markov.report(documents(spark, sf_dir))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return backtrack_bpe.report(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.report(documents(spark, sf_dir), min_chars=5, min_count=3, damage=97, factor=2)
 
@@ -75,5 +82,5 @@ def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_toxicity, op2_token_store, op3_decontamination, op4_exact_dedup, op5_suffix_dedup,
-             op6_ngram_join, op7_sharding, op8_mixing, op9_license_scan, op10_secret_scan, op12_spelling, op13_clusters)
+             op6_ngram_join, op7_sharding, op8_mixing, op9_license_scan, op10_secret_scan, op11_bpe, op12_spelling, op13_clusters)
     return {f.__name__: f for f in found}
