@@ -14,7 +14,7 @@ only one.  Tokens that merging never makes from their own bytes take no part.
 
 Pre-tokens of code points below U+0558 are found by the pre-tokenizer's pattern; other pieces go through the
 tokenizer file's own pre-tokenizer, whose tables of letters and digits belong to another version of Unicode.
-Equal pieces of a batch are encoded once, and a bounded memo keeps them between batches.
+Equal pieces of a chunk of texts are encoded once; a bounded memo keeps the ids of pre-tokens between chunks.
 
 Decoding concatenates the bytes between two offsets of one byte string for each id; bytes that are not
 UTF-8 become U+FFFD as in the tokenizer's decoder.
@@ -31,6 +31,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import struct
 from collections.abc import Iterator
 
@@ -46,9 +47,9 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Below this code point the pattern's classes are the same in all versions of Unicode that are in use.
 PLAIN = "՘"
 #: Borders that the compatibility table keeps.
-BORDERS = 500_000
-#: Pre-tokens whose ids are kept.
-TOKENS = 200_000
+BORDERS = 200_000
+#: Pre-tokens whose ids are kept, in two generations, and the longest of them.
+TOKENS, LONGEST = 300_000, 64
 
 
 def byte_symbols() -> list[str]:
@@ -104,24 +105,24 @@ class Encoder:
             self.merge[number[a], number[b]] = at
         names = list(number)
         self.out = [vocabulary.ids[s] if s in vocabulary.ids else -1 for s in names]
-        self.text = [vocabulary.raw(s).decode("latin-1") for s in names]
-        self.size = [len(s) for s in self.text]
+        text = [vocabulary.raw(s).decode("latin-1") for s in names]
+        self.size = [len(s) for s in text]
 
         # a token counts when merging makes it of its own bytes: no merge before its last one crosses its halves
         alive = [True] * len(names)
         for t in range(256, len(names)):
             a, b = self.left[t], self.right[t]
             alive[t] = alive[a] and alive[b] and self._apart(a, b, t)
-        self.known = {self.text[t]: t for t in range(len(names)) if alive[t]}
+        self.known = {text[t]: t for t in range(len(names)) if alive[t]}
         self.shorter = [-1] * len(names)
         for t in self.known.values():
-            s = self.text[t]
+            s = text[t]
             self.shorter[t] = next((self.known[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in self.known), -1)
         self.matcher = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for s, t in self.known.items():
             self.matcher.add_word(s[::-1], t)
         self.matcher.make_automaton()
-        self.borders: dict[tuple[int, int], bool] = {}
+        self.borders: dict[int, bool] = {}
 
     def _apart(self, a: int, b: int, limit: int) -> bool:
         """True if no merge that comes before ``limit`` crosses the border between tokens ``a`` and ``b``."""
@@ -136,11 +137,12 @@ class Encoder:
                 limit, b = b + 1, self.left[b]
 
     def _compatible(self, a: int, b: int) -> bool:
-        known = self.borders.get((a, b))
+        key = a * len(self.left) + b
+        known = self.borders.get(key)
         if known is None:
             if len(self.borders) >= BORDERS:
                 self.borders.clear()
-            known = self.borders[a, b] = self._apart(a, b, len(self.left))
+            known = self.borders[key] = self._apart(a, b, len(self.left))
         return known
 
     def _longest(self, raw: bytes, s: str) -> list[int]:
@@ -191,34 +193,38 @@ class TextEncoder:
         self.special = vocabulary.special
         marks = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, marks)) + ")") if marks else None
-        self.memo = pieces.Memo(lambda todo: [self._piece(p) for p in todo], keep=200_000)
-        self.tokens: dict[str, list[int]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _pre_tokens(self, text: str) -> list[str]:
-        if text.isascii() or max(text, default="") < PLAIN:
-            return self.find(text)
-        return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
+        plain = text.isascii() or max(text, default="") < PLAIN
+        body = text.rstrip(string.punctuation)
+        if plain and (body[1:] if body[:1] == " " else body).isalpha():
+            return [body, text[len(body):]] if len(body) < len(text) else [body]
+        return self.find(text) if plain else [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
+
+    def _token(self, token: str) -> bytes:
+        ids = self.old.get(token)
+        if ids is None:
+            found = self.encoder.pre_token(token.encode())
+            ids = struct.pack(f"<{len(found)}I", *found)
+        if len(token) <= LONGEST:
+            if len(self.young) >= TOKENS // 2:
+                self.young, self.old = {}, self.young
+            self.young[token] = ids
+        return ids
 
     def _piece(self, piece: str) -> bytes:
-        ids: list[int] = []
+        out: list[bytes] = []
         for i, part in enumerate(self.cut.split(piece) if self.cut else (piece,)):
             if i % 2:
-                ids.append(self.special[part])
+                out.append(struct.pack("<I", self.special[part]))
             else:
-                for token in self._pre_tokens(part):
-                    ids.extend(self.tokens.get(token) or self._token(token))
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _token(self, token: str) -> list[int]:
-        ids = self.encoder.pre_token(token.encode())
-        if len(self.tokens) >= TOKENS:
-            self.tokens.clear()
-        if len(token) <= self.memo.longest:
-            self.tokens[token] = ids
-        return ids
+                out.extend([self.young.get(t) or self._token(t) for t in self._pre_tokens(part)])
+        return b"".join(out)
 
     def __call__(self, texts: pa.Array) -> Iterator[bytes]:
-        return self.memo.encoded(texts)
+        return pieces.encoded(texts, lambda distinct: [self._piece(p) for p in distinct])
 
 
 class Decoder:
@@ -252,54 +258,69 @@ def _tool(kind, path: str):
     return _TOOLS[kind, path]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
+    """Batches (doc_id, ids) of batches (doc_id, text), about one chunk of text each."""
+    encoder = _tool(TextEncoder, tokenizer)
+    for batch in batches:
+        at = 0
+        for part in pieces.chunks(batch.column(1)):
+            made = list(encoder(part))
+            ends = np.cumsum([0, *(len(b) // 4 for b in made)])
+            ids = pa.array(np.frombuffer(b"".join(made), dtype="<u4").astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)], names=["doc_id", "ids"])
+            at += len(part)
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], tokenizer: str, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches (doc_id, ids, text) of batches (doc_id, ids)."""
+    decoder = _tool(Decoder, tokenizer)
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            part = batch.slice(i, rows)
+            lists = part.column(1)
+            ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            data, ends = decoder(ids)
+            cuts = np.append(0, ends)[np.append(0, np.cumsum(sizes))].tolist()
+            raw = data.tobytes()
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:])]
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+
+
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+def _kind(df: DataFrame) -> str:
+    return df.schema["doc_id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """(doc_id, ids) for each row; ``tokenizer`` is the path of a ``tokenizers`` file, present on every executor."""
     Encoder(Vocabulary(tokenizer))  # an unfit file is an error of the caller, not of a task
     tables.ship(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _tool(TextEncoder, tokenizer)
-        for batch in batches:
-            at = 0
-            for part in pieces.chunks(batch.column(1)):
-                made = list(encoder(part))
-                ends = np.cumsum([0, *(len(b) // 4 for b in made)])
-                ids = pa.array(np.frombuffer(b"".join(made), dtype="<u4").astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)], names=["doc_id", "ids"])
-                at += len(part)
-
-    rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return _texts(docs, text).mapInArrow(lambda batches: _encoded(batches, tokenizer), f"doc_id {_kind(docs)}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, ids, text) of rows (doc_id, ids)."""
     tables.ship(encoded.sparkSession)
+    return encoded.select("doc_id", "ids").mapInArrow(
+        lambda batches: _decoded(batches, tokenizer), f"doc_id {_kind(encoded)}, ids array<int>, text string")
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = _tool(Decoder, tokenizer)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                lists = part.column(1)
-                ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-                sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                data, ends = decoder(ids)
-                cuts = np.append(0, ends)[np.append(0, np.cumsum(sizes))].tolist()
-                raw = data.tobytes()
-                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
-
-    rows = encoded.select("doc_id", "ids")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+def round_trip(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
+    """(doc_id, ids, text): ``decode(encode(docs))`` in one worker a task."""
+    Encoder(Vocabulary(tokenizer))
+    tables.ship(docs.sparkSession)
+    return _texts(docs, text).mapInArrow(
+        lambda batches: _decoded(_encoded(batches, tokenizer), tokenizer), f"doc_id {_kind(docs)}, ids array<int>, text string")
 
 
 def report(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """Encode, decode what was encoded, and describe both: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    found = decode(encode(docs, tokenizer, text), tokenizer)
+    found = round_trip(docs, tokenizer, text)
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
                         F.sha2("text", 256).alias("decoded_sha256"))

@@ -60,37 +60,12 @@ def split(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return pieces, found, np.searchsorted(at, ends)
 
 
-class Memo:
-    """Values of pieces, kept in two generations of bounded size; long pieces are not kept."""
-
-    def __init__(self, make: Callable[[list[str]], list[bytes]], keep: int = 400_000, longest: int = 64) -> None:
-        self.make, self.half, self.longest = make, keep // 2, longest
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def values(self, distinct: list[str]) -> list[bytes]:
-        out = [self.young.get(p) for p in distinct]
-        missing = [i for i, v in enumerate(out) if v is None]
-        for i in missing:
-            out[i] = self.old.get(distinct[i])
-        new = [i for i in missing if out[i] is None]
-        for i, v in zip(new, self.make([distinct[i] for i in new]) if new else ()):
-            out[i] = v
-        for i in missing:
-            if len(distinct[i]) <= self.longest:
-                if len(self.young) >= self.half:
-                    self.young, self.old = {}, self.young
-                self.young[distinct[i]] = out[i]
-        return out
-
-    def encoded(self, texts: pa.Array) -> Iterator[bytes]:
-        """The joined values of each text's pieces."""
-        for part in chunks(texts):
-            distinct, found, ends = split(part)
-            value = self.values(distinct).__getitem__
-            found, a = found.tolist(), 0
-            for b in ends.tolist():
-                yield b"".join(map(value, found[a:b]))
-                a = b
-
-
+def encoded(texts: pa.Array, make: Callable[[list[str]], list[bytes]]) -> Iterator[bytes]:
+    """The joined values of each text's pieces; ``make`` gets the distinct pieces of a chunk."""
+    for part in chunks(texts):
+        distinct, found, ends = split(part)
+        value = make(distinct).__getitem__
+        a = 0
+        for b in ends.tolist():
+            yield b"".join(map(value, found[a:b].tolist()))
+            a = b

@@ -23,11 +23,11 @@ A task writes its files under a name of its own attempt and renames them when co
 content depends on the partition's rows alone, so a retry or a second attempt writes the same.
 
 Encoding.  Texts are encoded with the ``tokenizers`` library.  A byte-level pre-tokenizer cuts
-before a space or line end that touches no other white space, so a text is the concatenation of its
-pieces there; equal pieces are encoded once a task and kept in a bounded memo (two halves, the
-older one dropped).  A run of white space (Unicode, no-break spaces among it) stays inside one piece,
-which is encoded whole; so are texts that hold an added token of the tokenizer.  The tokenizer's own
-model does the pieces that are one word.
+before a space that touches no other white space, so a text is the concatenation of its pieces there
+(``pieces``); a chunk of texts is split and its distinct pieces are found in Arrow, and each goes through the
+tokenizer once.  A run of white space (Unicode, no-break spaces among it) stays inside one piece; texts that
+hold an added token of the tokenizer are encoded whole, and so is every text of a tokenizer whose
+pre-tokenizer is not exactly the byte-level one with its own pattern.
 
 Text that spells a special token (``<|endoftext|>``) is that token if ``literal_specials`` is false,
 as ``Tokenizer.from_file`` alone has it, and plain text if it is true.
@@ -39,23 +39,21 @@ makes an empty result.
 
 from __future__ import annotations
 
+import json
 import os
-import re
-import string
 import struct
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm import spans, tables
+from reelhouse.llm import pieces, tables
 
 MAGIC = b"EFT1"
 SAMPLE = 256
@@ -152,117 +150,55 @@ class TokenFile:
         return self.ids[self.ends.select(i - 1) if i else 0:self.ends.select(i)]
 
 
-def _byte_symbols() -> dict[int, str]:
-    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
-
-
-_SYMBOLS = _byte_symbols()
-#: A word of Latin letters, perhaps after a space, and stops after it: two pre-tokens at most.
-_WORD = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?]*)")
-#: A space, or a line end, that touches no other white space.  Python's white space holds all of the pre-tokenizer's.
-_SPACE = re.compile(r"(?<!\s) (?!\s)")
-_LINE = re.compile(r"(?<!\s)\n(?!\s)")
-
-
 class Encoder:
-    """Texts to packed ids, with a bounded memo of pieces.
+    """Texts to packed ids; equal pieces of a chunk of texts go through the tokenizer once."""
 
-    A piece that is one word goes to the tokenizer's model directly, as the pre-tokenizer
-    would leave it whole; any other piece takes the whole way through the tokenizer.
-    """
-
-    def __init__(self, path: str, end_id: int, memo: int = 1_200_000, literal_specials: bool = True) -> None:
+    def __init__(self, path: str, end_id: int, literal_specials: bool = True) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = literal_specials
-        self.model = self.tokenizer.model
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        self.number = array("H" if self.width == 2 else "I")
+        self.code = "H" if self.width == 2 else "I"
         self.end = self._packed([end_id])
-        self.half = memo // 2
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.stops: dict[str, bytes] = {}
-        self.lines: dict[str, bytes] = {}
-        # the direct way holds for byte-level tokenizers that cut before words and change nothing else
-        self.direct = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in repr(self.tokenizer.pre_tokenizer)
+        # pieces may be encoded apart by a byte-level tokenizer that cuts words itself and changes nothing else
+        spec = json.loads(self.tokenizer.to_str())
+        self.direct = spec["normalizer"] is None and _cuts_words(spec["pre_tokenizer"])
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _packed(self, ids: list[int]) -> bytes:
-        out = array(self.number.typecode, ids)
-        if sys.byteorder == "big":
-            out.byteswap()
-        return out.tobytes()
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [self._packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encoded(self, piece: str) -> bytes:
-        """The ids of a piece, word by word where that is exact."""
-        found = _WORD.fullmatch(piece) if self.direct else None
-        if not found:
-            return self._whole([piece])[0]
-        word, stops = found.groups()
-        ids = self._packed([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_SYMBOLS))])
-        return ids + self._stops(stops) if stops else ids
-
-    def _after_space(self, piece: str) -> bytes:
-        """The ids of a space and ``piece``; punctuation after a word is not kept with it, so the memo holds words once."""
-        if self.direct:
-            if "\n" in piece:
-                first, *lines = _LINE.split(piece)
-                if lines:  # single line ends are pre-tokens of their own
-                    return (self.young.get(first) or self._after_space(first)) + b"".join(map(self._after_line, lines))
-            body = piece.rstrip(string.punctuation)
-            if body != piece and body.isalpha():
-                return (self.young.get(body) or self._after_space(body)) + self._stops(piece[len(body):])
-        if not piece or " " in piece or piece[0].isspace() or piece[-1].isspace():  # not for the memo, see ``encode``
-            return self._whole([" " + piece])[0]
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = self._encoded(" " + piece)
-        if len(self.young) >= self.half:
-            self.young, self.old = {}, self.young
-        self.young[piece] = ids
-        return ids
-
-    def _after_line(self, piece: str) -> bytes:
-        """The ids of a line end and ``piece``."""
-        ids = self.lines.get(piece)
-        if ids is None:
-            ids = self._whole(["\n" + piece])[0]
-            if len(self.lines) >= self.half // 4:
-                self.lines.clear()
-            self.lines[piece] = ids
-        return ids
-
-    def _stops(self, stops: str) -> bytes:
-        if stops not in self.stops:
-            if len(self.stops) > 1000:
-                self.stops.clear()
-            self.stops[stops] = self._whole([stops])[0]
-        return self.stops[stops]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text and the end id."""
-        out = []
-        for text in texts:
-            if not self.direct or any(t in text for t in self.added):
-                out.append(self._whole([text])[0] + self.end)
-                continue
-            first, *rest = text.split(" ")
-            found = list(map(self.young.get, rest))
-            if None in found or first[-1:].isspace():  # pieces of the memo neither begin nor end with white space
-                first, *rest = _SPACE.split(text)
-                found = [self.young.get(p) or self._after_space(p) for p in rest]
-            out.append(b"".join([self._encoded(first) if first else b"", *found, self.end]))
+        out: list[bytes] = []
+        for i in range(0, len(texts), 5000):
+            out += [self._packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts[i:i + 5000], add_special_tokens=False)]
         return out
 
+    def encode(self, texts) -> Iterator[bytes]:
+        """The ids of each text and the end id; null is empty."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not self.direct:
+            for part in pieces.chunks(texts):
+                yield from (ids + self.end for ids in self._whole(pc.fill_null(part, "").to_pylist()))
+            return
+        whole = pa.array(np.zeros(len(texts), dtype=bool))
+        for mark in self.added:
+            whole = pc.or_(whole, pc.fill_null(pc.match_substring(texts, mark), False))
+        parted = pieces.encoded(pc.if_else(whole, "", texts), self._whole)
+        for text, alone, ids in zip(texts, whole.to_pylist(), parted):
+            yield (self._whole([text.as_py()])[0] if alone else ids) + self.end
+
+
+def _cuts_words(pre_tokenizer: dict | None) -> bool:
+    """True for exactly the byte-level pre-tokenizer with its own pattern and without a space put before the text."""
+    spec = dict(pre_tokenizer or {})
+    spec.pop("trim_offsets", None)  # says where a token's text lies, not what it is
+    return spec == {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
@@ -310,15 +246,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
             doc_ids, ids, size = [], [], 0
 
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1)
-            raw = spans.binary_column(batch, "text")
-            for i, j in spans.chunks(raw):
-                for d, packed in zip(names[i:j], encoder.encode(texts.slice(i, j - i).to_pylist())):
-                    doc_ids.append(d)
-                    ids.append(packed)
-                    size += len(packed) // encoder.width
-                    if size >= file_ids:
-                        close()
+            for d, packed in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
+                doc_ids.append(d)
+                ids.append(packed)
+                size += len(packed) // encoder.width
+                if size >= file_ids:
+                    close()
         if doc_ids:
             close()
         cols = list(zip(*made)) if made else [[]] * 5
