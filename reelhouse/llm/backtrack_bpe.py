@@ -1,10 +1,10 @@
 """Exact byte-pair encoding by backtracking over longest matches, and decoding by an offset table.
 
-Instead of merging pairs, the encoder walks a pre-token from left to right.  An Aho-Corasick automaton of
-the reversed tokens gives the longest token that starts at each byte in one pass.  The walk takes the longest
-token whose border with the token before it is compatible, else the next shorter prefix that is a token, else
-goes back one token and marks the position as one from which no encoding follows.  Every position is marked
-at most once, so the walk is linear in the pre-token for a fixed vocabulary.
+Instead of merging pairs, the encoder walks a pre-token from left to right.  An Aho-Corasick automaton
+gives the longest token that starts where the last one ended.  The walk takes it if its border with the token
+before is compatible, else the next shorter prefix that is a token, else goes back one token and marks the
+position as one from which no encoding follows.  Every position is marked at most once, so the walk is
+linear in the pre-token for a fixed vocabulary.
 
 Two tokens are compatible when no merge crosses the border between them: undoing their merges from the latest to
 the earliest, no pair across the border may have a merge that comes earlier than the one undone (for the right
@@ -47,9 +47,9 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Below this code point the pattern's classes are the same in all versions of Unicode that are in use.
 PLAIN = "՘"
 #: Borders that the compatibility table keeps.
-BORDERS = 200_000
+BORDERS = 400_000
 #: Pre-tokens whose ids are kept, in two generations, and the longest of them.
-TOKENS, LONGEST = 300_000, 64
+TOKENS, LONGEST = 600_000, 64
 
 
 def byte_symbols() -> list[str]:
@@ -120,7 +120,7 @@ class Encoder:
             self.shorter[t] = next((self.known[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in self.known), -1)
         self.matcher = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for s, t in self.known.items():
-            self.matcher.add_word(s[::-1], t)
+            self.matcher.add_word(s, t)
         self.matcher.make_automaton()
         self.borders: dict[int, bool] = {}
 
@@ -145,38 +145,39 @@ class Encoder:
             known = self.borders[key] = self._apart(a, b, len(self.left))
         return known
 
-    def _longest(self, raw: bytes, s: str) -> list[int]:
-        """The longest token that starts at each byte."""
-        out, size, last = list(raw), self.size, len(raw) - 1
-        for end, t in self.matcher.iter(s[::-1]):
-            if size[t] > size[out[last - end]]:
-                out[last - end] = t
-        return out
-
     def pre_token(self, raw: bytes) -> list[int]:
         """The ids of one pre-token."""
         s = raw.decode("latin-1")  # one character a byte
         whole = self.known.get(s)
         if whole is not None:
             return [self.out[whole]]
-        longest, n = self._longest(raw, s), len(raw)
-        size, shorter = self.size, self.shorter
-        dead = bytearray(n + 1)
         taken: list[int] = []
-        pos, t = 0, longest[0]
+        pos = 0
+        for end, t in self.matcher.iter_long(s):
+            if taken and not self._compatible(taken[-1], t):
+                break
+            taken.append(t)
+            pos = end + 1
+        if pos < len(s):
+            self._backtrack(s, taken, pos, t)
+        return [self.out[t] for t in taken]
+
+    def _backtrack(self, s: str, taken: list[int], pos: int, t: int) -> None:
+        """Go on from ``taken``, which ends at ``pos`` and whose next longest token is ``t``."""
+        size, shorter, n = self.size, self.shorter, len(s)
+        dead = bytearray(n + 1)
         while pos < n:
             end = pos + size[t]
             if not dead[end] and (not taken or self._compatible(taken[-1], t)):
                 taken.append(t)
                 pos = end
-                t = longest[pos] if pos < n else -1
+                t = next(self.matcher.iter_long(s, pos))[1] if pos < n else -1
             elif shorter[t] >= 0:
                 t = shorter[t]
             else:
                 dead[pos] = 1
                 t = taken.pop()
                 pos -= size[t]
-        return [self.out[t] for t in taken]
 
 
 class TextEncoder:

@@ -24,8 +24,8 @@ content depends on the partition's rows alone, so a retry or a second attempt wr
 
 Encoding.  Texts are encoded with the ``tokenizers`` library.  A byte-level pre-tokenizer cuts
 before a space that touches no other white space, so a text is the concatenation of its pieces there
-(``pieces``); a chunk of texts is split and its distinct pieces are found in Arrow, and each goes through the
-tokenizer once.  A run of white space (Unicode, no-break spaces among it) stays inside one piece; texts that
+(``pieces``); a chunk of texts is split and its distinct pieces are found in Arrow, and those that a bounded
+memo does not hold go through the tokenizer once.  A run of white space (Unicode, no-break spaces among it) stays inside one piece; texts that
 hold an added token of the tokenizer are encoded whole, and so is every text of a tokenizer whose
 pre-tokenizer is not exactly the byte-level one with its own pattern.
 
@@ -151,9 +151,9 @@ class TokenFile:
 
 
 class Encoder:
-    """Texts to packed ids; equal pieces of a chunk of texts go through the tokenizer once."""
+    """Texts to packed ids, with a bounded memo of pieces in two generations."""
 
-    def __init__(self, path: str, end_id: int, literal_specials: bool = True) -> None:
+    def __init__(self, path: str, end_id: int, literal_specials: bool = True, memo: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -162,6 +162,9 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        self.half = memo // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.code = "H" if self.width == 2 else "I"
         self.end = self._packed([end_id])
         # pieces may be encoded apart by a byte-level tokenizer that cuts words itself and changes nothing else
@@ -178,6 +181,22 @@ class Encoder:
             out += [self._packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts[i:i + 5000], add_special_tokens=False)]
         return out
 
+    def _known(self, distinct: list[str]) -> list[bytes]:
+        """The ids of distinct pieces; long ones are not kept."""
+        out = list(map(self.young.get, distinct))
+        missing = [i for i, v in enumerate(out) if v is None]
+        for i in missing:
+            out[i] = self.old.get(distinct[i])
+        new = [i for i in missing if out[i] is None]
+        for i, ids in zip(new, self._whole([distinct[i] for i in new])):
+            out[i] = ids
+        for i in missing:
+            if len(distinct[i]) <= 64:
+                if len(self.young) >= self.half:
+                    self.young, self.old = {}, self.young
+                self.young[distinct[i]] = out[i]
+        return out
+
     def encode(self, texts) -> Iterator[bytes]:
         """The ids of each text and the end id; null is empty."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
@@ -188,7 +207,7 @@ class Encoder:
         whole = pa.array(np.zeros(len(texts), dtype=bool))
         for mark in self.added:
             whole = pc.or_(whole, pc.fill_null(pc.match_substring(texts, mark), False))
-        parted = pieces.encoded(pc.if_else(whole, "", texts), self._whole)
+        parted = pieces.encoded(pc.if_else(whole, "", texts), self._known)
         for text, alone, ids in zip(texts, whole.to_pylist(), parted):
             yield (self._whole([text.as_py()])[0] if alone else ids) + self.end
 
