@@ -34,17 +34,27 @@ def mode_from_counts(counts: DataFrame, keys: Sequence[str], value: str, alias:
     return counts.groupBy(*keys).agg(F.max_by(value, order).alias(alias))
 
 
-def modes(df: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:
+def small_mode_from_counts(counts: DataFrame, keys: Sequence[str], value: str, alias: str,
+                           count_col: str = "cnt") -> DataFrame:
+    """``mode_from_counts`` for whole values from 0 to 63 (hours, weekdays): count and value share one
+    bigint, so the mode is a plain maximum and a hash aggregate.  Other values raise."""
+    v = F.col(value)
+    checked = F.when(v.between(0, 63), F.lit(63) - v).otherwise(F.raise_error(F.lit(f"{value} is not from 0 to 63")).cast("bigint"))
+    best = F.max(F.col(count_col) * 64 + checked)
+    return counts.groupBy(*keys).agg((F.lit(63) - F.pmod(best, F.lit(64))).cast(counts.schema[value].dataType).alias(alias))
+
+
+def modes(df: DataFrame, keys: Sequence[str], values: dict[str, str], small: Sequence[str] = ()) -> DataFrame:
     """Several modes per key from one joint histogram (one pass over ``df``).
 
-    ``values`` maps a value column to its output alias.
+    ``values`` maps a value column to its output alias; ``small`` names those with whole values from 0 to 63.
     """
     cols = list(values)
     joint = df.groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("cnt"))
     out = None
     for c, alias in values.items():
         per = (joint.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.sum("cnt").alias("cnt")))
-        m = mode_from_counts(per, keys, c, alias)
+        m = (small_mode_from_counts if c in small else mode_from_counts)(per, keys, c, alias)
         out = m if out is None else out.join(m, list(keys), "full_outer")
     return out
 

@@ -11,6 +11,7 @@ the batch touches and no others.  Rows are counted while they are written.
 from __future__ import annotations
 
 import traceback
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..session import checkpoint_dir
+
 # ---------------------------------------------------------------------------------
 # targets and writes
 # ---------------------------------------------------------------------------------
@@ -62,17 +65,37 @@ def _path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         return False
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back.
+
+    Whatever happens to its source afterwards (rows that arrive, files that go), all steps of a
+    load see the same rows.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 BUCKET = "_key_bucket"
+#: How a batch changes a keyed table.
+KEYED_CHANGES = ("merge", "update_columns", "delete_insert")
 
 
 @dataclass(frozen=True)
 class KeyedTarget:
     """A path table keyed by ``keys``, stored in ``buckets`` folders by the hash of the key.
 
-    An upsert reads and replaces only the folders its batch touches: Spark's dynamic
-    partition overwrite writes them beside the table and moves them in when the job
-    commits, so a job that fails before that changes nothing, and a retry repeats the
-    same merge.  Choose ``buckets`` so that one folder is some 100 MB.
+    An upsert stages its batch, so the source is read once, and then reads and replaces only
+    the folders that the staged batch touches (Spark's dynamic partition overwrite).  A job that fails
+    before its commit changes nothing, and a retry repeats the same merge.  The commit itself
+    moves one folder after the other: a driver that is lost in it can leave some buckets old and a
+    bucket that it was moving away.  To recover, restore these buckets' folders from a copy or
+    rebuild the table, then run the same load again; an upsert that ran through is not affected.
+    Choose ``buckets`` so that one folder is some 100 MB.
+
+    Columns may be added (``append_new_columns``): buckets that a batch does not touch keep their
+    files, and their rows read as null, as files are read with their schemas merged.
     """
 
     base: str
@@ -88,7 +111,7 @@ class KeyedTarget:
         return _path_exists(spark, self.base, self.fmt)
 
     def _stored(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format(self.fmt).load(self.base)
+        return spark.read.format(self.fmt).option("mergeSchema", "true").load(self.base)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark).drop(BUCKET)
@@ -104,18 +127,43 @@ class KeyedTarget:
         self._put(self._bucketed(newest_per_key(df, self.keys, order_by)), dynamic=False)
 
     def upsert(self, spark: SparkSession, batch: DataFrame, order_by: Sequence[str] = (),
-               newest_wins: bool = False, policy: str = "fail") -> None:
+               newest_wins: bool = False, policy: str = "fail", change: str = "merge",
+               update_columns: Sequence[str] = ()) -> int:
+        """Change the stored rows by ``batch``; returns the rows of the batch.
+
+        * ``merge``: the newest row per key replaces the stored one;
+        * ``update_columns``: stored rows take only ``update_columns`` of it, new keys come whole;
+        * ``delete_insert``: stored rows with a key of the batch go, all rows of the batch come.
+        """
+        return self.upsert_staged(spark, staged(batch), order_by, newest_wins, policy, change, update_columns)
+
+    def upsert_staged(self, spark: SparkSession, batch: DataFrame, order_by: Sequence[str] = (),
+                      newest_wins: bool = False, policy: str = "fail", change: str = "merge",
+                      update_columns: Sequence[str] = ()) -> int:
+        """``upsert`` of a batch that is a written table already."""
+        if change not in KEYED_CHANGES:
+            raise ValueError(f"unknown change {change!r}; use one of {KEYED_CHANGES}")
+        if (change == "update_columns") != bool(update_columns):
+            raise ValueError("update_columns needs the columns to update, and no other change takes them")
+        n = batch.count()
         if not self.exists(spark):
-            self.write(spark, batch, "overwrite", order_by)
-            return
+            rows = with_keys(batch, self.keys) if change == "delete_insert" else newest_per_key(batch, self.keys, order_by)
+            self._put(self._bucketed(rows), dynamic=False)
+            return n
         old = self._stored(spark)
         _, batch = align_schema(old.drop(BUCKET), batch, policy, keep_table=True)
-        batch = self._bucketed(batch)
-        touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # ``buckets`` numbers at most
+        touched = [r[0] for r in self._bucketed(batch).select(BUCKET).distinct().collect()]  # ``buckets`` numbers at most
         if not touched:
-            return
-        part = old.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        self._put(self._bucketed(upsert_frame(part, batch.drop(BUCKET), self.keys, order_by, newest_wins)), dynamic=True)
+            return n
+        part, _ = align_schema(old.where(F.col(BUCKET).isin(touched)).drop(BUCKET), batch, policy, keep_table=True)
+        if change == "merge":
+            rows = upsert_frame(part, batch, self.keys, order_by, newest_wins)
+        elif change == "update_columns":
+            rows = merge_update_columns(part, batch, self.keys, update_columns, order_by)
+        else:
+            rows = delete_insert_frame(part, with_keys(batch, self.keys), self.keys)
+        self._put(self._bucketed(rows), dynamic=True)
+        return n
 
 
 def write_frame(df: DataFrame, target: Target, mode: str = "overwrite",
@@ -442,10 +490,10 @@ def load_incremental(spark: SparkSession, source: DataFrame, target: "Target | K
     if keys:
         if tuple(keys) != target.keys:
             raise ValueError(f"the target is keyed by {target.keys}, not {tuple(keys)}")
-        batch = rows_after(source, cursor, mark)
+        batch = staged(rows_after(source, cursor, mark))
         found = batch.agg(*counted).first()
         if found.n:
-            target.upsert(spark, batch, [cursor], newest_wins=True, policy=policy)
+            target.upsert_staged(spark, batch, [cursor], newest_wins=True, policy=policy)
     else:
         exists = target.exists(spark)
         batch = rows_after(source, cursor, mark)
@@ -467,8 +515,7 @@ def load_incremental(spark: SparkSession, source: DataFrame, target: "Target | K
 def upsert_load(spark: SparkSession, source: DataFrame, target: KeyedTarget, order_by: Sequence[str] = (),
                 policy: str = "fail") -> int:
     """S12 on files: replace the key buckets that ``source`` touches; returns its row count."""
-    target.upsert(spark, source, order_by, policy=policy)
-    return source.count()
+    return target.upsert(spark, source, order_by, policy=policy)
 
 
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str],
@@ -498,15 +545,39 @@ class LoadResult:
 REPORT_SCHEMA = "table string, status string, rows bigint, message string"
 
 
-def run_loads(spark: SparkSession, jobs: dict[str, Callable[[], int | None]]) -> DataFrame:
-    """Run each table's load; a failed table is reported and does not stop the rest."""
+LEDGER_SCHEMA = f"load_id string, {REPORT_SCHEMA}, finished_at timestamp"
+
+
+def completed_tables(spark: SparkSession, ledger: Target, load_id: str) -> set[str]:
+    """The tables of one load that its ledger has as completed."""
+    if not ledger.exists(spark):
+        return set()
+    rows = ledger.read(spark).where((F.col("load_id") == load_id) & (F.col("status") == "completed"))
+    return {r.table for r in rows.select("table").distinct().collect()}  # the tables of one load
+
+
+def run_loads(spark: SparkSession, jobs: dict[str, Callable[[], int | None]], ledger: Target | None = None,
+              load_id: str | None = None) -> DataFrame:
+    """Run each table's load; a failed table is reported and does not stop the rest.
+
+    The ledger gets a row as soon as a table's load ends.  A table that an earlier run of ``load_id``
+    completed is reported as ``skipped``.
+    """
+    done = completed_tables(spark, ledger, load_id) if ledger else set()
     results = []
     for table, job in jobs.items():
+        if table in done:
+            results.append(LoadResult(table, "skipped", None, None))
+            continue
         try:
             results.append(LoadResult(table, "completed", job(), None))
         except Exception as exc:  # noqa: BLE001 - reported per table
             msg = "".join(traceback.format_exception_only(type(exc), exc)).strip()
             results.append(LoadResult(table, "failed", None, msg))
+        if ledger:
+            r = results[-1]
+            row = spark.createDataFrame([(load_id, r.table, r.status, r.rows, r.message, None)], LEDGER_SCHEMA)
+            write_frame(row.withColumn("finished_at", F.current_timestamp()), ledger, "append")
     return spark.createDataFrame([(r.table, r.status, r.rows, r.message) for r in results], REPORT_SCHEMA)
 
 
@@ -514,13 +585,15 @@ def run_loads(spark: SparkSession, jobs: dict[str, Callable[[], int | None]]) ->
 # the loader's entry point (replace | append | incremental | merge), per table
 # ---------------------------------------------------------------------------------
 
-LOAD_MODES = ("replace", "append", "incremental", "merge")
+LOAD_MODES = ("replace", "append", "incremental", "merge", "update_columns", "delete_insert")
 
 
 def load_tables(spark: SparkSession, sources: dict[str, DataFrame],
                 targets: dict[str, "Target | KeyedTarget"], mode: str = "append",
                 keys: dict[str, Sequence[str]] | None = None, cursor: str | None = None,
-                state: Target | None = None, policy: str = "fail") -> DataFrame:
+                state: Target | None = None, policy: str = "fail",
+                update_columns: dict[str, Sequence[str]] | None = None, ledger: Target | None = None,
+                load_id: str | None = None) -> DataFrame:
     """Load several tables one by one and return the S18 report (with the rows of each load).
 
     * ``replace``: full refresh; ``append``: add every row (re-running appends again);
@@ -528,19 +601,25 @@ def load_tables(spark: SparkSession, sources: dict[str, DataFrame],
     * ``merge``: keyed upsert into a ``KeyedTarget`` (needs ``keys[table]``; with ``cursor``
       the newest source row per key wins, and with ``state`` only rows past the mark are read).
 
-    ``policy`` is the schema-change policy (S15) of every mode but ``replace``.  Invalid
-    combinations raise instead of being ignored.
+    * ``update_columns`` and ``delete_insert``: S13 into a ``KeyedTarget`` (the first needs
+      ``update_columns[table]``; with ``cursor`` it takes the newest source row per key).
+
+    ``policy`` is the schema-change policy (S15) of every mode but ``replace``.  With a ``ledger`` each
+    table's result is appended to it under ``load_id``, and a rerun of that load takes up only the
+    tables that have not completed (S18).  Invalid combinations raise instead of being ignored.
     """
+    if (ledger is None) != (load_id is None):
+        raise ValueError("a ledger and a load_id go together")
     if mode not in LOAD_MODES:
         raise ValueError(f"unknown load mode {mode!r}; use one of {LOAD_MODES}")
     if policy not in SCHEMA_POLICIES:
         raise ValueError(f"unknown schema policy {policy!r}; use one of {SCHEMA_POLICIES}")
     if mode == "incremental" and (not cursor or state is None):
         raise ValueError("incremental loads need a cursor column and a state table")
-    if mode == "merge":
+    if mode in KEYED_CHANGES:
         missing = [t for t in sources if not (keys or {}).get(t)]
         if missing:
-            raise ValueError(f"merge needs primary key columns for: {missing}")
+            raise ValueError(f"{mode} needs primary key columns for: {missing}")
     missing_targets = [t for t in sources if t not in targets]
     if missing_targets:
         raise ValueError(f"no target for: {missing_targets}")
@@ -562,10 +641,13 @@ def load_tables(spark: SparkSession, sources: dict[str, DataFrame],
                 return load_incremental(spark, src, tgt, state, table, cursor, policy=policy)
             k = list(keys[table])
             if not isinstance(tgt, KeyedTarget) or tgt.keys != tuple(k):
-                raise ValueError(f"merge needs a KeyedTarget with the keys {k}")
+                raise ValueError(f"{mode} needs a KeyedTarget with the keys {k}")
+            if mode != "merge":
+                return tgt.upsert(spark, src, [cursor] if cursor else [], policy=policy, change=mode,
+                                  update_columns=(update_columns or {}).get(table, ()))
             if cursor and state is not None:
                 return load_incremental(spark, src, tgt, state, table, cursor, keys=k, policy=policy)
             return upsert_load(spark, src, tgt, [cursor] if cursor else [], policy=policy)
         return run
 
-    return run_loads(spark, {t: job(t) for t in sources})
+    return run_loads(spark, {t: job(t) for t in sources}, ledger, load_id)

@@ -5,7 +5,9 @@ when its estimated size is under the broadcast threshold, otherwise a
 sort-merge join with AQE skew splitting), then one hash aggregate by month with
 partial (map-side) aggregation.  The two distinct counts are planned by Catalyst
 as Expand + two-level aggregation keyed by (month, value), so a month holding a
-third of all rows is still spread over many tasks.  The window functions run on
+third of all rows is still spread over many tasks.  ``distinct="bitmap"`` gives the same
+numbers without Expand: ratings are reduced to (month, movie) before the join, and users
+are counted by one bitmap per month and bucket of user ids.  The window functions run on
 the monthly aggregate, whose size is bounded by the number of months.
 """
 
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_bigint, distinct_count, pct, round_to, safe_ratio
+from ..operators.bitmaps import distinct_ids, id_bitmaps
 
 
 def _count_if(cond):
@@ -25,21 +28,23 @@ GENRES = ["action", "comedy", "drama", "thriller", "romance"]
 DECADES = [1990, 2000, 2010]
 
 
-def _monthly_from_month_movie(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """Approximate-distinct form that aggregates before the join.
+def _monthly_from_month_movie(ratings: DataFrame, movies: DataFrame, distinct: str) -> DataFrame:
+    """The form that aggregates before the join.
 
-    Ratings are reduced to one row per (month, movie) with counts, sums and an HLL
+    Ratings are reduced to one row per (month, movie) with counts, sums and, for ``approx``, an HLL
     sketch of the users; only those rows meet the movie table (one row per movie
     id, weighted by how many movie rows carry each flag, which equals the inner
     join's row counts).  Per month: sums, the number of (month, movie) rows
-    (= distinct movies) and the union of the user sketches.
+    (= distinct movies) and the union of the user sketches.  For ``bitmap`` the users of
+    ratings of known movies are counted exactly in a narrow branch of their own.
     """
+    sketch = [F.hll_sketch_agg("user_id").alias("users")] if distinct == "approx" else []
     x = F.col("rating")
     pre = ratings.groupBy(F.col("rating_month").alias("month"), "movie_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(x).alias("s"),
         F.count_if(x >= 4.5).alias("c_ex"), F.count_if((x >= 3.5) & (x < 4.5)).alias("c_go"),
         F.count_if((x >= 2.5) & (x < 3.5)).alias("c_av"), F.count_if(x < 2.5).alias("c_po"),
-        F.hll_sketch_agg("user_id").alias("users"))
+        *sketch)
     flags = movies.groupBy("movie_id").agg(
         F.count(F.lit(1)).alias("w"),
         *[F.count_if(F.col(f"is_{g}")).alias(f"w_{g}") for g in GENRES],
@@ -53,9 +58,10 @@ def _monthly_from_month_movie(ratings: DataFrame, movies: DataFrame) -> DataFram
     def wavg(weight):
         return round_to(F.sum(sm * weight) / F.nullif(F.sum(n * weight), F.lit(0)).cast("double"), 2)
 
-    return j.groupBy("month").agg(
+    users = [F.hll_sketch_estimate(F.hll_union_agg("users")).cast("bigint").alias("active_users")] if sketch else []
+    out = j.groupBy("month").agg(
         wsum(n, w).alias("total_ratings"),
-        F.hll_sketch_estimate(F.hll_union_agg("users")).cast("bigint").alias("active_users"),
+        *users,
         F.count(F.lit(1)).cast("bigint").alias("movies_rated"),
         wavg(w).alias("avg_rating"),
         wsum(F.col("c_ex"), w).alias("ratings_excellent"),
@@ -69,13 +75,21 @@ def _monthly_from_month_movie(ratings: DataFrame, movies: DataFrame) -> DataFram
         "year": as_bigint(F.year("month")),
         "month_num": as_bigint(F.month("month")),
     })
+    if distinct == "bitmap":
+        known = ratings.join(movies.select("movie_id"), "movie_id", "left_semi")
+        bitmaps = id_bitmaps(known.withColumn("month", F.col("rating_month")), ["month"], "user_id")
+        counted = distinct_ids(bitmaps, ["month"], "active_users").select(F.col("month").alias("_month"), "active_users")
+        # months without any user id have no bitmap
+        out = out.join(counted, F.col("month").eqNullSafe(F.col("_month")), "left").drop("_month")
+        out = out.withColumn("active_users", F.coalesce("active_users", F.lit(0)))
+    return out
 
 
 def monthly_metrics(ratings: DataFrame, movies: DataFrame, distinct: str = "exact") -> DataFrame:
-    """Per-month metrics.  ``distinct="approx"`` aggregates per (month, movie) before
-    the join and counts users with sketches (see ``_monthly_from_month_movie``)."""
-    if distinct == "approx":
-        return _monthly_from_month_movie(ratings, movies)
+    """Per-month metrics.  ``distinct="approx"`` and ``"bitmap"`` aggregate per (month, movie) before
+    the join and count users with sketches or bitmaps (see ``_monthly_from_month_movie``)."""
+    if distinct in ("approx", "bitmap"):
+        return _monthly_from_month_movie(ratings, movies, distinct)
     m = movies.select("movie_id", "is_action", "is_comedy", "is_drama", "is_thriller",
                       "is_romance", "decade")
     r = ratings.select("movie_id", "user_id", "rating", F.col("rating_month").alias("month"))

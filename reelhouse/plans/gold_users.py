@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import as_bigint, day_boundaries, pct, round_to
 from ..functions.labels import favorite_genre, user_engagement_level, user_profile
-from ..operators.histograms import mode_from_counts
+from ..operators.bitmaps import distinct_ids, id_bitmaps
+from ..operators.histograms import small_mode_from_counts
 
 GENRES = ["action", "comedy", "drama", "thriller", "romance", "horror", "scifi"]
 AVG_GENRES = ["action", "comedy", "drama", "thriller", "romance"]
@@ -43,7 +44,7 @@ def user_calendar(ratings: DataFrame) -> DataFrame:
         as_bigint(F.size(F.collect_set("rating_month"))).alias("months_active"))
     for slot, name in (("hour_of_day", "favorite_hour"), ("day_of_week", "favorite_day_of_week")):
         counts = cells.groupBy("user_id", slot).agg(F.sum("cnt").alias("cnt"))
-        out = out.join(mode_from_counts(counts, ["user_id"], slot, name), "user_id")
+        out = out.join(small_mode_from_counts(counts, ["user_id"], slot, name), "user_id")
     return out
 
 
@@ -106,6 +107,24 @@ def user_genre_preferences(ratings: DataFrame, movies: DataFrame) -> DataFrame:
         "user_id", *[f"{g}_count" for g in GENRES], *[f"{g}_avg_rating" for g in AVG_GENRES])
 
 
+def user_tag_metrics_by_bitmap(tags: DataFrame) -> DataFrame:
+    """``user_tag_metrics`` without Expand: movies by bitmaps, tags and counts from (user, tag, sentiment) rows."""
+    cells = tags.groupBy("user_id", "tag_normalized", "sentiment").agg(F.count(F.lit(1)).alias("cnt"))
+    s, n = F.col("sentiment"), F.sum("cnt")
+
+    def of(mood: str):
+        return F.coalesce(F.sum(F.when(s == mood, F.col("cnt"))), F.lit(0))
+
+    agg = cells.groupBy("user_id").agg(
+        as_bigint(n).alias("total_tags_created"), as_bigint(F.count_distinct("tag_normalized")).alias("unique_tags_used"),
+        as_bigint(of("Positivo")).alias("positive_tags"), as_bigint(of("Negativo")).alias("negative_tags"),
+        pct(of("Positivo"), n).alias("pct_positive_tags"))
+    movies = distinct_ids(id_bitmaps(tags, ["user_id"], "movie_id"), ["user_id"], "movies_tagged")
+    out = agg.join(movies.withColumnRenamed("user_id", "_user"), F.col("user_id").eqNullSafe(F.col("_user")), "left")
+    return out.select("user_id", "total_tags_created", F.coalesce("movies_tagged", F.lit(0)).alias("movies_tagged"),
+                      "unique_tags_used", "positive_tags", "negative_tags", "pct_positive_tags")
+
+
 def user_tag_metrics(tags: DataFrame) -> DataFrame:
     s = F.col("sentiment")
     return tags.groupBy("user_id").agg(
