@@ -16,7 +16,7 @@ The word at which a document starts is a sum over the documents before it.  It i
 
 Defined results: null text has no words; a null source is a source of its own; null doc_ids are
 streamed by the MD5 of the empty string; repeated rows are documents of their own; an empty table, or
-one without words, takes nothing.
+one without words, takes nothing; the input's columns pass through ``mixed`` whatever their names.
 """
 
 from __future__ import annotations
@@ -24,9 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelhouse.llm import tables
+
 WEIGHTS = (5, 2, 1)
 SLOPES = (0.5, 0.0, -0.5)
 MOST = 3
+NEW = ("size", "source_size", "target", "taken", "position")
+WORKING = ("_start", "_budget", "slope")
 
 
 def n_words(text: str = "text") -> Column:
@@ -64,13 +68,18 @@ def plan(docs: DataFrame, text: str = "text", keep: bool = False) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken, position (of its first copy; null if nothing is taken).
 
     ``keep`` adds the input's columns, and ``_start``, ``_budget``, ``slope``, from which ``due`` gives the
-    position of every copy.
+    position of every copy.  Columns of the input with one of these names are left out.
     """
-    new = ("size", "source_size", "target", "taken", "position")
-    docs = docs.drop(*[c for c in new if c in docs.columns])
-    rows = docs.withColumn("size", n_words(text))
+    rows = _planned(docs, text, keep)
     if not keep:
-        rows = rows.select("doc_id", "source", "size")
+        return rows.select("doc_id", *NEW)
+    own = [F.col(f"{tables.ROW}.`{c}`") for c in docs.columns if c not in (*NEW, *WORKING)]
+    return rows.select(*own, *WORKING, *NEW)
+
+
+def _planned(docs: DataFrame, text: str, keep: bool) -> DataFrame:
+    rows = tables.carried(docs, *dict.fromkeys(("doc_id", "source", text))).withColumn("size", n_words(text))
+    rows = rows.select("doc_id", "source", "size", *([tables.ROW] if keep else []))
     rows = rows.withColumn("_md5", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
     rows = rows.withColumn("_slice", F.substring("_md5", 1, 3))
     key = F.struct("source").alias("_source")  # a struct is never null, so it joins null sources too
@@ -91,8 +100,7 @@ def plan(docs: DataFrame, text: str = "text", keep: bool = False) -> DataFrame:
     taken = F.when(F.col("source_size") > 0, F.expr("_budget div source_size") * F.col("size") + part).otherwise(F.lit(0))
     rows = rows.withColumn("taken", taken.cast("long"))
     rows = rows.withColumn("position", F.when(F.col("taken") > 0, due(F.col("_start"))))
-    extra = [*docs.columns, "_start", "_budget", "slope"] if keep else ["doc_id"]
-    return rows.select(*extra, *new)
+    return rows.select(*([tables.ROW] if keep else []), "doc_id", *WORKING, *NEW)
 
 
 def scheduled(docs: DataFrame, text: str = "text", keep: bool = False) -> DataFrame:
@@ -115,11 +123,11 @@ def mixed(docs: DataFrame, text: str = "text") -> DataFrame:
     Whole documents: the copy in which the budget ends counts if half of its words are within.  Documents
     without words have no demand and are left out.
     """
-    rows = plan(docs, text, keep=True).where("taken > 0")
+    rows = _planned(docs, text, keep=True).where("taken > 0")
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     rows = rows.withColumn("_copies", copies).where("_copies > 0")
     rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
     rows = rows.withColumn("_position", due(F.col("_start") + F.col("_copy") * F.col("source_size")))
-    rows = rows.select(*docs.columns, "_position")
-    return rows.repartitionByRange("_position").sortWithinPartitions("_position", "doc_id").select(*docs.columns)
+    rows = rows.select(tables.ROW, "_position", "doc_id")
+    return rows.repartitionByRange("_position").sortWithinPartitions("_position", "doc_id").select(f"{tables.ROW}.*")
 

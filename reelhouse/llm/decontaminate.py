@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse.llm import spans, tables
 
@@ -132,8 +133,7 @@ def _scanned(docs: DataFrame, windows, text: str, again: bool) -> DataFrame:
                     + [pa.array(c, type=t.type) for c, t in zip(cols, out_type)],
                     names=[f.name for f in kept] + out_type.names)
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [RESULT])
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(scan, T.StructType([*kept, *T.StructType.fromDDL(RESULT).fields]))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text",
@@ -156,7 +156,8 @@ def is_contaminated() -> F.Column:
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their own columns."""
-    return find_contamination(docs, benchmark, n, text).where(~is_contaminated()).select(*docs.columns)
+    found = find_contamination(tables.carried(docs, text), benchmark, n, text)
+    return found.where(~is_contaminated()).select(f"{tables.ROW}.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text") -> DataFrame:

@@ -106,15 +106,18 @@ def assign(docs: DataFrame, shards: int = 8, dimensions: tuple[str, ...] = ("sou
     """doc_id, size, text_crc32, law, shard, slot, grown_shard and curve of every row; ``keep`` adds the input's columns."""
     new = ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve")
     docs = docs.drop(*new)
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumn("size", (F.octet_length(body) + 1).cast("long")).withColumn("text_crc32", F.crc32(body.cast("binary")))
-    if not keep:
-        rows = rows.select("doc_id", "size", "text_crc32", *[c for c in dimensions if c in docs.columns])
-    levels = quantised(rows, list(dimensions), bits)
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    size = (F.octet_length(body) + 1).cast("long")
+    # dimensions get names of their own, and the input's columns travel in a struct
+    cuts = {f"_d{i}": size if c == "size" else F.col(f"`{c}`") for i, c in enumerate(dimensions)}
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(tables.ROW)] if keep else []
+    rows = docs.select("doc_id", size.alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"),
+                       *[x.alias(name) for name, x in cuts.items()], *row)
+    levels = quantised(rows, list(cuts), bits)
     # two steps: the levels are computed once, not once for each use
     rows = rows.withColumn("_levels", F.array(*levels))
     rows = rows.withColumn("curve", curve_index([F.element_at("_levels", i + 1) for i in range(len(dimensions))], bits))
-    rows = rows.withColumn("_slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int")).drop("_levels")
+    rows = rows.withColumn("_slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int")).drop("_levels", *cuts)
 
     slices = rows.groupBy("curve", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     cells = slices.groupBy("curve").agg(F.sum("_n").alias("_cell"))  # 2^(bits * dimensions) rows at most
@@ -130,7 +133,7 @@ def assign(docs: DataFrame, shards: int = 8, dimensions: tuple[str, ...] = ("sou
     first = F.expr(f"(shard * _total + {shards - 1}) div {shards}")  # the first rank of a shard
     ranked = ranked.withColumn("shard", shard.cast("int")).withColumn("slot", F.col("_rank") - first)
     out = ranked.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
-    return out.select(*(docs.columns if keep else ["doc_id"]), *new)
+    return out.select(f"{tables.ROW}.*" if keep else "doc_id", *new)
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8, files: int = 64) -> None:

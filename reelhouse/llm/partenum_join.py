@@ -17,8 +17,9 @@ non-empty one with each of its links, and drops the empty ones; only other sets
 
 Candidates are linear in the signatures: every holder of a signature gets an edge to the
 smallest holder, and connected components of these edges hold all links.  Signatures travel
-packed (five bytes each, in binary rows by bucket) and edges leave a bucket once, however many
-signatures two documents share.  A passage that very many documents share would tie unrelated ones into a large
+packed (five bytes each, in binary rows by bucket).  A bucket gives each of its documents one root, the
+smallest document connected to it there; these are packed by document, and a document's roots from all
+buckets are merged before edges are made, so their number does not follow that of the buckets.  A passage that very many documents share would tie unrelated ones into a large
 component; so shingles that are frequent in a bounded sample are left out of the domain (any
 domain gives all links).  Members of components that are still over ``block_rows`` sign again, by
 a scheme whose signatures cover more shingles, within their component.
@@ -50,6 +51,8 @@ from reelhouse.llm.packed import by_bucket, group_starts, sorted_entries, unpack
 
 _U = np.uint64
 _FLUSH = 1 << 22  # signatures
+#: Bytes of text whose signatures fill one bucket.
+BUCKET_BYTES = 64 << 20
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -176,8 +179,9 @@ def _profiles(n: int, text: str):
                 sets = shingle_sets(texts[i:j], n)
                 one, two = _digests(sets)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two)],
-                    names=["doc_id", "n_shingles", "d1", "d2"])
+                    [ids.slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two),
+                     pa.array([len(t) for t in texts[i:j]], pa.int64())],
+                    names=["doc_id", "n_shingles", "d1", "d2", "bytes"])
     return run
 
 
@@ -243,21 +247,58 @@ def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: boo
     return run
 
 
-def _bucket_edges(group: pa.Table) -> pa.Table:
-    """Edges from each holder of a shared signature to its smallest holder, each pair once."""
-    parts = [unpack(p, 1, 5) for p in group.column("payload").to_pylist()]
-    doc, (sig,) = sorted_entries([np.concatenate([c[0] for _, c in parts])], np.concatenate([d for d, _ in parts]))
-    new = group_starts([sig])
-    root = doc[new][np.cumsum(new) - 1]
-    edges = np.unique(np.stack([doc[~new], root[~new]]), axis=1)
+def _roots(doc: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct documents of edges, and the smallest document that each is connected to."""
+    nodes, at = np.unique(np.concatenate([doc, root]), return_inverse=True)
+    u, v = at[:len(doc)], at[len(doc):]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[u], label[v])
+        new = label.copy()
+        for side in (u, v):
+            np.minimum.at(new, label[side], low)
+            np.minimum.at(new, side, low)
+        new = new[new]
+        if (new == label).all():
+            return nodes, nodes[label]
+        label = new
+
+
+def _bucket_edges(n_parts: int):
+    """For each document of a bucket the smallest one that shared signatures connect it to, packed by document."""
+    def run(group: pa.Table) -> pa.Table:
+        parts = [unpack(p, 1, 5) for p in group.column("payload").to_pylist()]
+        doc, (sig,) = sorted_entries([np.concatenate([c[0] for _, c in parts])], np.concatenate([d for d, _ in parts]))
+        new = group_starts([sig])
+        doc, root = _roots(doc[~new], doc[new][np.cumsum(new) - 1][~new])
+        doc, root = doc[doc != root], root[doc != root]
+        rows = by_bucket(doc, [root.view(_U)], (spans.mix(doc.view(_U)) % _U(n_parts)).astype(np.int64))
+        return pa.table({"part": pa.array([k for k, _ in rows], pa.int32()), "payload": pa.array([p for _, p in rows], pa.binary())})
+    return run
+
+
+def _document_edges(group: pa.Table) -> pa.Table:
+    """Each edge once, however many buckets have it: a document and its smallest root, its other roots and the smallest."""
+    parts = [unpack(p, 1) for p in group.column("payload").to_pylist()]
+    doc, (root,) = sorted_entries([np.concatenate([c[0] for _, c in parts])], np.concatenate([d for d, _ in parts]))
+    order = np.lexsort((root.view(np.int64), doc))
+    doc, root = doc[order], root.view(np.int64)[order]
+    first = group_starts([doc])
+    least = root[first][np.cumsum(first) - 1]
+    edges = np.unique(np.stack([np.where(first, doc, root), least]), axis=1)
     return pa.table({"node": pa.array(edges[0], pa.int64()), "root": pa.array(edges[1], pa.int64())})
 
 
-def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool, common) -> DataFrame:
-    """(node, component) of documents that share signatures, directly or through others."""
-    n_buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool, common, n_bytes: int) -> DataFrame:
+    """(node, component) of documents that share signatures, directly or through others.
+
+    Buckets of signatures are many enough for ``n_bytes`` of text: signatures take about half as much.
+    """
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = max(2 * n_parts, -(-n_bytes // BUCKET_BYTES))
     rows = docs.mapInArrow(_signature_rows(n, percent, text, n_buckets, strong, common), "bucket int, payload binary")
-    return components(rows.groupBy("bucket").applyInArrow(_bucket_edges, "node long, root long"), "node", "root")
+    roots = rows.groupBy("bucket").applyInArrow(_bucket_edges(n_parts), "part int, payload binary")
+    return components(roots.groupBy("part").applyInArrow(_document_edges, "node long, root long"), "node", "root")
 
 
 def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -316,12 +357,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     tables.ship(docs.sparkSession)
     docs = docs.select("doc_id", text)
     profile = tables.written(
-        docs.mapInArrow(_profiles(n, text), "doc_id long, n_shingles long, d1 long, d2 long"), "partenum-profile")
+        docs.mapInArrow(_profiles(n, text), "doc_id long, n_shingles long, d1 long, d2 long, bytes long"), "partenum-profile")
+    whole = profile.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    profile = profile.drop("bytes")
     named = profile.where("doc_id is not null and n_shingles > 0")
     classes = named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
 
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, profile.count(), n, text, sample, common_in))
-    cand = _candidates(docs.where("doc_id is not null"), n, percent, text, False, common)
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, whole.rows, n, text, sample, common_in))
+    cand = _candidates(docs.where("doc_id is not null"), n, percent, text, False, common, whole.bytes)
     members = classes.join(cand.select(F.col("node").alias("rep"), F.col("component").alias("cand")), "rep")
     # shuffle_hash: the same plan at every size, and the texts are not sorted
     members = docs.join(members.withColumnRenamed("rep", "doc_id").hint("shuffle_hash"), "doc_id")
@@ -329,7 +372,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     members = tables.written(members, "partenum-members")
     large = members.groupBy("cand").count().where(F.col("count") > block_rows).select("cand")
     if not large.isEmpty():
-        again = _candidates(members.join(large, "cand", "left_semi"), n, percent, text, True, common)
+        again = _candidates(members.join(large, "cand", "left_semi"), n, percent, text, True, common, whole.bytes)
         members = _refined(members, large, again)
     sizes = members.groupBy("cand").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("mass"), F.sum("bytes").alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("size") / block_rows), F.ceil(F.col("mass") / block_shingles),

@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelhouse.session import checkpoint_dir
 
@@ -20,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROW = "_row"
+
+
+def carried(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, and all columns of ``docs`` inside one struct, where no working column meets their names.
+
+    ``select(f"{ROW}.*")`` gives them back.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW), *[F.col(f"`{c}`") for c in columns])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, which all executors share (a local one only on a local master)."""
     return (spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)).rstrip("/")

@@ -12,14 +12,17 @@ that go most with the label, no two of them nearly alike, and the commonest word
 highest windows under the present model (one of a toxic text, three of a clean one), maps them
 to Nystroem features K_zz^(-1/2) k_z(x), and fits an SVM (squared hinge, Newton steps in the
 primal).  Windows of clean texts accumulate over the rounds as hard negatives.  The document's
-margin is that of its highest window; a logistic fit on the sample turns it into a probability.
+margin is that of its highest window; a logistic fit turns it into a probability.  The fit takes the
+sample's margins from models trained on the other two of three folds of texts.  ``pool`` candidates for
+landmarks, ranked over the whole sample, come to the driver.
 
 Scoring.  Kernel expansions over landmarks are linear in the features, so the trained model is
 one weight per four-letter string; all windows of all texts are scored by table look-ups and
 running sums.  Whole texts are scored, in sections that overlap by a window.
 
 Defined results: null and empty texts get the score of a text without any letters; repeated rows
-score alike; labels of null, or without a text, are not used; a sample without both classes gives
+score alike; labels of null, or without a text, are not used; a document with labels of both kinds
+counts as toxic; a sample without both classes gives
 every text the share of toxic labels (0 without labels); extra columns are kept.
 """
 
@@ -33,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse.llm import spans, tables
 
@@ -44,6 +48,8 @@ _CODE[[9, 10, 13, 32]] = 27
 _CODE[0x80:0xC0] = 28 + np.arange(64) % 2
 _GAPS = [g for g in itertools.combinations(range(1, REACH), ORDER - 1)]
 _SECTION = 1 << 16
+#: Rows that a sum over training windows takes at once, and the folds of the calibration.
+BLOCK, FOLDS = 2048, 3
 
 
 @dataclass
@@ -144,10 +150,11 @@ class Nystroem:
         keep = values > 1e-6 * max(values.max(initial=0), 1e-12)
         self.whiten = vectors[:, keep] / np.sqrt(values[keep])
 
-    def map(self, windows: list[bytes]) -> np.ndarray:
-        out = np.zeros((len(windows), self.whiten.shape[1]), dtype=np.float32)
+    def map(self, windows: list[bytes], out: np.ndarray | None = None) -> np.ndarray:
+        out = np.zeros((len(windows), self.whiten.shape[1]), dtype=np.float32) if out is None else out
         for i, window in enumerate(windows):
             f = [(self.columns[k], v) for k, v in _features(window).items() if k in self.columns]
+            out[i] = 0
             if f:
                 at, v = zip(*f)
                 out[i] = (self.z[:, list(at)] @ np.array(v)) @ self.whiten
@@ -160,17 +167,26 @@ class Nystroem:
         return table
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: float, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss, by Newton steps on the active rows; y in -1, 1, classes weighted evenly."""
-    x1 = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
-    c = cost * np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * len(y)
-    ridge = np.ones(x1.shape[1])
+def fit_svm(x: np.ndarray, y: np.ndarray, cost: float, rounds: int = 30, use: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Linear SVM with squared hinge loss, by Newton steps on the active rows; y in -1, 1, classes weighted evenly.
+
+    ``use`` marks the rows that count.  Sums go over blocks of rows, so no copy of ``x`` is made.
+    """
+    use = np.ones(len(x), dtype=bool) if use is None else use
+    pos, neg = (use & (y > 0)).sum(), (use & (y < 0)).sum()
+    c = cost * use * np.where(y > 0, 0.5 / max(1, pos), 0.5 / max(1, neg)) * (pos + neg)
+    ridge = np.ones(x.shape[1] + 1)
     ridge[-1] = 1e-6
-    w = np.zeros(x1.shape[1])
+    w = np.zeros(len(ridge))
     for _ in range(rounds):
-        active = y * (x1 @ w) < 1
-        xa, ca = x1[active].astype(np.float64), c[active]
-        new = np.linalg.solve(np.diag(ridge) + (xa * ca[:, None]).T @ xa, (xa * (ca * y[active])[:, None]).sum(axis=0))
+        gram, moment = np.diag(ridge), np.zeros(len(ridge))
+        for i in range(0, len(x), BLOCK):
+            xb, yb, cb = x[i:i + BLOCK], y[i:i + BLOCK], c[i:i + BLOCK]
+            active = (yb * (xb @ w[:-1].astype(x.dtype) + w[-1]) < 1) & (cb > 0)
+            xa = np.hstack([xb[active], np.ones((active.sum(), 1))])
+            gram += (xa * cb[active][:, None]).T @ xa
+            moment += xa.T @ (cb * yb)[active]
+        new = np.linalg.solve(gram, moment)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -195,16 +211,18 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, train, max_docs: int, text: str = "text") -> DataFrame:
-    """(text, toxic) of at most ``max_docs`` training documents of each class, the smallest by a hash of doc_id.
+    """(text, toxic, fold) of at most ``max_docs`` training documents of each class, the smallest by a hash of doc_id.
 
     The ids are chosen from the labels alone, so ``2 * max_docs`` ids are broadcast and no text is shuffled.
     """
     y = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & train)
-    y = y.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    # a document with labels of both kinds counts as toxic
+    y = y.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     y = y.withColumn("_h", F.xxhash64("doc_id"))
     part = [y.where(F.col("toxic") == k).orderBy("_h").limit(max_docs).select("doc_id", "toxic") for k in (0, 1)]
     rows = docs.select("doc_id", F.col(text).alias("text")).where(F.col("text").isNotNull())
-    return rows.join(F.broadcast(part[0].unionByName(part[1])), "doc_id").select("text", "toxic")
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold")  # equal texts share one
+    return rows.join(F.broadcast(part[0].unionByName(part[1])), "doc_id").select("text", "toxic", fold)
 
 
 def landmark_words(sample: DataFrame, n: int, pool: int = 4000) -> tuple[list[bytes], list[float], list[bytes]]:
@@ -252,32 +270,52 @@ def train(docs: DataFrame, labels: DataFrame, train_rows, max_docs: int = 3000,
     for word, value in zip(words, z):
         for k, v in _unit(_features(word)).items():
             weights[k] += v * value
-    clean = np.empty((0, space.whiten.shape[1]), dtype=np.float32)
+    # one array for all rounds: a window of each toxic text first, then those of clean texts as they come
+    n_toxic, width = sizes[1], space.whiten.shape[1]
+    x = np.zeros((n_toxic + 3 * rounds * sizes[0], width), dtype=np.float32)
+    fold, y, end = np.zeros(len(x), dtype=np.int8), np.repeat([1, -1], [n_toxic, len(x) - n_toxic]), n_toxic
+    seen: set[tuple[int, bytes]] = set()
+    use = np.zeros(len(x), dtype=bool)
     for _ in range(rounds):
         found = _tops(sample, weights)
-        toxic = space.map([tops[0] for label, _, tops in found if label and tops])
-        clean = np.vstack([clean, space.map([t for label, _, tops in found if not label for t in tops])])
-        w, _ = fit_svm(np.vstack([toxic, clean]), np.repeat([1, -1], [len(toxic), len(clean)]), cost)
+        toxic = [(part, tops[0]) for label, part, _, tops in found if label and tops]
+        hard = sorted({(part, t) for label, part, _, tops in found if not label for t in tops} - seen)
+        del found
+        seen.update(hard)
+        use[:n_toxic] = np.arange(n_toxic) < len(toxic)
+        use[end:end + len(hard)] = True
+        for at, rows in ((0, toxic), (end, hard)):
+            space.map([t for _, t in rows], x[at:at + len(rows)])
+            fold[at:at + len(rows)] = [part for part, _ in rows]
+        end += len(hard)
+        w, _ = fit_svm(x[:end], y[:end], cost, use=use[:end])
         weights = space.weights(w)
-    found = _tops(sample, weights)
-    slope, offset = _logistic(np.array([m for _, m, _ in found]), np.array([label for label, _, _ in found]))
+    del seen
+    # the margins that set the probability come from models that have not seen their texts
+    margins, labels_ = [], []
+    for part in range(FOLDS):
+        w, _ = fit_svm(x[:end], y[:end], cost, use=use[:end] & (fold[:end] != part))
+        for label, _, margin, _ in _tops(sample.where(F.col("fold") == part), space.weights(w)):
+            margins.append(margin)
+            labels_.append(label)
+    slope, offset = _logistic(np.array(margins), np.array(labels_))
     return Model(weights, slope, offset)
 
 
-def _tops(sample: DataFrame, weights: np.ndarray) -> list[tuple[int, float, list[bytes]]]:
-    """(label, margin, highest windows) of the bounded sample."""
+def _tops(sample: DataFrame, weights: np.ndarray) -> list[tuple[int, int, float, list[bytes]]]:
+    """(label, fold, margin, highest windows) of the bounded sample."""
     shared = sample.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             best, tops = top_windows(spans.binary_column(batch, "text"), shared.value, 3)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("toxic")), pa.array(best), pa.array(tops, pa.list_(pa.binary()))],
-                names=["toxic", "margin", "tops"])
+            labels = [batch.column(batch.schema.get_field_index(c)) for c in ("toxic", "fold")]
+            yield pa.RecordBatch.from_arrays([*labels, pa.array(best), pa.array(tops, pa.list_(pa.binary()))],
+                                             names=["toxic", "fold", "margin", "tops"])
 
-    rows = sample.mapInArrow(run, "toxic int, margin double, tops array<binary>").collect()
-    shared.unpersist()
-    return sorted((r.toxic, r.margin, [bytes(t) for t in r.tops or () if t]) for r in rows)
+    rows = sample.mapInArrow(run, "toxic int, fold int, margin double, tops array<binary>").collect()
+    shared.destroy()
+    return sorted((r.toxic, r.fold, r.margin, [bytes(t) for t in r.tops or () if t]) for r in rows)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", column: str = "score") -> DataFrame:
@@ -294,8 +332,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", column: str = "scor
                 [*(batch.column(batch.schema.get_field_index(f.name)) for f in kept), pa.array(shared.value.probability(best))],
                 names=[*(f.name for f in kept), column])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{column}` double"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType([*kept, T.StructField(column, T.DoubleType())]))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -314,4 +351,5 @@ def report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFr
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that score under ``threshold``, with their own columns."""
     model = train(docs, labels, ~held_out())
-    return score(docs, model, column="_toxicity").where(F.col("_toxicity") < threshold).select(*docs.columns)
+    scored = score(tables.carried(docs, "text"), model)
+    return scored.where(F.col("score") < threshold).select(f"{tables.ROW}.*")
