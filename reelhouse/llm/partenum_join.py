@@ -18,8 +18,8 @@ non-empty one with each of its links, and drops the empty ones; only other sets
 Candidates are linear in the signatures: every holder of a signature gets an edge to the
 smallest holder, and connected components of these edges hold all links.  Signatures travel
 packed (five bytes each, in binary rows by bucket).  A bucket gives each of its documents one root, the
-smallest document connected to it there; these are packed by document, and a document's roots from all
-buckets are merged before edges are made, so their number does not follow that of the buckets.  A passage that very many documents share would tie unrelated ones into a large
+smallest document connected to it there; these are packed by document, and what all buckets have for the
+documents of one part is merged to a forest before edges are made, so their number does not follow that of the buckets.  A passage that very many documents share would tie unrelated ones into a large
 component; so shingles that are frequent in a bounded sample are left out of the domain (any
 domain gives all links).  Members of components that are still over ``block_rows`` sign again, by
 a scheme whose signatures cover more shingles, within their component.
@@ -278,24 +278,22 @@ def _bucket_edges(n_parts: int):
 
 
 def _document_edges(group: pa.Table) -> pa.Table:
-    """Each edge once, however many buckets have it: a document and its smallest root, its other roots and the smallest."""
+    """A spanning forest of the edges that all buckets have for the documents of one part."""
     parts = [unpack(p, 1) for p in group.column("payload").to_pylist()]
-    doc, (root,) = sorted_entries([np.concatenate([c[0] for _, c in parts])], np.concatenate([d for d, _ in parts]))
-    order = np.lexsort((root.view(np.int64), doc))
-    doc, root = doc[order], root.view(np.int64)[order]
-    first = group_starts([doc])
-    least = root[first][np.cumsum(first) - 1]
-    edges = np.unique(np.stack([np.where(first, doc, root), least]), axis=1)
-    return pa.table({"node": pa.array(edges[0], pa.int64()), "root": pa.array(edges[1], pa.int64())})
+    doc, root = np.concatenate([d for d, _ in parts]), np.concatenate([c[0] for _, c in parts]).view(np.int64)
+    nodes, least = _roots(doc, root)
+    own = nodes != least
+    return pa.table({"node": pa.array(nodes[own], pa.int64()), "root": pa.array(least[own], pa.int64())})
 
 
 def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool, common, n_bytes: int) -> DataFrame:
     """(node, component) of documents that share signatures, directly or through others.
 
     Buckets of signatures are many enough for ``n_bytes`` of text: signatures take about half as much.
+    Parts of documents follow the bytes alone, so the number of edges does not depend on that of the buckets.
     """
-    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_buckets = max(2 * n_parts, -(-n_bytes // BUCKET_BYTES))
+    n_parts = max(1, -(-n_bytes // BUCKET_BYTES))
+    n_buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_parts)
     rows = docs.mapInArrow(_signature_rows(n, percent, text, n_buckets, strong, common), "bucket int, payload binary")
     roots = rows.groupBy("bucket").applyInArrow(_bucket_edges(n_parts), "part int, payload binary")
     return components(roots.groupBy("part").applyInArrow(_document_edges, "node long, root long"), "node", "root")
