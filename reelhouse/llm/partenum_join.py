@@ -348,6 +348,15 @@ def _verify(n: int, percent: int, text: str):
     return run
 
 
+def _blocks(members: DataFrame, block_rows: int, block_shingles: int, block_bytes: int) -> DataFrame:
+    """(cand, size, blocks) of the components with two or more members; a repeated doc_id counts as often as it has rows."""
+    total = lambda c: F.sum(F.col(c) * F.col("k")).alias(c)
+    sizes = members.groupBy("cand").agg(F.count(F.lit(1)).alias("size"), F.sum("k").alias("rows"), total("n_shingles"), total("bytes"))
+    blocks = F.greatest(F.ceil(F.col("rows") / block_rows), F.ceil(F.col("n_shingles") / block_shingles),
+                        F.ceil(F.col("bytes") / block_bytes)).cast("int")
+    return sizes.where("size > 1").select("cand", "size", blocks.alias("blocks"))
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text",
                     block_rows: int = 2048, block_shingles: int = 2_000_000, block_bytes: int = 256 << 20,
                     sample: int = 4000, common_in: int = 5) -> DataFrame:
@@ -357,35 +366,37 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     profile = tables.written(
         docs.mapInArrow(_profiles(n, text), "doc_id long, n_shingles long, d1 long, d2 long, bytes long"), "partenum-profile")
     whole = profile.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
-    profile = profile.drop("bytes")
     named = profile.where("doc_id is not null and n_shingles > 0")
-    classes = named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
+    classes = named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("bytes").alias("bytes"))
+    repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
 
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, whole.rows, n, text, sample, common_in))
     cand = _candidates(docs.where("doc_id is not null"), n, percent, text, False, common, whole.bytes)
     members = classes.join(cand.select(F.col("node").alias("rep"), F.col("component").alias("cand")), "rep")
-    # shuffle_hash: the same plan at every size, and the texts are not sorted
-    members = docs.join(members.withColumnRenamed("rep", "doc_id").hint("shuffle_hash"), "doc_id")
-    members = members.withColumn("bytes", F.octet_length(text).cast("long"))
+    members = members.withColumnRenamed("rep", "doc_id").join(repeated, "doc_id", "left").fillna(1, ["k"])
     members = tables.written(members, "partenum-members")
-    large = members.groupBy("cand").count().where(F.col("count") > block_rows).select("cand")
-    if not large.isEmpty():
-        again = _candidates(members.join(large, "cand", "left_semi"), n, percent, text, True, common, whole.bytes)
-        members = _refined(members, large, again)
-    sizes = members.groupBy("cand").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("mass"), F.sum("bytes").alias("bytes"))
-    blocks = F.greatest(F.ceil(F.col("size") / block_rows), F.ceil(F.col("mass") / block_shingles),
-                        F.ceil(F.col("bytes") / block_bytes)).cast("int")
-    sizes = sizes.where("size > 1").select("cand", blocks.alias("blocks"))
-    placed = members.join(sizes, "cand").withColumn("block", F.pmod(F.xxhash64("d2", "d1"), F.col("blocks")).cast("int"))
+    limits = (block_rows, block_shingles, block_bytes)
+    sizes = _blocks(members, *limits)
+    placed = members.join(sizes, "cand").select("doc_id", "d1", "d2", "cand", "blocks", (F.col("size") > block_rows).alias("large"))
+    # texts move once, those of components of two or more only; shuffle_hash: the same plan at every size, and they are not sorted
+    texts = tables.written(docs.join(placed.hint("shuffle_hash"), "doc_id"), "partenum-texts", "zstd")
+    if not sizes.where(F.col("size") > block_rows).isEmpty():
+        again = _candidates(texts.where("large"), n, percent, text, True, common, whole.bytes)
+        finer = again.select(F.col("node").alias("doc_id"), F.col("component").alias("cand"))
+        split = members.drop("cand").join(finer, "doc_id")
+        place = split.join(_blocks(split, *limits), "cand").select("doc_id", "cand", "blocks").distinct()
+        # who has no component of the stronger signatures has no link
+        texts = texts.where("not large").unionByName(
+            texts.where("large").drop("cand", "blocks").join(place.hint("shuffle_hash"), "doc_id"))
+    placed = texts.withColumn("block", F.pmod(F.xxhash64("d2", "d1"), F.col("blocks")).cast("int"))
     units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = units.select("doc_id", text, "d1", "d2", "cand", "block",
                          F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
     links = units.groupBy("cand", "bi", "bj").applyInArrow(_verify(n, percent, text), "a long, b long")
 
-    with_rep = named.join(classes, ["n_shingles", "d1", "d2"])
-    repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id")
-    again = with_rep.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    linked_docs = components(links.unionByName(again), "a", "b")
+    with_rep = named.join(classes.drop("bytes"), ["n_shingles", "d1", "d2"])
+    same_id = with_rep.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    linked_docs = components(links.unionByName(same_id), "a", "b")
 
     known = classes.join(linked_docs, F.col("rep") == F.col("node"), "left").select(
         "n_shingles", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
@@ -394,14 +405,6 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     return out.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
-def _refined(members: DataFrame, large: DataFrame, again: DataFrame) -> DataFrame:
-    """``members`` with the components of ``again`` for those of large components; who has none there has no link."""
-    kept = members.join(large, "cand", "left_anti")
-    finer = again.select(F.col("node").alias("doc_id"), F.col("component").alias("finer"))
-    split = members.join(large, "cand", "left_semi").drop("cand").join(finer, "doc_id").withColumnRenamed("finer", "cand")
-    return tables.written(kept.unionByName(split), "partenum-members")
-
-
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of their component; rows with a null doc_id stay.
 

@@ -41,10 +41,10 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+def written(df: DataFrame, what: str, compression: str = "snappy") -> DataFrame:
     """Cut lineage: write ``df`` as Parquet to the shared folder and read it back."""
     path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
