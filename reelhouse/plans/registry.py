@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import normalize_columns
+from ..operators import layout
 from ..operators import loads as L
 from ..operators import sketches
 from ..operators.histograms import modes, value_counts
@@ -171,6 +172,15 @@ def _stored_orders(change: str):
     return build
 
 
+def _compacted_orders(s, spark, sf_dir, **_):
+    """Both order batches appended by priority, then the partitions with small files rewritten by key."""
+    table = L.Target(_own_path(spark, "orders-compacted"), is_path=True)
+    for batch in orders_batches(spark, sf_dir):
+        L.append(batch, table, partition_by=["o_orderpriority"])
+    layout.compact(spark, table, ["o_orderpriority"], ORDER_KEY)
+    return table.read(spark)
+
+
 def _glob_scan(s, spark, sf_dir, **_):
     reg = SourceRegistry().register("bronze", "lineitem", f"{sf_dir.rstrip('/')}/lineitem*.parquet")
     return reg.read(spark, "bronze", "lineitem")
@@ -236,6 +246,7 @@ BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "stored_update_columns": _stored_orders("update_columns"),
     "stored_delete_insert": _stored_orders("delete_insert"),
     "stored_new_columns": _stored_orders("append_new_columns"),
+    "stored_compacted_orders": _compacted_orders,
     "movie_rating_metrics_incremental": _movie_ratings_by_increment,
     "monthly_metrics_bitmap": lambda s, **_: gold_temporal.monthly_metrics(s["silver_ratings"], s["silver_movies"], distinct="bitmap"),
     "user_tag_metrics_bitmap": lambda s, **_: gold_users.user_tag_metrics_by_bitmap(s["silver_tags"]),

@@ -8,6 +8,7 @@ the JDBC helpers are only exercised through option building in the tests.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,67 @@ def read_jdbc_table(spark: SparkSession, **kw) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**kw)).load()
 
 
+def _literal(value) -> str:
+    """A value of a range bound as SQL."""
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def _cuts(keys: DataFrame, column: str, parts: int) -> tuple[list, set]:
+    """Distinct quantiles of a column that cut it into ``parts``, and those that fill a part or more on their own."""
+    at = [i / parts for i in range(1, parts)]
+    if not at:
+        return [], set()
+    found = keys.agg(F.percentile_approx(F.col(f"`{column}`"), at, 100 * parts)).first()[0] or []
+    return sorted(set(found)), {v for v in found if found.count(v) > 1}
+
+
+def _ranges(name: str, cuts: list, hot: set) -> list[tuple[str, object]]:
+    """Disjoint conditions over all values and null, in order; a hot value has one of its own, which names it."""
+    out, above = [], None
+    for v in cuts:
+        low = [above] if above else []
+        out.append((" AND ".join([*low, f"{name} < {_literal(v)}"]), None))
+        if v in hot:
+            out.append((f"{name} = {_literal(v)}", v))
+        above = f"{name} > {_literal(v)}" if v in hot else f"{name} >= {_literal(v)}"
+    out.append((above or f"{name} IS NOT NULL", None))
+    return [*out, (f"{name} IS NULL", None)]
+
+
+def equi_depth_predicates(keys: DataFrame, column: str, parts: int, then_by: str | None = None) -> list[str]:
+    """``predicates`` of a JDBC scan whose ranges hold about ``1 / parts`` of the rows each.
+
+    ``keys`` has the key column of the table (and ``then_by``), numbers, dates or timestamps: an earlier copy of it, or a scan of these columns alone.
+    The ranges come from quantiles (``percentile_approx``, an aggregate; ``parts - 1`` values reach the driver), so
+    gaps and skew in the key do not matter.  A value that fills more than one part gets a predicate of its own, cut
+    further by quantiles of ``then_by`` where that is given.  Every row, nulls included, meets exactly one predicate,
+    also rows that ``keys`` does not have.  An empty or all-null key gives two predicates, for values and for null.
+    Bounds that are no numbers are written as quoted text, which databases read as the column's type.
+    """
+    if parts < 1:
+        raise ValueError("parts must be 1 or more")
+    cuts, hot = _cuts(keys, column, parts)
+    out = []
+    for condition, value in _ranges(column, cuts, hot):
+        if value is None or then_by is None:
+            out.append(condition)
+            continue
+        rows = keys.where(F.col(f"`{column}`") == F.lit(value))
+        share = keys.agg(F.count_if(F.col(f"`{column}`") == F.lit(value)) / F.count(F.lit(1))).first()[0]
+        own, own_hot = _cuts(rows, then_by, max(1, round(share * parts)))
+        out += [f"{condition} AND {c}" for c, _ in _ranges(then_by, own, own_hot)]
+    return out
+
+
+def read_jdbc_ranges(spark: SparkSession, url: str, table: str, predicates: list[str], **kw) -> DataFrame:
+    """One table, one task for each predicate (untested: no driver here)."""
+    opts = jdbc_options(url, table, **kw)
+    properties = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
+
+
 def list_jdbc_tables(spark: SparkSession, url: str, schema: str, **kw) -> DataFrame:
     """Table names of a schema from ``information_schema.tables``."""
     name = schema.replace("'", "''")
