@@ -50,7 +50,7 @@ from reelhouse.llm.components import components
 from reelhouse.llm.packed import by_bucket, group_starts, sorted_entries, unpack
 
 _U = np.uint64
-_FLUSH = 1 << 22  # signatures
+_FLUSH = 1 << 20  # signatures
 #: Bytes of text whose signatures fill one bucket.
 BUCKET_BYTES = 64 << 20
 
