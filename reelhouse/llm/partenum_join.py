@@ -100,7 +100,7 @@ class Bands:
         k = 2 * self.top(band) * (100 - self.percent) // (100 + self.percent)
         if k == 0:
             return 1, 1, 0, 0
-        n2, out = (7, 3) if self.strong and k > 3 else (3, 1) if k < 16 else (2, 1)
+        n2, out = (4, 2) if self.strong and k > 3 else (3, 1) if k < 16 else (2, 1)
         n1 = k // (out + 1) + 1
         # a set may have a third of its shingles left out of the domain
         empty = math.comb(n2, out) * (1 - (n2 - out) / (n1 * n2)) ** (0.67 * self.least_for(band))
@@ -359,8 +359,12 @@ def _blocks(members: DataFrame, block_rows: int, block_shingles: int, block_byte
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text",
                     block_rows: int = 2048, block_shingles: int = 2_000_000, block_bytes: int = 256 << 20,
-                    sample: int = 4000, common_in: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
+                    sample: int = 40_000, common_in: int = 4) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row per row of ``docs``.
+
+    Shingles that ``common_in`` of about ``sample`` documents hold leave the domain of the signatures (one in
+    10,000 documents): the smaller that share, the fewer unrelated texts a shared passage ties together.
+    """
     tables.ship(docs.sparkSession)
     docs = docs.select("doc_id", text)
     profile = tables.written(
