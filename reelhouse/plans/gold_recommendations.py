@@ -30,6 +30,8 @@ keyed), so the pruning stays exact for any input.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,11 +148,22 @@ def _scored_candidates(key_sets: DataFrame, cand: DataFrame, keep: int, score_or
                   .drop("_s", "_y"))
 
 
+def _kept(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back.
+
+    An eager ``checkpoint()`` of a frame that is not persisted computes it twice, to count and to write.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/recommendations-{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _with_set_ids(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Give every distinct genre set an integer id (the sets are checkpointed, so the
+    """Give every distinct genre set an integer id (the sets are written, so the
     ids are stable); returns (stats with ``set_id``, sets)."""
     sets = (stats.select("genre_set").where(F.col("genre_set").isNotNull()).distinct()
-            .withColumn("set_id", F.monotonically_increasing_id()).checkpoint(eager=True))
+            .withColumn("set_id", F.monotonically_increasing_id()))
+    sets = _kept(sets, "sets")
     return stats.join(sets, "genre_set", "left"), sets
 
 
@@ -160,21 +173,19 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
     """See the module docstring.
 
     ``movie_stats`` feeds several branches that each prune different columns, so
-    Spark cannot reuse one exchange for them; it is computed once and kept with a
-    reliable ``checkpoint()`` (one row per movie, in ``spark.checkpoint.dir``), and so
+    Spark cannot reuse one exchange for them; it is computed once and kept as Parquet
+    (one row per movie, in ``spark.checkpoint.dir``), and so
     are the genre sets with their ids and the pruned candidate table.  Building the
-    plan therefore runs the jobs up to these checkpoints; only the rest is lazy.
+    plan therefore runs the jobs up to these writes; only the rest is lazy.
     Scoring and ranking carry only numeric columns (integer set ids); titles are
     attached to the final rows.  ``query_filter`` (on ``movie_id``/``movie_title``)
     restricts which movies get recommendations; candidates are always all movies,
     so each kept movie's rows equal the unfiltered result's.
     """
-    spark = movies.sparkSession
-    checkpoint_dir(spark)
     stats = (movie_stats(movies, ratings, min_ratings)
              .withColumn("genre_set", genre_set(F.col("genres")))
-             .withColumn("row_id", F.monotonically_increasing_id())
-             .checkpoint(eager=True))
+             .withColumn("row_id", F.monotonically_increasing_id()))
+    stats = _kept(stats, "stats")
     # rows one query movie id can occupy in any candidate list (1 for a keyed
     # dimension); keeping top_k + dmax per list leaves top_k after dropping itself
     dmax = stats.groupBy("movie_id").count().agg(F.max("count")).first()[0] or 1
@@ -196,7 +207,7 @@ def gold_movie_recommendations(movies: DataFrame, ratings: DataFrame, min_rating
         F.col("avg_rating").alias("similar_movie_rating"),
         F.col("rating_count").alias("similar_movie_ratings_count"))
 
-    cand = _prune_by_rating_margin(cand, keep).checkpoint(eager=True)
+    cand = _kept(_prune_by_rating_margin(cand, keep), "candidates")
 
     score_order = [F.desc("recommendation_score"), F.desc("similar_movie_ratings_count"),
                    F.asc("similar_movie_id"), F.asc("similar_row_id")]
