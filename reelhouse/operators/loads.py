@@ -117,7 +117,8 @@ class KeyedTarget:
         return self._stored(spark).drop(BUCKET)
 
     def _put(self, df: DataFrame, dynamic: bool) -> None:
-        (df.repartition(BUCKET).write.mode("overwrite").format(self.fmt).partitionBy(BUCKET)
+        # rebalance: a bucket over the advisory size is written by several tasks, so none sorts a whole large bucket
+        (df.hint("rebalance", BUCKET).write.mode("overwrite").format(self.fmt).partitionBy(BUCKET)
          .option("partitionOverwriteMode", "dynamic" if dynamic else "static").save(self.base))
 
     def write(self, spark: SparkSession, df: DataFrame, mode: str, order_by: Sequence[str] = ()) -> None:

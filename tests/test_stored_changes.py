@@ -144,6 +144,25 @@ def test_bitmaps_count_as_distinct_counts_do(spark):
     assert bitmaps.distinct_ids(bitmaps.id_bitmaps(df.limit(0), ["g"], "id"), ["g"], "n").count() == 0
 
 
+def test_bitmaps_of_scattered_ids_take_no_more_than_the_ids(spark):
+    df = spark.range(4000).selectExpr("id % 100 as g", "id * 40009 as id")
+    held = bitmaps.id_bitmaps(df, ["g"], "id").collect()
+    assert len(held) <= 4000 and sum(len(r.ids) if isinstance(r.ids, (bytes, bytearray)) else 8 for r in held) <= 8 * 4000
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, scratch_dir):
+    table = L.KeyedTarget(os.path.join(scratch_dir, "t"), ("k",), 1)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    kept = spark.conf.get(key)
+    df = spark.range(0, 60_000, 1, 8).selectExpr("id as k", "sha2(cast(id as string), 256) as v")
+    try:
+        spark.conf.set(key, 128 << 10)
+        table._put(table._bucketed(df), dynamic=False)
+    finally:
+        spark.conf.set(key, kept)
+    assert len(files(table.base)) > 1 and rows(table.read(spark)) == rows(df)
+
+
 def test_bitmap_models_have_no_expand(spark):
     s = registry.SilverFrames(spark, SF_SMALL)
     for df in (gold_temporal.monthly_metrics(s["silver_ratings"], s["silver_movies"], distinct="bitmap"),
