@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .loads import Target, staged
 
-#: Output files aim at this size.
-FILE_BYTES = 256 << 20
+#: Output files aim at this size, or at so many rows where these compress well: one task sorts the rows of a file,
+#: and what they take in its memory follows their number.
+FILE_BYTES, FILE_ROWS = 256 << 20, 2 << 20
 
 
 def stored_files(spark: SparkSession, target: Target, columns: Sequence[str] = ()) -> DataFrame:
@@ -54,28 +55,29 @@ def write_clustered(df: DataFrame, target: Target, cluster_by: Sequence[str], n_
 
 
 def small_partitions(spark: SparkSession, target: Target, partition_by: Sequence[str], file_bytes: int = FILE_BYTES,
-                     small: float = 0.5) -> DataFrame:
-    """(partition columns, files, bytes) of the partitions with two or more files under ``small`` of the size."""
+                     small: float = 0.5, file_rows: int = FILE_ROWS) -> DataFrame:
+    """(partition columns, files, bytes, rows) of the partitions with two or more files under ``small`` of size and rows."""
     files = stored_files(spark, target, partition_by)
     found = files.groupBy(*[f"`{c}`" for c in partition_by]).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"),
-        F.count_if(F.col("file_size") < small * file_bytes).alias("_small"))
+        F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"), F.sum("rows").alias("rows"),
+        F.count_if((F.col("file_size") < small * file_bytes) & (F.col("rows") < small * file_rows)).alias("_small"))
     return found.where("_small >= 2").drop("_small")
 
 
 def compact(spark: SparkSession, target: Target, partition_by: Sequence[str], cluster_by: Sequence[str],
-            file_bytes: int = FILE_BYTES, small: float = 0.5) -> int:
+            file_bytes: int = FILE_BYTES, small: float = 0.5, file_rows: int = FILE_ROWS) -> int:
     """Rewrite the partitions that hold small files, clustered; returns how many were rewritten."""
     if not partition_by:
         raise ValueError("compaction replaces partitions; write an unpartitioned table anew with write_clustered")
     if clash := {"files", "bytes", "file_path", "file_size", "rows"} & set(partition_by):
         raise ValueError(f"partition columns {sorted(clash)} have the names of file properties")
-    found = staged(small_partitions(spark, target, partition_by, file_bytes, small))
-    size = found.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
+    found = staged(small_partitions(spark, target, partition_by, file_bytes, small, file_rows))
+    size = found.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")).first()
     if not size.n:
         return 0
     stored, these = target.read(spark), found.select(*[F.col(f"`{c}`").alias(f"_of_{c}") for c in partition_by])
     same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_of_{c}`")) for c in partition_by])
     rows = staged(stored.join(these, same, "left_semi"))
-    write_clustered(rows, target, cluster_by, math.ceil(size.bytes / file_bytes), partition_by, dynamic=True)
+    n_files = max(math.ceil(size.bytes / file_bytes), math.ceil(size.rows / file_rows))
+    write_clustered(rows, target, cluster_by, n_files, partition_by, dynamic=True)
     return size.n

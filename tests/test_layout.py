@@ -46,6 +46,19 @@ def test_compaction_rewrites_only_partitions_with_small_files(spark, scratch_dir
     assert layout.compact(spark, target, ["p"], ["id"]) == 0 and files(target.location) == after
 
 
+def test_compaction_bounds_the_rows_of_a_file(spark, scratch_dir):
+    target = Target(os.path.join(scratch_dir, "r"), is_path=True)
+    for i in range(4):
+        append(spark.range(i, 8000, 4).withColumn("p", F.lit("a")).coalesce(1), target, partition_by=["p"])
+    want = rows(target.read(spark))
+    assert layout.compact(spark, target, ["p"], ["id"], file_rows=2000) == 0      # full by rows, though small by bytes
+    assert layout.compact(spark, target, ["p"], ["id"], file_rows=4100) == 1
+    spans = bounds(spark, target, "id")
+    assert len(spans) == 2 and spans[0][1] < spans[1][0] and rows(target.read(spark)) == want
+    assert layout.stored_files(spark, target).agg(F.max("rows")).first()[0] < 4800
+    assert layout.compact(spark, target, ["p"], ["id"], file_rows=4100) == 0
+
+
 def test_compaction_of_empty_tables_and_bad_arguments(spark, scratch_dir):
     target = Target(os.path.join(scratch_dir, "e"), is_path=True)
     spark.range(3).withColumn("p", F.lit(1)).limit(0).write.partitionBy("p").parquet(target.location)
