@@ -34,14 +34,15 @@ def movie_flag_counts(movies: DataFrame) -> DataFrame:
 def user_calendar(ratings: DataFrame) -> DataFrame:
     """Active years and months and the favourite hour and weekday (A11) of each user.
 
-    All come from one (user, month, hour, weekday) histogram, partitioned by user once.
-    The collected sets hold calendar months, so their size is bounded by the calendar.
+    All come from one (user, month, hour, weekday) histogram.  Each is reduced to its own rows a user before
+    it is dealt by user, in a stage of its own, so no task holds the cells of its users three times at once.
     """
     cells = (ratings.groupBy("user_id", "rating_month", "hour_of_day", "day_of_week")
-             .agg(F.count(F.lit(1)).alias("cnt")).repartition("user_id"))
-    out = cells.groupBy("user_id").agg(
-        as_bigint(F.size(F.collect_set(F.year("rating_month")))).alias("years_active"),
-        as_bigint(F.size(F.collect_set("rating_month"))).alias("months_active"))
+             .agg(F.count(F.lit(1)).alias("cnt")))
+    months = cells.select("user_id", F.year("rating_month").alias("_year"), "rating_month").distinct()
+    years = months.groupBy("user_id", "_year").agg(F.count("rating_month").alias("_months"))
+    out = years.groupBy("user_id").agg(
+        as_bigint(F.count("_year")).alias("years_active"), as_bigint(F.sum("_months")).alias("months_active"))
     for slot, name in (("hour_of_day", "favorite_hour"), ("day_of_week", "favorite_day_of_week")):
         counts = cells.groupBy("user_id", slot).agg(F.sum("cnt").alias("cnt"))
         out = out.join(small_mode_from_counts(counts, ["user_id"], slot, name), "user_id")
@@ -49,9 +50,10 @@ def user_calendar(ratings: DataFrame) -> DataFrame:
 
 
 def user_activity(ratings: DataFrame, movies: DataFrame, calendar: bool = True) -> DataFrame:
-    """Per-user rating metrics and genre preferences in one aggregation.
+    """Per-user rating metrics and genre preferences in one aggregation, and the distinct movies apart:
+    beside a distinct count Spark keeps all other buffers for each user and movie.
 
-    ``calendar=False`` leaves out what ``user_calendar`` adds.
+    ``calendar=False`` leaves out the distinct movies and what ``user_calendar`` adds.
     """
     flags = movie_flag_counts(movies)
     r = ratings.select("user_id", "movie_id", "rating", "rating_datetime")
@@ -69,7 +71,6 @@ def user_activity(ratings: DataFrame, movies: DataFrame, calendar: bool = True)
 
     agg = j.groupBy("user_id").agg(
         as_bigint(F.count(F.lit(1))).alias("total_ratings"),
-        as_bigint(F.count_distinct("movie_id")).alias("movies_rated"),
         round_to(F.avg(rating), 2).alias("avg_rating_given"),
         round_to(F.stddev_samp(rating), 2).alias("stddev_rating"),
         F.min(rating).alias("min_rating_given"),
@@ -85,9 +86,9 @@ def user_activity(ratings: DataFrame, movies: DataFrame, calendar: bool = True)
         *[genre_count(g).alias(f"{g}_count") for g in GENRES],
         *[genre_avg(g).alias(f"{g}_avg_rating") for g in AVG_GENRES],
     )
-    # the only distinct count left is that of movies, which needs no Expand
     if calendar:
-        agg = agg.join(user_calendar(ratings), "user_id", "left")
+        rated = ratings.groupBy("user_id").agg(as_bigint(F.count_distinct("movie_id")).alias("movies_rated"))
+        agg = agg.join(rated, "user_id", "left").join(user_calendar(ratings), "user_id", "left")
     return agg.withColumn(
         "days_active", day_boundaries(F.col("first_rating_date"), F.col("last_rating_date")))
 

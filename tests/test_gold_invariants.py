@@ -81,6 +81,24 @@ def test_movie_and_user_edge_cases(spark):
     assert ub[8].genre_diversity_score is None and ub[8].total_tags_created == 0
 
 
+def test_user_buffers_are_not_kept_for_each_movie(spark):
+    ratings = spark.sql("""
+        select id % 5 as user_id, id % 3 as movie_id, cast(id % 9 as double) / 2 as rating, t as rating_datetime,
+               date_trunc('month', t) as rating_month, cast(hour(t) as bigint) as hour_of_day, cast(dayofweek(t) - 1 as bigint) as day_of_week
+        from (select id, timestamp'2019-11-03 00:00:00' + make_interval(0, id % 4, 0, 0, id % 7) as t from range(60))""")
+    movies = spark.createDataFrame([(0, *[True] * 7), (2, *[False] * 7)], "movie_id bigint, " + ", ".join(
+        f"is_{g} boolean" for g in gold_users.GENRES))
+    df = gold_users.user_rating_metrics(ratings, movies)
+    want = ratings.groupBy("user_id").agg(F.count_distinct("movie_id"), F.count_distinct("rating_month"), F.count_distinct(F.year("rating_month")),
+                                          F.mode("hour_of_day", True), F.mode("day_of_week", True))
+    got = df.select("user_id", "movies_rated", "months_active", "years_active", "favorite_hour", "favorite_day_of_week")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    wide = [x for x in plan.splitlines() if "Aggregate(" in x and "stddev" in x]
+    assert wide and not [x for x in wide if "movie_id" in x.split("functions=")[0]]
+    assert "REPARTITION_BY_COL" not in plan
+
+
 APPROX_COLS = {
     "temporal": ["active_users", "movies_rated"],
     "genres": ["total_users", "unique_tags"],
