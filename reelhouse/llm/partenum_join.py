@@ -20,8 +20,8 @@ smallest holder, and connected components of these edges hold all links.  Signat
 packed (five bytes each, in binary rows by bucket).  A bucket gives each of its documents one root, the
 smallest document connected to it there; these are packed by document, and what all buckets have for the
 documents of one part is merged to a forest before edges are made, so their number does not follow that of the buckets.  A passage that very many documents share would tie unrelated ones into a large
-component; so shingles that are frequent in a bounded sample are left out of the domain (any
-domain gives all links).  Members of components that are still over ``block_rows`` sign again, by
+component; so shingles that are frequent are left out of the domain (any domain gives all links).
+They are counted over all documents, by packed cells of the shingle domain, by buckets.  Members of components that are still over ``block_rows`` sign again, by
 a scheme whose signatures cover more shingles, within their component.
 
 Components are verified exactly, in blocks of bounded size (block pairs are separate tasks; only
@@ -51,6 +51,7 @@ from reelhouse.llm.packed import by_bucket, group_starts, sorted_entries, unpack
 
 _U = np.uint64
 _FLUSH = 1 << 20  # signatures
+_CELLS = 24  # bits of a shingle, after those of its bucket, that the counts tell apart
 #: Bytes of text whose signatures fill one bucket.
 BUCKET_BYTES = 64 << 20
 
@@ -144,10 +145,10 @@ def _signed(sets: list[np.ndarray], sizes: np.ndarray, bands: Bands, seed: int,
     return np.concatenate(owners), np.concatenate(found), lack
 
 
-def signatures(sets: list[np.ndarray], bands: Bands, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: list[np.ndarray], bands: Bands, common: np.ndarray | None = None, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """(index of the set, signature) rows of all non-empty sets.
 
-    ``common`` (sorted) are shingles left out of the domain: what is left of two sets differs no more
+    ``common`` (sorted) are the first ``bits`` bits of shingles left out of the domain: what is left of two sets differs no more
     than the sets do, so bands and partitions stay as they are.  Sets that then lack non-empty
     signatures sign the full domain as well, where such sets meet each other.
     """
@@ -155,7 +156,8 @@ def signatures(sets: list[np.ndarray], bands: Bands, common: np.ndarray | None =
     if common is None or not len(common):
         owner, sig, _ = _signed(sets, sizes, bands, 0, True)
         return owner, sig
-    rest = [s[common[np.minimum(np.searchsorted(common, s), len(common) - 1)] != s] for s in sets]
+    heads = [s >> _U(64 - bits) for s in sets]
+    rest = [s[common[np.minimum(np.searchsorted(common, c), len(common) - 1)] != c] for s, c in zip(sets, heads)]
     owner, sig, lack = _signed(rest, sizes, bands, 1, False)
     again = np.flatnonzero(lack)
     if not len(again):
@@ -185,33 +187,80 @@ def _profiles(n: int, text: str):
     return run
 
 
-def _sample_counts(n: int, text: str):
-    """(shingle, documents) of each chunk of documents; equal sets count once."""
+def _packed_counts(cells: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, weight, cells) of the cells of some documents: a cell's count is the sum of its weights, powers of two."""
+    values, counts = np.unique(cells, return_counts=True)
+    for p in range(int(counts.max(initial=0)).bit_length()):
+        held = values[(counts >> p) & 1 == 1]
+        bucket = (held >> _U(_CELLS)).astype(np.int64)
+        low = held.view(np.uint8).reshape(-1, 8)[:, :_CELLS // 8]
+        cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            yield int(bucket[a]), 1 << p, low[a:b].tobytes()
+
+
+def _cell_rows(n: int, text: str, bits: int):
+    """Packed counts of the first ``bits`` bits of all shingles, by bucket; equal sets of a chunk count once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            rows = list(_packed_counts(np.concatenate(held)))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _, _ in rows], pa.int32()), pa.array([w for _, w, _ in rows], pa.int64()),
+                 pa.array([p for _, _, p in rows], pa.binary())], names=["bucket", "weight", "payload"])
+
         for batch in batches:
             texts = spans.binary_column(batch, text)
             for i, j in spans.chunks(texts):
                 sets = shingle_sets(texts[i:j], n)
                 _, once = np.unique(_digests(sets)[0], return_index=True)
-                shingles, counts = np.unique(np.concatenate([sets[k] for k in once.tolist()]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(spans.signed(shingles)), pa.array(counts, pa.int64())],
-                                                 names=["shingle", "n"])
+                for k in once.tolist():
+                    held.append(sets[k] >> _U(64 - bits))
+                    size += len(sets[k])
+                if size >= 4 * _FLUSH:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
     return run
 
 
-def common_shingles(docs: DataFrame, n_docs: int, n: int, text: str, sample: int, least: int) -> np.ndarray:
-    """Shingles of ``least`` or more documents in a sample of about ``sample`` documents, by a hash of doc_id.
+def _frequent_cells(least: int):
+    """The cells of a bucket that ``least`` or more documents hold."""
+    def run(group: pa.Table) -> pa.Table:
+        parts, width = group.column("payload").to_pylist(), _CELLS // 8
+        cells = np.zeros((sum(map(len, parts)) // width, 4), dtype=np.uint8)
+        cells[:, :width] = np.frombuffer(b"".join(parts), dtype=np.uint8).reshape(-1, width)
+        cells = cells.view(np.uint32).ravel()
+        weights = np.repeat(group.column("weight").to_numpy(), [len(p) // width for p in parts])
+        order = np.argsort(cells, kind="stable")
+        cells, weights = cells[order], weights[order]
+        starts = np.flatnonzero(group_starts([cells]))
+        found = cells[starts[np.add.reduceat(weights, starts) >= least]].astype(np.int64) if len(starts) else starts
+        return pa.table({"cell": pa.array((group.column("bucket")[0].as_py() << _CELLS) + found, pa.int64())})
+    return run
+
+
+def _cell_bits(n_bytes: int, shuffle_partitions: int) -> int:
+    """Bits of the cells for ``n_bytes`` of text: enough for buckets of ``BUCKET_BYTES`` and one a shuffle partition."""
+    return _CELLS + max(2, -(-n_bytes // BUCKET_BYTES), shuffle_partitions).bit_length()
+
+
+def common_shingles(docs: DataFrame, n_docs: int, n: int, text: str, per: int, least: int, bits: int) -> np.ndarray:
+    """The first ``bits`` bits of shingles that ``least`` of ``per`` documents hold, and ``least`` documents at least.
 
-    At most ``sample * mean set size / least`` values.  They steer the cost of the join, never its result.
+    All documents are counted.  Shingles of equal first bits count together; there are far more such cells than
+    shingles of one document in ``per``.  At most ``per * mean set size / least`` values.  They steer the cost of the
+    join, never its result.
     """
-    share = min(1.0, sample / max(1, n_docs))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    counts = chosen.mapInArrow(_sample_counts(n, text), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    found = counts.where(F.col("n") >= least).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
-    return np.sort(found.view(_U))
+    floor = max(least, -(-least * n_docs // per))
+    rows = docs.mapInArrow(_cell_rows(n, text, bits), "bucket int, weight long, payload binary")
+    counted = rows.groupBy("bucket").applyInArrow(_frequent_cells(floor), "cell long")
+    return np.sort(counted.toPandas()["cell"].to_numpy(np.int64).view(_U))
 
 
-def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: bool, common):
+def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: bool, common, bits: int):
     """Packed (signature, document) entries by bucket; with a ``cand`` column signatures are apart by component."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, strong)
@@ -232,7 +281,7 @@ def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: boo
                 order = np.argsort(ids[i:j], kind="stable")
                 _, once = np.unique(nodes[order], return_index=True)  # equal sets sign once, by their smallest document
                 once = order[once]
-                owner, sig = signatures([sets[k] for k in once.tolist()], bands, common.value)
+                owner, sig = signatures([sets[k] for k in once.tolist()], bands, common.value, bits)
                 who = once[owner]
                 if strong:
                     sig = spans.mix(sig ^ cand[i:j][who].astype(np.int64).view(_U))
@@ -286,7 +335,7 @@ def _document_edges(group: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(nodes[own], pa.int64()), "root": pa.array(least[own], pa.int64())})
 
 
-def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool, common, n_bytes: int) -> DataFrame:
+def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool, common, n_bytes: int, bits: int = 64) -> DataFrame:
     """(node, component) of documents that share signatures, directly or through others.
 
     Buckets of signatures are many enough for ``n_bytes`` of text: signatures take about half as much.
@@ -294,7 +343,7 @@ def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool,
     """
     n_parts = max(1, -(-n_bytes // BUCKET_BYTES))
     n_buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_parts)
-    rows = docs.mapInArrow(_signature_rows(n, percent, text, n_buckets, strong, common), "bucket int, payload binary")
+    rows = docs.mapInArrow(_signature_rows(n, percent, text, n_buckets, strong, common, bits), "bucket int, payload binary")
     roots = rows.groupBy("bucket").applyInArrow(_bucket_edges(n_parts), "part int, payload binary")
     return components(roots.groupBy("part").applyInArrow(_document_edges, "node long, root long"), "node", "root")
 
@@ -359,10 +408,10 @@ def _blocks(members: DataFrame, block_rows: int, block_shingles: int, block_byte
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text",
                     block_rows: int = 2048, block_shingles: int = 2_000_000, block_bytes: int = 256 << 20,
-                    sample: int = 40_000, common_in: int = 4) -> DataFrame:
+                    per: int = 40_000, common_in: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``.
 
-    Shingles that ``common_in`` of about ``sample`` documents hold leave the domain of the signatures (one in
+    Shingles that ``common_in`` of ``per`` documents hold leave the domain of the signatures (one in
     10,000 documents): the smaller that share, the fewer unrelated texts a shared passage ties together.
     """
     tables.ship(docs.sparkSession)
@@ -374,8 +423,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     classes = named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("bytes").alias("bytes"))
     repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
 
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, whole.rows, n, text, sample, common_in))
-    cand = _candidates(docs.where("doc_id is not null"), n, percent, text, False, common, whole.bytes)
+    bits = _cell_bits(whole.bytes, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, whole.rows, n, text, per, common_in, bits))
+    cand = _candidates(docs.where("doc_id is not null"), n, percent, text, False, common, whole.bytes, bits)
     members = classes.join(cand.select(F.col("node").alias("rep"), F.col("component").alias("cand")), "rep")
     members = members.withColumnRenamed("rep", "doc_id").join(repeated, "doc_id", "left").fillna(1, ["k"])
     members = tables.written(members, "partenum-members")
@@ -385,7 +435,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     # texts move once, those of components of two or more only; shuffle_hash: the same plan at every size, and they are not sorted
     texts = tables.written(docs.join(placed.hint("shuffle_hash"), "doc_id"), "partenum-texts", "zstd")
     if not sizes.where(F.col("size") > block_rows).isEmpty():
-        again = _candidates(texts.where("large"), n, percent, text, True, common, whole.bytes)
+        again = _candidates(texts.where("large"), n, percent, text, True, common, whole.bytes, bits)
         finer = again.select(F.col("node").alias("doc_id"), F.col("component").alias("cand"))
         split = members.drop("cand").join(finer, "doc_id")
         place = split.join(_blocks(split, *limits), "cand").select("doc_id", "cand", "blocks").distinct()

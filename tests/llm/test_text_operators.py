@@ -224,6 +224,22 @@ def test_near_duplicates_equal_brute_force(near, n, percent, block_rows):
     assert Counter(map(tuple, got.collect())) == links_by_hand(docs, n, percent)
 
 
+@pytest.mark.parametrize("flush", [1 << 20, 64])
+def test_frequent_shingles_are_counted_over_all_documents(spark, make_docs, monkeypatch, flush):
+    monkeypatch.setattr(partenum_join, "_FLUSH", flush)
+    rng = random.Random(8)
+    shared = [sentence(rng, 9, 3000) for _ in range(6)]
+    # passage k is in every (4 k + 4)-th document: of 600 documents, 10 in 100 are 60
+    docs = [(i, " ".join([sentence(rng, 8, 3000), *[s for k, s in enumerate(shared) if i % (4 * k + 4) == 0]])) for i in range(600)]
+    df, bits = make_docs(docs + [(None, None), (-1, "")], 5), partenum_join._cell_bits(0, 8)
+    sets = partenum_join.shingle_sets([t.encode() for _, t in docs], 5)
+    counts = Counter(x >> (64 - bits) for s in sets for x in s.tolist())
+    want = sorted(x for x, n in counts.items() if n >= 60)
+    got = partenum_join.common_shingles(df, 600, 5, "text", 100, 10, bits)
+    assert want and got.tolist() == want
+    assert partenum_join.common_shingles(df.limit(0), 0, 5, "text", 100, 10, bits).tolist() == []
+
+
 @pytest.mark.parametrize("strong, common_share", [(False, 0), (True, 0), (False, 0.4), (False, 0.9), (True, 0.5)])
 def test_partenum_signs_every_link(strong, common_share):
     """Sets of all sizes with as many differences as the threshold allows share a signature."""
