@@ -405,7 +405,7 @@ def test_secrets_of_tables_without_any(make_docs):
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     df = E.queries()[name](spark, SF_SMALL)
     rel = con.sql(E.oracle_sql()[name])
