@@ -22,10 +22,12 @@ table of 64-bit offsets exists on disk or in memory beyond one file.
 A task writes its files under a name of its own attempt and renames them when complete.  The
 content depends on the partition's rows alone, so a retry or a second attempt writes the same.
 
-Encoding.  Texts are encoded with the ``tokenizers`` library.  A byte-level pre-tokenizer cuts
-before a space that touches no other white space, so a text is the concatenation of its pieces there
-(``pieces``); a chunk of texts is split and its distinct pieces are found in Arrow, and those that a bounded
-memo does not hold go through the tokenizer once.  A run of white space (Unicode, no-break spaces among it) stays inside one piece; texts that
+Encoding.  Texts are encoded with the ``tokenizers`` library.  They are cut where a byte-level pre-tokenizer cuts
+whatever stands there (``pieces.cut``), so a text's ids are those of its pieces.  The distinct pieces of a chunk are
+found in Arrow; those that a bounded memo does not hold go through the tokenizer once, many in a row as one text, and
+the ids of a row are parted by the bytes that they stand for.  Pieces whose borders are not known to part in a row, and
+rows that do not part, are encoded alone, as are all pieces where the model is no plain byte-level BPE.  A run of white space
+(Unicode, no-break spaces among it) stays inside one piece; texts that
 hold an added token of the tokenizer are encoded whole, and so is every text of a tokenizer whose
 pre-tokenizer is not exactly the byte-level one with its own pattern.
 
@@ -59,6 +61,8 @@ MAGIC = b"EFT1"
 SAMPLE = 256
 _HEADER = struct.Struct("<4s8Q")
 _NULL_ID = 2**63 - 1
+#: Bytes of pieces that are encoded as one text.
+ROW_BYTES = 1 << 15
 
 
 class EliasFano:
@@ -151,7 +155,7 @@ class TokenFile:
 
 
 class Encoder:
-    """Texts to packed ids, with a bounded memo of pieces in two generations."""
+    """Texts to packed ids, with a bounded memo of pieces."""
 
     def __init__(self, path: str, end_id: int, literal_specials: bool = True, memo: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -162,54 +166,126 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        self.half = memo // 2
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.code = "H" if self.width == 2 else "I"
+        self.dtype = np.dtype(f"<u{self.width}")
         self.end = self._packed([end_id])
         # pieces may be encoded apart by a byte-level tokenizer that cuts words itself and changes nothing else
         spec = json.loads(self.tokenizer.to_str())
         self.direct = spec["normalizer"] is None and _cuts_words(spec["pre_tokenizer"])
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.sizes = _token_sizes(spec["model"], end_id, self.added)
+        # piece to number; the ids of piece k lie between starts[k] and starts[k + 1]
+        self.memo, self.limit = {}, memo
+        self.ids, self.starts = np.zeros(0, dtype=self.dtype), np.zeros(1, dtype=np.int64)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for i in range(0, len(texts), 5000):
-            out += [self._packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts[i:i + 5000], add_special_tokens=False)]
-        return out
-
-    def _known(self, distinct: list[str]) -> list[bytes]:
-        """The ids of distinct pieces; long ones are not kept."""
-        out = list(map(self.young.get, distinct))
-        missing = [i for i, v in enumerate(out) if v is None]
-        for i in missing:
-            out[i] = self.old.get(distinct[i])
-        new = [i for i in missing if out[i] is None]
-        for i, ids in zip(new, self._whole([distinct[i] for i in new])):
-            out[i] = ids
-        for i in missing:
-            if len(distinct[i]) <= 64:
-                if len(self.young) >= self.half:
-                    self.young, self.old = {}, self.young
-                self.young[distinct[i]] = out[i]
-        return out
+        return np.array(ids, dtype=self.dtype).tobytes()
+
+    def _encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for i in range(0, len(texts), 1000):
+            for e in self.tokenizer.encode_batch_fast(texts[i:i + 1000], add_special_tokens=False):
+                yield np.array(e.ids, dtype=self.dtype)
+
+    def _row(self, parts: pa.Array, sep: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of pieces that are encoded in rows, each followed by ``sep``, and where each piece's ids begin and
+        end; None where the ids do not part there."""
+        sizes = pc.binary_length(parts).to_numpy(zero_copy_only=False).astype(np.int64) + len(sep)
+        stops = np.cumsum(sizes)
+        rows = np.append(np.flatnonzero(np.diff(stops // ROW_BYTES)) + 1, len(parts))
+        whole = pc.binary_join_element_wise(parts, *pa.array(["", sep], pa.large_string())) if sep else parts
+        data, at = pieces.raw(whole)
+        cuts = at[np.append(0, rows)].tolist()
+        texts = [data[a:b].tobytes().decode() for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
+        found = [e for i in range(0, len(texts), 16) for e in self._encoded(texts[i:i + 16])]
+        ids = np.concatenate(found)
+        ends = np.cumsum(self.sizes[ids])
+        bounds = np.append(0, np.searchsorted(ends, stops) + 1)
+        if bounds[-1] != len(ids) or (ends[bounds[1:] - 1] != stops).any():
+            return None
+        if not sep:
+            return ids, np.stack([bounds[:-1], bounds[1:]])
+        tails = np.searchsorted(ends, stops - len(sep)) + 1
+        return (ids, np.stack([bounds[:-1], tails])) if (ends[tails - 1] == stops - len(sep)).all() else None
+
+    def _new(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct pieces side by side, and how many each has."""
+        first, dark = pieces.borders(parts)
+        alone = np.ones(len(parts), dtype=bool)
+        begin, size, flat, base = np.zeros(len(parts), dtype=np.int64), np.zeros(len(parts), dtype=np.int64), [], 0
+        # a piece that begins with white space may follow another one at once, one that does not after a line feed
+        for kind, sep in ((1, ""), (2, "\n")) if self.sizes is not None else ():
+            some = np.flatnonzero((first == kind) & dark)
+            row = self._row(parts.take(pa.array(some)), sep) if len(some) else None
+            if row is not None:
+                alone[some] = False
+                begin[some], size[some] = row[1][0] + base, row[1][1] - row[1][0]
+                flat.append(row[0])
+                base += len(row[0])
+        some = np.flatnonzero(alone)
+        for k, ids in zip(some.tolist(), self._encoded(parts.take(pa.array(some)).to_pylist())):
+            begin[k], size[k] = base, len(ids)
+            flat.append(ids)
+            base += len(ids)
+        return _gathered(np.concatenate(flat), begin, size), size
+
+    def _known(self, distinct: pa.Array) -> np.ndarray:
+        """The numbers of distinct pieces; those that the memo lacks are encoded."""
+        names = distinct.to_pylist()
+        numbers = np.fromiter((-1 if k is None else k for k in map(self.memo.get, names)), dtype=np.int64, count=len(names))
+        new = np.flatnonzero(numbers < 0)
+        # long pieces are not found again: their ids go when the memo begins again with the pieces of this chunk
+        if len(self.memo) + len(new) > self.limit or len(self.ids) > 16 * self.limit:
+            self.memo, old = {}, np.flatnonzero(numbers >= 0)
+            begin = self.starts[numbers[old]]
+            size = self.starts[numbers[old] + 1] - begin
+            self.ids, self.starts = _gathered(self.ids, begin, size), np.append(0, np.cumsum(size))
+            numbers[old] = np.arange(len(old))
+            self.memo.update((names[i], k) for k, i in enumerate(old.tolist()) if len(names[i]) <= 64)
+        if len(new):
+            ids, size = self._new(distinct.take(pa.array(new)))
+            numbers[new] = np.arange(len(new)) + len(self.starts) - 1
+            self.ids = np.concatenate([self.ids, ids])
+            self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(size))
+            self.memo.update((names[i], k) for i, k in zip(new.tolist(), numbers[new].tolist()) if len(names[i]) <= 64)
+        return numbers
 
     def encode(self, texts) -> Iterator[bytes]:
         """The ids of each text and the end id; null is empty."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not self.direct:
             for part in pieces.chunks(texts):
-                yield from (ids + self.end for ids in self._whole(pc.fill_null(part, "").to_pylist()))
+                yield from (ids.tobytes() + self.end for ids in self._encoded(pc.fill_null(part, "").to_pylist()))
             return
-        whole = pa.array(np.zeros(len(texts), dtype=bool))
-        for mark in self.added:
-            whole = pc.or_(whole, pc.fill_null(pc.match_substring(texts, mark), False))
-        parted = pieces.encoded(pc.if_else(whole, "", texts), self._known)
-        for text, alone, ids in zip(texts, whole.to_pylist(), parted):
-            yield (self._whole([text.as_py()])[0] if alone else ids) + self.end
+        for part in pieces.chunks(texts):
+            whole = pa.array(np.zeros(len(part), dtype=bool))
+            for mark in self.added:
+                whole = pc.or_(whole, pc.fill_null(pc.match_substring(part, mark), False))
+            distinct, found, ends = pieces.cut(pc.if_else(whole, "", part))
+            numbers = self._known(distinct)[found]
+            begin = self.starts[numbers]
+            size = self.starts[numbers + 1] - begin
+            ids = _gathered(self.ids, begin, size).tobytes()
+            stops = (np.append(0, np.cumsum(size))[ends] * self.width).tolist()
+            for i, (a, b, alone) in enumerate(zip([0, *stops], stops, whole.to_pylist())):
+                yield (next(self._encoded([part[i].as_py()])).tobytes() if alone else ids[a:b]) + self.end
+
+
+def _gathered(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Slices of ``ids`` side by side."""
+    ends = np.cumsum(size)
+    return ids[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+def _token_sizes(model: dict, end_id: int, added: list[str]) -> np.ndarray | None:
+    """The bytes that each id of a plain byte-level BPE model stands for; None for other models."""
+    plain = (model.get("type") == "BPE" and not model.get("dropout") and not model.get("unk_token") and not model.get("byte_fallback")
+             and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+             and not any(c.isspace() for mark in added for c in mark))
+    if not plain:
+        return None
+    sizes = np.zeros(max([end_id, *model["vocab"].values()]) + 1, dtype=np.int64)
+    for token, i in model["vocab"].items():
+        sizes[i] = len(token)  # one character a byte
+    return sizes
 
 
 def _cuts_words(pre_tokenizer: dict | None) -> bool:

@@ -159,6 +159,60 @@ def test_token_pieces_keep_runs_of_white_space():
             assert np.frombuffer(got, dtype="<u2").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0], text
 
 
+def test_token_pieces_part_at_any_border():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(6)
+    units = [*"aZé\u00c9ß×÷ªāд中9²'’.,-_<|>(\"\u0300\u0440\u3000\u2000\u2028\u202f\u205f\u1680\u00a0\u0085\x1c\x1f\x7f\x00\x0b\f\r\t\n\n",
+             " ", " ", " ", "  ", "'s", "'ll", "'S", "it's", "word", "\U0001f600", "e\u0301", "<|endoftext", "|>", "<|endoftext|>"]
+    texts = ["".join(rng.choices(units, k=rng.randrange(12))) for _ in range(8000)]
+    texts += [a + b + c for a in units for b in units for c in ("x", " ", "\n", ".")]
+    for literal in (False, True):
+        whole = Tokenizer.from_file(path)
+        whole.encode_special_tokens = literal
+        want = [[*e.ids, 0] for e in whole.encode_batch(texts, add_special_tokens=False)]
+        for change in ({}, {"sizes": None}, {"sizes": np.full(50_257, 2)}, {"limit": 50}):
+            encoder = token_store.Encoder(path, 0, literal_specials=literal)
+            vars(encoder).update(change)
+            for part in (slice(0, None), slice(0, 300), slice(5000, None)):
+                got = [np.frombuffer(b, dtype="<u2").tolist() for b in encoder.encode(texts[part])]
+                assert got == want[part], next((t, g, w) for t, g, w in zip(texts[part], got, want[part]) if g != w)
+            assert len(encoder.memo) <= max(encoder.limit, 50_000) and encoder.starts[-1] == len(encoder.ids)
+
+
+def test_token_encoder_gives_the_library_rows_of_pieces():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.texts = inner, 0
+
+        def encode_batch_fast(self, texts, **more):
+            self.texts += len(texts)
+            return self.inner.encode_batch_fast(texts, **more)
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefgé", k=9)) for _ in range(6000)]
+    texts = [" ".join(words[i:i + 40]) + rng.choice([".", ",\n", "!"]) for i in range(0, 6000, 40)]
+    encoder = token_store.Encoder(path, 0)
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    want = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(b, dtype="<u2").tolist() for b in encoder.encode(texts)] == [[*e.ids, 0] for e in want]
+    assert encoder.tokenizer.texts < 60     # 6,000 distinct words, once a text each
+    before = encoder.tokenizer.texts
+    list(encoder.encode(texts))
+    assert encoder.tokenizer.texts == before
+    long = ["x" * 70 + str(i) for i in range(50)]
+    encoder.limit = 100
+    for _ in range(20):         # long pieces do not pile up
+        list(encoder.encode(long))
+    assert len(encoder.ids) < 10_000
+
+
 def test_token_query_encodes_as_the_tokenizer_file_says(spark, make_docs, tmp_path):
     import public_tokenizers
     from reelhouse.llm import queries
