@@ -21,15 +21,6 @@ import pyarrow.compute as pc
 #: Bytes of text that are split together.
 CHUNK = 8 << 20
 
-_BYTES = np.arange(256)
-_WHITE = ((_BYTES >= 9) & (_BYTES <= 13)) | (_BYTES == 32)
-_SIGN = (_BYTES > 32) & (_BYTES < 127)
-_LETTER = _SIGN & np.array([chr(b).isalpha() for b in range(256)])
-_OTHER = _SIGN & ~_LETTER
-#: Last bytes but one of Unicode white space beyond ASCII, and its first bytes.
-_MAYBE = np.isin(_BYTES, (0x80, 0x81, 0x9A, 0xC2))
-_MAYBE_FIRST = np.isin(_BYTES, (0xC2, 0xE1, 0xE2, 0xE3))
-
 
 def chunks(texts: pa.Array, limit: int = CHUNK) -> Iterator[pa.Array]:
     """Slices of about ``limit`` bytes, one text at least."""
@@ -96,9 +87,22 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[starts[0]:starts[-1]], starts - starts[0]
 
 
+# classes of bytes; comparisons take no index of eight bytes a byte
+def _white(b: np.ndarray) -> np.ndarray:
+    return (b == 32) | ((b >= 9) & (b <= 13))
+
+
+def _sign(b: np.ndarray) -> np.ndarray:
+    return (b > 32) & (b < 127)
+
+
+def _letter(b: np.ndarray) -> np.ndarray:
+    return ((b | 32) >= 97) & ((b | 32) <= 122)
+
+
 def _ends_dark(last: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """True where a character with these last two bytes is surely no white space."""
-    return _SIGN[last] | ((last >= 0x80) & ~_MAYBE[before])
+    """True where a character with these last two bytes is surely no white space; beyond ASCII the last byte but one decides."""
+    return _sign(last) | ((last >= 0x80) & ((before & 0xFE) != 0x80) & (before != 0x9A) & (before != 0xC2))
 
 
 def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -110,8 +114,8 @@ def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     begins = np.zeros(len(data), dtype=bool)
     if len(data) > 1:
         last, before, this = data[:-1], np.append(np.uint8(0), data[:-2]), data[1:]
-        letter = _LETTER[last] | ((before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7))
-        begins[1:] = (_WHITE[this] & _ends_dark(last, before)) | (_OTHER[this] & letter)
+        letter = _letter(last) | ((before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7))
+        begins[1:] = (_white(this) & _ends_dark(last, before)) | (_sign(this) & ~_letter(this) & letter)
     begins[starts[:-1][starts[:-1] < starts[1:]]] = True
     at = np.flatnonzero(begins)
     parts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)).dictionary_encode()
@@ -125,5 +129,5 @@ def borders(parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, starts = raw(parts)
     first, stop = data[starts[:-1]], starts[1:]
     before = np.where(stop - starts[:-1] > 1, data[np.maximum(stop - 2, 0)], 0)
-    dark = _SIGN[first] | ((first >= 0xC3) & ~_MAYBE_FIRST[first])
-    return np.where(_WHITE[first], 1, np.where(dark, 2, 0)), _ends_dark(data[stop - 1], before)
+    dark = _sign(first) | ((first >= 0xC3) & ((first < 0xE1) | (first > 0xE3)))
+    return np.where(_white(first), 1, np.where(dark, 2, 0)), _ends_dark(data[stop - 1], before)

@@ -46,6 +46,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -230,7 +231,7 @@ class Encoder:
     def _known(self, distinct: pa.Array) -> np.ndarray:
         """The numbers of distinct pieces; those that the memo lacks are encoded."""
         names = distinct.to_pylist()
-        numbers = np.fromiter((-1 if k is None else k for k in map(self.memo.get, names)), dtype=np.int64, count=len(names))
+        numbers = np.fromiter(map(self.memo.get, names, repeat(-1)), dtype=np.int64, count=len(names))
         new = np.flatnonzero(numbers < 0)
         # long pieces are not found again: their ids go when the memo begins again with the pieces of this chunk
         if len(self.memo) + len(new) > self.limit or len(self.ids) > 16 * self.limit:
@@ -272,7 +273,9 @@ class Encoder:
 def _gathered(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Slices of ``ids`` side by side."""
     ends = np.cumsum(size)
-    return ids[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+    at = np.repeat(begin - (ends - size), size)
+    at += np.arange(len(at))
+    return ids[at]
 
 
 def _token_sizes(model: dict, end_id: int, added: list[str]) -> np.ndarray | None:
