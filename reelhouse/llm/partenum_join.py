@@ -21,8 +21,12 @@ packed (five bytes each, in binary rows by bucket).  A bucket gives each of its
 smallest document connected to it there; these are packed by document, and what all buckets have for the
 documents of one part is merged to a forest before edges are made, so their number does not follow that of the buckets.  A passage that very many documents share would tie unrelated ones into a large
 component; so shingles that are frequent are left out of the domain (any domain gives all links).
-They are counted over all documents, by packed cells of the shingle domain, by buckets.  Members of components that are still over ``block_rows`` sign again, by
-a scheme whose signatures cover more shingles, within their component.
+They are counted over all documents, by packed cells of the shingle domain, by buckets.
+
+Components of over one block are made finer before they are verified, since verification moves each text once a block.
+A set shares at least ``percent`` in 100 of its shingles with each of its links, and these are in its component; so a member with
+more shingles than the rest that no other member holds has no link and goes.  Those that stay sign again within
+their component, by a scheme whose signatures cover more shingles, as long as that halves the rows that verification moves.
 
 Components are verified exactly, in blocks of bounded size (block pairs are separate tasks; only
 a spanning forest of the true links leaves a task), and true links are joined to components
@@ -54,6 +58,8 @@ _FLUSH = 1 << 20  # signatures
 _CELLS = 24  # bits of a shingle, after those of its bucket, that the counts tell apart
 #: Bytes of text whose signatures fill one bucket.
 BUCKET_BYTES = 64 << 20
+#: Bytes of text whose shingles fill one bucket.
+SHINGLE_BYTES = 16 << 20
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -145,8 +151,17 @@ def _signed(sets: list[np.ndarray], sizes: np.ndarray, bands: Bands, seed: int,
     return np.concatenate(owners), np.concatenate(found), lack
 
 
-def signatures(sets: list[np.ndarray], bands: Bands, common: np.ndarray | None = None, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the set, signature) rows of all non-empty sets.
+def _uncommon(sets: list[np.ndarray], common: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The sets without the shingles whose first ``bits`` bits are in ``common`` (sorted)."""
+    if not len(common):
+        return sets
+    heads = [s >> _U(64 - bits) for s in sets]
+    return [s[common[np.minimum(np.searchsorted(common, c), len(common) - 1)] != c] for s, c in zip(sets, heads)]
+
+
+def signatures(sets: list[np.ndarray], bands: Bands, common: np.ndarray | None = None, bits: int = 64,
+               seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the set, signature) rows of all non-empty sets; each ``seed`` hashes into other partitions and cells.
 
     ``common`` (sorted) are the first ``bits`` bits of shingles left out of the domain: what is left of two sets differs no more
     than the sets do, so bands and partitions stay as they are.  Sets that then lack non-empty
@@ -154,15 +169,13 @@ def signatures(sets: list[np.ndarray], bands: Bands, common: np.ndarray | None =
     """
     sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
     if common is None or not len(common):
-        owner, sig, _ = _signed(sets, sizes, bands, 0, True)
+        owner, sig, _ = _signed(sets, sizes, bands, 2 * seed, True)
         return owner, sig
-    heads = [s >> _U(64 - bits) for s in sets]
-    rest = [s[common[np.minimum(np.searchsorted(common, c), len(common) - 1)] != c] for s, c in zip(sets, heads)]
-    owner, sig, lack = _signed(rest, sizes, bands, 1, False)
+    owner, sig, lack = _signed(_uncommon(sets, common, bits), sizes, bands, 2 * seed + 1, False)
     again = np.flatnonzero(lack)
     if not len(again):
         return owner, sig
-    more, full, _ = _signed([sets[i] for i in again.tolist()], sizes[again], bands, 0, True)
+    more, full, _ = _signed([sets[i] for i in again.tolist()], sizes[again], bands, 2 * seed, True)
     return np.concatenate([owner, again[more]]), np.concatenate([sig, full])
 
 
@@ -260,7 +273,7 @@ def common_shingles(docs: DataFrame, n_docs: int, n: int, text: str, per: int, l
     return np.sort(counted.toPandas()["cell"].to_numpy(np.int64).view(_U))
 
 
-def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: bool, common, bits: int):
+def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: bool, common, bits: int, seed: int):
     """Packed (signature, document) entries by bucket; with a ``cand`` column signatures are apart by component."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, strong)
@@ -281,7 +294,7 @@ def _signature_rows(n: int, percent: int, text: str, n_buckets: int, strong: boo
                 order = np.argsort(ids[i:j], kind="stable")
                 _, once = np.unique(nodes[order], return_index=True)  # equal sets sign once, by their smallest document
                 once = order[once]
-                owner, sig = signatures([sets[k] for k in once.tolist()], bands, common.value, bits)
+                owner, sig = signatures([sets[k] for k in once.tolist()], bands, common.value, bits, seed)
                 who = once[owner]
                 if strong:
                     sig = spans.mix(sig ^ cand[i:j][who].astype(np.int64).view(_U))
@@ -335,7 +348,8 @@ def _document_edges(group: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(nodes[own], pa.int64()), "root": pa.array(least[own], pa.int64())})
 
 
-def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool, common, n_bytes: int, bits: int = 64) -> DataFrame:
+def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool, common, n_bytes: int, bits: int = 64,
+                seed: int = 0) -> DataFrame:
     """(node, component) of documents that share signatures, directly or through others.
 
     Buckets of signatures are many enough for ``n_bytes`` of text: signatures take about half as much.
@@ -343,11 +357,76 @@ def _candidates(docs: DataFrame, n: int, percent: int, text: str, strong: bool,
     """
     n_parts = max(1, -(-n_bytes // BUCKET_BYTES))
     n_buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_parts)
-    rows = docs.mapInArrow(_signature_rows(n, percent, text, n_buckets, strong, common, bits), "bucket int, payload binary")
+    rows = docs.mapInArrow(_signature_rows(n, percent, text, n_buckets, strong, common, bits, seed), "bucket int, payload binary")
     roots = rows.groupBy("bucket").applyInArrow(_bucket_edges(n_parts), "part int, payload binary")
     return components(roots.groupBy("part").applyInArrow(_document_edges, "node long, root long"), "node", "root")
 
 
+def _shingle_rows(n: int, text: str, n_buckets: int, common, bits: int):
+    """Packed (shingle, document) entries by bucket, without frequent shingles; shingles are apart by component."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, cells, size = [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            doc, cell = np.concatenate(docs), np.concatenate(cells)
+            rows = by_bucket(doc, [cell], (cell >> _U(40)).astype(np.int64) % n_buckets, 4)
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([p for _, p in rows], pa.binary())],
+                                              names=["bucket", "payload"])
+
+        for batch in batches:
+            ids, cand, d1, d2 = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64)
+                                 for c in ("doc_id", "cand", "d1", "d2"))
+            texts = spans.binary_column(batch, text)
+            for i, j in spans.chunks(texts):
+                sets = shingle_sets(texts[i:j], n)
+                one, two = _digests(sets)
+                sets = _uncommon(sets, common.value, bits)
+                for k in np.flatnonzero((one == d1[i:j]) & (two == d2[i:j])).tolist():
+                    docs.append(np.full(len(sets[k]), ids[i + k]))
+                    cells.append(spans.mix(sets[k] ^ cand[i + k:i + k + 1].view(_U)))
+                    size += len(sets[k])
+                if size >= _FLUSH:
+                    yield flush()
+                    docs, cells, size = [], [], 0
+        if size:
+            yield flush()
+    return run
+
+
+def _lone_counts(n_parts: int):
+    """How many shingles of a bucket each document holds alone, packed by document."""
+    def run(group: pa.Table) -> pa.Table:
+        parts = [unpack(p, 1, 4) for p in group.column("payload").to_pylist()]
+        doc, (cell,) = sorted_entries([np.concatenate([c[0] for _, c in parts])], np.concatenate([d for d, _ in parts]))
+        new = group_starts([cell])
+        doc, counts = np.unique(doc[new & np.append(new[1:], True)], return_counts=True)
+        rows = by_bucket(doc, [counts.astype(_U)], (spans.mix(doc.view(_U)) % _U(n_parts)).astype(np.int64), 4)
+        return pa.table({"part": pa.array([k for k, _ in rows], pa.int32()), "payload": pa.array([p for _, p in rows], pa.binary())})
+    return run
+
+
+def _lone_sums(group: pa.Table) -> pa.Table:
+    """The counts that all buckets have for the documents of one part."""
+    parts = [unpack(p, 1, 4) for p in group.column("payload").to_pylist()]
+    doc, at = np.unique(np.concatenate([d for d, _ in parts]), return_inverse=True)
+    sums = np.zeros(len(doc), dtype=np.int64)
+    np.add.at(sums, at, np.concatenate([c[0] for _, c in parts]).astype(np.int64))
+    return pa.table({"doc_id": pa.array(doc, pa.int64()), "lone": pa.array(sums, pa.int64())})
+
+
+def _linkable(texts: DataFrame, members: DataFrame, n: int, percent: int, text: str, common, n_bytes: int, bits: int) -> DataFrame:
+    """The rows of ``members`` that can have a link: others of the component hold ``percent`` in 100 of their shingles.
+
+    Frequent shingles, and those of equal hashes, count as held by others, and a repeated doc_id stays.
+    """
+    n_buckets, n_parts = (max(2, -(-n_bytes // b)) for b in (SHINGLE_BYTES, BUCKET_BYTES))
+    rows = texts.mapInArrow(_shingle_rows(n, text, n_buckets, common, bits), "bucket int, payload binary")
+    counts = rows.groupBy("bucket").applyInArrow(_lone_counts(n_parts), "part int, payload binary")
+    lone = counts.groupBy("part").applyInArrow(_lone_sums, "doc_id long, lone long")
+    shared = F.col("n_shingles") - F.coalesce("lone", F.lit(0))
+    return members.join(lone, "doc_id", "left").where((F.col("k") > 1) | (100 * shared >= percent * F.col("n_shingles"))).drop("lone")
+
+
 def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the true links between members of ``left`` and of ``right`` (indexes into ``sets``)."""
     sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
@@ -406,6 +485,38 @@ def _blocks(members: DataFrame, block_rows: int, block_shingles: int, block_byte
     return sizes.where("size > 1").select("cand", "size", blocks.alias("blocks"))
 
 
+def _units(texts: DataFrame, text: str) -> DataFrame:
+    """The rows that verification moves: each text once for every pair of blocks that its own block is in."""
+    placed = texts.withColumn("block", F.pmod(F.xxhash64("d2", "d1"), F.col("blocks")).cast("int"))
+    units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return units.select("doc_id", text, "d1", "d2", "cand", "block",
+                        F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
+
+
+def _finer(texts: DataFrame, members: DataFrame, n: int, percent: int, text: str, limits: tuple, common, bits: int) -> DataFrame:
+    """(doc_id, d1, d2, cand, blocks) of ``members``, all of components of over one block, in finer components.
+
+    Who has no component any more has no link.  Rounds end where they no longer halve the rows that verification moves.
+    """
+    placed, settled, before = members, [], math.inf
+    for seed in itertools.count():
+        left = placed.where("blocks > 1")
+        moved, n_bytes = left.agg(F.coalesce(F.sum(F.col("k") * F.col("blocks")), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+        if not moved or 2 * moved > before:
+            settled.append(placed)
+            break
+        settled.append(placed.where("blocks = 1"))
+        left, before = left.drop("size", "blocks"), moved
+        own = lambda m: texts.join(m.select("doc_id", "d1", "d2", "cand").hint("shuffle_hash"), ["doc_id", "d1", "d2"])
+        kept = tables.written(_linkable(own(left), left, n, percent, text, common, n_bytes, bits), "partenum-kept")
+        again = _candidates(own(kept), n, percent, text, True, common, n_bytes, bits, seed)
+        split = kept.drop("cand").join(again.select(F.col("node").alias("doc_id"), F.col("component").alias("cand")), "doc_id")
+        split = tables.written(split, "partenum-split")
+        placed = tables.written(split.join(_blocks(split, *limits), "cand"), "partenum-placed")
+    return functools.reduce(DataFrame.unionByName, (p.select("doc_id", "d1", "d2", "cand", "blocks") for p in settled))
+
+
+@tables.drops_shuffles
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text",
                     block_rows: int = 2048, block_shingles: int = 2_000_000, block_bytes: int = 256 << 20,
                     per: int = 40_000, common_in: int = 4) -> DataFrame:
@@ -430,23 +541,16 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, text: str =
     members = members.withColumnRenamed("rep", "doc_id").join(repeated, "doc_id", "left").fillna(1, ["k"])
     members = tables.written(members, "partenum-members")
     limits = (block_rows, block_shingles, block_bytes)
-    sizes = _blocks(members, *limits)
-    placed = members.join(sizes, "cand").select("doc_id", "d1", "d2", "cand", "blocks", (F.col("size") > block_rows).alias("large"))
+    placed = members.join(_blocks(members, *limits), "cand")
     # texts move once, those of components of two or more only; shuffle_hash: the same plan at every size, and they are not sorted
-    texts = tables.written(docs.join(placed.hint("shuffle_hash"), "doc_id"), "partenum-texts", "zstd")
-    if not sizes.where(F.col("size") > block_rows).isEmpty():
-        again = _candidates(texts.where("large"), n, percent, text, True, common, whole.bytes, bits)
-        finer = again.select(F.col("node").alias("doc_id"), F.col("component").alias("cand"))
-        split = members.drop("cand").join(finer, "doc_id")
-        place = split.join(_blocks(split, *limits), "cand").select("doc_id", "cand", "blocks").distinct()
-        # who has no component of the stronger signatures has no link
-        texts = texts.where("not large").unionByName(
-            texts.where("large").drop("cand", "blocks").join(place.hint("shuffle_hash"), "doc_id"))
-    placed = texts.withColumn("block", F.pmod(F.xxhash64("d2", "d1"), F.col("blocks")).cast("int"))
-    units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    units = units.select("doc_id", text, "d1", "d2", "cand", "block",
-                         F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
-    links = units.groupBy("cand", "bi", "bj").applyInArrow(_verify(n, percent, text), "a long, b long")
+    texts = docs.join(placed.select("doc_id", "d1", "d2", "cand", "blocks").hint("shuffle_hash"), "doc_id")
+    texts = tables.written(texts, "partenum-texts", "zstd")
+    large = placed.where("blocks > 1")
+    if not large.isEmpty():
+        again = texts.where("blocks > 1").drop("cand", "blocks")
+        place = _finer(again, tables.written(large, "partenum-large"), n, percent, text, limits, common, bits)
+        texts = texts.where("blocks = 1").unionByName(again.join(place.hint("shuffle_hash"), ["doc_id", "d1", "d2"]))
+    links = _units(texts, text).groupBy("cand", "bi", "bj").applyInArrow(_verify(n, percent, text), "a long, b long")
 
     with_rep = named.join(classes.drop("bytes"), ["n_shingles", "d1", "d2"])
     same_id = with_rep.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +50,26 @@ def written(df: DataFrame, what: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_DROP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def drops_shuffles(f: Callable) -> Callable:
+    """Shuffle files of what ``f(docs, ...)`` executes go when each execution ends, not when the driver collects its garbage."""
+    @functools.wraps(f)
+    def run(docs: DataFrame, *args, **kwargs):
+        conf = docs.sparkSession.conf
+        kept = conf.get(_DROP, None)
+        conf.set(_DROP, "true")
+        try:
+            return f(docs, *args, **kwargs)
+        finally:
+            if kept is None:
+                conf.unset(_DROP)
+            else:
+                conf.set(_DROP, kept)
+    return run
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -224,6 +224,57 @@ def test_near_duplicates_equal_brute_force(near, n, percent, block_rows):
     assert Counter(map(tuple, got.collect())) == links_by_hand(docs, n, percent)
 
 
+@pytest.mark.parametrize("percent, seed", [(80, 1), (85, 2)])
+def test_verification_leaves_out_texts_that_cannot_link(make_docs, monkeypatch, percent, seed):
+    """A passage ties most texts into one component of many blocks, where few of them are near copies."""
+    rng = random.Random(seed)
+    passage = sentence(rng, 90, 3000)
+    docs = [(i, f"{sentence(rng, 40, 3000)} {passage}") for i in range(300)]
+    docs += [(1000 + i, edited(rng, docs[i // 3][1], 1)) for i in range(45)]
+    # 2000 is linked by one text, and has more shingles alone by the other; 3000 comes twice; copies come once
+    docs += [(2000, edited(rng, docs[20][1], 1)), (2000, f"{sentence(rng, 400, 3000)} {passage}"), (3000, f"{sentence(rng, 40, 3000)} {passage}"),
+             (3000, f"{sentence(rng, 40, 3000)} {passage}"), (4000, docs[30][1]), (None, docs[31][1])]
+    moved, units = [], partenum_join._units
+
+    def counted(texts, text):
+        moved.append(units(texts, text).count())
+        return units(texts, text)
+
+    monkeypatch.setattr(partenum_join, "_units", counted)
+    got = partenum_join.near_duplicates(make_docs(docs, 4), 4, percent, block_rows=7, common_in=10 ** 9)
+    assert Counter(map(tuple, got.collect())) == links_by_hand(docs, 4, percent)
+    assert 45 < moved[0] < 2 * len(docs), moved
+
+
+def test_lone_shingles_are_counted_by_component(make_docs, spark):
+    docs = [(1, "a b c d e f"), (2, "a b c d x y"), (3, "a b c d e f q"), (4, "a b c d e f"), (4, "u v w")]
+    members = [(1, 3, 0, 1), (2, 3, 0, 1), (3, 4, 1, 1), (4, 3, 2, 2)]
+    sets = partenum_join.shingle_sets([t.encode() for _, t in docs], 4)
+    one, two = partenum_join._digests(sets)
+    cand = {i: c for i, _, c, _ in members}
+    texts = spark.createDataFrame([(i, t, int(a), int(b), cand[i]) for (i, t), a, b in zip(docs, one, two)],
+                                  "doc_id long, text string, d1 long, d2 long, cand long")
+    common = spark.sparkContext.broadcast(np.empty(0, dtype=np.uint64))
+    held = spark.createDataFrame(members, "doc_id long, n_shingles long, cand long, k long")
+    kept = lambda percent, common: {r.doc_id for r in partenum_join._linkable(
+        texts, held, 4, percent, "text", common, 10 ** 9, 64).collect()}
+    # of three shingles 1 and 2 share one; 3 is alone in its component, and 4 stays as its doc_id is repeated
+    assert kept(33, common) == {1, 2, 4} and kept(34, common) == {4}
+    assert kept(34, spark.sparkContext.broadcast(np.sort(sets[0]))) == {1, 3, 4}
+
+
+def test_shuffle_files_go_during_the_near_duplicates_only(spark, make_docs, monkeypatch):
+    seen, written = [], partenum_join.tables.written
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    monkeypatch.setattr(partenum_join.tables, "written", lambda *a, **b: seen.append(spark.conf.get(key)) or written(*a, **b))
+    before = spark.conf.get(key)
+    partenum_join.near_duplicates(make_docs([(1, "a b c d e f"), (2, "u v w x y z")]))
+    assert seen and set(seen) == {"true"} and spark.conf.get(key) == before
+    with pytest.raises(Exception, match="doc_id"):
+        partenum_join.near_duplicates(spark.range(3))
+    assert spark.conf.get(key) == before
+
+
 @pytest.mark.parametrize("flush", [1 << 20, 64])
 def test_frequent_shingles_are_counted_over_all_documents(spark, make_docs, monkeypatch, flush):
     monkeypatch.setattr(partenum_join, "_FLUSH", flush)
